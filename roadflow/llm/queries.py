@@ -7,13 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quotes, secrets
+from . import covertree, language, mih, mixing, quotes, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of each vector whose id is divisible by 20, among all others."""
+    return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels of three quarters of them."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(toxicity.fit_rows(F.col("doc_id"))))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(~toxicity.fit_rows(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("tox_score").alias("score"),
+        (F.col("tox_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: counts, digest of the base spans, all spans."""
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -57,6 +72,11 @@ SELECT id AS doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGIN
 FROM d LEFT JOIN g ON d.r = g.doc_id"""
 
 
+def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.95 or more between all vectors, and their components."""
+    return covertree.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source with weights 1, 2, 3, repeating, and at most three epochs."""
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -88,8 +108,22 @@ def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(language.fit_rows(F.col("doc_id"))))
+    return language.predict(docs, model).select(
+        "doc_id", F.coalesce(~language.fit_rows(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score", "n_words", "n_switches"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_secrets": op3_secrets, "op5_mixing": op5_mixing, "op8_quotes": op8_quotes}
+    return {
+        f.__name__: f
+        for f in (
+            op1_multi_index_hashing, op2_toxicity, op3_secrets, op4_cover_tree, op5_mixing, op8_quotes, op9_language,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
