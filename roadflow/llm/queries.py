@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, language, mih, mixing, quotes, secrets, toxicity
+from . import covertree, hyperminhash, language, mih, mixing, quotes, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +99,26 @@ SELECT doc_id, size::BIGINT AS size, n::BIGINT AS source_size, target,
 FROM d JOIN p USING (k) LEFT JOIN e ON e.k = d.k"""
 
 
+def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all documents: similarity 0.8 or more of their two-word shingles."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+OP6_SQL = r"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) END AS s FROM d),
+c AS (SELECT list_sort(s) AS s, min(doc_id) AS rep, len(any_value(s.s)) AS n FROM s GROUP BY 1),
+u AS (SELECT rep, unnest(s) AS x FROM c),
+p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS i FROM u a JOIN u b ON a.x = b.x AND a.rep < b.rep GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN c x ON x.rep = a JOIN c y ON y.rep = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+t(node, seen) AS (SELECT rep, rep FROM c UNION SELECT node, e.b FROM t JOIN e ON e.a = t.seen),
+m AS (SELECT node, min(seen) AS component FROM t GROUP BY node)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(CASE WHEN len(s.s) > 0 THEN component END, s.doc_id) AS component_id,
+  s.doc_id = coalesce(CASE WHEN len(s.s) > 0 THEN component END, s.doc_id) AS kept
+FROM s JOIN c ON c.s = list_sort(s.s) JOIN m ON m.node = c.rep"""
+
+
 def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages with their reply links, in threads, as chat text without quotes."""
     linked = quotes.link_quotes(table(spark, sf_dir, "conversations"))
@@ -121,10 +141,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_multi_index_hashing, op2_toxicity, op3_secrets, op4_cover_tree, op5_mixing, op8_quotes, op9_language,
+            op1_multi_index_hashing, op2_toxicity, op3_secrets, op4_cover_tree, op5_mixing, op6_hyperminhash, op8_quotes, op9_language,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": OP3_SQL, "op5_mixing": OP5_SQL}
+    return {"op3_secrets": OP3_SQL, "op5_mixing": OP5_SQL, "op6_hyperminhash": OP6_SQL}
