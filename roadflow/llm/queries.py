@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, hyperminhash, language, mih, mixing, quotes, secrets, toxicity
+from . import covertree, hyperminhash, language, mih, mixing, pieces, quotes, rangecoder, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,6 +119,12 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(CASE WHEN len(s.s) > 0
 FROM s JOIN c ON c.s = list_sort(s.s) JOIN m ON m.node = c.rep"""
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of all documents: number, checksum, and whether they decode to the text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.tokenised(docs, pieces.default_model(), with_ids=False).drop("text")
+
+
 def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages with their reply links, in threads, as chat text without quotes."""
     linked = quotes.link_quotes(table(spark, sf_dir, "conversations"))
@@ -137,11 +143,26 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as coded ids and read back: where each begins, its ids' number and checksum."""
+    path = rangecoder.new_path(spark)
+    rangecoder.write_ids(table(spark, sf_dir, "documents"), rangecoder.default_tokenizer(), path)
+    return rangecoder.read_ids(spark.read.parquet(path))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_multi_index_hashing, op2_toxicity, op3_secrets, op4_cover_tree, op5_mixing, op6_hyperminhash, op8_quotes, op9_language,
+            op1_multi_index_hashing, op2_toxicity, op3_secrets, op4_cover_tree, op5_mixing, op6_hyperminhash, op7_suffix_array, op8_quotes, op9_language,
+            op10_range_coder, pipeline,
         )
     }
 
