@@ -111,7 +111,7 @@ def completed(points: DataFrame, interval_ms: int = 200, max_gap: int = 3000, lo
     w = Window.partitionBy("vehicle_id").orderBy("frame")
     p = points.withColumn("_run", F.sum(F.coalesce((F.col("frame") - F.lag("frame").over(w) > 1).cast("int"), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     p = p.withColumn("_speeds", F.collect_list("speed").over(Window.partitionBy("vehicle_id", "_run").orderBy("frame").rowsBetween(1 - window, 0)))
-    p = p.withColumn("_gap", F.least(F.lead("frame").over(w) - F.col("frame") - 1, F.lit(max_gap).cast("long"))).where("_gap > 0")
+    p = p.withColumn("_gap", F.lead("frame").over(w) - F.col("frame") - 1).where("_gap > 0").withColumn("_gap", F.least("_gap", F.lit(max_gap).cast("long")))
     up = F.lit(True) if road_only_forward else F.col("direction") == 1
     mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v) / F.size(a)
 

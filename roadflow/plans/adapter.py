@@ -48,7 +48,7 @@ O = r"""o AS (SELECT *, ms // 3600000 AS frame, mileage // 10000 AS section, pri
   FROM (SELECT event_id, ts, user_id AS vehicle_id, 'P' || user_id AS plate, 1016020 + 1577 * CAST(regexp_extract(props, '"k": *(\d+)', 1) AS BIGINT) AS mileage,
     1 + event_id % 2 AS direction, 1 + event_id % 4 AS lane,
     CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 8 WHEN 'signup' THEN 10 ELSE 0 END AS vehicle_type,
-    value AS speed, event_id % 3 AS device, event_type, epoch_ms(ts) AS ms FROM events))"""
+    value AS speed, event_id % 3 AS device, event_type, epoch_us(ts) // 1000 AS ms FROM events))"""
 
 
 def gantries(spark: SparkSession) -> DataFrame:

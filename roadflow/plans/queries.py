@@ -46,14 +46,14 @@ C = f"""{O}, c AS (SELECT *, date_trunc('hour', ts) AS hour FROM o WHERE class <
   QUALIFY section IS DISTINCT FROM lag(section) OVER (PARTITION BY vehicle_id, date_trunc('hour', ts) ORDER BY ts, event_id))"""
 FLOW = """count(*) FILTER (direction = 1 AND class = 0) AS up_bus, count(*) FILTER (direction = 1 AND class = 1) AS up_truck,
   count(*) FILTER (direction = 2 AND class = 0) AS down_bus, count(*) FILTER (direction = 2 AND class = 1) AS down_truck,
-  round(coalesce(avg(speed) FILTER (direction = 1), 0), 4) AS up_speed, round(coalesce(avg(speed) FILTER (direction = 2), 0), 4) AS down_speed"""
+  round(coalesce(avg(speed) FILTER (direction = 1), 0), 6) AS up_speed, round(coalesce(avg(speed) FILTER (direction = 2), 0), 6) AS down_speed"""
 
 
 @query(f"WITH {C} SELECT {t('hour')} AS hour, section, {FLOW} FROM c GROUP BY ALL")
 def hourly_section_flow(spark, sf_dir):
     """Flow by hour and section: classes, section changes, counts and mean speeds."""
     f = flow.hourly_section_flow(changes(spark, sf_dir))
-    return f.select(text("hour").alias("hour"), F.col("section").cast("long"), "up_bus", "up_truck", "down_bus", "down_truck", F.round("up_speed", 4).alias("up_speed"), F.round("down_speed", 4).alias("down_speed"))
+    return f.select(text("hour").alias("hour"), F.col("section").cast("long"), "up_bus", "up_truck", "down_bus", "down_truck", F.round("up_speed", 6).alias("up_speed"), F.round("down_speed", 6).alias("down_speed"))
 
 
 @query(f"WITH {C} SELECT event_id, vehicle_id, section FROM c")
@@ -102,14 +102,14 @@ def stake_conversion(spark, sf_dir):
     return o.select("event_id", "stake", "metres", (F.col("metres") == F.col("mileage")).alias("same"))
 
 
-SEGMENT = "CASE " + " ".join(f"WHEN mileage <= {b} THEN {k}" for k, b in enumerate(SEGMENTS)) + " END"
+SEGMENT = "CASE " + " ".join(f"WHEN mileage <= {b} THEN {k}" for k, b in enumerate(SEGMENTS)) + " ELSE -1 END"
 
 
 @query(f"WITH {O} SELECT {SEGMENT} AS segment, count(*) AS n, min(mileage) AS low, max(mileage) AS high FROM o WHERE mileage BETWEEN 1016020 AND 1173790 AND mileage NOT BETWEEN 1050000 AND 1055000 GROUP BY 1")
 def segment_route(spark, sf_dir):
     """Points within the road's bounds and off the bridge, by road segment."""
     o = observations(spark, sf_dir).where(F.col("mileage").between(1016020, 1173790) & ~F.col("mileage").between(1050000, 1055000))
-    return o.groupBy(lookup.road_segment(F.col("mileage"), SEGMENTS).alias("segment")).agg(F.count("*").alias("n"), F.min("mileage").alias("low"), F.max("mileage").alias("high"))
+    return o.groupBy(F.coalesce(lookup.road_segment(F.col("mileage"), SEGMENTS), F.lit(-1)).alias("segment")).agg(F.count("*").alias("n"), F.min("mileage").alias("low"), F.max("mileage").alias("high"))
 
 
 @query(f"WITH {O} SELECT (hour(ts) BETWEEN 7 AND 8 OR hour(ts) BETWEEN 17 AND 18) AS peak, event_type <> 'error' AS special, count(*) AS n FROM o GROUP BY ALL")
@@ -156,7 +156,7 @@ def sessions(spark, sf_dir):
     return trj.sessions(observations(spark, sf_dir), 6 * 3600).select("event_id", F.col("session").cast("long"))
 
 
-@query(f"WITH {SUMMARY} SELECT vehicle_id, session, epoch_ms(start_ts) || '-' || plate || '-' || vehicle_id AS key, type::BIGINT AS type, points, last_ts = max(last_ts) OVER (PARTITION BY vehicle_id) AS is_open FROM z")
+@query(f"WITH {SUMMARY} SELECT vehicle_id, session, (epoch_us(start_ts) // 1000) || '-' || plate || '-' || vehicle_id AS key, type::BIGINT AS type, points, last_ts = max(last_ts) OVER (PARTITION BY vehicle_id) AS is_open FROM z")
 def session_summary(spark, sf_dir):
     s = trj.session_summaries(observations(spark, sf_dir), 6 * 3600)
     key = S.trajectory_key(ms_of("start_ts"), F.col("plate"), F.col("vehicle_id"))
@@ -215,10 +215,10 @@ SEG = f"""{O}, v AS (SELECT date_trunc('minute', ts) AS minute, mileage // 1000
   arg_min(direction, (ts, event_id)) AS direction, arg_min(lane, (ts, event_id)) AS lane, arg_min(vehicle_type, (ts, event_id)) AS vehicle_type FROM o GROUP BY ALL)"""
 
 
-@query(f"WITH {SEG} SELECT {t('minute')} AS minute, km, vehicle_id, round(speed_sum, 4) AS speed_sum, points, plate, direction::BIGINT AS direction, lane::BIGINT AS lane FROM v")
+@query(f"WITH {SEG} SELECT {t('minute')} AS minute, km, vehicle_id, round(speed_sum, 6) AS speed_sum, points, plate, direction::BIGINT AS direction, lane::BIGINT AS lane FROM v")
 def vehicle_minute_segment(spark, sf_dir):
     v = flow.vehicle_minute_segments(observations(spark, sf_dir))
-    return v.select(text("minute").alias("minute"), "km", "vehicle_id", F.round("speed_sum", 4).alias("speed_sum"), "points", "plate", F.col("direction").cast("long"), F.col("lane").cast("long"))
+    return v.select(text("minute").alias("minute"), "km", "vehicle_id", F.round("speed_sum", 6).alias("speed_sum"), "points", "plate", F.col("direction").cast("long"), F.col("lane").cast("long"))
 
 
 @query(f"WITH {SEG} SELECT {t('minute')} AS minute, km, string_agg(vehicle_id::VARCHAR, ',' ORDER BY vehicle_id) AS vehicles, count(*) AS n FROM v GROUP BY ALL")
@@ -229,12 +229,12 @@ def minute_segment_lists(spark, sf_dir):
 
 
 @query(f"""WITH {SEG}, k AS (SELECT *, CASE WHEN vehicle_type IN (1, 2) THEN 0 WHEN vehicle_type IN (8, 10) THEN 1 ELSE -1 END AS c FROM v)
-  SELECT {t('minute')} AS minute, km, direction::BIGINT AS direction, round(sum(speed_sum) / sum(points), 4) AS avg_speed, count(*) AS density, count(*) FILTER (c = 0) AS buses, count(*) FILTER (c = 1) AS trucks,
-  round(coalesce(avg(speed_sum / points) FILTER (c = 0), 0), 4) AS bus_speed, round(coalesce(avg(speed_sum / points) FILTER (c = 1), 0), 4) AS truck_speed,
+  SELECT {t('minute')} AS minute, km, direction::BIGINT AS direction, round(sum(speed_sum) / sum(points), 6) AS avg_speed, count(*) AS density, count(*) FILTER (c = 0) AS buses, count(*) FILTER (c = 1) AS trucks,
+  round(coalesce(avg(speed_sum / points) FILTER (c = 0), 0), 6) AS bus_speed, round(coalesce(avg(speed_sum / points) FILTER (c = 1), 0), 6) AS truck_speed,
   count(*) FILTER (lane = 1) AS lane1, count(*) FILTER (lane = 2) AS lane2, count(*) FILTER (lane = 3) AS lane3, count(*) FILTER (lane = 4) AS lane4 FROM k GROUP BY ALL""")
 def segment_status(spark, sf_dir):
     s = flow.segment_status(flow.vehicle_minute_segments(observations(spark, sf_dir)), S.vehicle_class(F.col("vehicle_type")))
-    r = {c: F.round(c, 4) for c in ("avg_speed", "bus_speed", "truck_speed")}
+    r = {c: F.round(c, 6) for c in ("avg_speed", "bus_speed", "truck_speed")}
     return s.withColumns({**r, "minute": text("minute"), "direction": F.col("direction").cast("long")})
 
 
@@ -323,14 +323,14 @@ def word_count(spark, sf_dir):
     return flow.word_counts(table(spark, sf_dir, "documents"))
 
 
-@query(f"WITH {O} SELECT event_id, round(avg(speed) OVER (PARTITION BY vehicle_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 4) AS mean_speed FROM o")
+@query(f"WITH {O} SELECT event_id, round(avg(speed) OVER (PARTITION BY vehicle_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 6) AS mean_speed FROM o")
 def moving_avg_speed(spark, sf_dir):
-    return trj.moving_speed(observations(spark, sf_dir)).select("event_id", F.round("mean_speed", 4).alias("mean_speed"))
+    return trj.moving_speed(observations(spark, sf_dir)).select("event_id", F.round("mean_speed", 6).alias("mean_speed"))
 
 
-@query(f"WITH {O} SELECT event_id, ms - lag(ms) OVER (PARTITION BY device ORDER BY ts, event_id) AS gap_ms FROM o")
+@query(f"WITH {O} SELECT event_id, coalesce(ms - lag(ms) OVER (PARTITION BY device ORDER BY ts, event_id), -1) AS gap_ms FROM o")
 def msg_gap(spark, sf_dir):
-    return trj.message_gaps(observations(spark, sf_dir), "device").select("event_id", "gap_ms")
+    return trj.message_gaps(observations(spark, sf_dir), "device").select("event_id", F.coalesce(F.col("gap_ms"), F.lit(-1)).alias("gap_ms"))
 
 
 @query(f"WITH {O}, b AS (SELECT event_id, lag(event_id) OVER (PARTITION BY device ORDER BY ts, event_id) AS before FROM o) SELECT event_id, before FROM b WHERE event_id <> before + 1")
@@ -339,10 +339,10 @@ def seq_gap(spark, sf_dir):
 
 
 @query(f"""WITH {O}, r AS (SELECT frame, row_number() OVER (ORDER BY frame) AS rank FROM (SELECT DISTINCT frame FROM o)), s AS (SELECT DISTINCT vehicle_id, frame FROM o)
-  SELECT vehicle_id, frame, rank - lag(rank) OVER (PARTITION BY vehicle_id ORDER BY rank) - 1 AS missed FROM s JOIN r USING (frame)""")
+  SELECT vehicle_id, frame, coalesce(rank - lag(rank) OVER (PARTITION BY vehicle_id ORDER BY rank) - 1, -1) AS missed FROM s JOIN r USING (frame)""")
 def missed_frames(spark, sf_dir):
     o = observations(spark, sf_dir)
-    return trj.missed_frames(o, o).select("vehicle_id", "frame", F.col("missed").cast("long"))
+    return trj.missed_frames(o, o).select("vehicle_id", "frame", F.coalesce(F.col("missed"), F.lit(-1)).cast("long").alias("missed"))
 
 
 @query(f"""WITH {O}, h AS (SELECT event_id, lead(mileage) OVER (PARTITION BY frame, lane, direction ORDER BY mileage, event_id) - mileage AS ahead FROM o) SELECT event_id, ahead FROM h WHERE ahead < 10""")
@@ -351,9 +351,9 @@ def headway(spark, sf_dir):
 
 
 @query(f"""WITH {O}, q AS (SELECT event_id, radians(lag(latitude) OVER w) AS a, radians(latitude) AS b, radians(longitude - lag(longitude) OVER w) AS d FROM o WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts, event_id)),
-  y AS (SELECT event_id, degrees(atan2(sin(d) * cos(b), cos(a) * sin(b) - sin(a) * cos(b) * cos(d))) AS h FROM q) SELECT event_id, round(CASE WHEN h < 0 THEN h + 360 ELSE h END, 4) AS heading FROM y""")
+  y AS (SELECT event_id, degrees(atan2(sin(d) * cos(b), cos(a) * sin(b) - sin(a) * cos(b) * cos(d))) AS h FROM q) SELECT event_id, round(CASE WHEN h < 0 THEN h + 360 ELSE h END, 6) AS heading FROM y""")
 def heading(spark, sf_dir):
-    return trj.headings(observations(spark, sf_dir)).select("event_id", F.round("heading", 4).alias("heading"))
+    return trj.headings(observations(spark, sf_dir)).select("event_id", F.round("heading", 6).alias("heading"))
 
 
 @query(f"""WITH {O}, {GANTRIES}, c AS (SELECT event_id, vehicle_id, ts, g.id AS gate, row_number() OVER (PARTITION BY event_id ORDER BY abs(o.mileage - g.mileage), g.id) AS k FROM o JOIN g ON o.direction = g.direction AND abs(o.mileage - g.mileage) <= 400)
@@ -453,10 +453,10 @@ FUSED = f"""{O}, r AS (SELECT event_id AS read_id, ms, direction, (mileage - 101
   w AS (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3), m AS (SELECT r.*, vehicle_id, pass, distance FROM r LEFT JOIN w USING (read_id))"""
 
 
-@query(f"WITH {FUSED} SELECT read_id, vehicle_id, pass::BIGINT AS pass, distance FROM m")
+@query(f"WITH {FUSED} SELECT read_id, coalesce(vehicle_id, -1) AS vehicle_id, coalesce(pass, 0)::BIGINT AS pass, coalesce(distance, -1) AS distance FROM m")
 def fuse_gantry(spark, sf_dir):
     """Gantry reads given to tracks in three passes, one to one in each."""
-    return fused(spark, sf_dir).select("read_id", "vehicle_id", F.col("pass").cast("long"), "distance")
+    return fused(spark, sf_dir).fillna({"vehicle_id": -1, "pass": 0, "distance": -1}).select("read_id", "vehicle_id", F.col("pass").cast("long"), "distance")
 
 
 @query(f"""WITH {FUSED} SELECT frame // 24 AS tick, count(*) AS reads, count(*) FILTER (vehicle_id IS NULL) AS anomalies,
@@ -479,12 +479,12 @@ def new_vehicles(spark, sf_dir):
 
 
 @query(f"""WITH {O}, i AS (SELECT event_id AS image_id, plate, ms // 60000 AS upload, ts FROM o WHERE event_type = 'click'), r AS (SELECT event_id, plate, (ms + 5000) // 60000 AS upload, ts - INTERVAL 5 SECOND AS ts FROM o WHERE event_id % 3 = 0)
-  SELECT r.event_id, i.image_id FROM r LEFT JOIN i ON r.plate = i.plate AND r.upload = i.upload AND i.ts BETWEEN r.ts AND r.ts + INTERVAL 20 SECOND""")
+  SELECT r.event_id, coalesce(i.image_id, -1) AS image_id FROM r LEFT JOIN i ON r.plate = i.plate AND r.upload = i.upload AND i.ts BETWEEN r.ts AND r.ts + INTERVAL 20 SECOND""")
 def read_images(spark, sf_dir):
     o = observations(spark, sf_dir)
     images = o.where("event_type = 'click'").select(F.col("event_id").alias("image_id"), "plate", F.floor(F.col("ms") / 60000).alias("upload"), "ts")
     reads = o.where("event_id % 3 = 0").select("event_id", "plate", F.floor((F.col("ms") + 5000) / 60000).alias("upload"), (F.col("ts") - F.expr("INTERVAL 5 SECONDS")).alias("ts"))
-    return fusion.reads_to_images(reads, images).select("event_id", "image_id")
+    return fusion.reads_to_images(reads, images).select("event_id", F.coalesce("image_id", F.lit(-1)).alias("image_id"))
 
 
 @query(f"WITH {O} SELECT event_id, coalesce(CASE device WHEN 0 THEN 'north' WHEN 1 THEN 'south' END, 'unknown') AS station FROM o")
@@ -527,11 +527,11 @@ def framed(o: DataFrame) -> DataFrame:
   v AS (SELECT *, avg(speed) OVER (PARTITION BY vehicle_id, run ORDER BY frame ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS v FROM r),
   e AS (SELECT *, unnest(range(1, least(gap, 12) + 1)) AS k, v * 200 / 3600 AS step FROM v WHERE gap > 0),
   p AS (SELECT vehicle_id, frame + k AS frame, CASE WHEN direction = 1 THEN mileage + k * floor(step) ELSE mileage - k * ceil(step) END AS mileage, v FROM e)
-  SELECT vehicle_id, frame, mileage::BIGINT AS mileage, round(v, 4) AS speed FROM p WHERE mileage BETWEEN 1016020 AND 1173790""")
+  SELECT vehicle_id, frame, mileage::BIGINT AS mileage, round(v, 6) AS speed FROM p WHERE mileage BETWEEN 1016020 AND 1173790""")
 def completion(spark, sf_dir):
     """Predicted points of vehicles that are missing between two sightings, up to twelve frames of a gap."""
     c = trj.completed(framed(observations(spark, sf_dir)), max_gap=12)
-    return c.select("vehicle_id", "frame", "mileage", F.round("speed", 4).alias("speed"))
+    return c.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"))
 
 
 @query(f"""WITH {O}, n AS (SELECT frame FROM (SELECT DISTINCT frame FROM o) ORDER BY frame LIMIT 100) SELECT vehicle_id, count(*) AS points, string_agg(mileage::VARCHAR, ',' ORDER BY ts, event_id) AS mileages FROM o WHERE frame <= (SELECT max(frame) FROM n) GROUP BY 1""")
@@ -590,7 +590,7 @@ def path_messages(o: DataFrame) -> DataFrame:
     stamp = F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit(" "), F.lpad((F.col("frame") % 24).cast("string"), 2, "0"), F.lit(":00:00:000"))
     body = F.to_json(F.struct(stamp.alias("timeStamp"), (F.col("frame") * 3_600_000).alias("time"), F.size("pathList").alias("pathNum"), "pathList"))
     # Every seventh frame arrives damaged.
-    return frames.select("frame", F.when(F.col("frame") % 7 == 0, F.substring(body, 1, 20)).otherwise(body).alias("value"))
+    return frames.select(F.col("frame").alias("fid"), F.when(F.col("frame") % 7 == 0, F.substring(body, 1, 20)).otherwise(body).alias("value"))
 
 
 @query(f"WITH {O} SELECT event_id, plate, vehicle_type::BIGINT AS vehicle_type, direction::BIGINT AS direction, mileage, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S:000') AS ts FROM o WHERE frame % 7 <> 0")
@@ -604,13 +604,13 @@ def quarantined_frames(spark, sf_dir):
     """Damaged frames end in quarantine, none is lost."""
     o = observations(spark, sf_dir)
     _, bad = decode.decode_path_frames(path_messages(o))
-    return bad.select("frame").join(o.groupBy("frame").agg(F.count("*").alias("points")), "frame")
+    return bad.select(F.col("fid").alias("frame")).join(o.groupBy("frame").agg(F.count("*").alias("points")), "frame")
 
 
 @query(f"WITH {O} SELECT kind, count(*) AS n FROM (SELECT DISTINCT frame, CASE WHEN frame % 7 = 0 THEN 'unknown' WHEN frame % 2 = 0 THEN 'fibre' ELSE 'path' END AS kind FROM o) GROUP BY kind")
 def route_envelopes(spark, sf_dir):
     m = path_messages(observations(spark, sf_dir))
-    both = m.where("frame % 2 = 1 OR frame % 7 = 0").unionByName(m.where("frame % 2 = 0 AND frame % 7 <> 0").withColumn("value", F.to_json(F.struct(F.col("frame").alias("SN"), F.lit("x").alias("DEVICEIP")))))
+    both = m.where("fid % 2 = 1 OR fid % 7 = 0").unionByName(m.where("fid % 2 = 0 AND fid % 7 <> 0").withColumn("value", F.to_json(F.struct(F.col("fid").alias("SN"), F.lit("x").alias("DEVICEIP")))))
     return decode.route_envelopes(both).groupBy("kind").agg(F.count("*").alias("n"))
 
 
@@ -642,8 +642,8 @@ def decode_fibre(spark, sf_dir):
     bits = F.when(n == 0, F.lit(0)).otherwise(F.shiftleft((e - 3 + 127).cast("long"), 23) + F.floor((n / F.pow(F.lit(2.0), e) - 1) * (1 << 23)).cast("long"))
     ip = F.concat(F.lit("644117"), _be(F.col("frame") % 256, 1))
     car = F.rpad(F.hex(F.col("plate").cast("binary")), 32, "20")
-    record = F.concat(_le(F.col("event_id"), 8), car, _le(F.col("vehicle_type"), 1), F.lit("00" * 8), _le(bits, 4), _le(F.col("lane"), 1), _le(F.col("mileage"), 4), F.lit("00"), _le(-F.col("direction"), 1))
-    hexed = o.select(F.concat(_le(F.col("frame"), 4), ip, _le(F.col("ms"), 8), _le(F.lit(1), 4), record).alias("hex"))
+    record = F.concat(_le(F.col("event_id"), 8), car, _le(F.col("vehicle_type"), 1), F.lit("00" * 8), _le(bits, 6), _le(F.col("lane"), 1), _le(F.col("mileage"), 6), F.lit("00"), _le(-F.col("direction"), 1))
+    hexed = o.select(F.concat(_le(F.col("frame"), 6), ip, _le(F.col("ms"), 8), _le(F.lit(1), 6), record).alias("hex"))
     p, _ = decode.decode_fibre_hex(hexed)
     return p.select(F.col("SN").alias("sn"), F.col("DEVICEIP").alias("ip"), F.col("TIME").alias("time"), F.col("ID").alias("id"), F.col("Carnumber").alias("car"), F.col("Type").alias("type"), F.col("Tpointno").alias("point"), F.col("Wayno").alias("lane"), F.col("Direct").alias("direct"), F.col("Speed").alias("speed"))
 
@@ -652,9 +652,9 @@ def decode_fibre(spark, sf_dir):
 def decode_e1(spark, sf_dir):
     """Big-endian lidar packets with one participant each, written with their check byte and decoded."""
     o = observations(spark, sf_dir).where("event_id < 65536")
-    deg = lambda c: _be(F.round(F.col(c) * 1e7).cast("long"), 4)
+    deg = lambda c: _be(F.round(F.col(c) * 1e7).cast("long"), 6)
     body = F.concat(
-        _be(F.col("device"), 2), F.lit("0000"), _be(F.col("frame"), 4), _be(F.floor(F.col("ms") / 1000), 4), _be(F.lit(500_000), 4), deg("longitude"), deg("latitude"), F.lit("0000"), F.lit("01"), F.lit("00" * 5),
+        _be(F.col("device"), 2), F.lit("0000"), _be(F.col("frame"), 6), _be(F.floor(F.col("ms") / 1000), 6), _be(F.lit(500_000), 6), deg("longitude"), deg("latitude"), F.lit("0000"), F.lit("01"), F.lit("00" * 5),
         _be(F.col("event_id"), 2), F.lit("00" * 6), deg("longitude"), deg("latitude"), F.lit("0000"), _be(F.col("lane"), 2), F.lit("00" * 16), F.lit("00" * 80), F.lit("00" * 8), F.lit("00" * 28),
     )
     packet = F.concat(F.lit("07E10300"), _be(F.length(body) / 2, 2), body)
@@ -795,7 +795,7 @@ def stream_word_count(spark, sf_dir):
 def stream_hourly_flow(spark, sf_dir):
     """Hours that the watermark has passed, by event time, section and class."""
     rows = jobs.run_to_table(jobs.hourly_section_flow(event_stream(spark, sf_dir)), sinks.work_path(spark, "flow"))
-    return rows.select(text("hour").alias("hour"), F.col("section").cast("long"), "up_bus", "up_truck", "down_bus", "down_truck", F.round("up_speed", 4).alias("up_speed"), F.round("down_speed", 4).alias("down_speed"))
+    return rows.select(text("hour").alias("hour"), F.col("section").cast("long"), "up_bus", "up_truck", "down_bus", "down_truck", F.round("up_speed", 6).alias("up_speed"), F.round("down_speed", 6).alias("down_speed"))
 
 
 @query(f"WITH {O} SELECT {t('date_trunc(' + chr(39) + 'hour' + chr(39) + ', ts)')} AS hour, count(*) FILTER (lane % 2 = 1) AS up, count(*) FILTER (lane % 2 = 0) AS down FROM o GROUP BY 1")
@@ -822,4 +822,4 @@ def stream_completion(spark, sf_dir):
     sinks.put(framed(observations(spark, sf_dir)), path)
     schema = spark.read.parquet(path).schema
     rows = jobs.run_to_table(jobs.completed(spark.readStream.schema(schema).parquet(path), max_gap=12), sinks.work_path(spark, "completed"))
-    return rows.select("vehicle_id", "frame", "mileage", F.round("speed", 4).alias("speed"))
+    return rows.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"))
