@@ -24,6 +24,7 @@ class CoverTree:
     ``radius`` is the exact distance to the farthest row of the cell."""
 
     def __init__(self, x: np.ndarray, smallest: float):
+        """From unit vectors, which are reordered in place; levels go down to a radius of at most ``smallest``."""
         self.order = np.arange(len(x))
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         starts, ends, radius = np.array([0]), np.array([len(x)]), 2.0
@@ -73,33 +74,62 @@ class CoverTree:
         return own
 
 
+def _within(near: np.ndarray, limit: float, ra: np.ndarray, rb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unit centres whose distance is at most the limit and both radii; cells of one row have radius 0 and share
+    one bound, so that they need a single comparison."""
+    bound = np.float32(1 - limit * limit / 2)
+    p, q = np.divmod(np.flatnonzero(near >= bound), near.shape[1])
+    plain = (ra[p] == 0) & (rb[q] == 0)
+    out = [(p[plain], q[plain])]
+    wide_a, wide_b = np.flatnonzero(ra > 0), np.flatnonzero(rb > 0)
+    for rows, cols in ((wide_a, np.arange(len(rb))), (np.flatnonzero(ra == 0), wide_b)):
+        if len(rows) and len(cols):
+            reach = limit + ra[rows, None] + rb[None, cols]
+            u, v = np.nonzero(2 - 2 * near[np.ix_(rows, cols)] <= reach * reach)
+            out.append((rows[u], cols[v]))
+    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
+
 def close_pairs(a: CoverTree, b: CoverTree, limit: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows i of a and j of b (in the trees' order) that may be within ``limit``: pairs of cells go down level by level
-    while the distance of their centres is at most the limit and both covering radii. With ``same`` each pair once."""
-    pairs = [(0, len(a.levels[0][0]), 0, len(b.levels[0][0]), 0)]
+    """Rows i of a and j of b (in the trees' order) that may be within ``limit``. Both trees go down together: cells stay
+    while some cell of the other tree is no farther from them than the limit and both covering radii. A level that has
+    hardly more cells than the one before is passed over. With ``same`` each pair comes once, and i = j too."""
     depth = max(len(a.levels), len(b.levels))
-    while pairs:
-        a0, a1, b0, b1, level = pairs.pop()
-        sa, ea, ra = (v[a0:a1] for v in a.levels[min(level, len(a.levels) - 1)])
-        sb, eb, rb = (v[b0:b1] for v in b.levels[min(level, len(b.levels) - 1)])
-        for i in range(0, len(sa), 1024):
-            far = np.maximum(2 - 2 * (a.x[sa[i : i + 1024]] @ b.x[sb].T), 0)
-            reach = limit + SLACK + ra[i : i + 1024, None] + rb[None, :]
-            p, q = np.nonzero(far <= reach * reach)
-            p += i
+    at = lambda tree, level: tree.levels[min(level, len(tree.levels) - 1)]
+    size = lambda level: len(at(a, level)[0]) + len(at(b, level)[0])
+    use = [0]
+    for level in range(1, depth):
+        if size(level) >= 2 * size(use[-1]) or level == depth - 1:
+            use.append(level)
+    before: tuple | None = None
+    for level in use:
+        (sa, ea, ra), (sb, eb, rb) = at(a, level), at(b, level)
+        ca, cb = np.arange(len(sa)), np.arange(len(sb))
+        if before is not None:
+            (pa, keep_a), (pb, keep_b) = before
+            ca = ca[keep_a[np.searchsorted(pa, sa, side="right") - 1]]
+            cb = cb[keep_b[np.searchsorted(pb, sb, side="right") - 1]]
+        stay_a, stay_b = np.zeros(len(sa), bool), np.zeros(len(sb), bool)
+        for i in range(0, len(ca), 1024):
+            some = ca[i : i + 1024]
+            p, q = _within(a.x[sa[some]] @ b.x[sb[cb]].T, limit + SLACK, ra[some], rb[cb])
+            p, q = some[p], cb[q]
             if same:
                 keep = sa[p] <= sb[q]  # ranges of a level are equal or disjoint
                 p, q = p[keep], q[keep]
-            single = (ea[p] - sa[p] == 1) & (eb[q] - sb[q] == 1)
-            if single.any():
-                yield sa[p[single]], sb[q[single]]
-            for m, n in zip(p[~single], q[~single], strict=True):
-                if level + 1 < depth:
-                    la, lb = a.levels[min(level + 1, len(a.levels) - 1)][0], b.levels[min(level + 1, len(b.levels) - 1)][0]
-                    pairs.append((*np.searchsorted(la, (sa[m], ea[m])), *np.searchsorted(lb, (sb[n], eb[n])), level + 1))
-                else:  # last level: all rows of both cells
-                    u, v = np.meshgrid(np.arange(sa[m], ea[m]), np.arange(sb[n], eb[n]), indexing="ij")
-                    yield u.ravel(), v.ravel()
+            if level != use[-1]:
+                stay_a[p], stay_b[q] = True, True
+                if same:
+                    stay_a[q], stay_b[p] = True, True
+                continue
+            na, nb = ea[p] - sa[p], eb[q] - sb[q]
+            total = np.cumsum(na * nb)
+            for k in range(0, int(total[-1]) if len(total) else 0, 1 << 20):  # all rows of both cells
+                flat = np.arange(k, min(k + (1 << 20), int(total[-1])))
+                pair = np.searchsorted(total, flat, side="right")
+                inside = flat - (total[pair] - na[pair] * nb[pair])
+                yield sa[p[pair]] + inside // nb[pair], sb[q[pair]] + inside % nb[pair]
+        before = ((sa, stay_a), (sb, stay_b))
 
 
 def components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -118,9 +148,34 @@ def components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _unpack(pdf: pd.DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    row = pdf.iloc[0]
-    return (np.frombuffer(row["ids"], np.int64), np.frombuffer(row["copies"], np.int64), np.frombuffer(row["x"], np.float64).reshape(-1, dim))
+def _pack(tree: CoverTree, ids: np.ndarray, copies: np.ndarray, x: np.ndarray) -> dict[str, object]:
+    """The tree and its rows, in the tree's order, as bytes."""
+    o = tree.order
+    parts = [np.array([len(ids), len(tree.levels), *[len(level[0]) for level in tree.levels]], np.int64), ids[o], copies[o]]
+    for starts, ends, reach in tree.levels:
+        parts += [starts.astype(np.int64), ends.astype(np.int64), reach.astype(np.float64)]
+    return {"tree": b"".join(p.tobytes() for p in parts), "x": x[o].tobytes()}
+
+
+class Packed(CoverTree):
+    """A tree read from its bytes."""
+
+    def __init__(self, tree: bytes, x: bytes, dim: int):
+        n, depth = np.frombuffer(tree, np.int64, 2)
+        sizes = np.frombuffer(tree, np.int64, depth, 16)
+        at = 16 + 8 * int(depth)
+
+        def take(kind: type, count: int) -> np.ndarray:
+            nonlocal at
+            out = np.frombuffer(tree, kind, int(count), at)
+            at += 8 * int(count)
+            return out
+
+        self.ids, self.copies = take(np.int64, n), take(np.int64, n)
+        self.levels = [(take(np.int64, k), take(np.int64, k), take(np.float64, k).astype(np.float32)) for k in sizes]
+        self.exact = np.frombuffer(x, np.float64).reshape(-1, dim)
+        self.norm = np.sqrt(dots(self.exact, self.exact))
+        self.x = (self.exact / self.norm[:, None]).astype(np.float32)
 
 
 def link_vectors(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -188,12 +243,13 @@ def _links(classes: DataFrame, n: int, dim: int, least: float) -> DataFrame:
         x = np.stack(pdf["x"].to_numpy())
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
         middle = unit.mean(axis=0)
+        whole = _pack(CoverTree(unit.astype(np.float32), limit / 2), pdf["rep"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), x.astype(np.float64))
         return pd.DataFrame({
-            "block": [pdf["block"].iloc[0]], "ids": [pdf["rep"].to_numpy(np.int64).tobytes()], "copies": [pdf["copies"].to_numpy(np.int64).tobytes()],
-            "x": [x.astype(np.float64).tobytes()], "middle": [middle.tolist()], "reach": [float(np.linalg.norm(unit - middle, axis=1).max())],
+            "block": [pdf["block"].iloc[0]], "tree": [whole["tree"]], "x": [whole["x"]],
+            "middle": [middle.tolist()], "reach": [float(np.linalg.norm(unit - middle, axis=1).max())],
         })
 
-    packs = stage(placed.withColumn("block", block).groupBy("block").applyInPandas(packed, "block int, ids binary, copies binary, x binary, middle array<double>, reach double"), "blocks")
+    packs = stage(placed.withColumn("block", block).groupBy("block").applyInPandas(packed, "block int, tree binary, x binary, middle array<double>, reach double"), "blocks")
     ball = packs.select("block", "middle", "reach")
     apart = F.sqrt(F.aggregate(F.zip_with("middle", "middle2", lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v))
     pairs = (
@@ -210,19 +266,17 @@ def _links(classes: DataFrame, n: int, dim: int, least: float) -> DataFrame:
 
     def compare(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
         same = one["p"].iloc[0] == one["q"].iloc[0]
-        (ids, copies, x), (ids2, copies2, y) = _unpack(one, dim), _unpack(two, dim)
+        tree = Packed(one["tree"].iloc[0], one["x"].iloc[0], dim)
+        other = tree if same else Packed(two["tree"].iloc[0], two["x"].iloc[0], dim)
+        (ids, copies), (ids2, copies2) = (tree.ids, tree.copies), (other.ids, other.copies)
         n1, n2 = len(ids), len(ids2)
-        nx, ny = np.sqrt(dots(x, x)), np.sqrt(dots(y, y))
-        tree = CoverTree((x / nx[:, None]).astype(np.float32), limit / 2)
-        other = tree if same else CoverTree((y / ny[:, None]).astype(np.float32), limit / 2)
         i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for u, v in close_pairs(tree, other, limit, same):
-            u, v = tree.order[u], other.order[v]
             if same:
                 u, v = np.minimum(u, v)[u != v], np.maximum(u, v)[u != v]
             for at in range(0, len(u), 1 << 16):
                 a, b = u[at : at + (1 << 16)], v[at : at + (1 << 16)]
-                hit = dots(x[a], y[b]) / (nx[a] * ny[b]) >= least
+                hit = dots(tree.exact[a], other.exact[b]) / (tree.norm[a] * other.norm[b]) >= least
                 i.append(a[hit])
                 j.append(b[hit])
         i, j = np.concatenate(i), np.concatenate(j)
