@@ -629,7 +629,11 @@ def _be(value: Column, size: int) -> Column:
     return F.substring(F.lpad(F.hex(value.cast("long")), 16, "0"), 17 - 2 * size, 2 * size)
 
 
-FIBRE_POINTS = "SELECT frame, event_id, vehicle_id, row_number() OVER (PARTITION BY frame ORDER BY event_id) - 1 AS pos"
+def arrived(messages: DataFrame, label: str) -> DataFrame:
+    """Messages as a source has them: written to the work folder and read."""
+    path = sinks.work_path(messages.sparkSession, label)
+    sinks.put(messages, path)
+    return messages.sparkSession.read.schema(messages.schema).parquet(path)
 
 
 @query(f"WITH {O} SELECT frame AS sn, '100.65.23.' || (frame % 256) AS ip, ms AS time, event_id AS id, plate AS car, vehicle_type::BIGINT AS type, mileage AS point, lane::BIGINT AS lane, -direction::BIGINT AS direct, (event_id % 1000) / 8.0::DOUBLE AS speed FROM (SELECT *, frame * 3600000 AS t FROM o) o")
@@ -642,9 +646,9 @@ def decode_fibre(spark, sf_dir):
     bits = F.when(n == 0, F.lit(0)).otherwise(F.shiftleft((e - 3 + 127).cast("long"), 23) + F.floor((n / F.pow(F.lit(2.0), e) - 1) * (1 << 23)).cast("long"))
     ip = F.concat(F.lit("644117"), _be(F.col("frame") % 256, 1))
     car = F.rpad(F.hex(F.col("plate").cast("binary")), 32, "20")
-    record = F.concat(_le(F.col("event_id"), 8), car, _le(F.col("vehicle_type"), 1), F.lit("00" * 8), _le(bits, 6), _le(F.col("lane"), 1), _le(F.col("mileage"), 6), F.lit("00"), _le(-F.col("direction"), 1))
-    hexed = o.select(F.concat(_le(F.col("frame"), 6), ip, _le(F.col("ms"), 8), _le(F.lit(1), 6), record).alias("hex"))
-    p, _ = decode.decode_fibre_hex(hexed)
+    record = F.concat(_le(F.col("event_id"), 8), car, _le(F.col("vehicle_type"), 1), F.lit("00" * 8), _le(bits, 4), _le(F.col("lane"), 1), _le(F.col("mileage"), 4), F.lit("00"), _le(-F.col("direction"), 1))
+    hexed = o.select(F.concat(_le(F.col("frame"), 4), ip, _le(F.col("ms"), 8), _le(F.lit(1), 4), record).alias("hex"))
+    p, _ = decode.decode_fibre_hex(arrived(hexed, "fibre"))
     return p.select(F.col("SN").alias("sn"), F.col("DEVICEIP").alias("ip"), F.col("TIME").alias("time"), F.col("ID").alias("id"), F.col("Carnumber").alias("car"), F.col("Type").alias("type"), F.col("Tpointno").alias("point"), F.col("Wayno").alias("lane"), F.col("Direct").alias("direct"), F.col("Speed").alias("speed"))
 
 
@@ -652,14 +656,15 @@ def decode_fibre(spark, sf_dir):
 def decode_e1(spark, sf_dir):
     """Big-endian lidar packets with one participant each, written with their check byte and decoded."""
     o = observations(spark, sf_dir).where("event_id < 65536")
-    deg = lambda c: _be(F.round(F.col(c) * 1e7).cast("long"), 6)
+    deg = lambda c: _be(F.round(F.col(c) * 1e7).cast("long"), 4)
     body = F.concat(
-        _be(F.col("device"), 2), F.lit("0000"), _be(F.col("frame"), 6), _be(F.floor(F.col("ms") / 1000), 6), _be(F.lit(500_000), 6), deg("longitude"), deg("latitude"), F.lit("0000"), F.lit("01"), F.lit("00" * 5),
-        _be(F.col("event_id"), 2), F.lit("00" * 6), deg("longitude"), deg("latitude"), F.lit("0000"), _be(F.col("lane"), 2), F.lit("00" * 16), F.lit("00" * 80), F.lit("00" * 8), F.lit("00" * 28),
+        _be(F.col("device"), 2), F.lit("0000"), _be(F.col("frame"), 4), _be(F.floor(F.col("ms") / 1000), 4), _be(F.lit(500_000), 4), deg("longitude"), deg("latitude"), F.lit("0000"), F.lit("01"), F.lit("00" * 5),
+        _be(F.col("event_id"), 2), F.lit("00" * 6), deg("longitude"), deg("latitude"), F.lit("0000"), _be(F.col("lane"), 2), F.lit("00" * 16), F.lit("00" * 72), F.lit("00" * 8), F.lit("00" * 28),
     )
     packet = F.concat(F.lit("07E10300"), _be(F.length(body) / 2, 2), body)
     check = F.aggregate(F.sequence(F.lit(1), (F.length(packet) / 2).cast("int")), F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.conv(F.substring(packet, k * 2 - 1, F.lit(2)), 16, 10).cast("long")))
-    p, _ = decode.decode_e1(o.select("device", F.unhex(F.concat(F.lit("FFFF"), packet, _be(check, 1), F.lit("FF"))).alias("packet")))
+    sent = o.select("device", F.unhex(F.concat(F.lit("FFFF"), packet, _be(check, 1), F.lit("FF"))).alias("packet"))
+    p, _ = decode.decode_e1(arrived(sent, "packets"))
     return p.select(F.col("id").alias("id16"), F.col("device").cast("long"), "longitude", "latitude", "speed", F.col("timestampMs").alias("time"))
 
 
@@ -684,7 +689,7 @@ def points_text(spark, sf_dir):
     return decode.parse_point_list(lists).groupBy("vehicle_id").agg(F.count("*").alias("points"), F.round(F.sum("longitude"), 3).alias("longitude"), F.sum("laneNo").alias("lanes"))
 
 
-@query(f"WITH {O} SELECT event_id::VARCHAR AS read_id, g.id::VARCHAR AS id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE lane END::BIGINT AS lane, CASE WHEN event_id % 4 = 0 THEN NULL ELSE plate END AS toll_plate, g.mileage FROM o JOIN (WITH {GANTRIES} SELECT * FROM g) g ON g.id = 1 + event_id % 2 WHERE NOT (event_id % 10 = 0 AND event_id % 4 = 0)")
+@query(f"WITH {O} SELECT event_id::VARCHAR AS read_id, g.id::VARCHAR AS id, CASE WHEN event_id % 10 = 0 THEN -1 ELSE lane END::BIGINT AS lane, CASE WHEN event_id % 4 = 0 THEN NULL ELSE plate END AS toll_plate, g.mileage FROM o JOIN (WITH {GANTRIES} SELECT * FROM g) g ON g.id = 1 + event_id % 2 WHERE NOT (event_id % 10 = 0 AND event_id % 4 = 0)")
 def decode_gantry(spark, sf_dir):
     o = observations(spark, sf_dir)
     toll = F.when(F.col("event_id") % 4 == 0, F.array().cast("array<struct<tollPlateNumber:string,tollPlateColor:int>>")).otherwise(F.array(F.struct(F.col("plate").alias("tollPlateNumber"), F.lit(1).alias("tollPlateColor"))))
@@ -694,7 +699,7 @@ def decode_gantry(spark, sf_dir):
     )
     m = o.select(F.concat(F.lit("["), F.to_json(F.struct((1 + F.col("event_id") % 2).cast("string").alias("deviceId"), params.alias("params"))), F.lit("]")).alias("value"))
     reads, _ = decode.decode_gantry(m, gantries(spark).withColumn("id", F.col("id").cast("string")), ["1", "2"])
-    return reads.select(F.col("uploadTime").alias("read_id"), "id", F.col("headLaneCode").cast("long").alias("lane"), F.col("tollPlateNumber").alias("toll_plate"), "mileage")
+    return reads.select(F.col("uploadTime").alias("read_id"), "id", F.coalesce("headLaneCode", F.lit(-1)).cast("long").alias("lane"), F.col("tollPlateNumber").alias("toll_plate"), "mileage")
 
 
 @query(f"WITH {O} SELECT vehicle_id, count(*) AS features, min(event_id) AS first FROM o GROUP BY 1")
