@@ -785,7 +785,7 @@ def union_streams(spark, sf_dir):
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    return as_observations(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")).withColumn("ts", F.col("ts").cast("timestamp"))
+    return as_observations(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query(f"WITH {O} SELECT word AS word, count(*) AS \"count\" FROM (SELECT event_type AS word FROM o) GROUP BY 1")
