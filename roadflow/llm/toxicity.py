@@ -56,28 +56,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Model:
-    """Chooses the buckets that go with the label (chi-squared), then fits weights and factors by Adam."""
-    dim = 1 << DIM_BITS
-    sizes = np.array([len(b) for b in bags], np.int64)
-    row = np.repeat(np.arange(len(bags)), sizes)
-    bucket = np.concatenate(bags).astype(np.int64) if len(bags) else np.zeros(0, np.int64)
-    n, n1 = max(len(bags), 1), int(labels.sum())
-    a = np.bincount(bucket, labels[row].astype(float), dim) if len(bucket) else np.zeros(dim)
-    df = np.bincount(bucket, minlength=dim).astype(float)
-    expect = np.stack([df * n1 / n, df * (n - n1) / n, (n - df) * n1 / n, (n - df) * (n - n1) / n])
-    chi2 = (a - df * n1 / n) ** 2 * (1 / np.maximum(expect, 1e-9)).sum(axis=0)
-    chosen = np.flatnonzero((df >= LEAST_DOCS) & (chi2 >= LEAST_CHI2) & (n1 > 0) & (n1 < n))
-    index = np.full(dim, -1, np.int32)
-    index[chosen] = np.arange(len(chosen))
+def choose(bucket: np.ndarray, df: np.ndarray, toxic: np.ndarray, n: int, n1: int) -> np.ndarray:
+    """Table bucket -> place in the model (or -1): the buckets of LEAST_DOCS texts or more that go with the label."""
+    df, toxic = df.astype(float), toxic.astype(float)
+    index = np.full(1 << DIM_BITS, -1, np.int32)
+    if 0 < n1 < n:
+        expect = (df * n1 / n, df * (n - n1) / n, (n - df) * n1 / n, (n - df) * (n - n1) / n)
+        chi2 = (toxic - expect[0]) ** 2 * sum(1 / np.maximum(x, 1e-9) for x in expect)
+        chosen = np.sort(bucket[(df >= LEAST_DOCS) & (chi2 >= LEAST_CHI2)])
+        index[chosen] = np.arange(len(chosen))
+    return index
+
+
+def fit(kept: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, index: np.ndarray) -> Model:
+    """Weights and factors by Adam, from the places (of ``index``) of each text's terms."""
+    m = int(index.max()) + 1
     prior = float((weights * labels).sum() / max(weights.sum(), 1e-9))
     bias = float(np.log((prior + 1e-4) / (1 - prior + 1e-4)))
-    if not len(chosen):
+    if not m:
         return Model(index, bias, np.zeros(1), np.zeros((1, FACTORS)))
-    at = index[bucket]
-    keep = at >= 0
-    row, at = row[keep], at[keep].astype(np.int64)
-    m, rows = len(chosen), len(bags)
+    row = np.repeat(np.arange(len(kept)), [len(x) for x in kept])
+    at = np.concatenate(kept).astype(np.int64)
+    rows = len(kept)
     rng = np.random.default_rng(7)
     params = {"b": np.array([bias]), "w": np.zeros(m), "v": rng.normal(0, 0.02, (m, FACTORS))}
     first = {k: np.zeros_like(p) for k, p in params.items()}
@@ -103,23 +103,35 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Mode
     return Model(index, float(params["b"][0]), params["w"], params["v"])
 
 
-def _bags(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def bags(texts: list[str | None]) -> list[np.ndarray]:
+    """Distinct buckets of each text's terms."""
+    row, bucket = terms(Block(texts))
+    key = np.unique((row << DIM_BITS) + bucket)
+    cut = np.searchsorted(key, np.arange(len(texts) + 1) << DIM_BITS)
+    at = (key & (1 << DIM_BITS) - 1).astype(np.int32)
+    return [at[p:q] for p, q in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts and toxic texts with each bucket, by block; bucket -1 counts all."""
     for pdf in frames:
-        texts = pdf["text"].tolist()
+        texts, label = pdf["text"].tolist(), pdf["toxic"].to_numpy(bool)
         for i, j in blocks(texts):
-            row, bucket = terms(Block(texts[i:j]))
-            key = np.unique((row << DIM_BITS) + bucket)
-            cut = np.searchsorted(key, np.arange(j - i + 1) << DIM_BITS)
-            at = (key & (1 << DIM_BITS) - 1).astype(np.int32)
-            part = pdf.iloc[i:j]
-            yield pd.DataFrame({"doc_id": part["doc_id"].values, "toxic": part["toxic"].values, "bag": [at[p:q] for p, q in zip(cut[:-1], cut[1:], strict=True)]})
+            found = bags(texts[i:j])
+            bucket, at = np.unique(np.concatenate(found), return_inverse=True)
+            toxic = np.repeat(label[i:j], [len(x) for x in found])
+            yield pd.DataFrame({
+                "bucket": np.append(bucket, -1).astype(np.int32), "df": np.append(np.bincount(at, minlength=len(bucket)), j - i),
+                "toxic": np.append(np.bincount(at[toxic], minlength=len(bucket)), label[i:j].sum()),
+            })
 
 
 def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN) -> Model:
     """A model from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``.
 
     The fit reads a sample of bounded size (``most_toxic`` and ``most_clean`` rows, give or take the sampling), drawn
-    by a hash of the id, and only the hashed terms of those rows come to the driver. Rows without label are left out;
+    by a hash of the id. Its terms are counted on the executors; the counts of frequent buckets (of which there are
+    2^20 at most) and the chosen terms of the sample's rows come to the driver. Rows without label are left out;
     of several labels of a document the largest counts. Without labels of both kinds the model has a bias only.
     """
     y = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -127,11 +139,25 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most
     keep = {c: min(1.0, most / max(counts.get(c, 0), 1)) for c, most in ((1, most_toxic), (0, most_clean))}
     u = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) / float(1 << 20)
     y = y.where(u < F.when(F.col("toxic") == 1, keep[1]).otherwise(keep[0]))
-    sample = docs.select("doc_id", "text").join(y, "doc_id")
-    bags = sample.mapInPandas(_bags, "doc_id long, toxic int, bag array<int>").toPandas().sort_values("doc_id")
-    label = bags["toxic"].to_numpy(np.int64)
+    sample = docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")  # as bounded as the sample
+    counts = sample.mapInPandas(_counts, "bucket int, df long, toxic long").groupBy("bucket").agg(F.sum("df").alias("df"), F.sum("toxic").alias("toxic"))
+    c = counts.where((F.col("df") >= LEAST_DOCS) | (F.col("bucket") < 0)).toPandas()
+    all_, c = c[c["bucket"] < 0], c[c["bucket"] >= 0]
+    index = choose(c["bucket"].to_numpy(), c["df"].to_numpy(), c["toxic"].to_numpy(), int(all_["df"].sum()), int(all_["toxic"].sum()))
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def chosen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            texts = pdf["text"].tolist()
+            for i, j in blocks(texts):
+                part = pdf.iloc[i:j]
+                at = [shared.value[b] for b in bags(texts[i:j])]
+                yield pd.DataFrame({"doc_id": part["doc_id"].values, "toxic": part["toxic"].values, "kept": [x[x >= 0] for x in at]})
+
+    rows = sample.mapInPandas(chosen, "doc_id long, toxic int, kept array<int>").toPandas().sort_values("doc_id")
+    label = rows["toxic"].to_numpy(np.int64)
     weight = np.where(label == 1, 1 / keep[1], 1 / keep[0])
-    return fit([np.asarray(b, np.int32) for b in bags["bag"]], label, weight)
+    return fit([np.asarray(b, np.int32) for b in rows["kept"]], label, weight, index)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

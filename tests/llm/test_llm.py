@@ -119,9 +119,10 @@ def test_toxicity_learns_pairs():
         a, b = rng.random() < 0.5, rng.random() < 0.5
         texts.append(" ".join(rng.sample(["red", "green", "blue", "white"], 2) + ["insultword"] * a + ["groupname"] * b))
         labels.append(int(a and b))
-    row, bucket = toxicity.terms(textvec.Block(texts))
-    bags = [np.unique(bucket[row == i]) for i in range(len(texts))]
-    model = toxicity.fit(bags, np.array(labels), np.ones(len(texts)))
+    bags, label = toxicity.bags(texts), np.array(labels)
+    df, toxic = (np.bincount(np.concatenate([b for b, y in zip(bags, labels, strict=True) if y >= least]), minlength=1 << toxicity.DIM_BITS) for least in (0, 1))
+    index = toxicity.choose(np.arange(len(df)), df, toxic, len(texts), int(label.sum()))
+    model = toxicity.fit([index[b][index[b] >= 0] for b in bags], label, np.ones(len(texts)), index)
     p = model.scores(*toxicity.terms(textvec.Block(["red insultword", "blue groupname", "red insultword groupname", ""])), 4)
     assert p[2] > 0.5 > max(p[0], p[1], p[3])
 
