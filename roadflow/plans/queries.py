@@ -826,5 +826,5 @@ def stream_completion(spark, sf_dir):
     path = sinks.work_path(spark, "frames")
     sinks.put(framed(observations(spark, sf_dir)), path)
     schema = spark.read.parquet(path).schema
-    rows = jobs.run_to_table(jobs.completed(spark.readStream.schema(schema).parquet(path), max_gap=12), sinks.work_path(spark, "completed"))
+    rows = jobs.run_to_table(jobs.completed(spark.readStream.schema(schema).parquet(path), max_gap=12, keep_ms=None), sinks.work_path(spark, "completed"))
     return rows.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"))

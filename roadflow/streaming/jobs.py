@@ -90,13 +90,13 @@ def section_changes(observations: DataFrame) -> DataFrame:
 
 class Completion(StatefulProcessor):
     """Dead reckoning by vehicle: when it appears again after missing frames, the predicted points between are emitted.
-    The state is the last point and the last speeds; it expires after ``keep_ms`` of processing time."""
+    The state is the last point and the last speeds; with ``keep_ms`` it expires after so much processing time."""
 
-    def __init__(self, interval_ms: int, max_gap: int, low: int, high: int, window: int, keep_ms: int):
+    def __init__(self, interval_ms: int, max_gap: int, low: int, high: int, window: int, keep_ms: int | None):
         self.interval, self.max_gap, self.low, self.high, self.window, self.keep_ms = interval_ms, max_gap, low, high, window, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "frame long, mileage long, direction int, speeds array<double>", ttlDurationMs=self.keep_ms)
+        self.state = handle.getValueState("state", "frame long, mileage long, direction int, speeds array<double>", **({"ttlDurationMs": self.keep_ms} if self.keep_ms else {}))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values("frame")
@@ -125,9 +125,9 @@ class Completion(StatefulProcessor):
         pass
 
 
-def completed(points: DataFrame, interval_ms: int = 200, max_gap: int = 3000, low: int = 1016020, high: int = 1173790, window: int = 20, keep_ms: int = 600_000) -> DataFrame:
+def completed(points: DataFrame, interval_ms: int = 200, max_gap: int = 3000, low: int = 1016020, high: int = 1173790, window: int = 20, keep_ms: int | None = 600_000) -> DataFrame:
     return points.select("vehicle_id", "frame", "mileage", "direction", "speed").groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=Completion(interval_ms, max_gap, low, high, window, keep_ms), outputStructType="vehicle_id long, frame long, mileage long, speed double", outputMode="Append", timeMode="ProcessingTime"
+        statefulProcessor=Completion(interval_ms, max_gap, low, high, window, keep_ms), outputStructType="vehicle_id long, frame long, mileage long, speed double", outputMode="Append", timeMode="ProcessingTime" if keep_ms else "None"
     )
 
 
