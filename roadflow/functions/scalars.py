@@ -75,8 +75,8 @@ def bearing(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
 def segment_angle(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Angle in degrees between two vectors; null if one has no length."""
     length = F.sqrt(x1 * x1 + y1 * y1) * F.sqrt(x2 * x2 + y2 * y2)
-    cosine = (x1 * x2 + y1 * y2) / F.when(length > 0, length)
-    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+    cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (x1 * x2 + y1 * y2) / F.nullif(length, F.lit(0.0))))
+    return F.when(length > 0, F.degrees(F.acos(cosine)))
 
 
 def is_peak_hour(ts: Column) -> Column:
