@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import connected_components, stage, unstage
+from .shared import batches_of, connected_components, stage, unstage
 from .textvec import SPACES, U, Block, blocks, mix
 
 #: Registers; mantissa bits beside the leading-zero count of each; registers in a band (36 bands).
@@ -23,6 +24,8 @@ CORE, LOOSE, PAIR = 0.76, 0.40, 0.68
 SMALL, MORE_SLACK = 64, 0.15
 #: Documents in a block of a large canopy, and in a pack of small ones.
 BLOCK, PACK = 256, 400
+#: Rounds in which hubs take their canopies out of the buckets, before the rest is compared in blocks.
+HUB_ROUNDS = 2
 
 
 def word_shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +94,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             texts = pdf["text"].tolist()
-            for i, j in blocks(texts):
+            for i, j in blocks(texts, 1_000_000):
                 n = j - i
                 row, h = word_shingles(Block(texts[i:j]), width)
                 size = np.bincount(row, minlength=n)
@@ -125,40 +128,71 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(two, "member").join(one, "hub").mapInPandas(run, ESTIMATES)
 
 
+def _signed(rows: DataFrame) -> DataFrame:
+    """``key, c``: buckets of ``key, rep`` with more than one member, one of those with equal membership."""
+    groups = rows.groupBy("key").agg(F.count("*").alias("c"), F.min("rep").alias("low"), F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x2"))
+    return groups.where("c > 1").groupBy("c", "low", "x1", "x2").agg(F.min("key").alias("key")).select("key", "c")
+
+
+def _dealt(rows: DataFrame, group: str, member: str, total: int, pack: int) -> DataFrame:
+    """``group, member, block, pack, i, j, large`` of ``group, member, c``: groups of up to BLOCK members go together into
+    packs of about ``pack`` rows; a larger one is cut into blocks by hash, and each pair of blocks is a cell."""
+    width = F.ceil(F.col("c") / F.lit(BLOCK)).cast("int")
+    r = rows.withColumn("block", F.pmod(F.xxhash64(member), width).cast("int"))
+    r = r.select(group, member, "block", (width > 1).alias("large"), F.explode(F.transform(
+        F.sequence(F.lit(0), width - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j"))
+    )).alias("cell"))
+    place = F.when(F.col("large"), F.xxhash64(group)).otherwise(F.pmod(F.xxhash64(group), F.lit(max(1, total // pack))))
+    return r.select(group, member, "block", place.alias("pack"), "cell.i", "cell.j", "large")
+
+
 def _canopies(reps: DataFrame) -> DataFrame:
-    """``hub, member, likely`` and more: every pair of classes that share a band and have an estimate of PAIR or more
-    is among the members of one hub.
+    """``hub, member, likely``: every pair of classes that share a band and have an estimate of PAIR or more is among
+    the members of one hub, or a hub and its member.
 
     In each bucket the smallest class is the hub. Members near it (CORE) have all their partners of the bucket in its
-    canopy and leave the bucket; the others stay with the next hub, until buckets have one member. Buckets of equal
-    membership are one. No bucket is gathered: hubs are partial aggregates, members are joined to them.
+    canopy and leave the bucket; a second round does the same with what is left. The remaining members are compared with
+    each other by registers, in blocks of bounded size. Buckets of equal membership are one. No bucket is gathered.
     """
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("regs", i * 2 * ROWS + 1, F.lit(2 * ROWS)))))
     rows = reps.select("rep", band.alias("key"))
-    groups = rows.groupBy("key").agg(F.count("*").alias("c"), F.min("rep").alias("low"), F.bit_xor(F.xxhash64("rep")).alias("sum"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("sum2"))
-    keys = groups.where("c > 1").groupBy("c", "low", "sum", "sum2").agg(F.min("key").alias("key")).select("key")
-    left = stage(rows.join(keys, "key"), "buckets")
-    found: DataFrame | None = None
-    while not left.isEmpty():
+    left = stage(rows.join(_signed(rows).select("key"), "key"), "buckets")
+    found: list[DataFrame] = []
+    for _ in range(HUB_ROUNDS):
         hubs = left.groupBy("key").agg(F.min("rep").alias("hub"))
         placed = left.join(hubs, "key").where("rep <> hub").select("key", "hub", F.col("rep").alias("member"))
         pairs = placed.select("hub", "member").distinct()
-        if found is not None:
-            pairs = pairs.join(found.select("hub", "member"), ["hub", "member"], "left_anti")
-        seen = stage(_estimated(pairs, reps), "estimates")
-        merged = seen if found is None else stage(found.unionByName(seen), "estimates")
-        if found is not None:
-            unstage(found, seen)
-        found = merged
-        far = found.where("NOT core").select("hub", "member")
+        for f in found:
+            pairs = pairs.join(f.select("hub", "member"), ["hub", "member"], "left_anti")
+        found.append(stage(_estimated(pairs, reps), "estimates"))
+        far = functools.reduce(DataFrame.unionByName, found).where("NOT core").select("hub", "member")
         rest = placed.join(far, ["hub", "member"], "left_semi").select("key", F.col("member").alias("rep"))
-        many = rest.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-        nxt = stage(rest.join(many, "key"), "buckets")
+        nxt = stage(rest.join(_signed(rest).select("key"), "key"), "buckets")
         unstage(left)
         left = nxt
-    if found is None:
-        return reps.sparkSession.createDataFrame([], ESTIMATES)
-    return found.where("loose")
+    sized = stage(left.join(_signed(left), "key"), "rest")
+    cells = _dealt(sized, "key", "rep", sized.count(), 5 * PACK)
+    close = cells.join(reps.select("rep", "n", "regs"), "rep").groupBy("pack", "i", "j", "large").applyInPandas(_close, "hub long, member long").distinct()
+    every = functools.reduce(DataFrame.unionByName, found).where("loose").select("hub", "member", "likely")
+    return every.unionByName(close.withColumn("likely", F.lit(True)))
+
+
+def _close(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pairs with an estimate of PAIR or more within each bucket (between its two blocks, if it has two)."""
+    ids, n, side = pdf["rep"].to_numpy(), pdf["n"].to_numpy(float), pdf["block"].to_numpy()
+    regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, REGISTERS)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for where in pdf.groupby("key").indices.values():
+        split = len(set(side[where])) > 1
+        for k, i in enumerate(where):
+            others = where[k + 1 :]
+            if split:
+                others = others[side[others] != side[i]]
+            est = jaccard(regs[i], regs[others], n[i], n[others]) + np.where(np.minimum(n[i], n[others]) < SMALL, MORE_SLACK, 0.0)
+            others = others[est >= PAIR]
+            a.append(np.minimum(ids[i], ids[others]))
+            b.append(np.maximum(ids[i], ids[others]))
+    return pd.DataFrame({"hub": np.concatenate(a), "member": np.concatenate(b)})
 
 
 def _forest(pdf: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
@@ -215,7 +249,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     columns aren't read.
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = stage(signatures(given, width), "signatures")
+    with batches_of(docs.sparkSession, 2000):
+        sig = stage(signatures(given, width), "signatures")
     reps = stage(
         sig.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.min_by("regs", "doc_id").alias("regs")),
         "classes",
@@ -223,17 +258,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     found = stage(_canopies(reps), "canopies")
     # A hub with one member needs a likely pair; of more members any two may be one.
     sizes = found.groupBy("hub").agg(F.count("*").alias("c"), F.max("likely").alias("likely")).where("likely OR c > 1")
-    members = found.select("hub", "member").join(sizes.select("hub", "c"), "hub").union(sizes.select("hub", F.col("hub").alias("member"), "c"))
+    sizes = sizes.select("hub", (F.col("c") + 1).alias("c"))
+    members = found.select("hub", "member").join(sizes, "hub").unionByName(sizes.withColumn("member", F.col("hub")))
     members = stage(members, "members")
     total = members.count()
-    width_of = F.ceil((F.col("c") + 1) / F.lit(BLOCK)).cast("int")
-    mine = F.pmod(F.xxhash64("member"), width_of).cast("int")
-    cells = members.withColumn("block", mine).select(
-        "hub", "member", "block",
-        F.explode(F.transform(F.sequence(F.lit(0), width_of - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j"), (width_of > 1).alias("large")))).alias("cell"),
-    )
-    pack = F.when(F.col("cell.large"), F.xxhash64("hub")).otherwise(F.pmod(F.xxhash64("hub"), F.lit(max(1, total // PACK))))
-    cells = cells.select("hub", "member", "block", pack.alias("pack"), F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), F.col("cell.large").alias("large"))
+    cells = _dealt(members, "hub", "member", total, PACK)
     texts = given.where("doc_id IS NOT NULL").join(members.select(F.col("member").alias("doc_id")).distinct(), "doc_id", "left_semi")
     links = (
         cells.join(texts.select(F.col("doc_id").alias("member"), "text"), "member")
