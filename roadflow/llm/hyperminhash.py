@@ -26,6 +26,8 @@ SMALL, MORE_SLACK = 64, 0.15
 BLOCK, PACK = 256, 400
 #: Rounds in which hubs take their canopies out of the buckets, before the rest is compared in blocks.
 HUB_ROUNDS = 2
+#: Bits of the map that tells which texts may be needed (2 MB).
+BITMAP = 1 << 24
 
 
 def word_shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -234,6 +236,17 @@ def _forest(pdf: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
 
+def _maybe_in(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key may be wanted, found without shuffling them: the wanted keys set bits of a map of BITMAP bits, which
+    has a fixed size (a row for each 32768 bits) and so can be broadcast. A semi-join must follow; a full map keeps all."""
+    slot = F.pmod(F.xxhash64(key), F.lit(BITMAP))
+    bits = wanted.groupBy(F.bitmap_bucket_number(slot).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1
+    return rows.withColumn("_part", F.bitmap_bucket_number(slot)).join(F.broadcast(bits), "_part").where(hit).select(rows.columns)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: documents are linked where 100 * intersection >= percent * union of
     their sets of ``width``-word shingles (A-Z lowered).
@@ -263,7 +276,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     members = stage(members, "members")
     total = members.count()
     cells = _dealt(members, "hub", "member", total, PACK)
-    texts = given.where("doc_id IS NOT NULL").join(members.select(F.col("member").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = _maybe_in(given.where("doc_id IS NOT NULL"), "doc_id", members.select(F.col("member").alias("doc_id"))).join(members.select(F.col("member").alias("doc_id")).distinct(), "doc_id", "left_semi")
     links = (
         cells.join(texts.select(F.col("doc_id").alias("member"), "text"), "member")
         .groupBy("pack", "i", "j", "large")
