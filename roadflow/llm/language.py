@@ -211,9 +211,12 @@ def train(docs: DataFrame, most_docs: int = MOST_DOCS) -> Model:
     runs of ``RUN_WORDS`` words spread over its text; only those runs come to the driver.
     """
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = known.groupBy("lang").count()
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row for each language
+    if not counts:
+        return fit([], [], [])
+    part = F.create_map(*[F.lit(v) for c, n in counts.items() for v in (c, min(1.0, most_docs / n))])
     u = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) / float(1 << 20)
-    sample = known.join(counts, "lang").where(u < F.lit(float(most_docs)) / F.col("count"))
+    sample = known.where(u < F.element_at(part, F.col("lang")))
     runs = sample.select("doc_id", "text", "lang").mapInPandas(_runs, "doc_id long, lang string, at int, run string").toPandas()
     runs = runs.sort_values(["doc_id", "at"])
     return fit(runs["run"].tolist(), runs["lang"].tolist(), runs["doc_id"].tolist())
