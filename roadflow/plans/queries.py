@@ -654,12 +654,12 @@ def decode_fibre(spark, sf_dir):
 
 @query(f"WITH {O} SELECT event_id AS id16, device, round(longitude, 7) AS longitude, round(latitude, 7) AS latitude, lane::BIGINT AS speed, ms - ms % 1000 + 500 AS time FROM (SELECT *, event_id % 65536 AS e FROM o) o WHERE event_id < 65536")
 def decode_e1(spark, sf_dir):
-    """Big-endian lidar packets with one participant each, written with their check byte and decoded."""
-    o = observations(spark, sf_dir).where("event_id < 65536")
+    """Big-endian lidar packets with one participant each, written with their check byte and decoded; ids are 16 bits of the event's."""
+    o = observations(spark, sf_dir)
     deg = lambda c: _be(F.round(F.col(c) * 1e7).cast("long"), 4)
     body = F.concat(
         _be(F.col("device"), 2), F.lit("0000"), _be(F.col("frame"), 4), _be(F.floor(F.col("ms") / 1000), 4), _be(F.lit(500_000), 4), deg("longitude"), deg("latitude"), F.lit("0000"), F.lit("01"), F.lit("00" * 5),
-        _be(F.col("event_id"), 2), F.lit("00" * 6), deg("longitude"), deg("latitude"), F.lit("0000"), _be(F.col("lane"), 2), F.lit("00" * 16), F.lit("00" * 72), F.lit("00" * 8), F.lit("00" * 28),
+        _be(F.col("event_id") % 65536, 2), F.lit("00" * 6), deg("longitude"), deg("latitude"), F.lit("0000"), _be(F.col("lane"), 2), F.lit("00" * 16), F.lit("00" * 72), F.lit("00" * 8), F.lit("00" * 28),
     )
     packet = F.concat(F.lit("07E10300"), _be(F.length(body) / 2, 2), body)
     check = F.aggregate(F.sequence(F.lit(1), (F.length(packet) / 2).cast("int")), F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.conv(F.substring(packet, k * 2 - 1, F.lit(2)), 16, 10).cast("long")))

@@ -124,3 +124,14 @@ def test_fan_out(spark):
     seen = []
     sinks.fan_out(lambda b, n: seen.append(("a", b.count())), lambda b, n: seen.append(("b", b.count())))(spark.range(3), 0)
     assert seen == [("a", 3), ("b", 3)]
+
+
+def test_e1_takes_all_events(spark, sf_dir, tmp_path):
+    """Ids of more than 16 bits are encoded and decoded too."""
+    from roadflow.plans import queries as plans
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").orderBy("event_id").limit(6)
+    events.withColumn("event_id", F.lit(65533) + F.col("event_id") - events.agg(F.min("event_id")).head()[0]).write.parquet(f"{tmp_path}/events.parquet")
+    n = spark.read.parquet(f"{tmp_path}/events.parquet").select("event_id").collect()
+    got = plans.QUERIES["decode_e1"](spark, str(tmp_path)).collect()
+    assert sorted(r.id16 for r in got) == sorted(r.event_id % 65536 for r in n) and max(r.event_id for r in n) >= 65536
