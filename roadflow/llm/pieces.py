@@ -73,8 +73,9 @@ def suffix_array(codes: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.nda
     return order, [k[order] for k in keys]
 
 
-def _search(keys: list[np.ndarray], wanted: list[np.ndarray]) -> np.ndarray:
-    """First place in the sorted keys that isn't below each wanted key, all by one binary search side by side."""
+def _search(keys: list[np.ndarray], wanted: list[np.ndarray], after: bool = False) -> np.ndarray:
+    """First place in the sorted keys that isn't below each wanted key, or that is above it, all by one binary search
+    side by side."""
     n, m = len(keys[0]), len(wanted[0])
     low, high = np.zeros(m, np.int64), np.full(m, n, np.int64)
     while (low < high).any():
@@ -85,6 +86,8 @@ def _search(keys: list[np.ndarray], wanted: list[np.ndarray]) -> np.ndarray:
             v = k[at]
             below |= tied & (v < w)
             tied &= v == w
+        if after:
+            below |= tied
         open_ = low < high
         low = np.where(open_ & below, mid + 1, low)
         high = np.where(open_ & ~below, mid, high)
@@ -126,7 +129,8 @@ def edges(text: np.ndarray, vocab: Vocabulary) -> np.ndarray:
             out.append(key)
         return out
 
-    first, last = _search(keys, packed(spelled)), _search(keys, packed(beyond))
+    # A piece of full depth may have no padding: then both keys are the same, and its occurrences equal them.
+    first, last = _search(keys, packed(spelled)), _search(keys, packed(beyond), after=True)
     count = last - first
     which = np.repeat(np.arange(len(usable)), count)
     place = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())

@@ -304,6 +304,16 @@ def test_pieces_equal_the_library():
         assert vocab.decode(ids[cut[k] : cut[k + 1]]) == sp.decode(sp.encode(t or ""))
 
 
+def test_every_piece_equals_the_library():
+    sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=pieces.default_model())
+    vocab = pieces.Vocabulary(pieces.default_model())
+    spelled = [sp.id_to_piece(i).replace("▁", " ") for i in range(sp.get_piece_size())]
+    texts = [*spelled, *[t[1:] for t in spelled if t.startswith(" ")], *[f"x {t} y{t}" for t in spelled if len(t) >= vocab.longest - 1]]
+    ids, cut = pieces.encode(texts, vocab)
+    assert [ids[a:b].tolist() for a, b in zip(cut[:-1], cut[1:], strict=True)] == sp.encode(texts)
+    assert sp.encode("characteristics") == [15559]
+
+
 def test_pieces_round_trip(spark):
     got = pieces.tokenised(odd(spark), pieces.default_model())
     assert got.where("decoded").count() == 8
