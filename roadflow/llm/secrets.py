@@ -18,6 +18,8 @@ WINDOW = 20
 LEAST_BITS = {"hex": 3.0, "upper": 3.4, "mixed": 3.7}
 #: Candidates that are known not to be secrets.
 ALLOWED = r"^[0-9]+$|^[A-Za-z]+$|^[/_=+-]+$|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|(?i)example|placeholder|changeme|x{6}|0123456789|abcdefgh"
+#: The parts that ALLOWED knows anywhere in a candidate, and their lengths: they cut it, and what is left is judged.
+ALLOWED_PARTS = {"(?i)example": 7, "(?i)placeholder": 11, "(?i)changeme": 8, "(?i)x{6}": 6, "0123456789": 10, "(?i)abcdefgh": 8}
 SCALE = 1_000_000
 #: c * log2(c) in millionths, for c = 0 to WINDOW: whole numbers, so that sums don't depend on their order.
 COUNT_BITS = [0, *[round(c * math.log2(c) * SCALE) for c in range(1, WINDOW + 1)]]
@@ -95,12 +97,33 @@ def is_secret(candidate: Column) -> Column:
     return candidate.rlike("[0-9]") & ~candidate.rlike(ALLOWED) & (least_window(candidate) <= limit)
 
 
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces of the same length where the spans (ordered by start) and the allow-listed parts stand."""
+    walked = F.aggregate(
+        spans,
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, x: F.struct(
+            F.greatest(acc["at"], x["e"]).alias("at"),
+            F.concat(
+                acc["out"], F.substring(text, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0))),
+                F.repeat(F.lit(" "), F.greatest(x["e"] - F.greatest(x["s"], acc["at"]), F.lit(0))),
+            ).alias("out"),
+        ),
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])),
+    )
+    out = F.when(F.size(spans) > 0, walked).otherwise(text)
+    for part, n in ALLOWED_PARTS.items():
+        out = F.regexp_replace(out, part, " " * n)
+    return out
+
+
 def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with ``secret_spans``: array of (s, e, k, m), code points, end exclusive, k an index of KINDS,
     ordered by start, then kind.
 
     The base kinds match leftmost without overlap, each for itself; an assignment whose value has fewer than 8
-    characters uses its text up but isn't kept. Entropy spans are added where no base span overlaps them.
+    characters uses its text up but isn't kept. Base spans and allow-listed parts cut the candidates for entropy spans;
+    each remainder of at least 20 characters is judged by itself.
     A null text counts as empty and has no spans; all columns of the input stay (``secret_spans`` must not be
     among them). Row by row: no shuffle, so hot sources and repeated rows don't matter.
     """
@@ -110,12 +133,13 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.transform(spans_of(text, pattern), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(k).alias("k"), x["m"].alias("m")))
 
     assign = F.filter(tagged(ASSIGN, 0), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 1)) >= 8)
-    base = docs.withColumn("_base", F.concat(assign, tagged(ACCESS, 1), tagged(HEX, 2)))
+    base = docs.withColumn("_base", F.array_sort(F.concat(assign, tagged(ACCESS, 1), tagged(HEX, 2))))
+    base = base.withColumn("_left", blanked(text, F.col("_base")))
     loose = F.filter(
-        tagged(CANDIDATE, 3),
-        lambda x: ~F.exists(F.col("_base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])) & is_secret(x["m"]),
+        F.transform(spans_of(F.col("_left"), CANDIDATE), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(3).alias("k"), x["m"].alias("m"))),
+        lambda x: is_secret(x["m"]),
     )
-    return base.withColumn("secret_spans", F.array_sort(F.concat("_base", loose))).drop("_base")
+    return base.withColumn("secret_spans", F.array_sort(F.concat("_base", loose))).drop("_base", "_left")
 
 
 def spans_text(spans: Column) -> Column:
