@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,8 +18,17 @@ DIM_BITS = 18
 #: About so many documents a language are used to fit, and of each so many runs of so many words.
 MOST_DOCS, RUNS, RUN_WORDS = 800, 6, 24
 STEPS, RATE, DECAY = 40, 0.15, 1e-6
-PREFIXES, SUFFIXES, GRAMS = (1, 2, 3), (1, 2, 3, 4), 10
+PREFIXES, SUFFIXES = (1, 2, 3), (1, 2, 3, 4)
 UNKNOWN = "und"
+#: Punctuation, symbols and spaces beyond ASCII; characters of scripts that are written without spaces.
+_MARKS = re.compile("[" + "".join(re.escape(chr(c)) for c in range(0x80, 0x20000) if unicodedata.category(chr(c))[0] in "PSZ") + "]+")
+_ALONE = re.compile("[\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def spaced(text: str | None) -> str:
+    """The text in lower case, with a space for marks beyond ASCII and around each character of a script without spaces."""
+    low = (text or "").lower()
+    return low if low.isascii() else _ALONE.sub(r" \g<0> ", _MARKS.sub(" ", low))
 
 
 def word_features(block: Block, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,10 +50,11 @@ def word_features(block: Block, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarra
     for n in SUFFIXES:
         at = every[size >= n]
         add(at, e[at] - n, e[at])
-    for p in range(GRAMS):
-        at = every[size >= p + 3]
-        salt = 99  # a trigram counts alike wherever it stands
-        add(at, s[at] + p, s[at] + p + 3)
+    grams = np.maximum(size - 2, 0)
+    at = np.repeat(every, grams)
+    p = s[at] + np.arange(len(at)) - np.repeat(np.cumsum(grams) - grams, grams)
+    salt = 99  # a trigram counts alike wherever it stands
+    add(at, p, p + 3)
     return np.concatenate(words), np.concatenate(buckets).astype(np.int64)
 
 
@@ -59,7 +71,7 @@ class Model:
 
     def marginals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Row of each word, and the probability of each language there."""
-        block = Block([t.lower() if t else t for t in texts])
+        block = Block([spaced(t) for t in texts])
         s, e, row = block.words(NOT_LETTERS)
         if not len(s):
             return row, np.zeros((0, len(self.langs)))
@@ -197,7 +209,7 @@ def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in frames:
         out = []
         for doc, text, lang in zip(pdf["doc_id"], pdf["text"], pdf["lang"], strict=True):
-            words = (text or "").lower().split()
+            words = spaced(text).split()
             n = len(words)
             for i in sorted({int(i) for i in np.linspace(0, max(n - RUN_WORDS, 0), RUNS)}) if n else ():
                 out.append((doc, lang, i, " ".join(words[i : i + RUN_WORDS])))

@@ -391,6 +391,18 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in language.predict(odd(spark), nothing).collect()} == {"und"}
 
 
+def test_language_reads_whole_words(spark):
+    word = "donaudampfschifffahrtsgesellschaftskapitaen"
+    block = textvec.Block([word])
+    s, e, _ = block.words(textvec.NOT_LETTERS)
+    assert len(language.word_features(block, s, e)[0]) == 1 + len(language.PREFIXES) + len(language.SUFFIXES) + len(word) - 2
+    zh, ja = "我们的学校在城市里面很大", "わたしはがっこうへいきます"
+    model = language.train(spark.createDataFrame([(i, ja if i % 2 else zh, "ja" if i % 2 else "zh", None, 0) for i in range(40)], DOCS))
+    got = {r.doc_id: r for r in language.predict(docs(spark, [zh + ja + zh, zh + "、" + zh, "“" + ja + "”"]), model).collect()}
+    assert [got[i].n_words for i in range(3)] == [2 * len(zh) + len(ja), 2 * len(zh), len(ja)]
+    assert got[0].n_switches == 2 and got[1].lang_pred == "zh" and got[2].lang_pred == "ja"
+
+
 # 10: token ids
 
 
