@@ -54,7 +54,7 @@ def word_shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _rng = np.random.default_rng(3)
-_PROBES = _rng.integers(0, REGISTERS, (REGISTERS, 96))
+_PROBES = np.argsort(_rng.random((REGISTERS, REGISTERS)), axis=1)  # a permutation of all registers for each one
 
 
 def registers(row: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
@@ -76,9 +76,6 @@ def registers(row: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
         hit = filled[todo_row, source]
         out[todo_row[hit], todo[hit]] = out[todo_row[hit], source[hit]]
         todo_row, todo = todo_row[~hit], todo[~hit]
-    if len(todo):
-        first = filled.argmax(axis=1)
-        out[todo_row, todo] = out[todo_row, first[todo_row]]
     return out
 
 

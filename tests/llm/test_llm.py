@@ -290,6 +290,16 @@ def test_registers_estimate():
     assert (alone != hyperminhash.EMPTY).all() and len(set(alone[0].tolist())) == 1
 
 
+def test_small_sets_rarely_miss_all_bands():
+    """Sets of four and five shingles (similarity 0.8): all bands differ for about 2 in 10,000 pairs."""
+    n, rng = 4000, np.random.default_rng(5)
+    h = rng.integers(0, 1 << 64, (n, 5), np.uint64)
+    a = hyperminhash.registers(np.repeat(np.arange(n), 4), h[:, :4].ravel(), n)
+    b = hyperminhash.registers(np.repeat(np.arange(n), 5), h.ravel(), n)
+    same = (a == b)[:, : hyperminhash.BANDS * hyperminhash.ROWS].reshape(n, hyperminhash.BANDS, hyperminhash.ROWS).all(axis=2)
+    assert (~same.any(axis=1)).sum() <= 12
+
+
 def test_near_duplicate_edges(spark):
     got = hyperminhash.near_duplicates(odd(spark)).collect()
     assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id in (5, 6)) == [(5, 5), (5, 5), (6, 5)]
