@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of, connected_components, stage, unstage
+from .shared import batches_of, connected_components, split_by_keys, stage, unstage
 from .textvec import SPACES, U, Block, blocks, mix
 
 #: Registers; mantissa bits beside the leading-zero count of each; registers in a band (36 bands).
@@ -26,8 +26,6 @@ SMALL, MORE_SLACK = 64, 0.15
 BLOCK, PACK = 256, 400
 #: Rounds in which hubs take their canopies out of the buckets, before the rest is compared in blocks.
 HUB_ROUNDS = 2
-#: Bits of the map that tells which texts may be needed (2 MB).
-BITMAP = 1 << 24
 
 
 def word_shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +91,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             texts = pdf["text"].tolist()
-            for i, j in blocks(texts, 1_000_000):
+            for i, j in blocks(texts):
                 n = j - i
                 row, h = word_shingles(Block(texts[i:j]), width)
                 size = np.bincount(row, minlength=n)
@@ -155,10 +153,13 @@ def _canopies(reps: DataFrame) -> DataFrame:
     """
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("regs", i * 2 * ROWS + 1, F.lit(2 * ROWS)))))
     rows = reps.select("rep", band.alias("key"))
-    left = stage(rows.join(_signed(rows).select("key"), "key"), "buckets")
+    # What joins a bucket's rows is staged first: then adaptive execution can split a hot bucket in the join.
+    signed = stage(_signed(rows).select("key"), "keys")
+    left = stage(rows.join(signed, "key"), "buckets")
+    unstage(signed)
     found: list[DataFrame] = []
     for _ in range(HUB_ROUNDS):
-        hubs = left.groupBy("key").agg(F.min("rep").alias("hub"))
+        hubs = stage(left.groupBy("key").agg(F.min("rep").alias("hub")), "hubs")
         placed = left.join(hubs, "key").where("rep <> hub").select("key", "hub", F.col("rep").alias("member"))
         pairs = placed.select("hub", "member").distinct()
         for f in found:
@@ -166,10 +167,14 @@ def _canopies(reps: DataFrame) -> DataFrame:
         found.append(stage(_estimated(pairs, reps), "estimates"))
         far = functools.reduce(DataFrame.unionByName, found).where("NOT core").select("hub", "member")
         rest = placed.join(far, ["hub", "member"], "left_semi").select("key", F.col("member").alias("rep"))
-        nxt = stage(rest.join(_signed(rest).select("key"), "key"), "buckets")
-        unstage(left)
-        left = nxt
-    sized = stage(left.join(_signed(left), "key"), "rest")
+        rest = stage(rest, "rest")
+        unstage(left, hubs)
+        signed = stage(_signed(rest), "keys")
+        left = stage(rest.join(signed.select("key"), "key"), "buckets")
+        unstage(rest, signed)
+    signed = stage(_signed(left), "keys")
+    sized = stage(left.join(signed, "key"), "rest")
+    unstage(left, signed)
     cells = _dealt(sized, "key", "rep", sized.count(), 5 * PACK)
     close = cells.join(reps.select("rep", "n", "regs"), "rep").groupBy("pack", "i", "j", "large").applyInPandas(_close, "hub long, member long").distinct()
     every = functools.reduce(DataFrame.unionByName, found).where("loose").select("hub", "member", "likely")
@@ -194,16 +199,34 @@ def _close(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"hub": np.concatenate(a), "member": np.concatenate(b)})
 
 
-def _forest(pdf: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
-    """Links that span the components of a pack of canopies, or of a block pair of one; all candidates are compared
-    by registers, and those that aren't joined yet by their full sets."""
-    texts = pdf["text"].tolist()
+def _sets(texts: list[str], width: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Sorted shingle hashes of each text, their numbers, and the registers."""
     row, h = word_shingles(Block(texts), width)
     cut = np.searchsorted(row, np.arange(len(texts) + 1))
-    sets = [h[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-    n = np.diff(cut).astype(float)
-    regs = registers(row, h, len(texts))
-    ids, side = pdf["member"].to_numpy(), pdf["block"].to_numpy()
+    return [h[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], np.diff(cut).astype(float), registers(row, h, len(texts))
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _star(pdf: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
+    """Members of a block of a large canopy against its hub, on full sets: links, and (with b null) the members that
+    the hub doesn't link."""
+    sets, _, _ = _sets(pdf["text"].tolist(), width)
+    ids, hub = pdf["member"].to_numpy(), int(pdf["hub"].iloc[0])
+    centre = [sets[k] for k in np.flatnonzero(ids == hub)]
+    near = {int(i) for i, x in zip(ids, sets, strict=True) if i != hub and any(_linked(c, x, percent) for c in centre)}
+    far = [int(i) for i in set(ids.tolist()) - near - {hub}]
+    return pd.DataFrame({"hub": hub, "a": [hub] * len(near) + far, "b": pd.array([*near, *[None] * len(far)], "Int64")})
+
+
+def _forest(pdf: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
+    """Links that span the components of a pack of small canopies, or between the two sides of a cell of a large one;
+    all candidates are compared by registers, and those that aren't joined yet by their full sets."""
+    sets, n, regs = _sets(pdf["text"].tolist(), width)
+    ids, side = pdf["member"].to_numpy(), pdf["side"].to_numpy()
     out = []
     for where in pdf.groupby("hub").indices.values():
         parent = {i: i for i in where}
@@ -214,34 +237,54 @@ def _forest(pdf: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
                 i = parent[i]
             return i
 
-        split = len(set(side[where])) > 1
+        split = side[where[0]] >= 0
         for k, i in enumerate(where):
-            others = where[k + 1 :]
-            if split:
-                others = others[side[others] != side[i]]
+            if split and side[i]:
+                continue
+            others = where[(side[where] == 1) & (ids[where] != ids[i])] if split else where[k + 1 :]
             if not len(others):
                 continue
             small, large = np.minimum(n[i], n[others]), np.maximum(n[i], n[others])
             others = others[(100 * small >= percent * large) & ((jaccard(regs[i], regs[others], n[i], n[others]) >= PAIR) | (small < SMALL))]
             for j in others:
                 a, b = root(i), root(j)
-                if a != b:
-                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                        parent[max(a, b)] = min(a, b)
-                        out.append((ids[i], ids[j]))
+                if a != b and _linked(sets[i], sets[j], percent):
+                    parent[max(a, b)] = min(a, b)
+                    out.append((ids[i], ids[j]))
     return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
 
-def _maybe_in(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose key may be wanted, found without shuffling them: the wanted keys set bits of a map of BITMAP bits, which
-    has a fixed size (a row for each 32768 bits) and so can be broadcast. A semi-join must follow; a full map keeps all."""
-    slot = F.pmod(F.xxhash64(key), F.lit(BITMAP))
-    bits = wanted.groupBy(F.bitmap_bucket_number(slot).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
-    at = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1
-    return rows.withColumn("_part", F.bitmap_bucket_number(slot)).join(F.broadcast(bits), "_part").where(hit).select(rows.columns)
+def _links(members: DataFrame, given: DataFrame, width: int, percent: int) -> DataFrame:
+    """Staged ``a, b``: links that span the components within the canopies ``hub, member, c`` (the hub is a member too).
+
+    Small canopies go together into packs. The members of a large one are first compared with their hub, block by block,
+    which is linear; only members that the hub doesn't link meet all others, in cells of two blocks."""
+    texts, _ = split_by_keys(given, "doc_id", members.select(F.col("member").alias("doc_id")))
+    texts = texts.select(F.col("doc_id").alias("member"), "text")
+    small = members.where(F.col("c") <= BLOCK)
+    pack = F.pmod(F.xxhash64("hub"), F.lit(max(1, small.count() // PACK)))
+    packs = small.select("hub", "member", F.lit(-1).alias("side"), pack.alias("pack")).join(texts, "member")
+    links = stage(packs.groupBy("pack").applyInPandas(lambda pdf: _forest(pdf, width, percent), "a long, b long"), "links")
+    large = members.where(F.col("c") > BLOCK)
+    if large.isEmpty():
+        return links
+    blocks_of = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
+    place = lambda c: F.pmod(F.xxhash64("member"), blocks_of(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), blocks_of(c) - 1))
+    stars = large.where("hub <> member").select("hub", "member", place("c").alias("block")).unionByName(
+        large.where("hub = member").select("hub", "member", every("c").alias("block"))
+    )
+    star = stage(stars.join(texts, "member").groupBy("hub", "block").applyInPandas(lambda pdf: _star(pdf, width, percent), "hub long, a long, b long"), "stars")
+    links = links.unionByName(star.where("b IS NOT NULL").select("a", "b"))
+    far = star.where("b IS NULL").select("hub", F.col("a").alias("member"))
+    if far.isEmpty():
+        return links
+    sizes = stage(far.groupBy("hub").agg(F.count("*").alias("u")).join(large.where("hub = member").select("hub", "c"), "hub"), "sizes")
+    cells = far.join(sizes, "hub").select("hub", "member", F.lit(0).alias("side"), place("u").alias("i"), every("c").alias("j")).unionByName(
+        large.join(sizes.select("hub", "u"), "hub").select("hub", "member", F.lit(1).alias("side"), every("u").alias("i"), place("c").alias("j"))
+    )
+    cross = cells.join(texts, "member").groupBy("hub", "i", "j").applyInPandas(lambda pdf: _forest(pdf, width, percent), "a long, b long")
+    return links.unionByName(stage(cross, "cross"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,12 +295,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     canopies, and in each canopy every pair that the corrected estimate doesn't rule out is compared on full sets,
     unless it is joined already. Links become components. Canopies are dealt in blocks of bounded size, so hot groups
     spread over many tasks; nothing is capped. A pair of similarity 0.8 misses all bands with probability 0.0002.
-    ``percent`` may be 80 or more.
+    ``percent`` must be 80 or more (the bounds of hubs and bands hold for that), else a ValueError.
 
     Null and blank texts have an empty set and link with nothing; rows with a null id share a class but give no id to
     it (alone, their component is null); repeated rows share their component. Empty tables give no rows; further
     columns aren't read.
     """
+    if percent < 80:
+        raise ValueError("percent must be 80 or more")
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     with batches_of(docs.sparkSession, 2000):
         sig = stage(signatures(given, width), "signatures")
@@ -268,24 +313,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     found = stage(_canopies(reps), "canopies")
     # A hub with one member needs a likely pair; of more members any two may be one.
     sizes = found.groupBy("hub").agg(F.count("*").alias("c"), F.max("likely").alias("likely")).where("likely OR c > 1")
-    sizes = sizes.select("hub", (F.col("c") + 1).alias("c"))
-    members = found.select("hub", "member").join(sizes, "hub").unionByName(sizes.withColumn("member", F.col("hub")))
-    members = stage(members, "members")
-    total = members.count()
-    cells = _dealt(members, "hub", "member", total, PACK)
-    texts = _maybe_in(given.where("doc_id IS NOT NULL"), "doc_id", members.select(F.col("member").alias("doc_id"))).join(members.select(F.col("member").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    links = (
-        cells.join(texts.select(F.col("doc_id").alias("member"), "text"), "member")
-        .groupBy("pack", "i", "j", "large")
-        .applyInPandas(lambda pdf: _forest(pdf, width, percent), "a long, b long")
-    )
-    links = stage(links, "links")
+    sizes = stage(sizes.select("hub", (F.col("c") + 1).alias("c")), "sizes")  # staged: a hot hub's rows can then be split in the join
+    members = stage(found.select("hub", "member").join(sizes, "hub").unionByName(sizes.withColumn("member", F.col("hub"))), "members")
+    links = _links(members, given, width, percent)
     parts = connected_components(links)
     classes = reps.select("n", "d1", "d2", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("component")
     )
     classes = stage(classes, "classes")
-    unstage(found, members, links)
+    unstage(found, sizes, members)
     joined = sig.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )

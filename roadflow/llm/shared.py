@@ -12,14 +12,32 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one."""
+    """The folder of ``spark.checkpoint.dir``. Where that is unset, a temporary one on a single machine (master ``local``);
+    on a cluster an error, as executors and driver must share the folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` less the columns of these names, in any case of letters: an operator's own columns replace them."""
+    gone = {n.lower() for n in names}
+    kept = [c for c in df.columns if c.lower() not in gone]
+    return df if len(kept) == len(df.columns) else df.select(*[F.col(f"`{c}`") for c in kept])
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage and survives a lost executor."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
@@ -51,6 +69,26 @@ def unstage(*tables: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Bits of the map that tells which keys may be wanted (2 MB).
+BITMAP = 1 << 24
+
+
+def split_by_keys(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be among ``wanted`` (one column of that name), and those whose key surely isn't; nothing is
+    shuffled by it. The wanted keys set bits of a map of BITMAP bits, which has a fixed size (a row for each 32768
+    bits) and so can be broadcast; a full map puts all rows on the first side. Rows with a null key are on the second."""
+    slot = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BITMAP))
+    bits = wanted.where(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(slot).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
+    part, map_ = fresh(rows, "_part"), fresh(rows, "_bits")
+    bits = stage(bits.select(F.col("_part").alias(part), F.col("_bits").alias(map_)), "bits")
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(map_, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1, F.lit(False)) & F.col(key).isNotNull()
+    seen = rows.withColumn(part, F.bitmap_bucket_number(slot)).join(F.broadcast(bits), part, "left")
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    return seen.where(hit).select(columns), seen.where(~hit).select(columns)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges(a, b)`` that is not the smallest of its component.
 

@@ -32,15 +32,20 @@ _powers = [np.ones(1, U), np.ones(1, U)]
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_MULT, _INV)):
-            p = np.full(max(n, 1 << 20), base, U)
-            p[0] = 1
-            _powers[i] = np.multiply.accumulate(p)
-    return _powers[0][:n], _powers[1][:n]
-
-
-def blocks(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Powers of the multiplier and of its inverse; a worker keeps those of usual blocks (16 MB), not longer ones."""
+    if len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1][:n]
+    made = []
+    for base in (_MULT, _INV):
+        p = np.full(max(n, 1 << 20), base, U)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p))
+    if n <= 1 << 20:
+        _powers[:] = made
+    return made[0][:n], made[1][:n]
+
+
+def blocks(texts: list[str | None], most: int = 500_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``most`` characters; a longer text is a range of its own."""
     start, size = 0, 0
     for i, t in enumerate(texts):
