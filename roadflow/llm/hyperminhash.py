@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches_of, connected_components, split_by_keys, stage, unstage
-from .textvec import SPACES, U, Block, blocks, mix
+from .shared import batches_of, connected_components, of_texts, split_by_keys, stage, unstage
+from .textvec import SPACES, U, Block, mix
 
 #: Registers; mantissa bits beside the leading-zero count of each; registers in a band (36 bands).
 REGISTERS, MANTISSA, ROWS = 256, 10, 7
@@ -88,23 +88,20 @@ def jaccard(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> n
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n, d1, d2, regs``: set size, 128-bit digest of the set, registers (null for an empty set)."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            texts = pdf["text"].tolist()
-            for i, j in blocks(texts):
-                n = j - i
-                row, h = word_shingles(Block(texts[i:j]), width)
-                size = np.bincount(row, minlength=n)
-                regs = registers(row, h, n)
-                d1, d2 = np.zeros(n, U), np.zeros(n, U)
-                np.add.at(d1, row, mix(h ^ U(0xA0761D6478BD642F)))
-                np.add.at(d2, row, mix(h ^ U(0xE7037ED1A0B428DB)))
-                yield pd.DataFrame({
-                    "doc_id": pdf["doc_id"].values[i:j], "n": size.astype(np.int64), "d1": d1.view(np.int64), "d2": d2.view(np.int64),
-                    "regs": [r.tobytes() if k else None for r, k in zip(regs, size, strict=True)],
-                })
-
-    return docs.mapInPandas(run, "doc_id long, n long, d1 long, d2 long, regs binary")
+    def signed(texts: list[str | None]) -> pd.DataFrame:
+        n = len(texts)
+        row, h = word_shingles(Block(texts), width) if n else (np.zeros(0, np.int64), np.zeros(0, U))
+        size = np.bincount(row, minlength=n)
+        regs = registers(row, h, n)
+        d1, d2 = np.zeros(n, U), np.zeros(n, U)
+        np.add.at(d1, row, mix(h ^ U(0xA0761D6478BD642F)))
+        np.add.at(d2, row, mix(h ^ U(0xE7037ED1A0B428DB)))
+        return pd.DataFrame({
+            "n": size.astype(np.int64), "d1": d1.view(np.int64), "d2": d2.view(np.int64),
+            "regs": [r.tobytes() if k else None for r, k in zip(regs, size, strict=True)],
+        })
+
+    return of_texts(docs, "text", "sig", "struct<n:bigint,d1:bigint,d2:bigint,regs:binary>", lambda: signed).select("doc_id", "sig.*")
 
 
 ESTIMATES = "hub long, member long, core boolean, loose boolean, likely boolean"

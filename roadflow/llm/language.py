@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import of_texts
 from .textvec import NOT_LETTERS, U, Block, blocks
 
 DIM_BITS = 18
@@ -243,30 +244,31 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def begin():
         m = shared.value
-        for pdf in frames:
-            texts = pdf["text"].tolist()
-            for i, j in blocks(texts):
-                n = j - i
-                row, post = m.marginals(texts[i:j]) if m.langs else (np.zeros(0, int), np.zeros((0, 1)))
-                words = np.bincount(row, minlength=n)
-                mean = np.stack([np.bincount(row, post[:, k], n) for k in range(post.shape[1])], axis=1) / np.maximum(words, 1)[:, None]
-                best = post.argmax(axis=1)
-                change = np.flatnonzero((best[1:] != best[:-1]) & (row[1:] == row[:-1]))
-                letters = np.array([any(map(str.isalpha, t)) if t else False for t in texts[i:j]])
-                ok = letters & (words > 0) & bool(m.langs)
-                names = np.array([*m.langs, UNKNOWN], object)
-                yield pd.DataFrame({
-                    "doc_id": pdf["doc_id"].values[i:j],
-                    "lang_pred": names[np.where(ok, mean.argmax(axis=1), len(m.langs))],
-                    "score": np.where(ok, np.clip(mean.max(axis=1), 0, 1), 0.0),
-                    "n_words": words.astype(np.int64),
-                    "n_switches": np.bincount(row[change], minlength=n).astype(np.int64),
-                })
+
+        def found(texts: list[str | None]) -> pd.DataFrame:
+            n = len(texts)
+            row, post = m.marginals(texts) if m.langs and n else (np.zeros(0, int), np.zeros((0, max(len(m.langs), 1))))
+            words = np.bincount(row, minlength=n)
+            mean = np.stack([np.bincount(row, post[:, k], n) for k in range(post.shape[1])], axis=1) / np.maximum(words, 1)[:, None]
+            best = post.argmax(axis=1)
+            change = np.flatnonzero((best[1:] != best[:-1]) & (row[1:] == row[:-1]))
+            letters = np.array([any(map(str.isalpha, t)) if t else False for t in texts], bool)
+            ok = letters & (words > 0) & bool(m.langs)
+            names = np.array([*m.langs, UNKNOWN], object)
+            return pd.DataFrame({
+                "lang_pred": names[np.where(ok, mean.argmax(axis=1), len(m.langs))],
+                "score": np.where(ok, np.clip(mean.max(axis=1), 0, 1), 0.0),
+                "n_words": words.astype(np.int64),
+                "n_switches": np.bincount(row[change], minlength=n).astype(np.int64),
+            })
+
+        return found
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInPandas(run, "doc_id long, lang_pred string, score double, n_words long, n_switches long")
+    scored = of_texts(picked, "text", "found", "struct<lang_pred:string,score:double,n_words:bigint,n_switches:bigint>", begin)
+    return scored.select("doc_id", "found.*")
 
 
 def fit_rows(ident) -> "F.Column":

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import stage
+from .shared import fresh, stage, unstage
 
 LEVELS, BITS = 3, 12
 
@@ -47,36 +47,23 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], most: float) -> D
     return s.select("skey", "source_size", F.least("cap", F.col("w") * water["level"]).alias("target"))
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: Sequence[float] = (1.0, 2.0, 3.0),
-    most: float = 3.0,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """One row a document: ``doc_id, size, source_size, target, taken``.
+def _keys(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    """Source key (ordered, null last), size and hash levels of a document."""
+    ident = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    return {
+        "skey": F.when(F.col(source_col).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(source_col))),
+        "size": word_count(F.col(text_col)),
+        **{f"h{k}": hash_level(ident, k) for k in range(LEVELS)},
+    }
 
-    Every document is taken ``floor(target / source_size)`` times; what is left of the target goes to the
-    documents of smallest hash. The threshold is found by histograms: words are summed by source and
-    hash bucket, the bucket in which the budget ends is refined by the next bits, and after the last
-    level the boundary bucket (36 equal bits) is taken if that brings the source nearer to its target.
-    Nothing is sorted by document and no group is gathered: all sums are partial aggregates.
 
-    Null texts have size 0; a null source is a source of its own, last in order; rows that repeat an id
-    share its fate; a null id is hashed by its text. Empty tables give no rows. Only the three named
-    columns are read, so further columns can't clash.
-    """
-    ident = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    base = stage(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.when(F.col(source_col).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(source_col))).alias("skey"),
-            word_count(F.col(text_col)).alias("size"),
-            *[hash_level(ident, k).alias(f"h{k}") for k in range(LEVELS)],
-        ),
-        "mix",
-    )
+def _mark(of: Callable[[str], Column]) -> Column:
+    return F.concat_ws("", *[F.lpad(of(f"h{k}").cast("string"), 4, "0") for k in range(LEVELS)])
+
+
+def _fates(base: DataFrame, weights: Sequence[float], most: float) -> DataFrame:
+    """One staged row a source: what it has, its target, whole epochs, and the hash up to which documents are taken once
+    more (``edge``, itself included if ``with_edge``)."""
     targets = source_targets(base, weights, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = stage(
@@ -86,7 +73,7 @@ def mix_sources(
         "targets",
     )
     # Boundary bucket of each level, and the budget that is left before it.
-    bound = plan.select("skey", F.col("budget").alias("rest"))
+    bound, used = plan.select("skey", F.col("budget").alias("rest")), [plan]
     inside = base.where("size > 0")
     for k in range(LEVELS):
         keys = ["skey", *[f"h{i}" for i in range(k)]]
@@ -105,15 +92,71 @@ def mix_sources(
             ),
             "bound",
         )
+        used.append(nearest)
         bound = nearest.select(*keys, f"h{k}", "rest")
-    mark = F.concat_ws("", *[F.lpad(F.col(f"h{k}").cast("string"), 4, "0") for k in range(LEVELS)])
-    edges = nearest.select("skey", mark.alias("edge"), (F.col("rest") * 2 > F.col("words")).alias("with_edge"))
-    fates = plan.join(edges, "skey", "left").select(
-        "skey", "source_size", "target", "full", F.coalesce("edge", F.lit("~")).alias("edge"), F.coalesce("with_edge", F.lit(False)).alias("with_edge")
+    edges = nearest.select("skey", _mark(F.col).alias("edge"), (F.col("rest") * 2 > F.col("words")).alias("with_edge"))
+    fates = stage(
+        plan.join(edges, "skey", "left").select(
+            "skey", "source_size", "target", "full", F.coalesce("edge", F.lit("~")).alias("edge"), F.coalesce("with_edge", F.lit(False)).alias("with_edge")
+        ),
+        "fates",
     )
-    extra = (mark < F.col("edge")) | ((mark == F.col("edge")) & F.col("with_edge"))
-    out = base.join(fates, "skey").select(
+    unstage(*used)
+    return fates
+
+
+def _epochs(mark: Column, of: Callable[[str], Column], most: float) -> Column:
+    """How often a document is taken: whole epochs, and once more below the edge."""
+    extra = (mark < of("edge")) | ((mark == of("edge")) & of("with_edge"))
+    return of("full") + F.when(extra & (of("full") < most), 1).otherwise(0)
+
+
+def mix_sources(
+    docs: DataFrame,
+    weights: Sequence[float] = (1.0, 2.0, 3.0),
+    most: float = 3.0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """One row a document: ``doc_id, size, source_size, target, taken``.
+
+    Every document is taken ``floor(target / source_size)`` times; what is left of the target goes to the
+    documents of smallest hash. The threshold is found by histograms: words are summed by source and
+    hash bucket, the bucket in which the budget ends is refined by the next bits, and after the last
+    level the boundary bucket (36 equal bits) is taken if that brings the source nearer to its target.
+    Nothing is sorted by document and no group is gathered: all sums are partial aggregates.
+
+    Null texts have size 0; a null source is a source of its own, last in order; rows that repeat an id
+    share its fate; a null id is hashed by its text. Empty tables give no rows. Only the three named
+    columns are read, so further columns can't clash.
+    """
+    base = stage(docs.select(F.col(id_col).alias("doc_id"), *[c.alias(n) for n, c in _keys(docs, id_col, text_col, source_col).items()]), "mix")
+    fates = _fates(base, weights, most)
+    return base.join(fates, "skey").select(
         "doc_id", "size", "source_size", "target",
-        (F.col("size") * (F.col("full") + F.when(extra & (F.col("full") < most), 1).otherwise(0))).cast("long").alias("taken"),
+        (F.col("size") * _epochs(_mark(F.col), F.col, most)).cast("long").alias("taken"),
     )
-    return out
+
+
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[float] = (1.0, 2.0, 3.0),
+    most: float = 3.0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The documents themselves, each as often as ``mix_sources`` takes it (documents without words once); columns as
+    they are. The fate of a source is joined to its documents where they lie: texts aren't shuffled as long as the
+    table of sources is small enough to broadcast, which Spark decides by its size."""
+    keys = _keys(docs, id_col, text_col, source_col)
+    base = stage(docs.select(*[c.alias(n) for n, c in keys.items()]), "mix")
+    fates = _fates(base, weights, most)
+    skey, fate, epoch = fresh(docs, "_skey"), fresh(docs, "_fate"), fresh(docs, "_epoch")
+    unstage(base)
+    found = docs.withColumn(skey, keys["skey"]).join(fates.select(F.col("skey").alias(skey), F.struct("full", "edge", "with_edge").alias(fate)), skey)
+    of = lambda n: keys[n] if n in keys else F.col(fate)[n]
+    times = F.when(keys["size"] > 0, _epochs(_mark(of), of, most)).otherwise(1).cast("int")
+    taken = found.withColumn(epoch, times).where(F.col(epoch) > 0)
+    return taken.withColumn(epoch, F.explode(F.sequence(F.lit(1), F.col(epoch)))).select(*[F.col(f"`{c}`") for c in docs.columns])

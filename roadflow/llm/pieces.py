@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import heapq
 import zlib
 from collections.abc import Iterator
@@ -11,11 +12,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textvec import U, _power, blocks, mix
+from .shared import fresh, of_texts, without
+from .textvec import U, _power, mix
 
 SPACE = 0x2581
 #: Characters of text that are indexed together; segments longer than LONG are merged by a heap.
-BATCH, LONG = 4_000_000, 160
+BATCH, LONG = 500_000, 160
 NONE = np.int32(2**31 - 1)
 
 
@@ -58,6 +60,12 @@ class Vocabulary:
         return text[1:] if text.startswith(" ") else text
 
 
+@functools.lru_cache(maxsize=1)
+def vocabulary(path: str) -> Vocabulary:
+    """A worker reads the model file once."""
+    return Vocabulary(path)
+
+
 def suffix_array(codes: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Order of all suffixes by their first ``depth`` codes, and those codes packed into 64-bit keys, in that order."""
     per = 8 // codes.dtype.itemsize
@@ -234,10 +242,10 @@ def encode(texts: list[str | None], vocab: Vocabulary) -> tuple[np.ndarray, np.n
     long = size > LONG
     seg, a, b = relax(table, starts[~long], (starts + size)[~long])
     seg = np.flatnonzero(~long)[seg]
-    for k in np.flatnonzero(long):
-        x, y = relax_long(table, int(starts[k]), int(starts[k] + size[k]))
-        seg, a, b = np.concatenate((seg, np.full(len(x), k))), np.concatenate((a, x)), np.concatenate((b, y))
     if long.any():
+        more = [(k, *relax_long(table, int(starts[k]), int(starts[k] + size[k]))) for k in np.flatnonzero(long)]
+        seg = np.concatenate((seg, *[np.full(len(x), k) for k, x, _ in more]))
+        a, b = np.concatenate((a, *[x for _, x, _ in more])), np.concatenate((b, *[y for _, _, y in more]))
         by = np.argsort(a, kind="stable")
         seg, a, b = seg[by], a[by], b[by]
     # Ids of symbols; a character without piece becomes its bytes.
@@ -268,44 +276,43 @@ def tokenised(docs: DataFrame, model: str, text_col: str = "text", with_ids: boo
     32-bit integers) and ``decoded`` (whether decoding gives the text back; the model can't tell U+2581 from a space).
 
     The ids are those of the SentencePiece library for a byte-pair model whose normaliser changes nothing: spaces
-    become U+2581 and one is put in front. Row by row, without a shuffle; equal segments of a batch are matched once.
-    Null and empty texts have no ids. ``model`` is a path that the executors can read.
+    become U+2581 and one is put in front. Row by row, without a shuffle; equal segments of a block are matched once.
+    Null and empty texts have no ids. Columns of the input with the names of new ones are replaced, others stay.
+    ``model`` is a path that the executors can read.
     """
-    held: list[Vocabulary] = []
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if not held:
-            held.append(Vocabulary(model))
-        vocab = held[0]
-        for pdf in frames:
-            texts = pdf[text_col].tolist()
-            for i, j in blocks(texts, BATCH):
-                ids, cut = encode(texts[i:j], vocab)
-                parts = [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                new = {
-                    "n_tokens": np.diff(cut),
-                    "ids_crc32": [zlib.crc32(p.astype("<i4").tobytes()) for p in parts],
-                    "decoded": [vocab.decode(p) == (t or "").replace("▁", " ") for p, t in zip(parts, texts[i:j], strict=True)],
-                }
-                yield pdf.iloc[i:j].assign(**({"ids": parts} if with_ids else {}), **new)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    ids = "ids array<int>, " if with_ids else ""
-    return docs.mapInPandas(run, f"{schema}, {ids}n_tokens long, ids_crc32 long, decoded boolean")
+
+    def begin():
+        vocab = vocabulary(model)
+
+        def found(texts: list[str | None]) -> pd.DataFrame:
+            ids, cut = encode(texts, vocab)
+            parts = [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            return pd.DataFrame({
+                **({"ids": parts} if with_ids else {}),
+                "n_tokens": np.diff(cut),
+                "ids_crc32": np.array([zlib.crc32(p.astype("<i4").tobytes()) for p in parts], np.int64),
+                "decoded": np.array([vocab.decode(p) == (t or "").replace("▁", " ") for p, t in zip(parts, texts, strict=True)], bool),
+            })
+
+        return found
+
+    new = [*(["ids"] if with_ids else []), "n_tokens", "ids_crc32", "decoded"]
+    rest = without(docs, *[n for n in new if n != text_col])
+    into = fresh(rest, "pieces")
+    kind = "struct<" + "ids:array<int>," * with_ids + "n_tokens:bigint,ids_crc32:bigint,decoded:boolean>"
+    return of_texts(rest, text_col, into, kind, begin, BATCH).select(*[F.col(f"`{c}`") for c in rest.columns], f"{into}.*")
 
 
 def decode(tokens: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
-    """The rows with ``text`` decoded from their ids; null ids give a null text."""
-    held: list[Vocabulary] = []
+    """The rows with ``text`` decoded from their ids (a column of that name is replaced); null ids give a null text."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if not held:
-            held.append(Vocabulary(model))
-        for pdf in frames:
-            yield pdf.assign(text=[None if x is None else held[0].decode(np.asarray(x)) for x in pdf[ids_col]])
+    @F.pandas_udf("string")
+    def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vocab = vocabulary(model)
+        for ids in batches:
+            yield pd.Series([None if x is None else vocab.decode(np.asarray(x)) for x in ids], dtype=object)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema if f.name != "text")
-    return tokens.drop("text").mapInPandas(run, f"{schema}, text string")
+    return without(tokens, "text").withColumn("text", texts(F.col(f"`{ids_col}`")))
 
 
 def default_model() -> str:

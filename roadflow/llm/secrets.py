@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import fresh, without
+
 #: The base patterns, in the order of their kinds.
 ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -117,15 +119,15 @@ def blanked(text: Column, spans: Column) -> Column:
     return out
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents with ``secret_spans``: array of (s, e, k, m), code points, end exclusive, k an index of KINDS,
+def scan_secrets(docs: DataFrame, text_col: str = "text", into: str = "secret_spans") -> DataFrame:
+    """The documents with ``into``: array of (s, e, k, m), code points, end exclusive, k an index of KINDS,
     ordered by start, then kind.
 
     The base kinds match leftmost without overlap, each for itself; an assignment whose value has fewer than 8
     characters uses its text up but isn't kept. Base spans and allow-listed parts cut the candidates for entropy spans;
     each remainder of at least 20 characters is judged by itself.
-    A null text counts as empty and has no spans; all columns of the input stay (``secret_spans`` must not be
-    among them). Row by row: no shuffle, so hot sources and repeated rows don't matter.
+    A null text counts as empty and has no spans; all columns of the input stay, but
+    for one called ``into``, which is replaced. Row by row: no shuffle, so hot sources and repeated rows don't matter.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
 
@@ -133,13 +135,15 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.transform(spans_of(text, pattern), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(k).alias("k"), x["m"].alias("m")))
 
     assign = F.filter(tagged(ASSIGN, 0), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 1)) >= 8)
-    base = docs.withColumn("_base", F.array_sort(F.concat(assign, tagged(ACCESS, 1), tagged(HEX, 2))))
-    base = base.withColumn("_left", blanked(text, F.col("_base")))
+    docs = without(docs, into)
+    spans, left = fresh(docs, "_base"), fresh(docs, "_left")
+    base = docs.withColumn(spans, F.array_sort(F.concat(assign, tagged(ACCESS, 1), tagged(HEX, 2))))
+    base = base.withColumn(left, blanked(text, F.col(spans)))
     loose = F.filter(
-        F.transform(spans_of(F.col("_left"), CANDIDATE), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(3).alias("k"), x["m"].alias("m"))),
+        F.transform(spans_of(F.col(left), CANDIDATE), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(3).alias("k"), x["m"].alias("m"))),
         lambda x: is_secret(x["m"]),
     )
-    return base.withColumn("secret_spans", F.array_sort(F.concat("_base", loose))).drop("_base", "_left")
+    return base.withColumn(into, F.array_sort(F.concat(spans, loose))).drop(spans, left)
 
 
 def spans_text(spans: Column) -> Column:
@@ -153,9 +157,9 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> D
 
     Overlapping spans are replaced once: what stands before a span's start and after the furthest end so far is kept.
     """
-    text = F.col(text_col)
+    text, into = F.col(text_col), fresh(docs, "secret_spans")
     rebuilt = F.aggregate(
-        F.col("secret_spans"),
+        F.col(into),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, x: F.struct(
             F.greatest(acc["at"], x["e"]).alias("at"),
@@ -165,5 +169,5 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> D
         ),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])),
     )
-    scanned = scan_secrets(docs, text_col)
-    return scanned.withColumn(text_col, F.when(F.size("secret_spans") > 0, rebuilt).otherwise(text)).drop("secret_spans")
+    scanned = scan_secrets(docs, text_col, into)
+    return scanned.withColumn(text_col, F.when(F.size(into) > 0, rebuilt).otherwise(text)).drop(into)

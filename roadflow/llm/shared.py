@@ -5,11 +5,14 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .textvec import blocks
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``. Where that is unset, a temporary one on a single machine (master ``local``);
@@ -47,6 +50,30 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return staged
 
 
+def of_texts(docs: DataFrame, text_col: str, into: str, kind: str, begin: Callable[[], Callable[[list], pd.DataFrame | pd.Series]], most: int = 500_000) -> DataFrame:
+    """``docs`` with a column ``into`` that a function of whole texts makes, block by block; ``begin`` gives that function,
+    once a task. Only the texts go to the Python workers: all other columns stay as they are, in the JVM. A column of
+    that name is replaced."""
+
+    @F.pandas_udf(kind)
+    def frames(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        work = begin()
+        for batch in batches:
+            texts = batch.tolist()
+            yield pd.concat([work(texts[i:j]) for i, j in blocks(texts, most)] or [work([])], ignore_index=True)
+
+    @F.pandas_udf(kind)
+    def columns(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        work = begin()
+        for batch in batches:
+            texts = batch.tolist()
+            yield pd.concat([work(texts[i:j]) for i, j in blocks(texts, most)] or [work([])], ignore_index=True)
+
+    text = F.col(f"`{text_col}`")
+    made = (frames if kind.startswith("struct") else columns)(text)
+    return without(docs, *({into} - {text_col})).withColumn(into, made)
+
+
 @contextlib.contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of at most so many rows for what is staged inside: long texts then fit beside each other in memory."""

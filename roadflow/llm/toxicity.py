@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import of_texts
 from .textvec import NOT_LETTERS, U, Block, blocks
 
 DIM_BITS = 20
@@ -160,24 +161,19 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most
     return fit([np.asarray(b, np.int32) for b in rows["kept"]], label, weight, index)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``tox_score``: one pass over whole texts, no shuffle; null or empty texts get the bias's score.
+def score(docs: DataFrame, model: Model, into: str = "tox_score", text_col: str = "text") -> DataFrame:
+    """The documents with the column ``into``: one pass over whole texts, no shuffle; null or empty texts get the bias's
+    score. A column of that name in the input is replaced; all others stay as they are.
 
     The broadcast model has a fixed size (one integer a bucket, and the chosen buckets' weights).
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def begin():
         m = shared.value
-        for pdf in frames:
-            texts = pdf["text"].tolist()
-            out = np.empty(len(texts))
-            for i, j in blocks(texts):
-                out[i:j] = m.scores(*terms(Block(texts[i:j])), j - i)
-            yield pdf.assign(tox_score=out)
+        return lambda texts: pd.Series(m.scores(*terms(Block(texts)), len(texts)) if texts else [], dtype=float)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInPandas(run, f"{schema}, tox_score double")
+    return of_texts(docs, text_col, into, "double", begin)
 
 
 def fit_rows(ident) -> "F.Column":
