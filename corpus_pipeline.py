@@ -10,9 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from roadflow.llm import hyperminhash, mixing, pieces, secrets, toxicity
-from roadflow.llm.shared import stage
+from roadflow.llm.shared import fresh, split_by_keys, stage, unstage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,18 +22,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine, learnt from ``labels``, scores below the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs.select("doc_id", "text"), labels)
-    return toxicity.score(docs, model).where(F.col("tox_score") < toxicity.THRESHOLD).drop("tox_score")
+    mark = fresh(docs, "tox_score")
+    return toxicity.score(docs, model, mark).where(F.col(mark) < toxicity.THRESHOLD).drop(mark)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similarity 0.8 or more on five-word shingles; of rows that repeat an id, one.
+    """One document of each group of similarity 0.8 or more on five-word shingles.
 
-    Texts with an empty set and rows without an id have no duplicates and stay.
+    Of rows that repeat an id one stays, if that id does: the first by a hash of the text, then of the whole row. Texts
+    with an empty set have no duplicates and stay, as do all rows without an id. Only rows that may have to go (a bitmap
+    of their ids tells) are shuffled; all others pass as they are.
     """
-    found = hyperminhash.near_duplicates(docs, width=5, percent=80)
-    kept = found.where("kept").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.join(kept, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    found = stage(hyperminhash.near_duplicates(docs, width=5, percent=80).select("doc_id", "kept"), "found")
+    suspects = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("c"), F.max("kept").alias("kept")).where("c > 1 OR NOT kept")
+    suspects = stage(suspects.select("doc_id", "kept"), "suspects")
+    unstage(found)
+    maybe, untouched = split_by_keys(docs, "doc_id", suspects.select("doc_id"))
+    place, mark = fresh(docs, "_place"), fresh(docs, "_kept")
+    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not f.dataType.simpleString().count("map<")])
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), row)
+    one = maybe.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    judged = one.join(suspects.withColumnRenamed("kept", mark), "doc_id", "left").where(F.coalesce(mark, F.lit(True)))
+    return judged.select(docs.columns).unionByName(untouched)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +54,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: whole epochs, and the hashed share of the last one."""
-    taken = mixing.mix_sources(docs).select("doc_id", "size", "taken")
-    times = taken.withColumn("times", F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(1))
-    counts = times.groupBy("doc_id").agg(F.max("times").alias("times"))
-    named = docs.join(counts, "doc_id").where("times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return named.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    return mixing.mixed(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
