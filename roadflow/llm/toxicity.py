@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,6 +20,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 #: At most about so many labelled rows of each class are used to fit; of larger tables a hash takes a sample.
 MOST_TOXIC, MOST_CLEAN = 4000, 6000
 LEAST_DOCS, LEAST_CHI2 = 5, 8.0
+#: Terms that may be chosen by chance, expected over all terms that are tried.
+CHANCE = 1.0
 FACTORS, STEPS, RATE, DECAY = 4, 200, 0.05, 2e-4
 THRESHOLD = 0.3
 _SALT = [U(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1) for k in range(len(PREFIXES) + 1)]
@@ -57,14 +60,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
+def least_chi2(tried: int) -> float:
+    """The chi-square (one degree of freedom) that CHANCE of so many unrelated terms reach; the more terms are tried, the
+    more each has to show."""
+    least = LEAST_CHI2
+    while math.erfc(math.sqrt(least / 2)) * tried > CHANCE:
+        least += 0.25
+    return least
+
+
 def choose(bucket: np.ndarray, df: np.ndarray, toxic: np.ndarray, n: int, n1: int) -> np.ndarray:
-    """Table bucket -> place in the model (or -1): the buckets of LEAST_DOCS texts or more that go with the label."""
+    """Table bucket -> place in the model (or -1): the buckets of LEAST_DOCS texts or more that go with the label, beyond
+    what chance gives among so many."""
     df, toxic = df.astype(float), toxic.astype(float)
     index = np.full(1 << DIM_BITS, -1, np.int32)
     if 0 < n1 < n:
         expect = (df * n1 / n, df * (n - n1) / n, (n - df) * n1 / n, (n - df) * (n - n1) / n)
         chi2 = (toxic - expect[0]) ** 2 * sum(1 / np.maximum(x, 1e-9) for x in expect)
-        chosen = np.sort(bucket[(df >= LEAST_DOCS) & (chi2 >= LEAST_CHI2)])
+        chosen = np.sort(bucket[(df >= LEAST_DOCS) & (chi2 >= least_chi2(int((df >= LEAST_DOCS).sum())))])
         index[chosen] = np.arange(len(chosen))
     return index
 

@@ -133,6 +133,33 @@ def test_toxicity_held_out(spark):
     assert got[got.toxic == 0].predicted.mean() < 0.05 and got[got.toxic == 1].score.mean() > got[got.toxic == 0].score.mean() + 0.2
 
 
+def test_scores_equal_a_plain_factorization_machine(spark, sf_dir):
+    """Bias, weights of the distinct terms, and the product of factors of every pair of them, one by one."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = toxicity.train(d, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    texts = {r.doc_id: r.text for r in d.collect()}
+    got = {r.doc_id: r.tox_score for r in toxicity.score(d, model).collect()}
+    seen = 0
+    for i, t in texts.items():
+        at = [int(model.index[b]) for b in toxicity.bags([t])[0] if model.index[b] >= 0]
+        logit = model.bias + sum(float(model.linear[a]) for a in at)
+        for x in range(len(at)):
+            for y in range(x):
+                logit += sum(float(u) * float(v) for u, v in zip(model.factors[at[x]], model.factors[at[y]], strict=True))
+                seen += 1
+        assert abs(got[i] - 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))) < 1e-9
+    assert seen > 0 and len(got) == len(texts)
+
+
+def test_terms_chosen_by_chance_are_few():
+    rng = np.random.default_rng(3)
+    n, n1, buckets = 400, 50, 20_000
+    label = np.arange(n) < n1
+    hits = rng.random((buckets, n)) < 0.05
+    index = toxicity.choose(np.arange(buckets), hits.sum(axis=1), hits[:, label].sum(axis=1), n, n1)
+    assert index.max() + 1 <= 12  # a few more than CHANCE, as counts are small
+
+
 def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(1, None), (5, 1), (6, 0), (None, 1)], "doc_id long, toxic int")
     model = toxicity.train(odd(spark), labels)
