@@ -1,7 +1,9 @@
-"""Nearest neighbours by multi-index hashing: learnt rotated binary codes, indexed by their bytes."""
+"""Nearest neighbours by multi-index hashing: learnt rotated binary codes, indexed by their 16-bit substrings."""
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .shared import stage
-from .vectors import dots, prevailing_size, usable
+from .vectors import digests, dots, sizes_of, usable
 
-BITS, SAMPLE, ROUNDS = 256, 4096, 15
-#: Vectors in a shard, queries in a block, and the least number of codes that a query's radius must hold in a shard.
-SHARD, BLOCK, LEAST = 4096, 4096, 256
-SUBSTRINGS = BITS // 8
-_DISTANCE = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :])
+BITS, WORD, SAMPLE, ROUNDS = 2048, 16, 4096, 8
+TABLES = BITS // WORD
+#: Vectors in a shard at most, shards that smaller tables are cut into, queries in a block, queries probed together.
+SHARD, LEAST_SHARDS, BLOCK, CHUNK = 65536, 6, 32768, 128
+#: The share of codes as far away as the neighbours found that must be retrieved, by expectation.
+TARGET = 0.95
 
 
 def learn_rotations(x: np.ndarray) -> np.ndarray:
@@ -43,143 +46,158 @@ def lifted(x: np.ndarray, longest: float | None) -> np.ndarray:
 
 
 def encode(x: np.ndarray, rotations: np.ndarray) -> np.ndarray:
-    return np.packbits(x @ rotations > 0, axis=1)
+    """Codes as n x TABLES substrings."""
+    return np.packbits(x @ rotations > 0, axis=1).view(np.uint16)
 
 
-def widened(radius: np.ndarray) -> np.ndarray:
-    """Among close copies the codes' distances scatter by about their root: twice that is added to small radii."""
-    return np.where(np.asarray(radius) < BITS // 4, radius + np.ceil(2 * np.sqrt(radius)), radius)
+@functools.lru_cache(maxsize=WORD + 1)
+def masks(flips: int) -> np.ndarray:
+    """All substrings with so many bits set."""
+    return np.flatnonzero(np.bitwise_count(np.arange(1 << WORD, dtype=np.uint32)) == flips).astype(np.int64)
 
 
-class Shard:
-    """Codes of a shard with a table for each byte position: byte value -> rows."""
+@functools.lru_cache(maxsize=WORD + 1)
+def retrieved(flips: int) -> np.ndarray:
+    """The probability that a code at each Hamming distance has a substring in which at most ``flips`` bits differ."""
+    share = np.arange(BITS + 1) / BITS
+    one = sum(math.comb(WORD, k) * share**k * (1 - share) ** (WORD - k) for k in range(flips + 1))
+    return 1 - (1 - np.minimum(one, 1.0)) ** TABLES
+
+
+class Index:
+    """The codes of a shard with a table for each substring position: value -> rows."""
 
     def __init__(self, codes: np.ndarray):
         self.codes, self.n = codes, len(codes)
-        self.wide = codes.view(np.uint64)
-        self.order = np.argsort(codes, axis=0, kind="stable")
-        self.counts = np.stack([np.bincount(codes[:, s], minlength=256) for s in range(SUBSTRINGS)])
-        self.cuts = np.concatenate((np.zeros((SUBSTRINGS, 1), int), np.cumsum(self.counts, axis=1)), axis=1)
-
-    def near(self, code: np.ndarray, flips: int) -> np.ndarray:
-        """Rows that share a byte with the code but for so many bits: by the pigeonhole principle these are all rows
-        within the Hamming radius SUBSTRINGS * (flips + 1) - 1, and more."""
-        got = [
-            self.order[self.cuts[s, b] : self.cuts[s, b + 1], s]
-            for s in range(SUBSTRINGS)
-            for b in np.flatnonzero(_DISTANCE[code[s]] <= flips)
-        ]
-        return np.unique(np.concatenate(got))
-
-    def search(self, queries: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
-        """For each query all rows within the smallest radius (widened if small) that holds ``least`` codes. The number of flipped bits
-        grows until the radius that the probes guarantee holds them; where the tables would give as many entries as
-        there are codes, the codes themselves are walked, which retrieves the same rows."""
-        least = min(least, self.n)
-        wide = queries.view(np.uint64)
-        pending = np.arange(len(queries))
-        for flips in range(8):
-            if not len(pending):
-                return
-            entries = (self.counts @ (_DISTANCE <= flips).T.astype(np.int64))[np.arange(SUBSTRINGS), queries[pending]].sum(axis=1)
-            probed = pending[entries < self.n]
-            walked = pending[entries >= self.n]
-            for i in range(0, len(walked), 256):
-                some = walked[i : i + 256]
-                far = np.zeros((len(some), self.n), np.uint16)
-                for w in range(self.wide.shape[1]):
-                    far += np.bitwise_count(wide[some, w][:, None] ^ self.wide[None, :, w])
-                radius = widened(np.partition(far, least - 1, axis=1)[:, least - 1])
-                for q, d, r in zip(some, far, radius, strict=True):
-                    yield int(q), np.flatnonzero(d <= r)
-            again = []
-            for q in probed:
-                rows = self.near(queries[q], flips)
-                d = np.bitwise_count(self.wide[rows] ^ wide[q]).sum(axis=1)
-                radius = widened(np.partition(d, least - 1)[least - 1]) if len(d) >= least else BITS
-                if radius < SUBSTRINGS * (flips + 1):
-                    yield int(q), rows[d <= radius]
-                else:
-                    again.append(q)
-            pending = np.array(again, int)
-        for q in pending:
-            yield int(q), np.arange(self.n)
-
-
-def _matrix(col: pd.Series) -> np.ndarray:
-    return np.stack(col.to_numpy()).astype(np.float32) if len(col) else np.zeros((0, 1), np.float32)
+        self.order = np.argsort(codes, axis=0, kind="stable").astype(np.int32).T.copy()
+        self.first = np.zeros((TABLES, (1 << WORD) + 1), np.int32)
+        for t in range(TABLES):
+            np.cumsum(np.bincount(codes[:, t], minlength=1 << WORD), out=self.first[t, 1:])
+
+    def probe(self, asked: np.ndarray, flips: int, seen: np.ndarray, which: np.ndarray) -> None:
+        """Mark in ``seen[which]`` the rows that have a substring in which just ``flips`` bits differ from the query's."""
+        change = masks(flips)
+        flat = seen.reshape(-1)
+        for t in range(TABLES):
+            keys = asked[:, t].astype(np.int64)[:, None] ^ change[None, :]
+            a = self.first[t][keys].ravel()
+            count = self.first[t][keys + 1].ravel() - a
+            hit = np.flatnonzero(count)
+            count = count[hit]
+            ends = np.cumsum(count)
+            if len(ends):
+                at = np.arange(ends[-1]) + np.repeat(a[hit] - (ends - count), count)
+                flat[np.repeat(which[hit // len(change)] * self.n, count) + self.order[t][at]] = True
+
+    def search(self, asked: np.ndarray, x: np.ndarray, q: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, int]]:
+        """For each query its candidates and the number of flipped bits that retrieved them.
+
+        The candidates are the rows that the tables give for the query's substrings with up to ``flips`` flipped bits:
+        by the pigeonhole principle all codes within the Hamming radius TABLES * (flips + 1) - 1, and more. ``flips``
+        grows until ``depth`` rows are found and, of codes as far from the query as the ``depth`` nearest of them (by
+        floats) are, a share of TARGET is retrieved by expectation."""
+        depth = min(depth, self.n)
+        for begin in range(0, len(asked), CHUNK):
+            pending = np.arange(begin, min(begin + CHUNK, len(asked)))
+            seen = np.zeros((len(pending), self.n), bool)
+            for flips in range(WORD + 1):
+                self.probe(asked[pending], flips, seen, pending - begin)
+                again = []
+                for i in pending:
+                    rows = np.flatnonzero(seen[i - begin])
+                    if len(rows) < self.n:
+                        if len(rows) < depth:
+                            again.append(i)
+                            continue
+                        score = x[rows] @ q[i]
+                        best = rows[np.argpartition(-score, depth - 1)[:depth]]
+                        far = np.bitwise_count(self.codes[best] ^ asked[i]).sum(axis=1, dtype=np.int64)
+                        if retrieved(flips)[far].mean() < TARGET:
+                            again.append(i)
+                            continue
+                    yield int(i), rows, flips
+                pending = np.array(again, np.int64)
+                if not len(pending):
+                    break
+
+
+def _matrix(col: pd.Series, kind: type) -> np.ndarray:
+    return np.stack(col.to_numpy()).astype(kind) if len(col) else np.zeros((0, 1), kind)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score``: of each query row its k nearest by inner product, among all rows of other ids.
+    """``query_id, rank, vec_id, score``: of each query row its k nearest by inner product, among all rows but itself.
 
     Rotations are learnt from at most about ``SAMPLE`` vectors drawn by a hash of the id; all rows are coded and
-    indexed. Rows are dealt into shards and queries into blocks of bounded size, each pair of which is one group: its
-    byte tables give every code within the query's radius, and the original vectors of those are compared. A radius
-    holds at least ``LEAST`` codes of every shard, so its reach follows the data. Scores are in double precision;
-    ties go to the smaller id.
-
-    Vectors that are null, zero, or hold null or non-finite components take no part, nor do those whose number of
-    components isn't the commonest, nor rows with a null id. Repeated query rows each get their own result. With
-    fewer than k other vectors all are returned; empty tables give no rows. Further columns aren't read.
+    indexed. Of equal vectors the k + 1 first by id stand for all on the data side (no other can be among k nearest), and
+    one on the query side. Rows are dealt into shards and queries into blocks of bounded size, each pair of which is one
+    group: the substring tables give the candidates, and the original vectors of those are compared. How many bits are
+    flipped follows the data (see ``Index.search``); no candidate is dropped unseen. Scores are in double precision from
+    the original components; ties go to the smaller id.
+
+    Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id. Vectors
+    of different numbers of components aren't compared with each other. Repeated ids are rows of their own, and repeated
+    query rows each get their own result. With fewer than k other vectors all are returned; empty tables give no rows.
+    Further columns aren't read.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<float>").alias("x"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    kind = "double" if vectors.schema[vec_col].dataType.simpleString() == "array<double>" else "float"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{kind}>").alias("x"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("x")))
-    dim = prevailing_size(rows, "x")
-    rows = rows.where(F.size("x") == dim)
+    rows = stage(rows.select("*", *digests(F.col("x")), F.size("x").alias("d")).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for d in sizes_of(rows):
+        out = out.unionByName(_nearest(rows.where(F.col("d") == d), k, kind))
+    return out
+
+
+def _nearest(rows: DataFrame, k: int, kind: str) -> DataFrame:
     square = F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
     n, nq, longest = rows.agg(F.count("*"), F.count_if("is_query"), F.sqrt(F.max(square))).head()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not n or not nq:
-        return spark.createDataFrame([], schema)
     part = min(1.0, SAMPLE / n)
     sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1 << 20)) < part * (1 << 20)).select("x").toPandas()
-    x = _matrix(sample["x"]) if len(sample) else np.zeros((0, dim), np.float32)
-    rotations = learn_rotations(lifted(x.astype(np.float64), longest))
-    shards, parts = -(-n // SHARD), -(-nq // BLOCK)
-
-    def coded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            if len(pdf):
-                x = _matrix(pdf["x"]).astype(np.float64)
-                yield pdf.assign(
-                    code=[c.tobytes() for c in encode(lifted(x, longest), rotations)],
-                    ask=[c.tobytes() if q else None for c, q in zip(encode(lifted(x, None), rotations), pdf["is_query"], strict=True)],
-                )
-
-    codes = stage(
-        rows.mapInPandas(coded, "vec_id long, x array<float>, is_query boolean, code binary, ask binary")
-        .withColumn("row", F.monotonically_increasing_id()),
-        "codes",
-    )
+    dim = rows.select(F.size("x")).head()[0]
+    x = _matrix(sample["x"], np.float64) if len(sample) else np.zeros((0, dim))
+    rotations = learn_rotations(lifted(x, longest)).astype(np.float32)
+    shards, parts = max(-(-n // SHARD), min(LEAST_SHARDS, -(-n // 2048))), max(1, -(-nq // BLOCK))
+    share = (k + 1) / shards
+    depth = min(k + 1, math.ceil(share + 3 * math.sqrt(share)) + 1)  # of the nearest of all, so many lie in a shard at most
+    held = rows.sparkSession.sparkContext.broadcast(rotations)  # (d + 1) x BITS floats
+    wide = np.float64 if kind == "double" else np.float32
+
+    copy = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("vec_id", "row"))
     place = F.xxhash64("row")
-    data = codes.select("vec_id", "x", "code", F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    asked = codes.where("is_query").select(
-        "row", "vec_id", "x", "ask", F.pmod(place, F.lit(parts)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    data = rows.select("row", "vec_id", "x", "h1", "h2").withColumn("copy", copy).where(F.col("copy") <= k + 1).select(
+        "row", "vec_id", "x", F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    )
+    asked = rows.where("is_query").groupBy("h1", "h2").agg(F.min("row").alias("ask"), F.min_by("x", "row").alias("x")).select(
+        "h1", "h2", "x", F.pmod(F.xxhash64("ask"), F.lit(parts)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
     )
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"row": [], "query_id": [], "vec_id": [], "score": []}
+        out: dict[str, list] = {"h1": [], "h2": [], "row": [], "vec_id": [], "score": []}
         if len(left) and len(right):
-            x, q = _matrix(left["x"]), _matrix(right["x"])
-            ids, asking, row = left["vec_id"].to_numpy(), right["vec_id"].to_numpy(), right["row"].to_numpy()
-            code = np.frombuffer(b"".join(left["code"]), np.uint8).reshape(len(x), SUBSTRINGS)
-            ask = np.frombuffer(b"".join(right["ask"]), np.uint8).reshape(len(q), SUBSTRINGS)
-            for i, found in Shard(code).search(ask, LEAST):
-                found = found[ids[found] != asking[i]]
-                rough = x[found] @ q[i]
-                if len(found) > k:
-                    least = np.partition(rough, len(rough) - k)[len(rough) - k]
-                    found = found[rough >= least - 1e-4 * max(longest, 1e-30) * float(np.linalg.norm(q[i]))]
+            x, q = _matrix(left["x"], wide), _matrix(right["x"], wide)
+            ids, row = left["vec_id"].to_numpy(), left["row"].to_numpy()
+            codes = np.concatenate([encode(lifted(x[i : i + 4096].astype(np.float32), longest).astype(np.float32), held.value) for i in range(0, len(x), 4096)])
+            asks = np.concatenate([encode(lifted(q[i : i + 4096].astype(np.float32), None).astype(np.float32), held.value) for i in range(0, len(q), 4096)])
+            rough = x.astype(np.float32)
+            for i, found, _ in Index(codes).search(asks, rough, q.astype(np.float32), depth):
+                score = rough[found] @ q[i].astype(np.float32)
+                if len(found) > k + 1:
+                    least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
+                    found = found[score >= least - 1e-4 * max(longest, 1e-30) * float(np.linalg.norm(q[i]))]
                 exact = dots(x[found], np.broadcast_to(q[i], (len(found), q.shape[1])))
-                best = np.lexsort((ids[found], -exact))[:k]
-                out["row"].append(np.full(len(best), row[i]))
-                out["query_id"].append(np.full(len(best), asking[i]))
-                out["vec_id"].append(ids[found[best]])
-                out["score"].append(exact[best])
+                best = np.lexsort((row[found], ids[found], -exact))[: k + 1]
+                for c, v in zip(out, (np.full(len(best), right["h1"].iat[i]), np.full(len(best), right["h2"].iat[i]), row[found[best]], ids[found[best]], exact[best]), strict=True):
+                    out[c].append(v)
         return pd.DataFrame({c: np.concatenate(v) if v else np.zeros(0, float if c == "score" else np.int64) for c, v in out.items()})
 
-    found = data.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInPandas(cell, "row long, query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = data.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInPandas(cell, "h1 long, h2 long, row long, vec_id long, score double")
+    order = [F.desc("score"), F.col("vec_id"), F.col("row")]
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("h1", "h2").orderBy(*order))).where(F.col("rank") <= k + 1).drop("rank")
+    best = stage(best, "nearest")
+    own = rows.where("is_query").select("h1", "h2", F.col("row").alias("own"), F.col("vec_id").alias("query_id"))
+    each = own.join(best, ["h1", "h2"]).where("row <> own")
+    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("own").orderBy(*order))).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")

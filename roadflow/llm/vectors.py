@@ -13,10 +13,14 @@ def usable(v: Column) -> Column:
     return v.isNotNull() & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
 
 
-def prevailing_size(vectors: DataFrame, col: str) -> int:
-    """The commonest number of components (ties: the larger); 0 if there is no vector."""
-    sizes = vectors.groupBy(F.size(col).alias("d")).count().agg(F.max_by("d", F.struct("count", "d")).alias("d")).head()
-    return (sizes and sizes["d"]) or 0
+def digests(v: Column) -> list[Column]:
+    """``h1, h2``: 128 bits that tell equal vectors."""
+    return [F.xxhash64(F.lit(1), v).alias("h1"), F.xxhash64(F.lit(2), v).alias("h2")]
+
+
+def sizes_of(vectors: DataFrame, col: str = "d") -> list[int]:
+    """The numbers of components that occur, one row each, the commonest first."""
+    return [r[col] for r in vectors.groupBy(col).count().orderBy(F.desc("count"), col).collect()]
 
 
 def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
