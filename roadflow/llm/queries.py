@@ -129,7 +129,7 @@ def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages with their reply links, in threads, as chat text without quotes."""
     linked = quotes.link_quotes(table(spark, sf_dir, "conversations"))
     return linked.select(
-        "conv_id", "turn", "role", "reply_to", "thread", F.col("n_quotes").cast("long"), F.col("deepest").cast("long"),
+        "conv_id", "turn", "role", "reply_to", "thread", F.col("n_quotes").cast("long"), "n_repeats", F.col("deepest").cast("long"),
         F.length("own_text").cast("long").alias("own_chars"), F.md5(F.col("chat_text").cast("binary")).alias("chat_md5"),
     )
 

@@ -10,6 +10,8 @@ from .shared import stage, unstage
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
 QUOTED = r"^(?:\x20*>)+"
+#: Where sentences end; words that an unmarked repeat must have; the level that stands for it, below all marked ones.
+SENTENCE, REPEATED, UNMARKED = r"(?<=[.!?])[\x20\x09-\x0D]+", 2, 1 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -17,108 +19,101 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), SPACE, " "))
 
 
-def passages(text: Column) -> Column:
-    """Array of (level, text): runs of lines with as many leading `>`; level 0 is the writer's own text."""
-    lines = F.transform(
+def lines_of(text: Column) -> Column:
+    """Array of (level, body) of the lines; the level is the number of leading `>`, 0 is the writer's own text."""
+    return F.transform(
         F.split(text, r"\r?\n", -1),
         lambda line: F.struct(
             F.length(F.regexp_replace(F.regexp_extract(line, QUOTED, 0), "[^>]", "")).alias("level"),
             F.regexp_replace(line, QUOTED + r"\x20?", "").alias("body"),
         ),
     )
-    kind = "array<struct<level:int,lines:array<string>>>"
-    # The run that is open stands apart from the closed ones, so that a step appends one line only.
-    return F.aggregate(
-        lines,
-        F.struct(F.lit(-1).alias("level"), F.array().cast("array<string>").alias("run"), F.array().cast(kind).alias("out")),
-        lambda acc, x: F.when(
-            acc["level"] == x["level"],
-            F.struct(acc["level"].alias("level"), F.array_append(acc["run"], x["body"]).alias("run"), acc["out"].alias("out")),
-        ).otherwise(
-            F.struct(
-                x["level"].alias("level"),
-                F.array(x["body"]).alias("run"),
-                F.when(acc["level"] < 0, acc["out"])
-                .otherwise(F.array_append(acc["out"], F.struct(acc["level"].alias("level"), acc["run"].alias("lines"))))
-                .alias("out"),
-            )
-        ),
-        lambda acc: F.array_append(acc["out"], F.struct(acc["level"].alias("level"), acc["run"].alias("lines"))),
-    )
+
+
+def runs_of(lines: Column) -> Column:
+    """Array of (level, lines): runs of lines of one level, from a column made by ``lines_of``. Each line is read a fixed
+    number of times, however many there are."""
+    level = lambda i: F.get(lines, i)["level"]
+    begins = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | (level(i) != level(i - 1)))
+    ends = F.array_append(F.slice(begins, 2, F.greatest(F.size(begins) - 1, F.lit(0))), F.size(lines))
+    return F.zip_with(begins, ends, lambda s, e: F.struct(level(s).alias("level"), F.transform(F.slice(lines, s + 1, e - s), lambda x: x["body"]).alias("lines")))
 
 
 def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row a message: ``conv_id, turn, role, reply_to, thread, n_quotes, deepest, own_text, chat_text``.
+    """One row a message: ``conv_id, turn, role, reply_to, thread, n_quotes, n_repeats, deepest, own_text, chat_text``.
 
-    Quoted passages (runs of lines of one level, and their lines) are normalised and hashed, and joined within the
-    conversation to the first message that wrote the passage, or a line or the whole of it, itself; a message
-    replies to the one with the longest passage it quotes at the shallowest level (ties: the later turn).
-    ``thread`` is the turn at which the chain of replies starts: conversations in reply order are the rows by
-    conv_id, thread, turn. ``own_text`` has no quotes; ``chat_text`` wraps it in role marks.
+    Passages are normalised and hashed. A message's own passages are its whole own text, its runs of own lines, its lines
+    and its sentences. Quoted passages (runs of lines with `>`, their lines and sentences) are joined within the
+    conversation to the first message that wrote the passage itself. Lines and sentences of REPEATED words or more that
+    a message repeats from an earlier one without marking them count as quotes of the deepest level. A message replies
+    to the one with the longest passage it quotes at the shallowest level (ties: the later turn). ``thread`` is the turn
+    at which the chain of replies starts: conversations in reply order are the rows by conv_id, thread, turn.
+    ``own_text`` has no marked quotes (repeats are the writer's own words and stay); ``chat_text`` wraps it in role
+    marks. ``n_quotes`` counts runs of marked lines, ``n_repeats`` distinct passages that an earlier message wrote.
 
     A null text counts as empty; a null role is ``user``; messages with a null conversation or turn link with
-    nothing and are their own thread. Repeated (conversation, turn) rows all stay and get the same links.
-    Originals are reduced to one row a conversation and passage before the join, so a line that all messages share
-    makes no pairs; no conversation is gathered, so a hot one is no group. Further columns are not read.
+    nothing and are their own thread. Repeated (conversation, turn) rows all stay and get the same links, and do not
+    quote each other. Originals are reduced to one row a conversation and passage before the joins, so a line that all
+    messages share makes no pairs; no conversation is gathered, so a hot one is no group. Further columns are not read.
     """
-    m = stage(
-        messages.select(
-            F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"),
-            passages(F.coalesce(F.col(text), F.lit(""))).alias("runs"),
-        ).withColumn("own", F.filter("runs", lambda r: r["level"] == 0)),
-        "messages",
+    m = messages.select(
+        F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"),
+        lines_of(F.coalesce(F.col(text), F.lit(""))).alias("all_lines"),
     )
+    m = stage(m.withColumn("runs", runs_of(F.col("all_lines"))).drop("all_lines"), "messages")
+    own_runs = F.filter("runs", lambda r: r["level"] == 0)
     line_keys = lambda runs: F.flatten(F.transform(runs, lambda r: r["lines"]))
-    whole = lambda runs: F.array_join(line_keys(runs), " ")
-    quotes = (
-        m.where("conv_id IS NOT NULL AND turn IS NOT NULL AND exists(runs, r -> r.level > 0)")
+    joined = lambda runs: F.transform(runs, lambda r: F.array_join(r["lines"], " "))
+    sentences = lambda texts: F.flatten(F.transform(texts, lambda t: F.split(t, SENTENCE)))
+    placed = m.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+
+    # Own passages, of which lines and sentences may repeat earlier ones.
+    own = placed.select("conv_id", "turn", own_runs.alias("o")).select("conv_id", "turn", joined(F.col("o")).alias("o_runs"), line_keys(F.col("o")).alias("o_lines"))
+    parts = F.array_union(F.col("o_lines"), sentences(F.col("o_runs")))
+    wholes = F.array_except(F.array_union(F.array(F.array_join("o_lines", " ")), F.col("o_runs")), parts)
+    tagged = F.concat(F.transform(parts, lambda k: F.struct(k.alias("k"), F.lit(True).alias("part"))), F.transform(wholes, lambda k: F.struct(k.alias("k"), F.lit(False).alias("part"))))
+    said = own.select("conv_id", "turn", F.explode(tagged).alias("p")).select("conv_id", "turn", normalised(F.col("p.k")).alias("k"), "p.part").where("k <> ''")
+    said = said.select("conv_id", "turn", F.xxhash64("k").alias("h"), F.length("k").alias("size"), (F.col("part") & (F.regexp_count("k", F.lit(" ")) >= REPEATED - 1)).alias("part"))
+    first = stage(said.groupBy("conv_id", "h").agg(F.min("turn").alias("said"), F.max(F.when(F.col("part"), F.col("turn"))).alias("last")), "first")
+    repeats = said.where("part").join(first.where("last > said").select("conv_id", "h", "said"), ["conv_id", "h"]).where("said < turn")
+    repeats = repeats.select("conv_id", "turn", F.lit(UNMARKED).alias("level"), "size", "h", "said").distinct()
+
+    marked = (
+        placed.where("exists(runs, r -> r.level > 0)")
         .select("conv_id", "turn", F.explode(F.filter("runs", lambda r: r["level"] > 0)).alias("q"))
-        .select("conv_id", "turn", "q.level", F.explode(F.array_union(F.array(F.array_join("q.lines", " ")), F.col("q.lines"))).alias("k"))
+        .select("conv_id", "turn", "q.level", F.array_join("q.lines", " ").alias("whole"), "q.lines")
+        .select("conv_id", "turn", "level", F.explode(F.array_union(F.array_union(F.array("whole"), F.col("lines")), F.split("whole", SENTENCE))).alias("k"))
         .withColumn("k", normalised(F.col("k")))
         .where("k <> ''")
         .select("conv_id", "turn", "level", F.length("k").alias("size"), F.xxhash64("k").alias("h"))
         .distinct()
     )
-    quotes = stage(quotes, "quotes")
-    links = None
-    if not quotes.isEmpty():
-        cited = quotes.select("conv_id").distinct()
-        first = (
-            m.where("turn IS NOT NULL").join(cited, "conv_id", "left_semi")
-            .select("conv_id", "turn", F.explode(F.array_union(F.array_union(F.array(whole(F.col("own"))), F.transform("own", lambda r: F.array_join(r["lines"], " "))), line_keys(F.col("own")))).alias("k"))
-            .withColumn("k", normalised(F.col("k")))
-            .where("k <> ''")
-            .groupBy("conv_id", F.xxhash64("k").alias("h"))
-            .agg(F.min("turn").alias("said"))
-        )
-        links = stage(
-            quotes.join(first, ["conv_id", "h"])
-            .where("said < turn")
-            .groupBy("conv_id", "turn")
-            .agg(F.max(F.struct(-F.col("level"), F.col("size"), F.col("said"))).alias("best"))
-            .select("conv_id", "turn", F.col("best.said").alias("reply_to"), F.col("best.said").alias("thread")),
+    marked = marked.join(first.select("conv_id", "h", "said"), ["conv_id", "h"]).where("said < turn").select("conv_id", "turn", "level", "size", "h", "said")
+    links = stage(
+        marked.unionByName(repeats)
+        .groupBy("conv_id", "turn")
+        .agg(F.max(F.struct(-F.col("level"), F.col("size"), F.col("said"))).alias("best"), F.count_if(F.col("level") == UNMARKED).alias("n_repeats"))
+        .select("conv_id", "turn", F.col("best.said").alias("reply_to"), F.col("best.said").alias("thread"), "n_repeats"),
+        "links",
+    )
+    while True:
+        up = links.select("conv_id", F.col("turn").alias("thread"), F.col("thread").alias("up"))
+        jumped = stage(
+            links.join(up, ["conv_id", "thread"], "left").select(
+                "conv_id", "turn", "reply_to", F.coalesce("up", "thread").alias("thread"), "n_repeats", F.col("up").isNotNull().alias("moved")
+            ),
             "links",
         )
-        while True:
-            up = links.select("conv_id", F.col("turn").alias("thread"), F.col("thread").alias("up"))
-            jumped = stage(
-                links.join(up, ["conv_id", "thread"], "left").select(
-                    "conv_id", "turn", "reply_to", F.coalesce("up", "thread").alias("thread"), F.col("up").isNotNull().alias("moved")
-                ),
-                "links",
-            )
-            unstage(links)
-            links = jumped
-            if links.where("moved").isEmpty():
-                break
-    if links is None:
-        linked = m.withColumn("reply_to", F.lit(None).cast(m.schema["turn"].dataType)).withColumn("thread", F.col("reply_to"))
-    else:
-        linked = m.join(links.drop("moved"), ["conv_id", "turn"], "left")
-    own = F.regexp_replace(F.array_join(line_keys(F.col("own")), "\n"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+        unstage(links)
+        links = jumped
+        if links.where("moved").isEmpty():
+            break
+    unstage(first)
+    linked = m.join(links.drop("moved"), ["conv_id", "turn"], "left")
+    own_text = F.regexp_replace(F.array_join(line_keys(own_runs), "\n"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     return linked.select(
         "conv_id", "turn", "role", "reply_to", F.coalesce("thread", "turn").alias("thread"),
-        F.size(F.filter("runs", lambda r: r["level"] > 0)).alias("n_quotes"),
+        F.size(F.filter("runs", lambda r: r["level"] > 0)).alias("n_quotes"), F.coalesce("n_repeats", F.lit(0)).alias("n_repeats"),
         F.array_max(F.transform("runs", lambda r: r["level"])).alias("deepest"),
-        own.alias("own_text"),
+        own_text.alias("own_text"),
     ).withColumn("chat_text", F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.col("own_text"), F.lit("<|end|>")))
