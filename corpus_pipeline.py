@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from roadflow.llm import hyperminhash, mixing, pieces, secrets, toxicity
-from roadflow.llm.shared import fresh, split_by_keys, stage, unstage
+from roadflow.llm.shared import batches_of, fresh, split_by_keys, stage, unstage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,8 +58,12 @@ def mix_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece ids of every document, with their checksum and whether they decode to the text."""
-    return pieces.tokenised(docs.select("doc_id", "text"), pieces.default_model()).drop("text")
+    """SentencePiece ids of every document, with their checksum and whether they decode to the text.
+
+    Staged here, so that its Arrow batches can be small: workers that earlier stages have filled leave little room.
+    """
+    with batches_of(spark, 1000):
+        return stage(pieces.tokenised(docs.select("doc_id", "text"), pieces.default_model()).drop("text"), "pieces")
 
 
 STAGES: list[tuple[str, Stage]] = [
