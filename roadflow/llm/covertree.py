@@ -118,7 +118,9 @@ def traverse(a: CoverTree, b: CoverTree, limit: float, same: bool, tally: Counte
         next_a, next_b = at(a, level + 1)[0], at(b, level + 1)[0]
         low_a, high_a = np.searchsorted(next_a, sa), np.searchsorted(next_a, ea)
         low_b, high_b = np.searchsorted(next_b, sb), np.searchsorted(next_b, eb)
-        cut = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1]))) if len(p) else np.zeros(0, np.int64)
+        if not len(p):
+            return
+        cut = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
         groups = [
             (np.arange(low_a[p[s]], high_a[p[s]]), np.concatenate([np.arange(low_b[c], high_b[c]) for c in q[s:e]]))
             for s, e in zip(cut, [*cut[1:], len(p)], strict=True)
