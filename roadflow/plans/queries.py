@@ -435,34 +435,55 @@ def _reads(o: DataFrame) -> DataFrame:
 def fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = observations(spark, sf_dir)
     points = o.where("event_type <> 'purchase'").select("vehicle_id", "ms", "direction", "mileage", "lane")
-    return fusion.reads_to_tracks(_reads(o), points, seen_before=o.where("day = DATE'2024-01-01'"), reach=2500, wait_ms=1_800_000, step_ms=120_000)
+    return fusion.reads_to_tracks(_reads(o), points, seen_before=o.where("day = DATE'2024-01-01'"), reach=2500, wait_ms=1_800_000, step_ms=120_000, guard_ms=GUARD)
+
+
+#: A vehicle can match again after so many milliseconds (the table's times are that much farther apart than a road's).
+GUARD = 3_600_000
 
 
 def _pass(k: int, fit: str, order: str) -> str:
-    gone = "" if k == 1 else " WHERE " + " AND ".join(f"read_id NOT IN (SELECT read_id FROM w{j}) AND vehicle_id NOT IN (SELECT vehicle_id FROM w{j})" for j in range(1, k))
-    return f"""b{k} AS (SELECT * FROM (SELECT * FROM c{gone}) WHERE {fit} QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY {order}, vehicle_id) = 1),
-  w{k} AS (SELECT read_id, vehicle_id, {k} AS pass, distance FROM b{k} QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY distance, read_id) = 1)"""
+    gone = "" if k == 1 else " WHERE " + " AND ".join(
+        f"read_id NOT IN (SELECT read_id FROM w{j}) AND NOT EXISTS (SELECT 1 FROM w{j} WHERE w{j}.vehicle_id = c.vehicle_id AND abs(w{j}.match_ms - c.p_ms) < {GUARD})" for j in range(1, k)
+    )
+    return f"""b{k} AS (SELECT * FROM (SELECT * FROM c{gone}) WHERE {fit} QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY {order}, vehicle_id, p_ms) = 1),
+  w{k} AS (SELECT read_id, vehicle_id, {k} AS pass, distance, p_ms AS match_ms FROM b{k} a WHERE NOT EXISTS (SELECT 1 FROM b{k} z
+    WHERE z.vehicle_id = a.vehicle_id AND abs(z.p_ms - a.p_ms) < {GUARD} AND (z.distance < a.distance OR z.distance = a.distance AND z.read_id < a.read_id)))"""
 
 
 FUSED = f"""{O}, r AS (SELECT event_id AS read_id, ms, direction, (mileage - 1016020 + 2500) // 5000 * 5000 + 1016020 AS mileage, lane, CASE WHEN event_id % 10 = 0 THEN '99' ELSE '1' END AS env, frame FROM o WHERE event_type = 'purchase'),
-  c AS MATERIALIZED (SELECT r.*, o.vehicle_id, o.mileage AS pm, o.lane AS pl, abs(o.mileage - r.mileage) AS distance, (o.ms - r.ms) // 120000 AS tries,
+  c AS MATERIALIZED (SELECT r.*, o.vehicle_id, o.ms AS p_ms, o.mileage AS pm, o.lane AS pl, abs(o.mileage - r.mileage) AS distance, (o.ms - r.ms) // 120000 AS tries,
     o.vehicle_id IN (SELECT vehicle_id FROM o WHERE day = DATE '2024-01-01') AS known FROM r JOIN o ON o.event_type <> 'purchase' AND o.direction = r.direction AND o.ms BETWEEN r.ms AND r.ms + 1800000 AND abs(o.mileage - r.mileage) <= 2500),
   {_pass(1, "env <> '99' AND pl = lane AND CASE WHEN direction = 1 THEN pm <= mileage ELSE pm >= mileage END", "tries, distance")},
   {_pass(2, "env <> '99' AND (abs(pl - lane) <= 1 OR pl = 5)", "tries, known DESC, (pl <> lane)::INT, distance")},
   {_pass(3, "env = '99'", "tries, distance")},
-  w AS (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3), m AS (SELECT r.*, vehicle_id, pass, distance FROM r LEFT JOIN w USING (read_id))"""
+  w AS (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3), m AS (SELECT r.*, vehicle_id, pass, distance, match_ms FROM r LEFT JOIN w USING (read_id))"""
 
 
-@query(f"WITH {FUSED} SELECT read_id, coalesce(vehicle_id, -1) AS vehicle_id, coalesce(pass, 0)::BIGINT AS pass, coalesce(distance, -1) AS distance FROM m")
+@query(f"WITH {FUSED} SELECT read_id, coalesce(vehicle_id, -1) AS vehicle_id, coalesce(pass, 0)::BIGINT AS pass, coalesce(distance, -1) AS distance, coalesce(match_ms, -1) AS match_ms FROM m")
 def fuse_gantry(spark, sf_dir):
-    """Gantry reads given to tracks in three passes, one to one in each."""
-    return fused(spark, sf_dir).fillna({"vehicle_id": -1, "pass": 0, "distance": -1}).select("read_id", "vehicle_id", F.col("pass").cast("long"), "distance")
+    """Gantry reads given to tracks in three passes; a vehicle matches again once the guard's time has passed."""
+    return fused(spark, sf_dir).fillna({"vehicle_id": -1, "pass": 0, "distance": -1, "match_ms": -1}).select("read_id", "vehicle_id", F.col("pass").cast("long"), "distance", "match_ms")
+
+
+@query(f"""WITH {FUSED}, n AS (SELECT vehicle_id, 'P' || (read_id % 5) AS plate, count(*) AS votes, min((match_ms, read_id)) AS first FROM m WHERE vehicle_id IS NOT NULL GROUP BY 1, 2)
+  SELECT vehicle_id, plate, votes, votes >= 10 AS settled FROM n QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY votes DESC, first) = 1""")
+def fused_votes(spark, sf_dir):
+    """Plates of vehicles by vote over all their matched reads: several gantries speak for a vehicle."""
+    votes = fused(spark, sf_dir).where("vehicle_id IS NOT NULL").withColumn("plate", F.concat(F.lit("P"), F.col("read_id") % 5))
+    return flow.plate_votes(votes, order=("match_ms", "read_id"))
 
 
 @query(f"""WITH {FUSED} SELECT frame // 24 AS tick, count(*) AS reads, count(*) FILTER (vehicle_id IS NULL) AS anomalies,
   coalesce(string_agg(read_id::VARCHAR, ',' ORDER BY read_id::VARCHAR) FILTER (vehicle_id IS NULL), '') AS unmatched FROM m GROUP BY 1""")
 def match_summary(spark, sf_dir):
-    return flow.match_summary(fused(spark, sf_dir).withColumn("tick", F.floor(F.col("frame") / 24)))
+    """The second output of a fusion run: reads and anomalies by tick."""
+    o = observations(spark, sf_dir)
+    points = o.where("event_type <> 'purchase'").select("vehicle_id", "ms", "direction", "mileage", "lane")
+    _, summary = fusion.fused_and_summed(
+        _reads(o), points, F.floor(F.col("frame") / 24), seen_before=o.where("day = DATE'2024-01-01'"), reach=2500, wait_ms=1_800_000, step_ms=120_000, guard_ms=GUARD
+    )
+    return summary
 
 
 @query(f"""WITH {O}, s AS (SELECT DISTINCT vehicle_id, frame FROM o), n AS (SELECT vehicle_id, frame, lead(frame) OVER (PARTITION BY vehicle_id ORDER BY frame) AS nx FROM s),

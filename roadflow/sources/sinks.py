@@ -13,14 +13,25 @@ from ..functions import scalars as S
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder in the cluster's shared one (``spark.checkpoint.dir``); a temporary one only where that is unset."""
+    """A fresh folder in the cluster's shared one (``spark.checkpoint.dir``). Where that is unset, a temporary one on a
+    single machine (master ``local``); on a cluster an error, as executors and driver must share it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(rows: DataFrame, label: str) -> DataFrame:
+    """The rows written to the work folder and read again: computed once, whoever reads them, and safe from lost executors."""
+    path = work_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def to_json_values(rows: DataFrame, key: str | None = None) -> DataFrame:
     """Rows as JSON text in ``value`` (and ``key``), as a topic takes them."""
     value = F.to_json(F.struct("*")).alias("value")
@@ -84,6 +95,24 @@ def image_files(rows: DataFrame, image: str, prefix: str, time: str, plate: str)
     )
 
 
+def write_counts(counts: DataFrame, path: str, ts: str, now: Column | None = None) -> None:
+    """Daily or hourly counts with the time they were computed, one partition a day; a repeated run replaces its days."""
+    stamped = counts.withColumns({"execution_time": F.current_timestamp() if now is None else now, "day": F.date_format(ts, "yyyyMMdd")})
+    overwrite_partitions(stamped, path, "day")
+
+
+def write_gantry_records(records: DataFrame, path: str, ts: str) -> None:
+    """Records under a folder for each day, named `<yyyyMMdd>_GantryRecords`."""
+    named = records.withColumn("bucket", F.concat(F.date_format(ts, "yyyyMMdd"), F.lit("_GantryRecords")))
+    named.write.mode("append").partitionBy("bucket").json(path)
+
+
+def write_images(rows: DataFrame, path: str, image: str, prefix: str, time: str, plate: str) -> None:
+    """Images as a table of file name and content under `<yyyyMMdd>_AnomalyPics`; rows without image are left out."""
+    files = image_files(rows, image, prefix, time, plate)
+    files.withColumn("bucket", F.concat(F.col("day"), F.lit("_AnomalyPics"))).drop("day").write.mode("append").partitionBy("bucket").parquet(path)
+
+
 def capture_text(stream: DataFrame, path: str, checkpoint: str):
     return stream.select("value").writeStream.format("text").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
 
