@@ -17,6 +17,8 @@ from .vectors import digests, dots, sizes_of, usable
 BLOCK, LEAST_BLOCK, BLOCKS = 16384, 1024, 4
 #: Size of the sample that gives the top cells, and their largest number; cells by which a tree is cut for a partner.
 SAMPLE, CELLS, CUT = 2048, 1024, 512
+#: Pairs of children from which on a matrix product pays.
+MATRIX = 4096
 #: Slack of distances, and of inner products, in single precision; what lies within it is compared in double precision.
 SLACK, FUZZ = 2e-3, 2e-5
 
@@ -90,58 +92,82 @@ def traverse(a: CoverTree, b: CoverTree, limit: float, same: bool, tally: Counte
     tally = Counter() if tally is None else tally
     depth = max(len(a.levels), len(b.levels))
     at = lambda tree, k: tree.levels[min(k, len(tree.levels) - 1)]
-    groups = [(np.arange(len(at(a, 0)[0])), np.arange(len(at(b, 0)[0])))]
+    p, q = np.zeros(1, np.int64), np.zeros(1, np.int64)  # surviving pairs of cells of the level above
+    low_a, high_a, low_b, high_b = (np.array([v]) for v in (0, len(at(a, 0)[0]), 0, len(at(b, 0)[0])))
     for level in range(depth):
         (sa, ea, ra), (sb, eb, rb) = at(a, level), at(b, level)
         on_p, on_q = [], []
-        for rows, cols in groups:
-            for k in range(0, len(rows), 512):
-                some = rows[k : k + 512]
-                tally["centres"] += len(some) * len(cols)
-                p, q, sure = _near(a.x[sa[some]] @ b.x[sb[cols]].T, limit, ra[some], rb[cols])
-                p, q = some[p], cols[q]
-                if same:
-                    keep = sa[p] <= sb[q]  # ranges of a level are equal or disjoint
-                    p, q, sure = p[keep], q[keep], sure[keep]
-                if sure.any():
-                    yield "cells", (sa[p[sure]], ea[p[sure]], sb[q[sure]], eb[q[sure]])
-                    p, q = p[~sure], q[~sure]
-                ends = (ra[p] == 0) & (rb[q] == 0) if level < depth - 1 else np.ones(len(p), bool)
-                yield from _every_row(sa[p[ends]], ea[p[ends]], sb[q[ends]], eb[q[ends]], same, tally)
-                on_p.append(p[~ends])
-                on_q.append(q[~ends])
-        if level == depth - 1:
-            return
+        for i, j, sure in _children(a, b, level, low_a[p], high_a[p], low_b[q], high_b[q], p, limit, tally):
+            if same:
+                keep = sa[i] <= sb[j]  # ranges of a level are equal or disjoint
+                i, j, sure = i[keep], j[keep], sure[keep]
+            if sure.any():
+                yield "cells", (sa[i[sure]], ea[i[sure]], sb[j[sure]], eb[j[sure]])
+                i, j = i[~sure], j[~sure]
+            ends = (ra[i] == 0) & (rb[j] == 0) if level < depth - 1 else np.ones(len(i), bool)
+            yield from _every_row(sa[i[ends]], ea[i[ends]], sb[j[ends]], eb[j[ends]], same, tally)
+            on_p.append(i[~ends])
+            on_q.append(j[~ends])
         p, q = np.concatenate(on_p), np.concatenate(on_q)
+        if not len(p) or level == depth - 1:
+            return
         by = np.argsort(p, kind="stable")
         p, q = p[by], q[by]
         next_a, next_b = at(a, level + 1)[0], at(b, level + 1)[0]
         low_a, high_a = np.searchsorted(next_a, sa), np.searchsorted(next_a, ea)
         low_b, high_b = np.searchsorted(next_b, sb), np.searchsorted(next_b, eb)
-        if not len(p):
-            return
-        cut = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-        groups = [
-            (np.arange(low_a[p[s]], high_a[p[s]]), np.concatenate([np.arange(low_b[c], high_b[c]) for c in q[s:e]]))
-            for s, e in zip(cut, [*cut[1:], len(p)], strict=True)
-        ]
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges [low, high), one range after the other."""
+    size = high - low
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - size), size)
+
+
+def _children(
+    a: CoverTree, b: CoverTree, level: int, low_a: np.ndarray, high_a: np.ndarray, low_b: np.ndarray, high_b: np.ndarray, parent: np.ndarray, limit: float, tally: Counter
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of cells of the level, children of the given pairs of ranges, that may hold rows within the limit, and whether
+    all of theirs surely are. The children of a cell of a that has many to meet are one matrix product, others go pair by
+    pair; pairs are ordered by their ``parent`` in a."""
+    (sa, _, ra), (sb, _, rb) = (t.levels[min(level, len(t.levels) - 1)] for t in (a, b))
+    first = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1])))
+    last = np.append(first[1:], len(parent))
+    meets = np.add.reduceat((high_a - low_a) * (high_b - low_b), first)
+    for s, e in zip(first[meets >= MATRIX], last[meets >= MATRIX], strict=True):
+        rows, cols = np.arange(low_a[s], high_a[s]), _ranges(low_b[s:e], high_b[s:e])
+        for k in range(0, len(rows), 512):
+            some = rows[k : k + 512]
+            tally["centres"] += len(some) * len(cols)
+            i, j, sure = _near(a.x[sa[some]] @ b.x[sb[cols]].T, limit, ra[some], rb[cols])
+            yield some[i], cols[j], sure
+    few = np.repeat(meets < MATRIX, last - first)
+    low_a, low_b, nb, size = low_a[few], low_b[few], (high_b - low_b)[few], ((high_a - low_a) * (high_b - low_b))[few]
+    total = np.cumsum(size)
+    for k in range(0, int(total[-1]) if len(total) else 0, 1 << 17):
+        flat = np.arange(k, min(k + (1 << 17), int(total[-1])))
+        pair = np.searchsorted(total, flat, side="right")
+        inside = flat - (total[pair] - size[pair])
+        i, j = low_a[pair] + inside // nb[pair], low_b[pair] + inside % nb[pair]
+        tally["centres"] += len(i)
+        apart = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", a.x[sa[i]], b.x[sb[j]]), 0))
+        reach = ra[i] + rb[j]
+        near = apart <= limit + SLACK + reach
+        yield i[near], j[near], (apart + reach <= limit - SLACK)[near] & (reach > 0)[near]
 
 
 def _near(near: np.ndarray, limit: float, ra: np.ndarray, rb: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of unit centres, from their inner products, whose cells may hold rows within the limit, and whether all of
     their rows surely are. Cells of one row have radius 0 and share one bound, so that they need a single comparison."""
     far = limit + SLACK
-    plain_a, plain_b = np.flatnonzero(ra == 0), np.flatnonzero(rb == 0)
-    wide_a, wide_b = np.flatnonzero(ra > 0), np.flatnonzero(rb > 0)
-    if len(wide_a) or len(wide_b):
-        inner = near[np.ix_(plain_a, plain_b)]
-    else:
-        inner = near
-    u, v = np.divmod(np.flatnonzero(inner >= np.float32(1 - far * far / 2)), max(inner.shape[1], 1))
-    p, q, sure = [plain_a[u]], [plain_b[v]], [np.zeros(len(u), bool)]
-    for rows, cols in ((wide_a, np.arange(len(rb))), (plain_a, wide_b)):
-        if len(rows) and len(cols):
-            apart = np.sqrt(np.maximum(2 - 2 * near[np.ix_(rows, cols)], 0))
+    u, v = np.divmod(np.flatnonzero(near >= np.float32(1 - far * far / 2)), near.shape[1])
+    plain = (ra[u] == 0) & (rb[v] == 0)
+    p, q, sure = [u[plain]], [v[plain]], [np.zeros(int(plain.sum()), bool)]
+    wide_a, wide_b, plain_a = np.flatnonzero(ra > 0), np.flatnonzero(rb > 0), np.flatnonzero(ra == 0)
+    for rows, cols, part in ((wide_a, np.arange(len(rb)), near[wide_a]), (plain_a, wide_b, near[:, wide_b][plain_a])):
+        if part.size:
+            apart = np.sqrt(np.maximum(2 - 2 * part, 0))
             reach = ra[rows, None] + rb[None, cols]
             u, v = np.nonzero(apart <= far + reach)
             p.append(rows[u])
