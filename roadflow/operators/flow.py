@@ -130,29 +130,50 @@ def monotonicity(rows: DataFrame, by: str, value: str, order: Sequence[str]) ->
     return before.groupBy(by).agg(F.when(up, "INCREASING").when(down, "DECREASING").otherwise("NOT_MONOTONIC").alias("trend"))
 
 
-def packed_frames(frames: DataFrame, least: int, bucket: Column) -> DataFrame:
-    """Frames numbered into packs of about ``least`` points by a running total in time order. The total is taken in two
-    levels: bucket totals first, then within buckets, so that no window spans the table."""
+def numbered(rows: DataFrame, by: str, bucket: Column, order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``no`` (from 0) in their order within ``by``, and ``of``, the number of rows there. Numbers are taken in
+    two levels: ``bucket`` grows with the order, counts of buckets are summed up first, and rows are numbered within
+    buckets, so that no task sorts all rows of a hot ``by``."""
+    r = rows.withColumn("_bucket", bucket)
+    counts = r.groupBy(by, "_bucket").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(by)
+    base = counts.select(
+        F.col(by).alias("_by"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_c").over(w.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.sum("_c").over(w).alias("of")
+    )
+    inside = F.row_number().over(Window.partitionBy(by, "_bucket").orderBy(*order)) - 1
+    same = F.col(by).eqNullSafe(F.col("_by")) & F.col("_bucket").eqNullSafe(F.col("_b"))
+    return r.withColumn("_in", inside).join(base, same).withColumn("no", F.col("_base") + F.col("_in")).drop("_bucket", "_b", "_by", "_in", "_base")
+
+
+def running_total(frames: DataFrame, n: str, order: str, bucket: Column) -> DataFrame:
+    """``frames`` with ``total``, the sum of ``n`` so far in the given order; bucket totals first, then within buckets, so
+    that no window spans the table."""
     f = frames.withColumn("_bucket", bucket)
-    totals = f.groupBy("_bucket").agg(F.sum("n").alias("_t"))
+    totals = f.groupBy("_bucket").agg(F.sum(n).alias("_t"))
     base = totals.select("_bucket", F.coalesce(F.sum("_t").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    inside = F.coalesce(F.sum("n").over(Window.partitionBy("_bucket").orderBy("frame").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return f.withColumn("_in", inside).join(base, "_bucket").withColumn("pack", F.floor((F.col("_base") + F.col("_in")) / least)).drop("_bucket", "_in", "_base")
+    inside = F.sum(n).over(Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return f.withColumn("_in", inside).join(base, "_bucket").withColumn("total", F.col("_base") + F.col("_in")).drop("_bucket", "_in", "_base")
+
+
+def packed_frames(frames: DataFrame, least: int, bucket: Column) -> DataFrame:
+    """Frames numbered into packs of about ``least`` points by the points of all frames before them."""
+    return running_total(frames, "n", "frame", bucket).withColumn("pack", F.floor((F.col("total") - F.col("n")) / least)).drop("total")
 
 
-def renumbered(points: DataFrame, by: str, order: Sequence[str], first: int = 10000) -> DataFrame:
-    """Points of each pack with new ids from ``first`` and plates padded from them."""
-    n = F.row_number().over(Window.partitionBy(by).orderBy(*order)) + (first - 1)
-    return points.withColumn("new_id", n).withColumn("new_plate", F.lpad(F.col("new_id").cast("string"), 7, "0"))
+def renumbered(points: DataFrame, by: str, bucket: Column, order: Sequence[str], first: int = 10000) -> DataFrame:
+    """Points of each pack with new ids from ``first`` and plates padded from them; ``bucket`` as in ``numbered``."""
+    n = numbered(points, by, bucket, order).withColumn("new_id", F.col("no") + first).drop("no", "of")
+    return n.withColumn("new_plate", F.lpad(F.col("new_id").cast("string"), 7, "0"))
 
 
-def chunked(frames: DataFrame, items: str) -> DataFrame:
-    """Frames cut into chunks: max(50, n / 2) items up to 1000, 300 up to 5000, 500 up to 10000, else 1000."""
-    n = F.size(items)
+def chunked(points: DataFrame, by: str, bucket: Column, order: Sequence[str], item: str) -> DataFrame:
+    """``by, chunk, items``: the items of each frame cut into chunks of max(50, n / 2) items up to 1000, 300 up to 5000,
+    500 up to 10000, else 1000. Only chunks are gathered, never a frame."""
+    n = F.col("of")
     width = F.when(n <= 1000, F.greatest(F.lit(50), F.floor(n / 2).cast("int"))).when(n <= 5000, 300).when(n <= 10000, 500).otherwise(1000)
-    count = F.ceil(n / width).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda k: F.slice(items, k * width + 1, width))
-    return frames.select(*[c for c in frames.columns if c != items], F.posexplode(parts).alias("chunk", items))
+    placed = numbered(points, by, bucket, order).withColumn("chunk", F.floor(F.col("no") / width))
+    items = F.transform(F.sort_array(F.collect_list(F.struct("no", item))), lambda x: x[item])
+    return placed.groupBy(by, "chunk").agg(items.alias("items"))
 
 
 def latest_features(rows: DataFrame, key: str, fields: Sequence[str], order: Sequence[str] = ("ts", "event_id")) -> DataFrame:

@@ -42,10 +42,11 @@ def nearest_gantry(points: DataFrame, gantries: DataFrame, reach: int = 100) ->
 
 
 def nearest_road_point(points: DataFrame, road: DataFrame, reach: float = 0.01) -> DataFrame:
-    """``road_seq`` of the road point with the smallest |dlat| + |dlon|, looked for within ``reach`` degrees; else null."""
+    """``road_seq`` of the road point with the smallest |dlat| + |dlon| (to nine decimals; ties: the first one), looked for
+    within ``reach`` degrees; else null."""
     table = _cells(road, "latitude", reach, [], ["latitude", "longitude", "road_seq"])
     away = lambda d: F.abs(d["latitude"] - F.col("latitude")) + F.abs(d["longitude"] - F.col("longitude"))
-    best = F.array_min(F.transform(F.filter("_near", lambda d: away(d) <= reach), lambda d: F.struct(away(d).alias("l1"), d["road_seq"].alias("road_seq"))))
+    best = F.array_min(F.transform(F.filter("_near", lambda d: away(d) <= reach), lambda d: F.struct(F.round(away(d), 9).alias("l1"), d["road_seq"].alias("road_seq"))))
     keyed = points.withColumn("_cell", F.floor(F.col("latitude") / reach))
     return keyed.join(table, "_cell", "left").withColumn("_b", best).withColumns({"road_seq": F.col("_b.road_seq"), "l1": F.col("_b.l1")}).drop("_cell", "_near", "_b")
 
@@ -133,7 +134,8 @@ def absent_vehicles(frames: DataFrame, points: DataFrame, max_gap: int) -> DataF
     frames up to the vehicle's next one, and those that are frames at all remain."""
     nxt = F.lead("frame").over(Window.partitionBy("vehicle_id").orderBy("frame"))
     seen = points.select("vehicle_id", "frame").distinct().withColumn("_next", nxt)
-    last = F.least(F.coalesce(F.col("_next") - 1, F.col("frame") + max_gap), F.col("frame") + max_gap)
+    end = frames.agg(F.max("frame")).head()[0]
+    last = F.least(F.coalesce(F.col("_next") - 1, F.lit(end)), F.col("frame") + max_gap)
     gaps = seen.where(last > F.col("frame")).select("vehicle_id", F.explode(F.sequence(F.col("frame") + 1, last)).alias("frame"))
     return gaps.join(frames.select("frame").distinct(), "frame", "left_semi").select("frame", "vehicle_id")
 

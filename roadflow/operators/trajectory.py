@@ -44,9 +44,9 @@ def session_summaries(points: DataFrame, gap_s: float = 10.0, order: Sequence[st
 
 
 def session_samples(points: DataFrame, gap_s: float, step_s: float, order: Sequence[str] = ORDER) -> DataFrame:
-    """Number of points of each session that greedy down-sampling keeps, and the last kept second of it."""
+    """Number of points of each session, how many greedy down-sampling keeps, and the last kept second of it."""
     s = sessions(points, gap_s, order).groupBy("vehicle_id", "session").agg(F.sort_array(F.collect_list(_seconds("ts"))).alias("t"))
-    return s.withColumn("kept", sampled(F.col("t"), step_s)).select("vehicle_id", "session", F.size("kept").alias("kept"), F.try_element_at("kept", F.lit(-1)).alias("last_kept"))
+    return s.withColumn("kept", sampled(F.col("t"), step_s)).select("vehicle_id", "session", F.size("t").alias("points"), F.size("kept").alias("kept"), F.try_element_at("kept", F.lit(-1)).alias("last_kept"))
 
 
 def trajectory_lists(points: DataFrame, gap_s: float, fields: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
@@ -75,16 +75,30 @@ def missed_frames(points: DataFrame, frames: DataFrame) -> DataFrame:
     return seen.withColumn("missed", F.col("rank") - F.lag("rank").over(Window.partitionBy("vehicle_id").orderBy("rank")) - 1)
 
 
-def message_gaps(messages: DataFrame, by: str, order: Sequence[str] = ORDER) -> DataFrame:
-    """Milliseconds since the message before."""
+def before(rows: DataFrame, by: str, bucket: Column, order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """``rows`` with ``name``: the value of the row before within ``by``. ``bucket`` grows with the order: within a bucket
+    it is a lag, and a bucket's first row gets the last value of the bucket before, so that a hot ``by`` spreads."""
+    r = rows.withColumns({"_bucket": bucket, "_value": value})
+    o = F.struct(*order)
+    ends = r.groupBy(by, "_bucket").agg(F.max_by("_value", o).alias("_end"))
+    carried = ends.select(F.col(by).alias("_by"), F.col("_bucket").alias("_b"), F.lag("_end").over(Window.partitionBy(by).orderBy("_bucket")).alias("_carried"))
+    w = Window.partitionBy(by, "_bucket").orderBy(*order)
+    r = r.withColumns({"_own": F.lag("_value").over(w), "_first": F.row_number().over(w) == 1})
+    same = F.col(by).eqNullSafe(F.col("_by")) & F.col("_bucket").eqNullSafe(F.col("_b"))
+    return r.join(carried, same).withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_own"))).drop("_bucket", "_value", "_by", "_b", "_carried", "_own", "_first")
+
+
+def message_gaps(messages: DataFrame, by: str, order: Sequence[str] = ORDER, bucket: Column | None = None) -> DataFrame:
+    """Milliseconds since the message before; messages meet by source and hour, or the given ``bucket``."""
     ms = S.epoch_ms(F.col("ts"))
-    return messages.withColumn("gap_ms", ms - F.lag(ms).over(Window.partitionBy(by).orderBy(*order)))
+    b = before(messages, by, F.date_trunc("hour", "ts") if bucket is None else bucket, order, ms, "_before")
+    return b.withColumn("gap_ms", ms - F.col("_before")).drop("_before")
 
 
-def sequence_gaps(messages: DataFrame, by: str, sn: str, order: Sequence[str] = ORDER) -> DataFrame:
+def sequence_gaps(messages: DataFrame, by: str, sn: str, order: Sequence[str] = ORDER, bucket: Column | None = None) -> DataFrame:
     """Messages whose number isn't one more than that of the message before."""
-    before = F.lag(sn).over(Window.partitionBy(by).orderBy(*order))
-    return messages.withColumn("before", before).where(F.col(sn) != F.col("before") + 1)
+    b = before(messages, by, F.date_trunc("hour", "ts") if bucket is None else bucket, order, F.col(sn), "before")
+    return b.where(F.col(sn) != F.col("before") + 1)
 
 
 def headway(points: DataFrame, least: int = 10) -> DataFrame:
@@ -95,45 +109,9 @@ def headway(points: DataFrame, least: int = 10) -> DataFrame:
 
 def snapshot(points: DataFrame, frames: int, order: Sequence[str] = ORDER) -> DataFrame:
     """Trajectories of all vehicles up to the n-th frame, open as they are."""
-    first = [r["frame"] for r in points.select("frame").distinct().orderBy("frame").limit(frames).collect()]
-    upto = first[-1] if first else -1
-    return points.where(F.col("frame") <= upto).groupBy("vehicle_id").agg(F.count("*").alias("points"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, "mileage"))), lambda x: x["mileage"].cast("string")), ",").alias("mileages"))
-
-
-def completed(points: DataFrame, interval_ms: int = 200, max_gap: int = 3000, low: int = 1016020, high: int = 1173790, window: int = 20, road_only_forward: bool = False) -> DataFrame:
-    """Predicted points of the frames in which a vehicle is missing between two of its sightings.
-
-    ``points(vehicle_id, frame, mileage, direction, speed, plate)``, one a frame. The speed is the mean of the last
-    ``window`` speeds since the vehicle (re)appeared, which each step joins; each step goes speed * interval metres up
-    or down the road, truncated to whole metres; a point off the road ends the prediction, as do ``max_gap`` frames.
-    With ``road_only_forward`` (ramps) the mileage always grows.
-    """
-    w = Window.partitionBy("vehicle_id").orderBy("frame")
-    p = points.withColumn("_run", F.sum(F.coalesce((F.col("frame") - F.lag("frame").over(w) > 1).cast("int"), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    p = p.withColumn("_speeds", F.collect_list("speed").over(Window.partitionBy("vehicle_id", "_run").orderBy("frame").rowsBetween(1 - window, 0)))
-    p = p.withColumn("_gap", F.lead("frame").over(w) - F.col("frame") - 1).where("_gap > 0").withColumn("_gap", F.least("_gap", F.lit(max_gap).cast("long")))
-    up = F.lit(True) if road_only_forward else F.col("direction") == 1
-    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v) / F.size(a)
-
-    def step(acc: Column, k: Column) -> Column:
-        v = mean(acc["w"])
-        d = v * interval_ms / 3600
-        m = F.when(up, acc["m"] + d).otherwise(acc["m"] - d)
-        on = acc["on"] & (m >= low) & (m <= high)
-        m = m.cast("long")
-        longer = F.array_append(acc["w"], v)
-        return F.struct(
-            F.when(F.size(longer) > window, F.slice(longer, 2, window)).otherwise(longer).alias("w"), m.alias("m"), on.alias("on"),
-            F.when(on, F.array_append(acc["out"], F.struct((F.col("frame") + k).alias("frame"), m.alias("mileage"), v.alias("speed")))).otherwise(acc["out"]).alias("out"),
-        )
-
-    start = F.struct(
-        F.col("_speeds").cast("array<double>").alias("w"), F.col("mileage").cast("long").alias("m"), F.lit(True).alias("on"),
-        F.array().cast("array<struct<frame:bigint,mileage:bigint,speed:double>>").alias("out"),
-    )
-    rows = F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("_gap")), start, step, lambda acc: acc["out"])
-    out = p.select("vehicle_id", "direction", "plate", F.explode(rows).alias("q"))
-    return out.select("vehicle_id", "direction", S.mark_predicted(F.col("plate")).alias("plate"), "q.*", S.metres_to_stake(F.col("q.mileage")).alias("stake"), F.lit(True).alias("is_predicted"))
+    first = points.select("frame").distinct().orderBy("frame").limit(frames)
+    early = points.join(F.broadcast(first), "frame", "left_semi")  # ``frames`` rows at most
+    return early.groupBy("vehicle_id").agg(F.count("*").alias("points"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, "mileage"))), lambda x: x["mileage"].cast("string")), ",").alias("mileages"))
 
 
 def last_road_code(points: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:

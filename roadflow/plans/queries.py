@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import completion as dead
 from ..operators import flow, fusion, lookup
 from ..operators import trajectory as trj
 from ..sources import decode, sinks
@@ -171,9 +172,7 @@ def session_summary(spark, sf_dir):
 def session_sampled(spark, sf_dir):
     """Greedy down-sampling of each session to points an hour apart."""
     o = observations(spark, sf_dir)
-    s = trj.session_samples(o, 6 * 3600, 3600)
-    n = trj.sessions(o, 6 * 3600).groupBy("vehicle_id", "session").agg(F.count("*").alias("points"))
-    return s.join(n, ["vehicle_id", "session"]).select("vehicle_id", F.col("session").cast("long"), F.col("kept").cast("long"), "points")
+    return trj.session_samples(o, 6 * 3600, 3600).select("vehicle_id", F.col("session").cast("long"), F.col("kept").cast("long"), F.col("points").cast("long"))
 
 
 @query(f"WITH {SUMMARY} SELECT {t('date_trunc(' + chr(39) + 'hour' + chr(39) + ', start_ts)')} AS hour, count(*) AS n FROM z GROUP BY 1")
@@ -308,14 +307,13 @@ def pack_frames(spark, sf_dir):
 
 @query(f"WITH {O} SELECT event_id, row_number() OVER (PARTITION BY day ORDER BY ts, event_id) + 9999 AS new_id, lpad((row_number() OVER (PARTITION BY day ORDER BY ts, event_id) + 9999)::VARCHAR, 7, '0') AS new_plate FROM o")
 def renumbered_points(spark, sf_dir):
-    return flow.renumbered(observations(spark, sf_dir), "day", ["ts", "event_id"]).select("event_id", F.col("new_id").cast("long"), "new_plate")
+    return flow.renumbered(observations(spark, sf_dir), "day", F.col("frame"), ["ts", "event_id"]).select("event_id", F.col("new_id").cast("long"), "new_plate")
 
 
 @query(f"""WITH {O}, f AS (SELECT day, count(*) AS n FROM o GROUP BY 1), w AS (SELECT day, n, CASE WHEN n <= 1000 THEN greatest(50, n // 2) WHEN n <= 5000 THEN 300 WHEN n <= 10000 THEN 500 ELSE 1000 END AS w FROM f),
   c AS (SELECT day, n, w, unnest(range(0, CAST(ceil(n / w::DOUBLE) AS BIGINT))) AS chunk FROM w) SELECT {t('day')} AS day, chunk, least(w, n - chunk * w)::BIGINT AS points FROM c""")
 def chunk_frames(spark, sf_dir):
-    f = observations(spark, sf_dir).groupBy("day").agg(F.sort_array(F.collect_list("event_id")).alias("items"))
-    return flow.chunked(f, "items").select(text("day").alias("day"), F.col("chunk").cast("long"), F.size("items").cast("long").alias("points"))
+    return flow.chunked(observations(spark, sf_dir), "day", F.col("frame"), ["ts", "event_id"], "event_id").select(text("day").alias("day"), F.col("chunk").cast("long"), F.size("items").cast("long").alias("points"))
 
 
 @query(r"""SELECT word, count(*) AS "count" FROM (SELECT unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word FROM documents) GROUP BY word""")
@@ -376,11 +374,11 @@ def _moved(o: DataFrame) -> DataFrame:
 MOVED = "m AS (SELECT event_id, latitude + (event_id % 7) / 10000.0::DOUBLE AS latitude, longitude - (event_id % 5) / 10000.0::DOUBLE AS longitude FROM o)"
 
 
-@query(f"""WITH {O}, {ROADS}, {MOVED} SELECT event_id, round(min(abs(m.latitude - d.latitude) + abs(m.longitude - d.longitude)), 6) AS l1 FROM m JOIN d ON abs(m.latitude - d.latitude) <= 0.01 AND abs(m.longitude - d.longitude) <= 0.01
+@query(f"""WITH {O}, {ROADS}, {MOVED} SELECT event_id, round(min(abs(m.latitude - d.latitude) + abs(m.longitude - d.longitude)), 6) AS l1, arg_min(d.road_seq, (round(abs(m.latitude - d.latitude) + abs(m.longitude - d.longitude), 9), d.road_seq)) AS road_seq FROM m JOIN d ON abs(m.latitude - d.latitude) <= 0.01 AND abs(m.longitude - d.longitude) <= 0.01
   GROUP BY event_id HAVING min(abs(m.latitude - d.latitude) + abs(m.longitude - d.longitude)) <= 0.01""")
 def nearest_road_point(spark, sf_dir):
     n = lookup.nearest_road_point(_moved(observations(spark, sf_dir)), road(spark)).where("road_seq IS NOT NULL")
-    return n.select("event_id", F.round("l1", 6).alias("l1"))
+    return n.select("event_id", F.round("l1", 6).alias("l1"), "road_seq")
 
 
 @query(f"""WITH {O}, {ROADS}, e AS (SELECT min(mileage) AS a, max(mileage) AS z FROM d), p AS (SELECT event_id, mileage - 3000 + (event_id % 60) * 20 AS mileage FROM o)
@@ -487,10 +485,10 @@ def match_summary(spark, sf_dir):
 
 
 @query(f"""WITH {O}, s AS (SELECT DISTINCT vehicle_id, frame FROM o), n AS (SELECT vehicle_id, frame, lead(frame) OVER (PARTITION BY vehicle_id ORDER BY frame) AS nx FROM s),
-  e AS (SELECT vehicle_id, unnest(range(frame + 1, least(coalesce(nx - 1, frame + 3), frame + 3) + 1)) AS frame FROM n) SELECT frame, vehicle_id FROM e WHERE frame IN (SELECT frame FROM o)""")
+  e AS (SELECT vehicle_id, unnest(range(frame + 1, least(coalesce(nx - 1, frame + 3000), frame + 3000, (SELECT max(frame) FROM o)) + 1)) AS frame FROM n) SELECT frame, vehicle_id FROM e WHERE frame IN (SELECT frame FROM o)""")
 def absent_vehicles(spark, sf_dir):
     o = observations(spark, sf_dir)
-    return lookup.absent_vehicles(o, o, 3)
+    return lookup.absent_vehicles(o, o, 3000)
 
 
 @query(f"WITH {O} SELECT event_id, vehicle_id FROM o WHERE vehicle_id NOT IN (SELECT vehicle_id FROM o WHERE day = DATE '2024-01-01')")
@@ -536,25 +534,116 @@ def ramp_vehicles(spark, sf_dir):
     return o.where("device = 0").join(o.where("device = 1").select("plate"), "plate", "left_semi").select("vehicle_id", "plate").distinct()
 
 
-FRAMES = f"{O}, f AS (SELECT vehicle_id, frame, arg_min(mileage, event_id) AS mileage, arg_min(direction, event_id) AS direction, arg_min(speed, event_id) AS speed, arg_min(plate, event_id) AS plate FROM o GROUP BY 1, 2)"
+FRAMES = f"{O}, f AS (SELECT vehicle_id, frame, arg_min(mileage, event_id) AS mileage, arg_min(direction, event_id) AS direction, arg_min(speed, event_id) AS speed, arg_min(plate, event_id) AS plate, arg_min(regexp_extract({RAMPED}, '^([A-D]?K)', 1), event_id) AS road FROM o GROUP BY 1, 2)"
 
 
 def framed(o: DataFrame) -> DataFrame:
-    return o.groupBy("vehicle_id", "frame").agg(*[F.min_by(c, "event_id").alias(c) for c in ("mileage", "direction", "speed", "plate")])
+    return o.groupBy("vehicle_id", "frame").agg(*[F.min_by(c, "event_id").alias(c) for c in ("mileage", "direction", "speed", "plate", "road")])
 
 
-@query(f"""WITH {FRAMES}, g AS (SELECT *, lead(frame) OVER w - frame - 1 AS gap, CASE WHEN frame - lag(frame) OVER w > 1 THEN 1 ELSE 0 END AS fresh FROM f WINDOW w AS (PARTITION BY vehicle_id ORDER BY frame)),
+#: Hours that a frame lasts in the queries, in milliseconds, and how far the watermark stays behind in streams of frames.
+FRAME_MS, FRAME_DELAY = 3_600_000, "1 hour"
+
+
+def _completion_sql(tail: bool = False, by_road: bool = False, wait: int = 0, removals: bool = False) -> str:
+    """Step by step, as the operator does it: the mean of the last twenty speeds moves the point and joins them."""
+    gap = "lead(frame) OVER w - frame - 1"
+    if tail:
+        gap = f"coalesce({gap}, (SELECT max(frame) FROM f) - 2 - frame)"
+    up = "direction = 1 OR road <> 'K'" if by_road else "direction = 1"
+    return f"""WITH RECURSIVE {FRAMES}, g AS (SELECT *, least({gap}, 3000) - {wait} AS gap, CASE WHEN frame - lag(frame) OVER w > 1 THEN 1 ELSE 0 END AS fresh FROM f WINDOW w AS (PARTITION BY vehicle_id ORDER BY frame)),
   r AS (SELECT *, sum(fresh) OVER (PARTITION BY vehicle_id ORDER BY frame ROWS UNBOUNDED PRECEDING) AS run FROM g),
-  v AS (SELECT *, avg(speed) OVER (PARTITION BY vehicle_id, run ORDER BY frame ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS v FROM r),
-  e AS (SELECT *, unnest(range(1, least(gap, 12) + 1)) AS k, v * 200 / 3600 AS step FROM v WHERE gap > 0),
-  p AS (SELECT vehicle_id, frame + k AS frame, CASE WHEN direction = 1 THEN mileage + k * floor(step) ELSE mileage - k * ceil(step) END AS mileage, v FROM e)
-  SELECT vehicle_id, frame, mileage::BIGINT AS mileage, round(v, 6) AS speed FROM p WHERE mileage BETWEEN 1016020 AND 1173790""")
+  v AS (SELECT *, list(speed) OVER (PARTITION BY vehicle_id, run ORDER BY frame ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS w FROM r),
+  k(vehicle_id, frame, gap, up, w, m, k, v, gone) AS (SELECT vehicle_id, frame, gap, {up}, w, mileage::BIGINT, 0, 0.0::DOUBLE, false FROM v WHERE gap > 0 UNION ALL
+    SELECT vehicle_id, frame, gap, up, list_append(w, s)[-20:], CASE WHEN x BETWEEN 1016020 AND 1173790 THEN trunc(x)::BIGINT ELSE 0 END, k + 1, s, x NOT BETWEEN 1016020 AND 1173790
+    FROM (SELECT *, CASE WHEN up THEN m + s * 200 / 3600 ELSE m - s * 200 / 3600 END AS x FROM (SELECT *, list_reduce(w, lambda a, b: a + b) / len(w) AS s FROM k WHERE k < gap AND NOT gone)))
+  SELECT vehicle_id, frame + {wait} + k AS frame, m AS mileage, round(CASE WHEN gone THEN 0 ELSE v END, 6) AS speed{", gone AS removed" if removals else ""} FROM k WHERE k > 0{"" if removals else " AND NOT gone"}"""
+
+
+def _framed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return framed(ramped(observations(spark, sf_dir)).withColumn("road", S.road_code(F.col("stake"))))
+
+
+def _closed_frame(points: DataFrame) -> int:
+    """The last frame that a watermark of FRAME_DELAY behind the newest frame has closed."""
+    return (points.agg(F.max("frame")).head()[0] or 0) - 2
+
+
+@query(_completion_sql())
 def completion(spark, sf_dir):
-    """Predicted points of vehicles that are missing between two sightings, up to twelve frames of a gap."""
-    c = trj.completed(framed(observations(spark, sf_dir)), max_gap=12)
+    """Predicted points of vehicles that are missing between two sightings, every frame of a gap (3000 at most)."""
+    c = dead.completed(_framed(spark, sf_dir))
+    return c.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"))
+
+
+@query(_completion_sql(tail=True, by_road=True, removals=True))
+def completion_by_road(spark, sf_dir):
+    """Prediction by the road's rule (ramps always forward), also of vehicles that don't come back, with removal rows."""
+    p = _framed(spark, sf_dir)
+    c = dead.completed(p, by_road=True, until=_closed_frame(p), removals=True)
+    return c.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"), "removed")
+
+
+@query(_completion_sql(tail=True, wait=4))
+def timeout_prediction(spark, sf_dir):
+    """Prediction that starts only when nothing has come for five frames (a second)."""
+    p = _framed(spark, sf_dir)
+    c = dead.completed(p, until=_closed_frame(p), wait=4)
     return c.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"))
 
 
+@query(f"""WITH {O}, {ROADS}, x AS (SELECT event_id, 1016020 + (mileage - 1016020) // 100 * 100 AS m, longitude, latitude + 1e-9 AS latitude FROM o), p AS (SELECT *, printf('K%d+%03d', m // 1000, m % 1000) AS sk FROM x),
+  n AS (SELECT p.event_id, d.stake AS near FROM p ASOF LEFT JOIN d ON p.latitude >= d.latitude), e AS (SELECT min(mileage) AS a, max(mileage) AS z FROM d)
+  SELECT event_id, CASE WHEN event_id % 4 = 0 THEN near ELSE sk END AS stake, round(CASE WHEN event_id % 4 = 1 THEN d.longitude ELSE p.longitude END, 6) AS longitude,
+  round(CASE WHEN event_id % 4 = 1 THEN d.latitude ELSE p.latitude END, 6) AS latitude FROM p JOIN n USING (event_id), e LEFT JOIN d ON d.mileage = greatest(e.a, least(e.z, p.m))""")
+def fill_missing(spark, sf_dir):
+    """Missing stakes from coordinates, and missing coordinates (null, 0, -1) from stakes."""
+    k = F.col("event_id") % 4
+    at = 1016020 + F.floor((F.col("mileage") - 1016020) / 100) * 100
+    hole = F.when(F.col("event_id") % 3 == 0, F.lit(0.0)).when(F.col("event_id") % 3 == 1, F.lit(-1.0))
+    p = observations(spark, sf_dir).select(
+        "event_id", "mileage", F.when((k == 0) & (F.col("event_id") % 8 == 0), F.lit("")).when(k != 0, S.metres_to_stake(at)).alias("stake"),
+        F.when(k == 1, hole).otherwise(F.col("latitude") + 1e-9).alias("latitude"), "longitude",
+    )
+    return dead.filled(p, road(spark)).select("event_id", "stake", F.round("longitude", 6).alias("longitude"), F.round("latitude", 6).alias("latitude"))
+
+
+def _station_sql(prefix: str, angle: str) -> str:
+    return f"""WITH {O}, {ROADS}, {MOVED}, n AS (SELECT m.event_id, arg_min(d.stake, (round(abs(m.latitude - d.latitude) + abs(m.longitude - d.longitude), 9), d.road_seq)) AS stake, arg_min(d.mileage, (round(abs(m.latitude - d.latitude) + abs(m.longitude - d.longitude), 9), d.road_seq)) AS mileage
+    FROM m JOIN d ON abs(m.latitude - d.latitude) <= 0.01 AND abs(m.latitude - d.latitude) + abs(m.longitude - d.longitude) <= 0.01 GROUP BY 1)
+  SELECT o.event_id AS id, '{prefix}' || n.stake AS stake, n.mileage, {angle} AS angle, count(*) OVER (PARTITION BY frame, device) AS num FROM o LEFT JOIN n USING (event_id)"""
+
+
+def _station_messages(o: DataFrame, fields: dict[str, Column], head: list[Column], targets: str) -> DataFrame:
+    """A message for each frame and sensor."""
+    body = F.struct(*[v.alias(k) for k, v in fields.items()])
+    grouped = o.groupBy("frame", "device").agg(F.sort_array(F.collect_list(body)).alias(targets))
+    return grouped.select(F.to_json(F.struct(*head, targets)).alias("value"), F.concat_ws("-", "frame", "device").alias("fid"))
+
+
+@query(_station_sql("K1122+200-", "round(event_id % 360 + 0.126, 2)"))
+def station_frames(spark, sf_dir):
+    """Base-station frames as path frames: nearest stake, its mileage, the rounded angle."""
+    o = _moved(observations(spark, sf_dir))
+    fields = {"id": F.col("event_id").cast("int"), "lane": F.col("lane"), "lat": F.col("latitude"), "lon": F.col("longitude"), "angle": F.col("event_id") % 360 + 0.126, "speed": F.col("speed"), "picLicense": F.col("plate")}
+    m = _station_messages(o, fields, [F.col("frame").cast("int").alias("frameNum"), F.lit("x").alias("globalTime")], "targetList")
+    good, _ = decode.decode_station_json(m)
+    p = dead.station_points(good, road(spark), "frame.targetList", "fid", decode.STATION_FIELDS, "K1122+200-")
+    f = dead.station_path_frames(p, "fid").select(F.explode("pathList").alias("p"), F.col("pathNum").cast("long").alias("num"))
+    return f.select(F.col("p.id").cast("long").alias("id"), F.col("p.stakeId").alias("stake"), "p.mileage", F.col("p.carAngle").alias("angle"), "num")
+
+
+@query(_station_sql("", "round(event_id % 360 + 0.5, 2)"))
+def lidar_frames(spark, sf_dir):
+    """Lidar frames as path frames."""
+    o = _moved(observations(spark, sf_dir))
+    body = F.struct(F.col("event_id").alias("id"), F.col("plate").alias("plateNo"), "speed", F.lit(1).alias("color"), F.lit(2).alias("type"), "longitude", "latitude", (F.col("event_id") % 360 + 0.5).alias("heading"))
+    frames = o.groupBy("frame", "device").agg(F.sort_array(F.collect_list(body)).alias("participants")).withColumn("fid", F.concat_ws("-", "frame", "device"))
+    p = dead.station_points(frames, road(spark), "participants", "fid", decode.LIDAR_FIELDS)
+    f = dead.station_path_frames(p, "fid").select(F.explode("pathList").alias("p"), F.col("pathNum").cast("long").alias("num"))
+    return f.select("p.id", F.col("p.stakeId").alias("stake"), "p.mileage", F.col("p.carAngle").alias("angle"), "num")
+
+
 @query(f"""WITH {O}, n AS (SELECT frame FROM (SELECT DISTINCT frame FROM o) ORDER BY frame LIMIT 100) SELECT vehicle_id, count(*) AS points, string_agg(mileage::VARCHAR, ',' ORDER BY ts, event_id) AS mileages FROM o WHERE frame <= (SELECT max(frame) FROM n) GROUP BY 1""")
 def snapshot(spark, sf_dir):
     """Trajectories as they stand at the hundredth frame (the limit is the operator's own)."""
@@ -673,7 +762,7 @@ def decode_fibre(spark, sf_dir):
     return p.select(F.col("SN").alias("sn"), F.col("DEVICEIP").alias("ip"), F.col("TIME").alias("time"), F.col("ID").alias("id"), F.col("Carnumber").alias("car"), F.col("Type").alias("type"), F.col("Tpointno").alias("point"), F.col("Wayno").alias("lane"), F.col("Direct").alias("direct"), F.col("Speed").alias("speed"))
 
 
-@query(f"WITH {O} SELECT event_id AS id16, device, round(longitude, 7) AS longitude, round(latitude, 7) AS latitude, lane::BIGINT AS speed, ms - ms % 1000 + 500 AS time FROM (SELECT *, event_id % 65536 AS e FROM o) o WHERE event_id < 65536")
+@query(f"WITH {O} SELECT event_id % 65536 AS id16, frame AS frame_num, device, round(longitude, 7) AS longitude, round(latitude, 7) AS latitude, lane::BIGINT AS speed, ms - ms % 1000 + 500 AS time FROM o")
 def decode_e1(spark, sf_dir):
     """Big-endian lidar packets with one participant each, written with their check byte and decoded; ids are 16 bits of the event's."""
     o = observations(spark, sf_dir)
@@ -686,7 +775,7 @@ def decode_e1(spark, sf_dir):
     check = F.aggregate(F.sequence(F.lit(1), (F.length(packet) / 2).cast("int")), F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.conv(F.substring(packet, k * 2 - 1, F.lit(2)), 16, 10).cast("long")))
     sent = o.select("device", F.unhex(F.concat(F.lit("FFFF"), packet, _be(check, 1), F.lit("FF"))).alias("packet"))
     p, _ = decode.decode_e1(arrived(sent, "packets"))
-    return p.select(F.col("id").alias("id16"), F.col("device").cast("long"), "longitude", "latitude", "speed", F.col("timestampMs").alias("time"))
+    return p.select(F.col("id").cast("long").alias("id16"), F.col("frameNum").cast("long").alias("frame_num"), F.col("device").cast("long"), "longitude", "latitude", "speed", F.col("timestampMs").alias("time"))
 
 
 @query(f"WITH {O} SELECT frame AS sn, ms AS time, event_id AS id, plate AS car, round(speed, 2) AS speed, mileage AS point, direction::BIGINT AS direct FROM o")
@@ -755,7 +844,7 @@ def daily_table_scan(spark, sf_dir):
     return sinks.time_range(kept, at("2024-01-02 06:00:00"), at("2024-01-02 18:00:00")).select("event_id", "plate")
 
 
-@query(f"WITH {C}, h AS (SELECT hour, section, {FLOW} FROM c GROUP BY ALL) SELECT strftime(hour, '%Y%m%d%H') || '-' || section AS row_key, up_bus, up_truck, down_bus, down_truck FROM h")
+@query(f"WITH {C}, h AS (SELECT hour, section, {FLOW} FROM c GROUP BY ALL) SELECT strftime(hour, '%Y%m%d%H') || '-' || section AS row_key, up_bus, up_truck, down_bus, down_truck, round_even(up_speed, 1) AS up_speed, round_even(down_speed, 1) AS down_speed FROM h")
 def hourly_flow_sink(spark, sf_dir):
     """Hourly flow as keyed rows, written twice with the same result."""
     path = sinks.work_path(spark, "hourly")
@@ -763,7 +852,7 @@ def hourly_flow_sink(spark, sf_dir):
     rows = sinks.hourly_rows(f).withColumn("day", F.substring("row_key", 1, 8))
     for _ in range(2):
         sinks.overwrite_partitions(rows, path, "day")
-    return spark.read.parquet(path).select("row_key", "up_bus", "up_truck", "down_bus", "down_truck")
+    return spark.read.parquet(path).select("row_key", "up_bus", "up_truck", "down_bus", "down_truck", F.col("up_speed").cast("double"), F.col("down_speed").cast("double"))
 
 
 @query(f"WITH {O} SELECT plate, arg_max(mileage, (ts, event_id)) AS mileage FROM o GROUP BY plate")
@@ -783,10 +872,13 @@ def get_by_keys(spark, sf_dir):
     return sinks.unnested_cells(picked, "cell", "struct<event_id:bigint,mileage:bigint>", ["vehicle_id"])
 
 
-@query(f"WITH {O} SELECT strftime(ts, '%Y%m%d') AS day, 'A_' || strftime(ts, '%Y%m%d%H%M%S') || plate || '.jpg' AS file, length(plate) AS bytes FROM o WHERE device <> 0")
+@query(f"WITH {O} SELECT strftime(ts, '%Y%m%d') || '_AnomalyPics' AS bucket, 'A_' || strftime(ts, '%Y%m%d%H%M%S') || plate || '.jpg' AS file, length(plate) AS bytes, md5(plate) AS digest FROM o WHERE device <> 0")
 def image_sink(spark, sf_dir):
+    """Images written as a table of names and contents by day, and read again."""
+    path = sinks.work_path(spark, "images")
     o = observations(spark, sf_dir).withColumn("image", F.when(F.col("device") != 0, F.base64(F.col("plate").cast("binary"))))
-    return sinks.image_files(o, "image", "A_", "ts", "plate").select("day", "file", F.length("content").cast("long").alias("bytes"))
+    sinks.write_images(o, path, "image", "A_", "ts", "plate")
+    return spark.read.parquet(path).select("bucket", "file", F.length("content").cast("long").alias("bytes"), F.md5("content").alias("digest"))
 
 
 @query(f"WITH {O} SELECT event_id FROM o WHERE direction = 1 AND mileage > 1100000")
@@ -835,17 +927,97 @@ def stream_up_down(spark, sf_dir):
 def stream_section_changes(spark, sf_dir):
     """Section changes by keyed state."""
     jobs.use_rocksdb(spark)
-    rows = jobs.run_to_table(jobs.section_changes(event_stream(spark, sf_dir).where("class <> -1 AND section <> -1")), sinks.work_path(spark, "changes"))
+    # Without a time to live: a stream with processing-time state has always another batch to run, so it wouldn't end.
+    rows = jobs.run_to_table(jobs.section_changes(event_stream(spark, sf_dir).where("class <> -1 AND section <> -1"), keep_ms=None), sinks.work_path(spark, "changes"))
     return rows.select("event_id", "vehicle_id", F.col("section").cast("long"))
 
 
-@query(SQL["completion"].replace("f AS (SELECT vehicle_id, frame, arg_min(mileage, event_id) AS mileage, arg_min(direction, event_id) AS direction, arg_min(speed, event_id) AS speed, arg_min(plate, event_id) AS plate FROM o GROUP BY 1, 2)",
-  "f AS (SELECT vehicle_id, frame, mileage, direction, speed FROM o QUALIFY row_number() OVER (PARTITION BY vehicle_id, frame ORDER BY event_id) = 1)"))
-def stream_completion(spark, sf_dir):
-    """Dead reckoning by keyed state equals the batch form."""
+def _frame_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.use_rocksdb(spark)
     path = sinks.work_path(spark, "frames")
-    sinks.put(framed(observations(spark, sf_dir)), path)
-    schema = spark.read.parquet(path).schema
-    rows = jobs.run_to_table(jobs.completed(spark.readStream.schema(schema).parquet(path), max_gap=12, keep_ms=None), sinks.work_path(spark, "completed"))
+    sinks.put(_framed(spark, sf_dir).withColumn("ts", F.timestamp_millis(F.col("frame") * FRAME_MS)), path)
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+
+@query(SQL["completion_by_road"])
+def stream_completion(spark, sf_dir):
+    """Dead reckoning by keyed state and event-time timers: every frame that the watermark closes, removals included."""
+    stream = jobs.completed(_frame_stream(spark, sf_dir), frame_ms=FRAME_MS, by_road=True, removals=True, delay=FRAME_DELAY)
+    rows = jobs.run_to_table(stream, sinks.work_path(spark, "completed"))
+    return rows.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"), "removed")
+
+
+@query(SQL["timeout_prediction"])
+def stream_timeout_prediction(spark, sf_dir):
+    """Timers that wait for five frames without a message before they predict."""
+    stream = jobs.completed(_frame_stream(spark, sf_dir), frame_ms=FRAME_MS, wait=4, delay=FRAME_DELAY)
+    rows = jobs.run_to_table(stream, sinks.work_path(spark, "timeouts"))
     return rows.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"))
+
+
+@query(f"""WITH RECURSIVE {SESSIONS}, a AS (SELECT *, row_number() OVER (PARTITION BY vehicle_id, session ORDER BY ts, event_id) AS i FROM s),
+  k(vehicle_id, session, i, last, kept) AS (SELECT vehicle_id, session, i, ms, 1 FROM a WHERE i = 1 UNION ALL
+    SELECT a.vehicle_id, a.session, a.i, CASE WHEN a.ms - k.last >= 3600000 THEN a.ms ELSE k.last END, k.kept + CASE WHEN a.ms - k.last >= 3600000 THEN 1 ELSE 0 END
+    FROM k JOIN a ON a.vehicle_id = k.vehicle_id AND a.session = k.session AND a.i = k.i + 1),
+  q AS (SELECT vehicle_id, session, max(kept)::BIGINT AS kept FROM k GROUP BY ALL),
+  z AS (SELECT vehicle_id, session, min(ms) AS start_ms, max(ms) AS last_ms, count(*) AS points FROM s GROUP BY ALL)
+  SELECT vehicle_id, start_ms, last_ms, points, kept FROM z JOIN q USING (vehicle_id, session)
+  WHERE session < (SELECT max(session) FROM z y WHERE y.vehicle_id = z.vehicle_id) OR last_ms + 21600000 < (SELECT max(ms) - 300000 FROM o)""")
+def stream_sampled_sessions(spark, sf_dir):
+    """Sessions that have closed by event time, with the number of their sampled points."""
+    jobs.use_rocksdb(spark)
+    rows = jobs.run_to_table(jobs.sampled_sessions(event_stream(spark, sf_dir), 6 * FRAME_MS, FRAME_MS), sinks.work_path(spark, "sessions"))
+    return rows.select("vehicle_id", "start_ms", "last_ms", "points", "kept")
+
+
+@query(f"WITH {O} SELECT device AS source, event_id, place FROM (SELECT device, event_id, ms, row_number() OVER (PARTITION BY device ORDER BY ms, event_id) AS place FROM o) WHERE ms <= (SELECT max(ms) - 3000 FROM o)")
+def stream_reorder(spark, sf_dir):
+    """Rows of each device in order of time, once event time is three seconds ahead."""
+    jobs.use_rocksdb(spark)
+    rows = jobs.run_to_table(jobs.reordered(event_stream(spark, sf_dir), "device"), sinks.work_path(spark, "reordered"))
+    return rows.select("source", "event_id", "place")
+
+
+@query(f"WITH {O} SELECT event_id, device FROM o WHERE device IN (0, 2)")
+def stream_topics(spark, sf_dir):
+    """Two topics of JSON lines read as one stream."""
+    o, parts = observations(spark, sf_dir), []
+    for device in (0, 2):
+        path = sinks.work_path(spark, "topic")
+        sinks.to_json_values(o.where(F.col("device") == device).select("event_id", "device")).write.text(path)
+        parts.append(decode.text_lines(spark, path, stream=True))
+    rows = jobs.run_to_table(decode.topics_union(parts).select(F.from_json("value", "event_id bigint, device bigint").alias("r")).select("r.*"), sinks.work_path(spark, "union"))
+    return rows
+
+
+@query(f"WITH {O} SELECT {t('day')} AS day, count(*) FILTER (direction = 1) AS up, count(*) FILTER (direction = 2) AS down FROM o GROUP BY 1")
+def daily_count_sink(spark, sf_dir):
+    """Daily counts written twice: a repeated run replaces its days."""
+    path = sinks.work_path(spark, "daycounts")
+    for _ in range(2):
+        sinks.write_counts(flow.daily_directions(observations(spark, sf_dir)).withColumnRenamed("day", "date"), path, "date")
+    return spark.read.parquet(path).select(text("date").alias("day"), "up", "down")
+
+
+@query(SQL["hourly_start_count"])
+def hourly_count_sink(spark, sf_dir):
+    """Sessions by start hour, written as a table by day."""
+    path = sinks.work_path(spark, "hourcounts")
+    s = trj.session_summaries(observations(spark, sf_dir), 6 * 3600)
+    sinks.write_counts(s.groupBy(F.date_trunc("hour", "start_ts").alias("hour")).agg(F.count("*").alias("n")), path, "hour")
+    return spark.read.parquet(path).select(text("hour").alias("hour"), "n")
+
+
+@query(f"WITH {O} SELECT strftime(ts, '%Y%m%d') || '_GantryRecords' AS bucket, event_id, plate FROM o WHERE event_type = 'purchase'")
+def gantry_record_sink(spark, sf_dir):
+    """Gantry records under a folder for each day."""
+    path = sinks.work_path(spark, "records")
+    sinks.write_gantry_records(observations(spark, sf_dir).where("event_type = 'purchase'").select("event_id", "plate", "ts"), path, "ts")
+    return spark.read.option("basePath", path).schema("event_id long, plate string, bucket string").json(path).select("bucket", "event_id", "plate")
+
+
+@query(f"WITH {O}, f AS (SELECT frame, count(*) AS n FROM o GROUP BY 1) SELECT frame, n, sum(n) OVER (ORDER BY frame)::BIGINT AS total FROM f")
+def running_points(spark, sf_dir):
+    """Points of each frame, and of all frames so far."""
+    f = observations(spark, sf_dir).groupBy("frame").agg(F.count("*").alias("n"))
+    return flow.running_total(f, "n", "frame", F.floor(F.col("frame") / 24)).select("frame", "n", "total")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import scalars as S
 
@@ -16,6 +17,13 @@ FIBRE_FRAME = (
     "struct<SN:int,DEVICEIP:string,TIME:bigint,COUNT:int,TDATA:array<struct<ID:bigint,Carnumber:string,Type:tinyint,Scope:array<int>,"
     "Speed:float,Wayno:tinyint,Tpointno:int,Boolean:tinyint,Direct:tinyint>>>"
 )
+STATION_FRAME = (
+    "struct<frameNum:int,globalTime:string,kafkaTime:bigint,orgCode:string,targetList:array<struct<id:int,lane:int,station:int,lat:double,lon:double,angle:double,speed:double,"
+    "carColor:int,carType:int,picLicense:string,licenseColor:int>>>"
+)
+#: Fields of path points in base-station targets and in lidar participants.
+STATION_FIELDS = {"id": "id", "laneNo": "lane", "plateNo": "picLicense", "speed": "speed", "plateColor": "carColor", "vehicleType": "carType", "longitude": "lon", "latitude": "lat", "carAngle": "angle"}
+LIDAR_FIELDS = {"id": "id", "plateNo": "plateNo", "speed": "speed", "plateColor": "color", "vehicleType": "type", "longitude": "longitude", "latitude": "latitude", "carAngle": "heading"}
 GANTRY = (
     "struct<deviceId:string,params:struct<uploadTime:string,envState:string,plateNumber:string,plateColor:string,headLaneCode:int,"
     "tollRecord:struct<tollList:array<struct<tollPlateNumber:string,tollPlateColor:int,tollFeeVehicleType:int,tollVehicleUserType:int>>>>>"
@@ -53,6 +61,19 @@ def decode_fibre_json(messages: DataFrame, value: str = "value") -> tuple[DataFr
     return decode_json(messages, FIBRE_FRAME, "TDATA", value)
 
 
+def decode_station_json(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Base-station frames with their targets, and messages that are none."""
+    return decode_json(messages, STATION_FRAME, "targetList", value)
+
+
+def topics_union(streams: list[DataFrame]) -> DataFrame:
+    """Several sources of the same columns as one."""
+    out = streams[0]
+    for s in streams[1:]:
+        out = out.unionByName(s)
+    return out
+
+
 def path_points(frames: DataFrame) -> DataFrame:
     """One row a point; a point without its own time has that of its frame; missing direction -1, missing mileage -1000."""
     return frames.select(F.col("frame.timeStamp").alias("frame_time"), F.explode("frame.pathList").alias("p")).select(
@@ -179,10 +200,18 @@ def read_stakes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_road_points(spark: SparkSession, path: str) -> DataFrame:
-    """Road points with an explicit ``road_seq`` (JSON objects that hold it, or a single array in order)."""
-    schema = "road_seq int, ramp string, laneNum int, location string, locationNum double, longitude double, latitude double, laneType int, direction int"
-    return spark.read.schema(schema).json(path, multiLine=True)
+    """Road points from one JSON array, whose order gives ``road_seq`` (a point that has one keeps it)."""
+    point = "struct<road_seq:int,ramp:string,laneNum:int,location:string,locationNum:double,longitude:double,latitude:double,laneType:int,direction:int>"
+    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", f"array<{point}>")).alias("pos", "p"))
+    return whole.select(F.coalesce("p.road_seq", "pos").alias("road_seq"), *[f"p.{c}" for c in ("ramp", "laneNum", "location", "locationNum", "longitude", "latitude", "laneType", "direction")])
 
 
 def read_gantries(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("id string, mileage int, direction int").csv(path, header=True)
+    """Gantries by mileage."""
+    return spark.read.schema("id string, mileage int, direction int").csv(path, header=True).orderBy("mileage")
+
+
+def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
+    """Checkpoints (longitude, latitude) from north to south, numbered from 0."""
+    rows = spark.read.schema("longitude double, latitude double").csv(path, header=True).where("latitude IS NOT NULL")
+    return rows.withColumn("rank", (F.row_number().over(Window.orderBy(F.desc("latitude"), "longitude")) - 1))

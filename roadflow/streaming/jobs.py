@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import json
+import operator
 from collections.abc import Iterator
 from typing import Any
 
@@ -10,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators import flow
+from ..operators import completion, flow, lookup
 
 OUT_OF_ORDER = "5 minutes"
 
@@ -60,10 +63,14 @@ def merged_sensors(a: DataFrame, b: DataFrame, key: str, within: str = "5 second
 
 
 class SectionChange(StatefulProcessor):
-    """Rows at which a vehicle's section differs from its last one within the hour; state lives for an hour."""
+    """Rows at which a vehicle's section differs from its last one within the hour; state ends ``keep_ms`` of processing
+    time after its last change."""
+
+    def __init__(self, keep_ms: int | None):
+        self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "hour long, section int, ts long")
+        self.last = handle.getValueState("last", "hour long, section int, ts long", **({"ttlDurationMs": self.keep_ms} if self.keep_ms else {}))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values(["ts", "event_id"])
@@ -80,54 +87,309 @@ class SectionChange(StatefulProcessor):
         pass
 
 
-def section_changes(observations: DataFrame) -> DataFrame:
-    """Keyed state by vehicle (needs the RocksDB state store)."""
+def section_changes(observations: DataFrame, keep_ms: int | None = 3_600_000) -> DataFrame:
+    """Keyed state by vehicle, kept for an hour (needs the RocksDB state store)."""
     rows = observations.select("vehicle_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "section")
     return rows.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=SectionChange(), outputStructType="vehicle_id long, event_id long, ts timestamp, section int", outputMode="Append", timeMode="None"
+        statefulProcessor=SectionChange(keep_ms), outputStructType="vehicle_id long, event_id long, ts timestamp, section int", outputMode="Append", timeMode="ProcessingTime" if keep_ms else "None"
     )
 
 
 class Completion(StatefulProcessor):
-    """Dead reckoning by vehicle: when it appears again after missing frames, the predicted points between are emitted.
-    The state is the last point and the last speeds; with ``keep_ms`` it expires after so much processing time."""
+    """Dead reckoning by vehicle. Event-time timers give an absent vehicle its predicted point for every frame that the
+    watermark has closed, until it appears again, has been away for ``max_gap`` frames or leaves the road; what a
+    reappearance leaves open is filled then. The state is the last point, the last speeds, and how far prediction went."""
 
-    def __init__(self, interval_ms: int, max_gap: int, low: int, high: int, window: int, keep_ms: int | None):
-        self.interval, self.max_gap, self.low, self.high, self.window, self.keep_ms = interval_ms, max_gap, low, high, window, keep_ms
+    def __init__(self, frame_ms: int, interval_ms: int, max_gap: int, low: int, high: int, window: int, wait: int, removals: bool):
+        self.frame_ms, self.interval, self.max_gap, self.low, self.high, self.window, self.wait, self.removals = frame_ms, interval_ms, max_gap, low, high, window, wait, removals
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "frame long, mileage long, direction int, speeds array<double>", **({"ttlDurationMs": self.keep_ms} if self.keep_ms else {}))
+        self.handle = handle
+        self.state = handle.getValueState("state", "seen long, steps long, mileage long, up boolean, speeds array<double>, alive boolean")
+
+    def _walk(self, key: Any, s: list, upto: int, out: list) -> None:
+        """Steps of the state until frame ``upto``; s = [seen, steps, mileage, up, speeds, alive]."""
+        most = min(upto - s[0], self.max_gap) - self.wait
+        while s[5] and s[1] < most:
+            s[1] += 1
+            mean = functools.reduce(operator.add, s[4], 0.0) / len(s[4]) if s[4] else None  # plain sums, oldest first
+            d = mean * self.interval / 3600 if mean is not None else None
+            new = None if d is None else s[2] + d if s[3] else s[2] - d
+            if new is None or not self.low <= new <= self.high:
+                s[5] = False
+                if self.removals and new is not None:
+                    out.append((key[0], s[0] + self.wait + s[1], 0, 0.0, True))
+                break
+            s[2], s[4] = int(new), [*s[4], mean][-self.window :]
+            out.append((key[0], s[0] + self.wait + s[1], s[2], mean, False))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values("frame")
-        last = self.state.get() if self.state.exists() else None
-        frame, mileage, direction, speeds = (last[0], last[1], last[2], list(last[3])) if last else (None, 0, 0, [])
-        out = []
-        for f, m, d, v in zip(pdf["frame"], pdf["mileage"], pdf["direction"], pdf["speed"], strict=True):
-            if frame is not None and f - frame > 1:
-                at = mileage
-                for k in range(1, min(f - frame - 1, self.max_gap) + 1):
-                    mean = sum(speeds) / len(speeds)
-                    step = mean * self.interval / 3600
-                    new = at + step if direction == 1 else at - step
-                    if not self.low <= new <= self.high:
-                        break
-                    at = int(new)
-                    speeds = [*speeds, mean][-self.window :]
-                    out.append((key[0], frame + k, at, mean))
-                speeds = []
-            frame, mileage, direction = int(f), int(m), int(d)
-            speeds = [*speeds, float(v)][-self.window :]
-        self.state.update((frame, mileage, direction, speeds))
-        yield pd.DataFrame(out, columns=["vehicle_id", "frame", "mileage", "speed"])
+        out: list[tuple] = []
+        s = None
+        if self.state.exists():
+            s = list(self.state.get())
+            s[4] = list(s[4])
+        for f, m, up, v in zip(pdf["frame"], pdf["mileage"], pdf["up"], pdf["speed"], strict=True):
+            speeds = []
+            if s is not None:
+                if f <= s[0]:
+                    continue
+                away = f - s[0] > 1
+                self._walk(key, s, int(f) - 1, out)
+                speeds = [] if away else s[4]
+            known = [] if v is None or pd.isna(v) else [float(v)]
+            s = [int(f), 0, int(m), bool(up), [*speeds, *known][-self.window :], True]
+        self.state.update(tuple(s))
+        self.handle.registerTimer((s[0] + 2) * self.frame_ms)
+        yield self._rows(out)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        if self.state.exists():
+            s = list(self.state.get())
+            s[4] = list(s[4])
+            closed = timerValues.getCurrentWatermarkInMs() // self.frame_ms - 1
+            self._walk(key, s, closed, out)
+            if closed - s[0] >= self.max_gap:
+                self.state.clear()  # expired: not seen for too long
+            else:
+                self.state.update(tuple(s))
+                self.handle.registerTimer((max(closed, s[0]) + 2) * self.frame_ms)
+        yield self._rows(out)
+
+    @staticmethod
+    def _rows(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["vehicle_id", "frame", "mileage", "speed", "removed"])
 
     def close(self) -> None:
         pass
 
 
-def completed(points: DataFrame, interval_ms: int = 200, max_gap: int = 3000, low: int = 1016020, high: int = 1173790, window: int = 20, keep_ms: int | None = 600_000) -> DataFrame:
-    return points.select("vehicle_id", "frame", "mileage", "direction", "speed").groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=Completion(interval_ms, max_gap, low, high, window, keep_ms), outputStructType="vehicle_id long, frame long, mileage long, speed double", outputMode="Append", timeMode="ProcessingTime" if keep_ms else "None"
+def completed(
+    points: DataFrame, frame_ms: int = 200, interval_ms: int = 200, max_gap: int = 3000, low: int = completion.LOW, high: int = completion.HIGH, window: int = 20, by_road: bool = False,
+    wait: int = 0, removals: bool = False, delay: str = OUT_OF_ORDER,
+) -> DataFrame:
+    """The streaming form of ``completion.completed``: ``points`` also have ``ts``, frames last ``frame_ms`` of event time.
+    A vehicle that isn't seen again is predicted as the watermark closes frames; its state ends after ``max_gap`` frames."""
+    up = F.coalesce(completion.forward(F.col("direction"), F.col("road") if by_road else None), F.lit(False))
+    rows = points.select("vehicle_id", F.col("ts").cast("timestamp").alias("ts"), F.col("frame").cast("long").alias("frame"), F.col("mileage").cast("long").alias("mileage"), up.alias("up"), "speed")
+    return rows.withWatermark("ts", delay).groupBy("vehicle_id").transformWithStateInPandas(
+        statefulProcessor=Completion(frame_ms, interval_ms, max_gap, low, high, window, wait, removals),
+        outputStructType="vehicle_id long, frame long, mileage long, speed double, removed boolean", outputMode="Append", timeMode="EventTime",
+    )
+
+
+class SampledSessions(StatefulProcessor):
+    """Sessions by vehicle with their greedily sampled points. A session closes when a later point is more than the gap
+    away, or when an event-time timer says that the gap has passed."""
+
+    def __init__(self, gap_ms: int, step_ms: int):
+        self.gap, self.step = gap_ms, step_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", "start long, last long, kept long, plate string, type int, points long")
+        self.samples = handle.getListState("samples", "ms long, longitude double, latitude double, lane int, direction int, speed double")
+
+    def _closed(self, key: Any, s: tuple) -> tuple:
+        rows = list(self.samples.get()) if self.samples.exists() else []
+        fields = ("longitude", "latitude", "lane", "direction", "speed")
+        path = json.dumps([dict(zip(fields, r[1:], strict=True)) for r in rows], ensure_ascii=False)
+        return (key[0], f"{s[0]}-{s[3]}-{key[0]}", s[4], s[0], s[1], s[5], len(rows), path)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values(["ms", "event_id"])
+        out: list[tuple] = []
+        s = tuple(self.state.get()) if self.state.exists() else None
+        fresh: list[tuple] = []
+        for r in pdf.itertuples(index=False):
+            if s is not None and r.ms - s[1] > self.gap:
+                self.samples.appendList(fresh)
+                out.append(self._closed(key, s))
+                self.samples.clear()
+                fresh, s = [], None
+            if s is None:
+                s = (int(r.ms), int(r.ms), None, r.plate, int(r.vehicle_type), 0)
+            if s[2] is None or r.ms - s[2] >= self.step:
+                fresh.append((int(r.ms), float(r.longitude), float(r.latitude), int(r.lane), int(r.direction), float(r.speed)))
+                s = (*s[:2], int(r.ms), *s[3:])
+            s = (s[0], int(r.ms), s[2], s[3], s[4], s[5] + 1)
+        if fresh:
+            self.samples.appendList(fresh)
+        self.state.update(s)
+        self.handle.registerTimer(s[1] + self.gap)
+        yield self._rows(out)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        if self.state.exists():
+            s = tuple(self.state.get())
+            if timerValues.getCurrentWatermarkInMs() - s[1] > self.gap:
+                out.append(self._closed(key, s))
+                self.state.clear()
+                self.samples.clear()
+            elif s[1] + self.gap > expiredTimerInfo.getExpiryTimeInMs():
+                self.handle.registerTimer(s[1] + self.gap)
+        yield self._rows(out)
+
+    @staticmethod
+    def _rows(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["vehicle_id", "key", "type", "start_ms", "last_ms", "points", "kept", "trajectory"])
+
+    def close(self) -> None:
+        pass
+
+
+def sampled_sessions(points: DataFrame, gap_ms: int = 10_000, step_ms: int = 5_000, delay: str = OUT_OF_ORDER) -> DataFrame:
+    """Closed sessions with their sampled trajectory as JSON: state by vehicle holds the open session's samples only."""
+    rows = points.select("vehicle_id", F.col("ts").cast("timestamp").alias("ts"), "ms", "event_id", "plate", "vehicle_type", "longitude", "latitude", "lane", "direction", "speed")
+    return rows.withWatermark("ts", delay).groupBy("vehicle_id").transformWithStateInPandas(
+        statefulProcessor=SampledSessions(gap_ms, step_ms),
+        outputStructType="vehicle_id long, key string, type int, start_ms long, last_ms long, points long, kept long, trajectory string", outputMode="Append", timeMode="EventTime",
+    )
+
+
+class Reorder(StatefulProcessor):
+    """Rows of a source in order of time: each waits until the watermark has passed it; numbered as they leave."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", "ms long, event_id long")
+        self.sent = handle.getValueState("sent", "n long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows))
+        self.held.appendList([(int(m), int(e)) for m, e in zip(pdf["ms"], pdf["event_id"], strict=True)])
+        self.handle.registerTimer(int(pdf["ms"].min()))
+        yield self._rows([])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        rows = sorted(tuple(r) for r in self.held.get()) if self.held.exists() else []
+        ready, rest = [r for r in rows if r[0] <= mark], [r for r in rows if r[0] > mark]
+        n = self.sent.get()[0] if self.sent.exists() else 0
+        if rest:
+            self.held.put(rest)
+            self.handle.registerTimer(rest[0][0])
+        else:
+            self.held.clear()
+        self.sent.update((n + len(ready),))
+        yield self._rows([(key[0], e, m, n + k) for k, (m, e) in enumerate(ready, 1)])
+
+    @staticmethod
+    def _rows(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["source", "event_id", "ms", "place"])
+
+    def close(self) -> None:
+        pass
+
+
+def reordered(rows: DataFrame, source: str, delay: str = "3 seconds") -> DataFrame:
+    """``source, event_id, ms, place``: rows of ``source, event_id, ms, ts`` in order of time within their source, each held
+    until event time is ``delay`` ahead of it; later ones are dropped."""
+    picked = rows.select(F.col(source).cast("long").alias("source"), "event_id", "ms", F.col("ts").cast("timestamp").alias("ts"))
+    return picked.withWatermark("ts", delay).groupBy("source").transformWithStateInPandas(
+        statefulProcessor=Reorder(), outputStructType="source long, event_id long, ms long, place long", outputMode="Append", timeMode="EventTime"
+    )
+
+
+class Fusion(StatefulProcessor):
+    """Reads and points near one gantry. A read waits for points until its time is over; then the passes of
+    ``fusion.passes`` are tried in turn among the points not within the guard of their vehicle's last match."""
+
+    def __init__(self, wait_ms: int, step_ms: int, guard_ms: int):
+        self.wait, self.step, self.guard = wait_ms, step_ms, guard_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.reads = handle.getListState("reads", "ms long, read_id long, mileage long, lane int, env string")
+        self.points = handle.getListState("points", "ms long, vehicle_id long, mileage long, lane int, known boolean")
+        self.matched = handle.getMapState("matched", "vehicle_id long", "ms long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows))
+        r, p = pdf[pdf["is_read"]], pdf[~pdf["is_read"]]
+        if len(r):
+            self.reads.appendList([(int(x.ms), int(x.id), int(x.mileage), int(x.lane), x.env) for x in r.itertuples()])
+        if len(p):
+            self.points.appendList([(int(x.ms), int(x.id), int(x.mileage), int(x.lane), bool(x.known)) for x in p.itertuples()])
+        self.handle.registerTimer(int(pdf["ms"].min()) + self.wait)
+        yield self._rows([])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        every = sorted(tuple(r) for r in self.reads.get()) if self.reads.exists() else []
+        over = [r for r in every if r[0] + self.wait <= mark]
+        rest = [r for r in every if r[0] + self.wait > mark]
+        points = [tuple(p) for p in self.points.get()] if self.points.exists() else []
+        out, left = [], over
+        for number in (1, 2, 3):
+            wanted = []
+            for ms, read, mileage, lane, env in left:
+                found = []
+                for at, vehicle, place, own, known in points:
+                    before = self.matched.getValue((vehicle,))[0] if self.matched.containsKey((vehicle,)) else None
+                    if not ms <= at <= ms + self.wait or before is not None and abs(at - before) < self.guard:
+                        continue
+                    bad, far, tries = env == "99", abs(place - mileage), (at - ms) // self.step
+                    behind = place <= mileage if key[0] == 1 else place >= mileage
+                    if number == 1 and not bad and own == lane and behind:
+                        found.append(((tries, far), vehicle, at, far))
+                    elif number == 2 and not bad and (abs(own - lane) <= 1 or own == 5):
+                        found.append(((tries, not known, own != lane, far), vehicle, at, far))
+                    elif number == 3 and bad:
+                        found.append(((tries, far), vehicle, at, far))
+                if found:
+                    _, vehicle, at, far = min(found)
+                    wanted.append((vehicle, at, far, read))
+            won = [w for w in wanted if not any(x[0] == w[0] and abs(x[1] - w[1]) < self.guard and x[2:] < w[2:] for x in wanted)]
+            for vehicle, at, far, read in won:
+                self.matched.updateValue((vehicle,), (at,))
+                out.append((read, vehicle, number, far, at))
+            done = {w[3] for w in won}
+            left = [r for r in left if r[1] not in done]
+        out += [(r[1], None, None, None, None) for r in left]
+        oldest = min([mark, *[r[0] for r in rest]])
+        kept = [p for p in points if p[0] >= oldest]
+        for state, value in ((self.reads, rest), (self.points, kept)):
+            if value:
+                state.put(value)
+            else:
+                state.clear()
+        for vehicle, at in [(k[0], v[0]) for k, v in self.matched.iterator()]:
+            if at + self.guard + self.wait < oldest:
+                self.matched.removeKey((vehicle,))
+        nexts = [r[0] for r in rest] + [p[0] for p in kept]
+        if nexts:
+            self.handle.registerTimer(max(min(nexts) + self.wait, mark + 1))
+        yield self._rows(out)
+
+    @staticmethod
+    def _rows(out: list[tuple]) -> pd.DataFrame:
+        rows = pd.DataFrame(out, columns=["read_id", "vehicle_id", "pass", "distance", "match_ms"])
+        return rows.astype({"vehicle_id": "Int64", "pass": "Int32", "distance": "Int64", "match_ms": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def reads_to_tracks(
+    reads: DataFrame, points: DataFrame, gantries: DataFrame, reach: int = 100, wait_ms: int = 6000, step_ms: int = 400, guard_ms: int = 15_000, delay: str = OUT_OF_ORDER
+) -> DataFrame:
+    """The streaming form of ``fusion.reads_to_tracks``, by direction and gantry: ``read_id, vehicle_id, pass, distance,
+    match_ms``, nulls for reads that found no vehicle in time. ``reads(read_id, ms, ts, direction, mileage, lane, env)``
+    stand at gantries; ``points(vehicle_id, ms, ts, direction, mileage, lane, known)`` go to the nearest gantry within
+    ``reach``. The guard is kept by gantry: gantries are farther apart than a vehicle goes in its time."""
+    near = lookup.nearest_gantry(points, gantries, reach).where("gantry_id <> 0")
+    at = reads.join(gantries.select(F.col("id").alias("gantry_id"), "mileage", "direction"), ["mileage", "direction"])
+    one = lambda df, ident, is_read, env, known: df.select(
+        F.col("direction").cast("int").alias("direction"), F.col("gantry_id").cast("long").alias("gantry_id"), F.col(ident).cast("long").alias("id"), F.lit(is_read).alias("is_read"), "ms",
+        F.col("ts").cast("timestamp").alias("ts"), F.col("mileage").cast("long").alias("mileage"), F.col("lane").cast("int").alias("lane"), env.alias("env"), known.alias("known"),
+    )
+    both = one(at, "read_id", True, F.col("env"), F.lit(False)).unionByName(one(near, "vehicle_id", False, F.lit(None).cast("string"), F.coalesce("known", F.lit(False))))
+    return both.withWatermark("ts", delay).groupBy("direction", "gantry_id").transformWithStateInPandas(
+        statefulProcessor=Fusion(wait_ms, step_ms, guard_ms), outputStructType="read_id long, vehicle_id long, pass int, distance long, match_ms long", outputMode="Append", timeMode="EventTime"
     )
 
 
