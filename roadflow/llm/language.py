@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import functools
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,15 +21,40 @@ MOST_DOCS, RUNS, RUN_WORDS = 800, 6, 24
 STEPS, RATE, DECAY = 40, 0.15, 1e-6
 PREFIXES, SUFFIXES = (1, 2, 3), (1, 2, 3, 4)
 UNKNOWN = "und"
-#: Punctuation, symbols and spaces beyond ASCII; characters of scripts that are written without spaces.
-_MARKS = re.compile("[" + "".join(re.escape(chr(c)) for c in range(0x80, 0x20000) if unicodedata.category(chr(c))[0] in "PSZ") + "]+")
-_ALONE = re.compile("[\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+#: Scripts that are written without spaces, as ranges of code points: each of their characters is a word.
+ALONE = (
+    (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x9FFF),
+    (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF),
+)
+
+
+@functools.lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Kind of each code point: 1 for punctuation, symbols and spaces beyond ASCII, 2 for characters that are words."""
+    table = np.zeros(0x40001, np.uint8)
+    for c in range(0x80, 0x20000):
+        if unicodedata.category(chr(c))[0] in "PSZ":
+            table[c] = 1
+    for low, high in ALONE:
+        part = table[low : high + 1]
+        part[part == 0] = 2
+    return table
 
 
 def spaced(text: str | None) -> str:
     """The text in lower case, with a space for marks beyond ASCII and around each character of a script without spaces."""
     low = (text or "").lower()
-    return low if low.isascii() else _ALONE.sub(r" \g<0> ", _MARKS.sub(" ", low))
+    if low.isascii():
+        return low
+    points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _kinds()[np.minimum(points, 0x40000)]
+    if not kind.any():
+        return low
+    size = np.where(kind == 2, 3, 1)
+    out = np.repeat(np.where(kind == 1, np.uint32(32), points), size)
+    begin = (np.cumsum(size) - size)[kind == 2]
+    out[begin], out[begin + 2] = 32, 32
+    return out.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
 
 
 def word_features(block: Block, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
