@@ -97,7 +97,7 @@ def completed(
     gap = F.lead("frame").over(w) - F.col("frame") - 1
     if until is not None:
         gap = F.coalesce(gap, F.lit(until) - F.col("frame"))
-    p = p.withColumns({"speeds": speeds, "gap": F.least(gap, F.lit(max_gap)) - wait}).where("gap > 0")
+    p = p.withColumns({"speeds": speeds, "gap": gap}).where("gap > 0").withColumn("gap", F.least("gap", F.lit(max_gap)) - wait).where("gap > 0")
     p = p.select(
         "vehicle_id", F.col("direction").cast("int").alias("direction"), "plate", F.col("frame").cast("long").alias("frame"), F.col("mileage").cast("long").alias("mileage"), F.col("speeds").cast("array<double>").alias("speeds"),
         F.col("gap").cast("long").alias("gap"), F.coalesce(forward(F.col("direction"), F.col("road") if by_road else None), F.lit(False)).alias("up"), F.lit(low).alias("low"), F.lit(high).alias("high"),

@@ -52,9 +52,9 @@ def nearest_road_point(points: DataFrame, road: DataFrame, reach: float = 0.01)
 
 
 def clamped_coordinate(points: DataFrame, stakes: DataFrame) -> DataFrame:
-    """Coordinate at a mileage, clamped to the table's ends; null where the table has a gap."""
+    """Coordinate at a mileage, clamped to the table's ends; null where the table has a gap, or without mileage."""
     ends = stakes.agg(F.min("mileage"), F.max("mileage")).head()
-    at = F.greatest(F.lit(ends[0]), F.least(F.lit(ends[1]), F.col("mileage"))) if ends and ends[0] is not None else F.col("mileage")
+    at = F.when(F.col("mileage").isNotNull(), F.greatest(F.lit(ends[0]), F.least(F.lit(ends[1]), F.col("mileage")))) if ends and ends[0] is not None else F.col("mileage")
     dim = stakes.select(F.col("mileage").alias("_m"), "longitude", "latitude")
     return points.withColumn("_m", at).join(dim, "_m", "left").drop("_m")
 

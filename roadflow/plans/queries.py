@@ -551,7 +551,7 @@ def _completion_sql(tail: bool = False, by_road: bool = False, wait: int = 0, re
     if tail:
         gap = f"coalesce({gap}, (SELECT max(frame) FROM f) - 2 - frame)"
     up = "direction = 1 OR road <> 'K'" if by_road else "direction = 1"
-    return f"""WITH RECURSIVE {FRAMES}, g AS (SELECT *, least({gap}, 3000) - {wait} AS gap, CASE WHEN frame - lag(frame) OVER w > 1 THEN 1 ELSE 0 END AS fresh FROM f WINDOW w AS (PARTITION BY vehicle_id ORDER BY frame)),
+    return f"""WITH RECURSIVE {FRAMES}, g AS (SELECT *, CASE WHEN {gap} > 0 THEN least({gap}, 3000) - {wait} END AS gap, CASE WHEN frame - lag(frame) OVER w > 1 THEN 1 ELSE 0 END AS fresh FROM f WINDOW w AS (PARTITION BY vehicle_id ORDER BY frame)),
   r AS (SELECT *, sum(fresh) OVER (PARTITION BY vehicle_id ORDER BY frame ROWS UNBOUNDED PRECEDING) AS run FROM g),
   v AS (SELECT *, list(speed) OVER (PARTITION BY vehicle_id, run ORDER BY frame ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS w FROM r),
   k(vehicle_id, frame, gap, up, w, m, k, v, gone) AS (SELECT vehicle_id, frame, gap, {up}, w, mileage::BIGINT, 0, 0.0::DOUBLE, false FROM v WHERE gap > 0 UNION ALL

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
 from roadflow.functions import scalars as S
-from roadflow.operators import flow, fusion, lookup, trajectory
+from roadflow.operators import completion, flow, fusion, lookup, trajectory
 from roadflow.sources import decode, sinks
+from roadflow.streaming import jobs
 
 
 def one(spark, **columns):
@@ -68,10 +70,25 @@ def test_section_changes(spark):
     assert flow.section_changes(p, distinct=True).count() == 2
 
 
+FRAME = "vehicle_id long, frame long, mileage long, direction int, speed double, plate string, road string"
+
+
 def test_completion(spark):
-    f = spark.createDataFrame([(1, 1, 1050000, 1, 33.3, "P"), (1, 5, 1050009, 1, 33.3, "P"), (2, 1, 1050000, 2, 33.3, "P"), (2, 5, 1049900, 2, 33.3, "P"), (3, 1, 1016020, 2, 33.3, "P"), (3, 9, 1016020, 2, 33.3, "P")], "vehicle_id long, frame long, mileage long, direction int, speed double, plate string")
-    got = {(r.vehicle_id, r.frame): r.mileage for r in trajectory.completed(f).collect()}
+    f = spark.createDataFrame([(1, 1, 1050000, 1, 33.3, "P", "K"), (1, 5, 1050009, 1, 33.3, "P", "K"), (2, 1, 1050000, 2, 33.3, "P", "K"), (2, 5, 1049900, 2, 33.3, "P", "K"), (3, 1, 1016020, 2, 33.3, "P", "K"), (3, 9, 1016020, 2, 33.3, "P", "K"), (4, 1, 1050000, 1, None, "P", "K"), (4, 9, 1, 1, 1.0, "P", "K")], FRAME)
+    got = {(r.vehicle_id, r.frame): r.mileage for r in completion.completed(f).collect()}
     assert got == {(1, 2): 1050001, (1, 3): 1050002, (1, 4): 1050003, (2, 2): 1049998, (2, 3): 1049996, (2, 4): 1049994}
+    assert completion.completed(f.limit(0)).count() == 0
+
+
+def test_completion_rules(spark):
+    """Ramps go forward in either direction; leaving the road gives one removal row; a timeout delays; the end is a frame."""
+    f = spark.createDataFrame([(1, 1, 1050000, 2, 36.0, "P", "AK"), (2, 1, 1016021, 2, 36.0, "P", "K"), (3, 1, 1050000, 1, 36.0, "P", "K"), (3, 4, 1050000, 1, 36.0, "P", "K")], FRAME)
+    rows = completion.completed(f, by_road=True, until=4, removals=True).collect()
+    assert sorted((r.vehicle_id, r.frame, r.mileage, r.removed, r.plate) for r in rows) == [
+        (1, 2, 1050002, False, "P 预测值"), (1, 3, 1050004, False, "P 预测值"), (1, 4, 1050006, False, "P 预测值"), (2, 2, 0, True, "0"), (3, 2, 1050002, False, "P 预测值"), (3, 3, 1050004, False, "P 预测值")
+    ]
+    late = completion.completed(f, until=9, wait=2).where("vehicle_id = 3").orderBy("frame").collect()
+    assert [(r.frame, r.mileage) for r in late] == [(7, 1050002), (8, 1050004), (9, 1050006)]
 
 
 def test_gate_edges(spark):
@@ -87,6 +104,88 @@ def test_fusion_passes(spark):
     assert got == {1: (11, 1), 2: (12, 2), 3: (13, 3), 4: (None, None)}
 
 
+def test_a_vehicle_passes_several_gantries(spark):
+    """One vehicle under three gantries an hour apart matches each of them; two reads within the guard don't both."""
+    reads = spark.createDataFrame([(k, k * 3_600_000, 1, 1000 + 5000 * k, 2, "1") for k in range(3)] + [(9, 1000, 1, 1000, 2, "1")], "read_id long, ms long, direction int, mileage long, lane int, env string")
+    tracks = spark.createDataFrame([(11, k * 3_600_000 + 1200, 1, 990 + 5000 * k, 2) for k in range(3)], "vehicle_id long, ms long, direction int, mileage long, lane int")
+    got = {r.read_id: r.vehicle_id for r in fusion.reads_to_tracks(reads, tracks).collect()}
+    assert got == {0: 11, 1: 11, 2: 11, 9: None}
+    _, summary = fusion.fused_and_summed(reads, tracks, F.floor(F.col("ms") / 60_000))
+    assert {r.tick: (r.reads, r.anomalies, r.unmatched) for r in summary.collect()} == {0: (2, 1, "9"), 60: (1, 0, ""), 120: (1, 0, "")}
+
+
+def test_streaming_fusion_equals_batch(spark):
+    import random
+
+    rng = random.Random(2)
+    gantries = spark.createDataFrame([(g, 10_000 * g, 1) for g in range(1, 6)], "id long, mileage long, direction int")
+    reads, points, read = [], [], 0
+    for v in range(60):
+        start, lane = v * 40_000, rng.randint(1, 4)
+        for g in range(1, 6):
+            ms = start + g * 600_000
+            if rng.random() < 0.9:
+                read += 1
+                reads.append((read, ms, 1, 10_000 * g, lane if rng.random() < 0.8 else lane + 1, "99" if rng.random() < 0.1 else "1"))
+            if rng.random() < 0.85:
+                points += [(v, ms + 400 * k, 1, 10_000 * g - 40 + 20 * k, lane) for k in range(4)]
+    r = spark.createDataFrame(reads, "read_id long, ms long, direction int, mileage long, lane int, env string")
+    p = spark.createDataFrame(points, "vehicle_id long, ms long, direction int, mileage long, lane int")
+    batch = sorted(tuple(x) for x in fusion.reads_to_tracks(r, p).select("read_id", "vehicle_id", "pass", "distance", "match_ms").na.fill(-1).collect())
+    assert sum(x[1] >= 0 for x in batch) > 150 and any(x[1] < 0 for x in batch)
+    jobs.use_rocksdb(spark)
+    end = spark.createDataFrame([(-1, 10**9, 1, 10_000, 1)], p.schema)  # event time moves on
+    streams = []
+    for rows, extra in ((r, F.col("read_id") > 0), (p.unionByName(end), F.lit(True))):
+        path = sinks.work_path(spark, "in")
+        sinks.put(rows.where(extra).withColumns({"ts": F.timestamp_millis("ms"), "known": F.lit(False)}), path)
+        streams.append(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    out = jobs.run_to_table(jobs.reads_to_tracks(*streams, gantries), sinks.work_path(spark, "out"))
+    assert sorted(tuple(x) for x in out.na.fill(-1).select("read_id", "vehicle_id", "pass", "distance", "match_ms").collect()) == batch
+
+
+def test_section_state_with_time_to_live(spark):
+    """State that expires runs in processing time, where there is always another batch: the stream is stopped once it has
+    written its rows."""
+    jobs.use_rocksdb(spark)
+    p = points(spark, [(k, 1, at(k), s, 0, 1, 1.0) for k, s in enumerate([1, 2, 1, 1, 2])])
+    path, out = sinks.work_path(spark, "in"), sinks.work_path(spark, "out")
+    sinks.put(p, path)
+    schema = "vehicle_id long, event_id long, ts timestamp, section int"
+    q = jobs.section_changes(spark.readStream.schema(p.schema).parquet(path), keep_ms=3_600_000).writeStream.format("parquet").option("checkpointLocation", out + "-c").start(out)
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if sinks.read_or_empty(spark, out, schema).count() >= 4:
+                break
+    finally:
+        q.stop()
+    assert sinks.read_or_empty(spark, out, schema).count() == 4
+
+
+def test_dimension_files(spark, tmp_path):
+    (tmp_path / "stakes.json").write_text('[{"stake":"K1122+849","lnglat":[110.5,30.1],"direction":1},{"stake":"bad","lnglat":[1,2],"direction":1}]')
+    (tmp_path / "road.json").write_text('[{"ramp":"AK","location":"AK0+1","longitude":1.5,"latitude":2.5},{"road_seq":7,"location":"K1+1"}]')
+    (tmp_path / "gantries.csv").write_text("id,mileage,direction\nb,2000,2\na,1000,1\n")
+    (tmp_path / "checkpoints.csv").write_text("longitude,latitude\n110.1,30.2\n110.2,31.3\n,\n")
+    assert [(r.mileage, r.direction) for r in decode.read_stakes(spark, str(tmp_path / "stakes.json")).collect()] == [(1122849, 1)]
+    assert [(r.road_seq, r.location) for r in decode.read_road_points(spark, str(tmp_path / "road.json")).orderBy("road_seq").collect()] == [(0, "AK0+1"), (7, "K1+1")]
+    assert [r.id for r in decode.read_gantries(spark, str(tmp_path / "gantries.csv")).collect()] == ["a", "b"]
+    assert [(r["rank"], r.latitude) for r in decode.read_checkpoints(spark, str(tmp_path / "checkpoints.csv")).orderBy("rank").collect()] == [(0, 31.3), (1, 30.2)]
+
+
+def test_fibre_json(spark):
+    good, bad = decode.decode_fibre_json(spark.createDataFrame([('{"SN":1,"DEVICEIP":"x","TIME":5,"COUNT":1,"TDATA":[{"ID":3,"Speed":2.5,"Tpointno":9}]}',), ("no",), ('{"SN":1}',)], "value string"))
+    assert [(r.frame.SN, r.frame.TDATA[0].ID, r.frame.TDATA[0].Tpointno) for r in good.collect()] == [(1, 3, 9)] and bad.count() == 2
+
+
+def test_fills(spark):
+    stakes = spark.createDataFrame([(f"K1+{k:03d}", 1000 + k, 110.0 + k, 30.0 + k) for k in (0, 1, 2)], "stake string, mileage long, longitude double, latitude double")
+    p = spark.createDataFrame([(1, "", None, 110.0, 31.0), (2, "K1+002", 5, 0.0, 0.0), (3, None, None, None, -1.0), (4, "K1+001", None, 7.0, 8.0)], "event_id long, stake string, mileage long, longitude double, latitude double")
+    got = {r.event_id: (r.stake, r.longitude, r.latitude) for r in completion.filled(p, stakes).collect()}
+    assert got == {1: ("K1+001", 110.0, 31.0), 2: ("K1+002", 112.0, 32.0), 3: (None, None, None), 4: ("K1+001", 7.0, 8.0)}
+
+
 def test_as_of_lookup(spark):
     dim = spark.createDataFrame([(0, 0), (1, 100), (2, 5000)], "road_seq long, mileage long")
     p = spark.createDataFrame([(1, -5), (2, 50), (3, 51), (4, 9000), (5, 3000)], "event_id long, mileage long")
@@ -111,9 +210,11 @@ def test_recorded_fibre_frame(spark):
 
 
 def test_chunks(spark):
-    d = spark.createDataFrame([(1, list(range(120))), (2, list(range(1201))), (3, [])], "k int, items array<int>")
-    got = {(r.k, r.chunk): len(r["items"]) for r in flow.chunked(d, "items").collect()}
-    assert got == {(1, 0): 60, (1, 1): 60, (2, 0): 300, (2, 1): 300, (2, 2): 300, (2, 3): 300, (2, 4): 1, (3, 0): 0}
+    rows = [(1, k) for k in range(120)] + [(2, k) for k in range(1201)] + [(None, 5)]
+    d = spark.createDataFrame(rows, "k int, item int")
+    got = {(r.k, r.chunk): r["items"] for r in flow.chunked(d, "k", F.floor(F.col("item") / 37), ["item"], "item").collect()}
+    assert {k: len(v) for k, v in got.items()} == {(1, 0): 60, (1, 1): 60, (2, 0): 300, (2, 1): 300, (2, 2): 300, (2, 3): 300, (2, 4): 1, (None, 0): 1}
+    assert got[2, 1] == list(range(300, 600))
 
 
 def test_missing_table_is_empty(spark):
