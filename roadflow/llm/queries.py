@@ -147,7 +147,7 @@ def op10_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as coded ids and read back: where each begins, its ids' number and checksum."""
     path = rangecoder.new_path(spark)
     rangecoder.write_ids(table(spark, sf_dir, "documents"), rangecoder.default_tokenizer(), path)
-    return rangecoder.read_ids(spark.read.parquet(path))
+    return rangecoder.read_ids(rangecoder.stored(spark, path))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -568,6 +568,17 @@ def test_ids_equal_the_library(spark):
     assert keys == sorted(keys)
 
 
+def test_ids_of_nothing_and_of_large_ids(spark):
+    d = docs(spark, ["a b", None]).withColumn("doc_id", F.when(F.col("doc_id") == 0, F.lit(2**60 + 1)))
+    path = rangecoder.new_path(spark)
+    rangecoder.write_ids(d, rangecoder.default_tokenizer(), path)
+    got = sorted((r.start, r.doc_id, r.n_tokens) for r in rangecoder.read_ids(spark.read.parquet(path)).collect())
+    assert [(s, i) for s, i, _ in got] == [(0, None), (1, 2**60 + 1)] and got[0][2] == 1
+    path = rangecoder.new_path(spark)
+    rangecoder.write_ids(d.limit(0), rangecoder.default_tokenizer(), path)
+    assert rangecoder.read_ids(rangecoder.stored(spark, path)).count() == 0
+
+
 # The pipeline
 
 
