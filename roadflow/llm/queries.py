@@ -49,15 +49,24 @@ def _spans_sql(name: str, pattern: str, k: int, keep: str) -> str:
         SELECT doc_id, regexp_extract_all(text, '{p}') AS m, string_split_regex(text, '{p}') AS g FROM d WHERE regexp_matches(text, '{p}')))) WHERE {keep})"""
 
 
+def _without_allowed(text: str) -> str:
+    for part, n in secrets.ALLOWED_PARTS.items():
+        text = f"regexp_replace({text}, '{part}', repeat(' ', {n}), 'g')"
+    return text
+
+
 OP3_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id AS id, coalesce(text, '') AS text FROM documents),
 d0 AS (SELECT r AS doc_id, text FROM d),
 {_spans_sql("a", secrets.ASSIGN, 0, f"length(regexp_extract(m, '{secrets.ASSIGN.replace("'", "''")}', 1)) >= 8").replace("FROM d WHERE", "FROM d0 WHERE")},
 {_spans_sql("b", secrets.ACCESS, 1, "true").replace("FROM d WHERE", "FROM d0 WHERE")},
 {_spans_sql("c", secrets.HEX, 2, "true").replace("FROM d WHERE", "FROM d0 WHERE")},
-{_spans_sql("n", secrets.CANDIDATE, 3, f"regexp_matches(m, '[0-9]') AND NOT regexp_matches(m, '{secrets.ALLOWED}')").replace("FROM d WHERE", "FROM d0 WHERE")},
 base AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c),
-w AS (SELECT n.*, unnest(range(1, length(m) - {secrets.WINDOW - 2})) AS i FROM n
-  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = n.doc_id AND base.s < n.e AND n.s < base.e)),
+cuts AS (SELECT doc_id, list({{'t': '', 's': s::BIGINT, 'e': e::BIGINT}} ORDER BY s, e) AS l FROM base GROUP BY doc_id),
+rest AS (SELECT doc_id, CASE WHEN l IS NULL THEN text ELSE list_reduce(list_prepend({{'t': text, 's': 0::BIGINT, 'e': 0::BIGINT}}, l),
+  lambda a, x: {{'t': left(a.t, x.s) || repeat(' ', x.e - x.s) || substr(a.t, x.e + 1), 's': 0::BIGINT, 'e': 0::BIGINT}}).t END AS text FROM d0 LEFT JOIN cuts USING (doc_id)),
+d1 AS (SELECT doc_id, {_without_allowed("text")} AS text FROM rest),
+{_spans_sql("n", secrets.CANDIDATE, 3, f"regexp_matches(m, '[0-9]') AND NOT regexp_matches(m, '{secrets.ALLOWED}')").replace("FROM d WHERE", "FROM d1 WHERE")},
+w AS (SELECT n.*, unnest(range(1, length(m) - {secrets.WINDOW - 2})) AS i FROM n),
 low AS (SELECT doc_id, k, s, e, m, min(list_sum([{secrets.COUNT_BITS}[c::BIGINT + 1] for c in map_values(list_histogram(string_split(m[i:i+{secrets.WINDOW - 1}], '')))])) AS least
   FROM w GROUP BY ALL),
 found AS (SELECT * FROM base UNION ALL SELECT doc_id, k, s, e, m FROM low WHERE least <=
