@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,13 +32,23 @@ def lines_of(text: Column) -> Column:
     )
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, however often the body reads it and wherever the optimizer moves it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def runs_of(lines: Column) -> Column:
-    """Array of (level, lines): runs of lines of one level, from a column made by ``lines_of``. Each line is read a fixed
-    number of times, however many there are."""
-    level = lambda i: F.get(lines, i)["level"]
-    begins = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | (level(i) != level(i - 1)))
-    ends = F.array_append(F.slice(begins, 2, F.greatest(F.size(begins) - 1, F.lit(0))), F.size(lines))
-    return F.zip_with(begins, ends, lambda s, e: F.struct(level(s).alias("level"), F.transform(F.slice(lines, s + 1, e - s), lambda x: x["body"]).alias("lines")))
+    """Array of (level, lines): runs of lines of one level, from what ``lines_of`` gives. Each line is read a fixed number
+    of times, however many there are."""
+
+    def cut(x: Column) -> Column:
+        level = lambda i: F.get(x, i)["level"]
+        begins = F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: (i == 0) | (level(i) != level(i - 1)))
+        ends = lambda b: F.array_append(F.slice(b, 2, F.greatest(F.size(b) - 1, F.lit(0))), F.size(x))
+        run = lambda s, e: F.struct(level(s).alias("level"), F.transform(F.slice(x, s + 1, e - s), lambda y: y["body"]).alias("lines"))
+        return bound(begins, lambda b: F.zip_with(b, ends(b), run))
+
+    return bound(lines, cut)
 
 
 def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -57,10 +69,9 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     messages share makes no pairs; no conversation is gathered, so a hot one is no group. Further columns are not read.
     """
     m = messages.select(
-        F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"),
-        lines_of(F.coalesce(F.col(text), F.lit(""))).alias("all_lines"),
+        F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    m = stage(m.withColumn("runs", runs_of(F.col("all_lines"))).drop("all_lines"), "messages")
+    cut = lambda rows: rows.withColumn("runs", runs_of(lines_of(F.col("text")))).drop("text")
     own_runs = F.filter("runs", lambda r: r["level"] == 0)
     line_keys = lambda runs: F.flatten(F.transform(runs, lambda r: r["lines"]))
     joined = lambda runs: F.transform(runs, lambda r: F.array_join(r["lines"], " "))
@@ -68,18 +79,20 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     placed = m.where("conv_id IS NOT NULL AND turn IS NOT NULL")
 
     # Own passages, of which lines and sentences may repeat earlier ones.
-    own = placed.select("conv_id", "turn", own_runs.alias("o")).select("conv_id", "turn", joined(F.col("o")).alias("o_runs"), line_keys(F.col("o")).alias("o_lines"))
+    own = cut(placed).select("conv_id", "turn", own_runs.alias("o")).select("conv_id", "turn", joined(F.col("o")).alias("o_runs"), line_keys(F.col("o")).alias("o_lines"))
     parts = F.array_union(F.col("o_lines"), sentences(F.col("o_runs")))
     wholes = F.array_except(F.array_union(F.array(F.array_join("o_lines", " ")), F.col("o_runs")), parts)
     tagged = F.concat(F.transform(parts, lambda k: F.struct(k.alias("k"), F.lit(True).alias("part"))), F.transform(wholes, lambda k: F.struct(k.alias("k"), F.lit(False).alias("part"))))
     said = own.select("conv_id", "turn", F.explode(tagged).alias("p")).select("conv_id", "turn", normalised(F.col("p.k")).alias("k"), "p.part").where("k <> ''")
-    said = said.select("conv_id", "turn", F.xxhash64("k").alias("h"), F.length("k").alias("size"), (F.col("part") & (F.regexp_count("k", F.lit(" ")) >= REPEATED - 1)).alias("part"))
+    words = F.length("k") - F.length(F.replace(F.col("k"), F.lit(" "))) + 1
+    said = said.select("conv_id", "turn", F.xxhash64("k").alias("h"), F.length("k").alias("size"), (F.col("part") & (words >= REPEATED)).alias("part"))
+    said = stage(said, "said")  # hashes only, no text
     first = stage(said.groupBy("conv_id", "h").agg(F.min("turn").alias("said"), F.max(F.when(F.col("part"), F.col("turn"))).alias("last")), "first")
     repeats = said.where("part").join(first.where("last > said").select("conv_id", "h", "said"), ["conv_id", "h"]).where("said < turn")
     repeats = repeats.select("conv_id", "turn", F.lit(UNMARKED).alias("level"), "size", "h", "said").distinct()
 
     marked = (
-        placed.where("exists(runs, r -> r.level > 0)")
+        cut(placed.where(F.col("text").rlike(r"(?:^|\n)\x20*>")))
         .select("conv_id", "turn", F.explode(F.filter("runs", lambda r: r["level"] > 0)).alias("q"))
         .select("conv_id", "turn", "q.level", F.array_join("q.lines", " ").alias("whole"), "q.lines")
         .select("conv_id", "turn", "level", F.explode(F.array_union(F.array_union(F.array("whole"), F.col("lines")), F.split("whole", SENTENCE))).alias("k"))
@@ -108,8 +121,8 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
         links = jumped
         if links.where("moved").isEmpty():
             break
-    unstage(first)
-    linked = m.join(links.drop("moved"), ["conv_id", "turn"], "left")
+    unstage(said, first)
+    linked = cut(m).join(links.drop("moved"), ["conv_id", "turn"], "left")
     own_text = F.regexp_replace(F.array_join(line_keys(own_runs), "\n"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     return linked.select(
         "conv_id", "turn", "role", "reply_to", F.coalesce("thread", "turn").alias("thread"),
