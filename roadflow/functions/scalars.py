@@ -144,6 +144,25 @@ def hex_to_number(text: Column) -> Column:
     return F.conv(text, 16, 10).cast("long")
 
 
+def xor_of_hex(digits: Column) -> Column:
+    """Exclusive-or of all bytes that the hex digits spell, eight bytes at a time; 0 for none."""
+
+    def whole(d: Column) -> Column:
+        words = F.ceil(F.length(d) / 16).cast("int")
+        word = lambda k: F.conv(F.rpad(F.substring(d, k * 16 + 1, F.lit(16)), 16, F.lit("0")), 16, -10).cast("long")
+        every = F.when(words > 0, F.sequence(F.lit(0), words - 1)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(every, F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(word(k)), _folded)
+
+    return F.get(F.transform(F.array(digits), whole), 0)  # the digits are made once a row
+
+
+def _folded(v: Column) -> Column:
+    """Exclusive-or of the eight bytes of a number."""
+    for bits in (32, 16, 8):
+        v = v.bitwiseXOR(F.shiftrightunsigned(v, bits))
+    return v.bitwiseAND(F.lit(255).cast("long"))
+
+
 def little_endian(data: Column, offset: Column | int, size: int) -> Column:
     """Unsigned number (signed for 8 bytes) of ``size`` bytes from a zero-based offset of a binary column."""
     offset = F.lit(offset) if isinstance(offset, int) else offset

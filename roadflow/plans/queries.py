@@ -772,7 +772,7 @@ def decode_e1(spark, sf_dir):
         _be(F.col("event_id") % 65536, 2), F.lit("00" * 6), deg("longitude"), deg("latitude"), F.lit("0000"), _be(F.col("lane"), 2), F.lit("00" * 16), F.lit("00" * 72), F.lit("00" * 8), F.lit("00" * 28),
     )
     packet = F.concat(F.lit("07E10300"), _be(F.length(body) / 2, 2), body)
-    check = F.aggregate(F.sequence(F.lit(1), (F.length(packet) / 2).cast("int")), F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.conv(F.substring(packet, k * 2 - 1, F.lit(2)), 16, 10).cast("long")))
+    check = S.xor_of_hex(packet)
     sent = o.select("device", F.unhex(F.concat(F.lit("FFFF"), packet, _be(check, 1), F.lit("FF"))).alias("packet"))
     p, _ = decode.decode_e1(arrived(sent, "packets"))
     return p.select(F.col("id").cast("long").alias("id16"), F.col("frameNum").cast("long").alias("frame_num"), F.col("device").cast("long"), "longitude", "latitude", "speed", F.col("timestampMs").alias("time"))

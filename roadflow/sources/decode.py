@@ -120,10 +120,7 @@ def decode_e1(messages: DataFrame, col: str = "packet") -> tuple[DataFrame, Data
     has no body, and frames without objects give no rows."""
     be = lambda at, size: S.big_endian(F.col(col), at, size)
     n = F.length(col)
-    check = F.aggregate(
-        F.sequence(F.lit(3), n - 2), F.lit(0).cast("long"),
-        lambda acc, k: acc.bitwiseXOR(F.conv(F.hex(F.substring(F.col(col), k, F.lit(1))), 16, 10).cast("long")),
-    )
+    check = S.xor_of_hex(F.hex(F.substring(F.col(col), F.lit(3), n - 4)))
     sound = (n >= 10) & (be(0, 2) == 0xFFFF) & (be(3, 1) == 0xE1) & (be(n - 1, 1) == 0xFF) & (F.when(n >= 10, check) == be(n - 2, 1))
     enough = (be(4, 1) == 5) | (n >= E1_HEAD + 28 + 2 + E1_OBJECT * be(34, 1))
     good, bad = split_valid(messages, sound & enough)
