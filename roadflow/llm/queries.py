@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, hyperminhash, language, mih, mixing, pieces, quotes, rangecoder, secrets, toxicity
+from . import covertree, hyperminhash, language, merkle, mih, mixing, pieces, quotes, rangecoder, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -159,6 +159,40 @@ def op10_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rangecoder.read_ids(rangecoder.stored(spark, path))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, a third of them tampered with: leaves, roots, proofs and whether they fold to the root."""
+    return merkle.tampered(table(spark, sf_dir, "documents"))
+
+
+def _tree_sql(name: str, base: str) -> str:
+    """Levels of the trees over ``base(tr, pos, h, n)``, and what stands beside every node in its run."""
+    side = f"string_agg(h, '') OVER (PARTITION BY lv, tr, pos // {merkle.ARITY} ORDER BY pos ROWS BETWEEN"
+    return f"""{name}(lv, tr, pos, h, n) AS (SELECT 0, tr, pos, h, n FROM {base} UNION ALL
+  SELECT lv + 1, tr, pos // {merkle.ARITY}, sha256(string_agg(h, '' ORDER BY pos)), (n + {merkle.ARITY - 1}) // {merkle.ARITY} FROM {name} WHERE n > 1 GROUP BY lv, tr, pos // {merkle.ARITY}, n),
+{name}s AS (SELECT lv, tr, pos, coalesce({side} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a, coalesce({side} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM {name} WHERE n > 1)"""
+
+
+def _leaf_sql(text: str) -> str:
+    fields = [text if f == "text" else f for f in merkle.FIELDS]
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}::VARCHAR) || ':' || {f} END" for f in fields) + ")"
+
+
+OP11_SQL = f"""WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf_sql("text")} AS h, {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS low,
+  xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split(doc_id::VARCHAR, '')])),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384::BIGINT * (crc & 1)) END), 4294967295::BIGINT) % 3 = 0 AS third FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tr FROM d),
+{_tree_sql("t", "p")},
+sub AS (SELECT tr, h FROM t WHERE n = 1), s1 AS (SELECT 0 AS tr, tr AS pos, h, count(*) OVER () AS n FROM sub), {_tree_sql("u", "s1")},
+w AS (SELECT r, list({{'a': a, 'b': b, 'h': ''}} ORDER BY k) AS l FROM (
+    SELECT p.tr || '-' || p.pos AS r, ts.lv AS k, a, b FROM p JOIN ts ON ts.tr = p.tr AND ts.pos = p.pos // ({merkle.ARITY} ** ts.lv)::BIGINT
+    UNION ALL SELECT p.tr || '-' || p.pos, 1000 + us.lv, a, b FROM p JOIN us ON us.pos = p.tr // ({merkle.ARITY} ** us.lv)::BIGINT) GROUP BY r),
+m AS (SELECT doc_id, p.h AS leaf, sub.h AS subroot, (SELECT h FROM u WHERE n = 1) AS root, coalesce(l, []) AS l, CASE WHEN third THEN low ELSE p.h END AS own
+  FROM p JOIN sub USING (tr) LEFT JOIN w ON w.r = p.tr || '-' || p.pos),
+f AS (SELECT *, sha256(array_to_string([x.a || x.b for x in l], '')) AS proof_sha256,
+  list_reduce(list_prepend({{'a': '', 'b': '', 'h': own}}, l), lambda s, x: {{'a': '', 'b': '', 'h': sha256(x.a || s.h || x.b)}}).h AS folded_root FROM m)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py over all documents."""
     import corpus_pipeline
@@ -171,10 +205,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_multi_index_hashing, op2_toxicity, op3_secrets, op4_cover_tree, op5_mixing, op6_hyperminhash, op7_suffix_array, op8_quotes, op9_language,
-            op10_range_coder, pipeline,
+            op10_range_coder, op11_merkle_manifest, pipeline,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": OP3_SQL, "op5_mixing": OP5_SQL, "op6_hyperminhash": OP6_SQL}
+    return {"op3_secrets": OP3_SQL, "op5_mixing": OP5_SQL, "op6_hyperminhash": OP6_SQL, "op11_merkle_manifest": OP11_SQL}
