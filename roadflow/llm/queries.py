@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, hyperminhash, language, merkle, mih, mixing, pieces, quotes, rangecoder, secrets, toxicity, whitening
+from . import covertree, hyperminhash, language, lineblocks, merkle, mih, mixing, pieces, quotes, rangecoder, secrets, toxicity, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -193,6 +193,12 @@ f AS (SELECT *, sha256(array_to_string([x.a || x.b for x in l], '')) AS proof_sh
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f"""
 
 
+def op12_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    found = lineblocks.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op13_polarisation_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings on the first 32 components of their covariance, scaled to variance 1."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -210,7 +216,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_multi_index_hashing, op2_toxicity, op3_secrets, op4_cover_tree, op5_mixing, op6_hyperminhash, op7_suffix_array, op8_quotes, op9_language,
-            op10_range_coder, op11_merkle_manifest, op13_polarisation_whitening, pipeline,
+            op10_range_coder, op11_merkle_manifest, op12_line_blocks, op13_polarisation_whitening, pipeline,
         )
     }
 
