@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import scalars as S
+from .roads import Roads, bearings
 
 #: Ends of the road in metres; predicted rows that go into one Arrow batch.
 LOW, HIGH, ROWS = 1016020, 1173790, 500_000
 OUT = "vehicle_id long, direction int, plate string, frame long, mileage long, speed double, removed boolean"
+WALKED = OUT + ", road string, longitude double, latitude double, heading double"
 
 
 def forward(direction: Column, road: Column | None) -> Column:
@@ -23,8 +25,9 @@ def forward(direction: Column, road: Column | None) -> Column:
     return up if road is None else up | (F.coalesce(road, F.lit("K")) != "K")
 
 
-def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wait: int, removals: bool) -> Iterator[pd.DataFrame]:
-    """Steps of all gaps of a batch side by side: the mean of the last ``window`` speeds, which each step joins."""
+def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wait: int, removals: bool, roads: Roads | None = None) -> Iterator[pd.DataFrame]:
+    """Steps of all gaps of a batch side by side: the mean of the last ``window`` speeds, which each step joins. With
+    ``roads`` they walk along road rows, else between the ends of the mainline."""
     for pdf in frames:
         n = len(pdf)
         held = np.zeros((n, window))
@@ -34,15 +37,20 @@ def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wa
         at, gap, up = (pdf[c].to_numpy() for c in ("mileage", "gap", "up"))
         at, low, high = at.astype(np.int64), pdf["low"].to_numpy(), pdf["high"].to_numpy()
         live = np.flatnonzero(count > 0)
-        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, ...]] = []
         rows, k = 0, 0
+        if roads:
+            road = roads.index(pdf["road"])
+            row, lon, lat = roads.row(road, at), pdf["longitude"].to_numpy(float, na_value=np.nan).copy(), pdf["latitude"].to_numpy(float, na_value=np.nan).copy()
+            at = at.copy()
 
         def out() -> pd.DataFrame:
-            which, step, mileage, speed, gone = (np.concatenate(c) for c in zip(*parts, strict=True))
-            return pd.DataFrame({
+            which, step, mileage, speed, gone, *walk = (np.concatenate(c) for c in zip(*parts, strict=True))
+            made = pd.DataFrame({
                 "vehicle_id": pdf["vehicle_id"].to_numpy()[which], "direction": pdf["direction"].to_numpy()[which], "plate": pdf["plate"].to_numpy()[which],
                 "frame": pdf["frame"].to_numpy()[which] + wait + step, "mileage": mileage, "speed": speed, "removed": gone,
             })
+            return made.assign(road=pdf["road"].to_numpy()[which], longitude=walk[0], latitude=walk[1], heading=walk[2]) if roads else made
 
         while len(live):
             k += 1
@@ -54,11 +62,16 @@ def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wa
                 total += np.where(j < count[live], held[live, j], 0.0)
             v = total / count[live]
             d = v * interval_ms / 3600
-            new = np.where(up[live], at[live] + d, at[live] - d)
-            on = (new >= low[live]) & (new <= high[live])
+            if roads:
+                on, ahead, new = roads.step(road[live], row[live], at[live], d, up[live])
+                row[live[on]] = ahead[on]
+            else:
+                new = np.where(up[live], at[live] + d, at[live] - d)
+                on = (new >= low[live]) & (new <= high[live])
             if removals and not on.all():
                 off = live[~on]
-                parts.append((off, np.full(len(off), k), np.zeros(len(off), np.int64), np.zeros(len(off)), np.ones(len(off), bool)))
+                nothing = np.zeros(len(off))
+                parts.append((off, np.full(len(off), k), np.zeros(len(off), np.int64), nothing, np.ones(len(off), bool), *([nothing] * 3 if roads else [])))
                 rows += len(off)
             live, v = live[on], v[on]
             at[live] = new[on].astype(np.int64)
@@ -67,7 +80,12 @@ def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wa
             held[live[full], -1] = v[full]
             held[live[~full], count[live[~full]]] = v[~full]
             count[live[~full]] += 1
-            parts.append((live, np.full(len(live), k), at[live], v, np.zeros(len(live), bool)))
+            walk = []
+            if roads:
+                x, y = roads.place(road[live], row[live])
+                walk = [x, y, bearings(lat[live], lon[live], y, x)]
+                lon[live], lat[live] = x, y
+            parts.append((live, np.full(len(live), k), at[live], v, np.zeros(len(live), bool), *walk))
             rows += len(live)
             if rows >= ROWS:
                 yield out()
@@ -78,7 +96,7 @@ def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wa
 
 def completed(
     points: DataFrame, interval_ms: int = 200, max_gap: int = 3000, low: int = LOW, high: int = HIGH, window: int = 20, by_road: bool = False, until: int | None = None,
-    wait: int = 0, removals: bool = False,
+    wait: int = 0, removals: bool = False, roads: Roads | None = None,
 ) -> DataFrame:
     """Predicted points of the frames in which a vehicle is missing after a sighting.
 
@@ -88,7 +106,9 @@ def completed(
     it leaves the road; with ``removals`` that gives one last row (``removed``, fields zero). With ``by_road`` the
     points' ``road`` code picks the rule: on ramps (any code but K) the mileage always grows. With ``until`` a vehicle that
     isn't seen again is predicted up to that frame. With ``wait`` prediction starts so many frames later (a timeout).
-    A sighting without any speed known predicts nothing. One shuffle, by vehicle; the steps of all gaps of a batch are
+    With ``roads`` the points (which also have ``longitude, latitude``) walk along the rows of their ``road``: predicted
+    points have coordinate, heading (bearing from the place before) and a stake with the road's prefix, and each road
+    ends where its rows do. A sighting without any speed known predicts nothing. One shuffle, by vehicle; the steps of all gaps of a batch are
     taken side by side.
     """
     w = Window.partitionBy("vehicle_id").orderBy("frame")
@@ -101,10 +121,17 @@ def completed(
     p = p.select(
         "vehicle_id", F.col("direction").cast("int").alias("direction"), "plate", F.col("frame").cast("long").alias("frame"), F.col("mileage").cast("long").alias("mileage"), F.col("speeds").cast("array<double>").alias("speeds"),
         F.col("gap").cast("long").alias("gap"), F.coalesce(forward(F.col("direction"), F.col("road") if by_road else None), F.lit(False)).alias("up"), F.lit(low).alias("low"), F.lit(high).alias("high"),
+        *(["road", F.col("longitude").cast("double").alias("longitude"), F.col("latitude").cast("double").alias("latitude")] if roads else []),
     )
-    out = p.mapInPandas(lambda frames: _predicted(frames, interval_ms, window, wait, removals), OUT)
+    out = p.mapInPandas(lambda frames: _predicted(frames, interval_ms, window, wait, removals, roads), WALKED if roads else OUT)
+    return labelled(out, roads is not None)
+
+
+def labelled(out: DataFrame, by_road: bool) -> DataFrame:
+    """Predicted points with their mark on the plate and a stake, with the road's prefix if ``by_road``."""
+    stake = F.concat(F.col("road"), F.substring(S.metres_to_stake(F.col("mileage")), 2, 99)) if by_road else S.metres_to_stake(F.col("mileage"))
     kept = F.when(F.col("removed"), F.lit("0")).otherwise(S.mark_predicted(F.col("plate")))
-    return out.withColumns({"plate": kept, "stake": F.when(~F.col("removed"), S.metres_to_stake(F.col("mileage"))), "is_predicted": F.lit(True)})
+    return out.withColumns({"plate": kept, "stake": F.when(~F.col("removed"), stake), "is_predicted": F.lit(True)})
 
 
 def filled(points: DataFrame, stakes: DataFrame) -> DataFrame:

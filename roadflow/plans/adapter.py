@@ -72,3 +72,28 @@ def road(spark: SparkSession) -> DataFrame:
 
 ROADS = f"""d AS (SELECT road_seq, mileage, printf('K%d+%03d', mileage // 1000, mileage % 1000) AS stake, 30.0::DOUBLE + (mileage - 1016020) / 100000.0::DOUBLE AS latitude,
   110.0::DOUBLE + (mileage - 1016020) / 50000.0::DOUBLE AS longitude FROM (SELECT id AS road_seq, {ROAD[0]} + id * {STAKE_STEP} AS mileage FROM range(0, {(ROAD[1] - ROAD[0]) // STAKE_STEP + 1}) t(id)))"""
+
+
+#: Rows of the ramps' tables, two a metre.
+RAMPS = {"AK": 4161, "BK": 4309, "CK": 779, "DK": 732}
+
+
+def road_network(spark: SparkSession) -> DataFrame:
+    """The mainline (K) and four ramps of different length: ``road, road_seq, mileage, longitude, latitude``."""
+    main = road(spark).select(F.lit("K").alias("road"), "road_seq", "mileage", "longitude", "latitude")
+    for k, (name, rows) in enumerate(RAMPS.items(), 1):
+        seq = F.col("id")
+        ramp = spark.range(rows).select(F.lit(name).alias("road"), seq.alias("road_seq"), F.floor(seq / 2).alias("mileage"), (110.0 + k + seq / 100000.0).alias("longitude"), (30.0 + (seq * (seq % 7 + k)) / 1000000.0).alias("latitude"))
+        main = main.unionByName(ramp)
+    return main
+
+
+NETWORK = f"""{ROADS}, net AS (SELECT 'K' AS road, road_seq, mileage, longitude, latitude FROM d UNION ALL
+  SELECT road, id, id // 2, 110.0::DOUBLE + k + id / 100000.0::DOUBLE, 30.0::DOUBLE + (id * (id % 7 + k)) / 1000000.0::DOUBLE FROM
+    (SELECT road, k, unnest(range(0, n)) AS id FROM (VALUES {", ".join(f"('{r}', {k}, {n})" for k, (r, n) in enumerate(RAMPS.items(), 1))}) v(road, k, n)))"""
+
+
+def on_roads(o: DataFrame) -> DataFrame:
+    """Observations dealt to the roads by id, with a mileage of theirs and the coordinate of the row there."""
+    code, rows = F.element_at(F.array(*[F.lit(r) for r in ("K", *RAMPS)]), (F.col("event_id") % 5 + 1).cast("int")), F.element_at(F.array(F.lit(0), *[F.lit(n) for n in RAMPS.values()]), (F.col("event_id") % 5 + 1).cast("int"))
+    return o.withColumn("road", code).withColumn("mileage", F.when(F.col("road") == "K", F.col("mileage")).otherwise((F.col("mileage") - ROAD[0]) % F.floor(rows / 2)))

@@ -11,9 +11,11 @@ from ..functions import scalars as S
 from ..operators import completion as dead
 from ..operators import flow, fusion, lookup
 from ..operators import trajectory as trj
+from ..operators.roads import Roads
 from ..sources import decode, sinks
 from ..streaming import jobs
-from .adapter import GANTRIES, ROADS, SEGMENTS, O, as_observations, gantries, ms_of, observations, road, table
+from ..streaming.ordered import arrivals
+from .adapter import GANTRIES, NETWORK, RAMPS, ROAD, ROADS, SEGMENTS, O, gantries, ms_of, observations, on_roads, road, road_network, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -541,15 +543,19 @@ def framed(o: DataFrame) -> DataFrame:
     return o.groupBy("vehicle_id", "frame").agg(*[F.min_by(c, "event_id").alias(c) for c in ("mileage", "direction", "speed", "plate", "road")])
 
 
-#: Hours that a frame lasts in the queries, in milliseconds, and how far the watermark stays behind in streams of frames.
-FRAME_MS, FRAME_DELAY = 3_600_000, "1 hour"
+#: Hours that a frame lasts in the queries, in milliseconds, how many of them the watermark stays behind in streams of
+#: frames, and the last frame that it closes there, counted from the newest one.
+FRAME_MS, FRAME_DELAY = 3_600_000, 3
+STREAM_END = FRAME_DELAY + 1
 
 
-def _completion_sql(tail: bool = False, by_road: bool = False, wait: int = 0, removals: bool = False) -> str:
-    """Step by step, as the operator does it: the mean of the last twenty speeds moves the point and joins them."""
+def _completion_sql(tail: bool = False, by_road: bool = False, wait: int = 0, removals: bool = False, stream: bool = False) -> str:
+    """Step by step, as the operator does it: the mean of the last twenty speeds moves the point and joins them. A stream
+    ends with the last frame that its watermark has closed."""
     gap = "lead(frame) OVER w - frame - 1"
     if tail:
         gap = f"coalesce({gap}, (SELECT max(frame) FROM f) - 2 - frame)"
+    end = f" AND frame + {wait} + k <= (SELECT max(frame) FROM f) - {STREAM_END}" if stream else ""
     up = "direction = 1 OR road <> 'K'" if by_road else "direction = 1"
     return f"""WITH RECURSIVE {FRAMES}, g AS (SELECT *, CASE WHEN {gap} > 0 THEN least({gap}, 3000) - {wait} END AS gap, CASE WHEN frame - lag(frame) OVER w > 1 THEN 1 ELSE 0 END AS fresh FROM f WINDOW w AS (PARTITION BY vehicle_id ORDER BY frame)),
   r AS (SELECT *, sum(fresh) OVER (PARTITION BY vehicle_id ORDER BY frame ROWS UNBOUNDED PRECEDING) AS run FROM g),
@@ -557,7 +563,7 @@ def _completion_sql(tail: bool = False, by_road: bool = False, wait: int = 0, re
   k(vehicle_id, frame, gap, up, w, m, k, v, gone) AS (SELECT vehicle_id, frame, gap, {up}, w, mileage::BIGINT, 0, 0.0::DOUBLE, false FROM v WHERE gap > 0 UNION ALL
     SELECT vehicle_id, frame, gap, up, list_append(w, s)[-20:], CASE WHEN x BETWEEN 1016020 AND 1173790 THEN trunc(x)::BIGINT ELSE 0 END, k + 1, s, x NOT BETWEEN 1016020 AND 1173790
     FROM (SELECT *, CASE WHEN up THEN m + s * 200 / 3600 ELSE m - s * 200 / 3600 END AS x FROM (SELECT *, list_reduce(w, lambda a, b: a + b) / len(w) AS s FROM k WHERE k < gap AND NOT gone)))
-  SELECT vehicle_id, frame + {wait} + k AS frame, m AS mileage, round(CASE WHEN gone THEN 0 ELSE v END, 6) AS speed{", gone AS removed" if removals else ""} FROM k WHERE k > 0{"" if removals else " AND NOT gone"}"""
+  SELECT vehicle_id, frame + {wait} + k AS frame, m AS mileage, round(CASE WHEN gone THEN 0 ELSE v END, 6) AS speed{", gone AS removed" if removals else ""} FROM k WHERE k > 0{"" if removals else " AND NOT gone"}{end}"""
 
 
 def _framed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -565,7 +571,7 @@ def _framed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _closed_frame(points: DataFrame) -> int:
-    """The last frame that a watermark of FRAME_DELAY behind the newest frame has closed."""
+    """The last frame that a watermark of an hour behind the newest frame has closed."""
     return (points.agg(F.max("frame")).head()[0] or 0) - 2
 
 
@@ -592,6 +598,47 @@ def timeout_prediction(spark, sf_dir):
     return c.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"))
 
 
+def _road_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Roads]:
+    """One sighting of each vehicle and frame with its road and the coordinate there, and the roads."""
+    net = road_network(spark)
+    o = on_roads(observations(spark, sf_dir))
+    seq = F.when(F.col("road") == "K", F.floor((F.col("mileage") - ROAD[0]) / 100)).otherwise(F.col("mileage") * 2 + 1)
+    at = framed(o).withColumn("road_seq", seq).drop("longitude", "latitude")
+    return at.join(net.drop("mileage"), ["road", "road_seq"], "left"), Roads.of(net, *ROAD)
+
+
+def _walk_sql(stream: bool = False) -> str:
+    """Dead reckoning along road rows, step by step; coordinates and headings of the rows afterwards."""
+    size = "CASE road " + " ".join(f"WHEN '{r}' THEN {n}" for r, n in RAMPS.items()) + " END"
+    end = STREAM_END if stream else 2
+    only = f" AND frame + k <= (SELECT max(frame) FROM f) - {STREAM_END}" if stream else ""
+    return f"""WITH RECURSIVE {O}, {NETWORK}, y AS (SELECT * REPLACE (CASE WHEN road = 'K' THEN mileage ELSE (mileage - {ROAD[0]}) % (({size}) // 2) END AS mileage) FROM (SELECT *, ['K', {", ".join(f"'{r}'" for r in RAMPS)}][event_id % 5 + 1] AS road FROM o)),
+  f AS (SELECT vehicle_id, frame, arg_min(mileage, event_id) AS mileage, arg_min(direction, event_id) AS direction, arg_min(speed, event_id) AS speed, arg_min(road, event_id) AS road FROM y GROUP BY 1, 2),
+  g AS (SELECT *, least(coalesce(lead(frame) OVER w - frame - 1, (SELECT max(frame) FROM f) - {end} - frame), 3000) AS gap, CASE WHEN frame - lag(frame) OVER w > 1 THEN 1 ELSE 0 END AS fresh FROM f WINDOW w AS (PARTITION BY vehicle_id ORDER BY frame)),
+  r AS (SELECT *, sum(fresh) OVER (PARTITION BY vehicle_id ORDER BY frame ROWS UNBOUNDED PRECEDING) AS run FROM g),
+  v AS (SELECT *, list(speed) OVER (PARTITION BY vehicle_id, run ORDER BY frame ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS w FROM r),
+  k(vehicle_id, frame, gap, road, up, w, m, seq, k, v, gone) AS (SELECT vehicle_id, frame, gap, road, direction = 1, w, mileage::BIGINT, CASE WHEN road = 'K' THEN (mileage - {ROAD[0]}) // 100 ELSE mileage * 2 + 1 END::BIGINT, 0, 0.0::DOUBLE, false FROM v WHERE gap > 0 UNION ALL
+    SELECT vehicle_id, frame, gap, road, up, list_append(w, s)[-20:], CASE WHEN off THEN 0 ELSE trunc(x)::BIGINT END, CASE WHEN off THEN 0 WHEN road = 'K' THEN (trunc(x)::BIGINT - {ROAD[0]}) // 100 ELSE ahead END, k + 1, s, off
+    FROM (SELECT *, CASE WHEN road = 'K' THEN x NOT BETWEEN {ROAD[0]} AND {ROAD[1]} ELSE ahead >= {size} END AS off FROM (
+      SELECT *, CASE WHEN up OR road <> 'K' THEN m + s * 200 / 3600 ELSE m - s * 200 / 3600 END AS x, seq + 2 * ceil(s * 200 / 3600)::BIGINT AS ahead FROM (SELECT *, list_reduce(w, lambda a, b: a + b) / len(w) AS s FROM k WHERE k < gap AND NOT gone)))),
+  p AS (SELECT k.*, net.longitude AS x, net.latitude AS y, radians(lag(net.latitude) OVER z) AS a, radians(net.latitude) AS b, radians(net.longitude - lag(net.longitude) OVER z) AS dx FROM k LEFT JOIN net ON net.road = k.road AND net.road_seq = k.seq WINDOW z AS (PARTITION BY vehicle_id, frame ORDER BY k)),
+  h AS (SELECT *, degrees(atan2(sin(dx) * cos(b), cos(a) * sin(b) - sin(a) * cos(b) * cos(dx))) AS t FROM p WHERE k > 0{only})
+  SELECT vehicle_id, frame + k AS frame, road, m AS mileage, CASE WHEN NOT gone THEN printf('%s%d+%03d', road, m // 1000, m % 1000) END AS stake, round(CASE WHEN gone THEN 0 ELSE v END, 6) AS speed, gone AS removed,
+    round(CASE WHEN gone THEN 0 ELSE x END, 6) AS longitude, round(CASE WHEN gone THEN 0 ELSE y END, 6) AS latitude, round(CASE WHEN gone THEN 0 WHEN t < 0 THEN t + 360 ELSE t END, 3) AS heading FROM h"""
+
+
+def _walked(c: DataFrame) -> DataFrame:
+    return c.select("vehicle_id", "frame", "road", "mileage", "stake", F.round("speed", 6).alias("speed"), "removed", *[F.round(x, 6).alias(x) for x in ("longitude", "latitude")], F.round("heading", 3).alias("heading"))
+
+
+@query(_walk_sql())
+def completion_on_roads(spark, sf_dir):
+    """Predicted points with coordinate, heading and the road's stake, on the mainline and four ramps that end after their
+    own rows; removal rows where a vehicle leaves its road."""
+    p, roads = _road_points(spark, sf_dir)
+    return _walked(dead.completed(p, until=_closed_frame(p), removals=True, roads=roads, by_road=True))
+
+
 @query(f"""WITH {O}, {ROADS}, x AS (SELECT event_id, 1016020 + (mileage - 1016020) // 100 * 100 AS m, longitude, latitude + 1e-9 AS latitude FROM o), p AS (SELECT *, printf('K%d+%03d', m // 1000, m % 1000) AS sk FROM x),
   n AS (SELECT p.event_id, d.stake AS near FROM p ASOF LEFT JOIN d ON p.latitude >= d.latitude), e AS (SELECT min(mileage) AS a, max(mileage) AS z FROM d)
   SELECT event_id, CASE WHEN event_id % 4 = 0 THEN near ELSE sk END AS stake, round(CASE WHEN event_id % 4 = 1 THEN d.longitude ELSE p.longitude END, 6) AS longitude,
@@ -896,9 +943,9 @@ def union_streams(spark, sf_dir):
 # Streams: the same operators over a stream of the table's files, run until there is nothing more.
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return as_observations(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")).withColumn("ts", F.col("ts").cast("timestamp"))
+def event_stream(spark: SparkSession, sf_dir: str, late_ms: int = 300_000) -> DataFrame:
+    """Observations as they might come: five batches, each row up to ``late_ms`` after its time."""
+    return arrivals(observations(spark, sf_dir), sinks.work_path(spark, "arrivals"), late_ms).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query(f"WITH {O} SELECT word AS word, count(*) AS \"count\" FROM (SELECT event_type AS word FROM o) GROUP BY 1")
@@ -923,34 +970,48 @@ def stream_up_down(spark, sf_dir):
     return rows.groupBy("hour").agg(F.max_by("up", "batch").alias("up"), F.max_by("down", "batch").alias("down")).withColumn("hour", text("hour"))
 
 
-@query(f"WITH {C} SELECT event_id, vehicle_id, section FROM c")
+#: How late rows come in the streams of single observations, the slices of time that they wait in, and the rows that the
+#: watermark has passed at the end, slice by slice.
+LATE_MS, LATE, SLICE_MS = 7_200_000, "2 hours", 900_000
+OVER = f"(ms // {SLICE_MS} + 1) * {SLICE_MS} <= (SELECT max(ms) - {LATE_MS} FROM o)"
+
+
+@query(f"WITH {C} SELECT event_id, vehicle_id, section FROM c WHERE {OVER.replace('FROM o', 'FROM o WHERE class <> -1 AND section <> -1')}")
 def stream_section_changes(spark, sf_dir):
-    """Section changes by keyed state."""
+    """Section changes by keyed state, in order of event time although rows come up to two hours late."""
     jobs.use_rocksdb(spark)
-    # Without a time to live: a stream with processing-time state has always another batch to run, so it wouldn't end.
-    rows = jobs.run_to_table(jobs.section_changes(event_stream(spark, sf_dir).where("class <> -1 AND section <> -1"), keep_ms=None), sinks.work_path(spark, "changes"))
+    stream = event_stream(spark, sf_dir, LATE_MS).where("class <> -1 AND section <> -1")
+    rows = jobs.run_to_table(jobs.section_changes(stream, delay=LATE, slice_ms=SLICE_MS), sinks.work_path(spark, "changes"))
     return rows.select("event_id", "vehicle_id", F.col("section").cast("long"))
 
 
-def _frame_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _frame_stream(spark: SparkSession, points: DataFrame) -> DataFrame:
     jobs.use_rocksdb(spark)
-    path = sinks.work_path(spark, "frames")
-    sinks.put(_framed(spark, sf_dir).withColumn("ts", F.timestamp_millis(F.col("frame") * FRAME_MS)), path)
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    timed = points.withColumns({"ts": F.timestamp_millis(F.col("frame") * FRAME_MS), "event_id": F.col("vehicle_id") * 31 + F.col("frame")})
+    return arrivals(timed, sinks.work_path(spark, "frames"), FRAME_DELAY * FRAME_MS)
 
 
-@query(SQL["completion_by_road"])
+@query(_completion_sql(tail=True, by_road=True, removals=True, stream=True))
 def stream_completion(spark, sf_dir):
-    """Dead reckoning by keyed state and event-time timers: every frame that the watermark closes, removals included."""
-    stream = jobs.completed(_frame_stream(spark, sf_dir), frame_ms=FRAME_MS, by_road=True, removals=True, delay=FRAME_DELAY)
+    """Dead reckoning by keyed state and event-time timers, rows up to three frames late: every frame that the watermark
+    closes, removals included."""
+    stream = jobs.completed(_frame_stream(spark, _framed(spark, sf_dir)), frame_ms=FRAME_MS, by_road=True, removals=True, delay=f"{FRAME_DELAY} hours")
     rows = jobs.run_to_table(stream, sinks.work_path(spark, "completed"))
     return rows.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"), "removed")
 
 
-@query(SQL["timeout_prediction"])
+@query(_walk_sql(stream=True))
+def stream_completion_on_roads(spark, sf_dir):
+    """The same by keyed state: the walk along the road rows goes on from batch to batch."""
+    p, roads = _road_points(spark, sf_dir)
+    stream = jobs.completed(_frame_stream(spark, p), frame_ms=FRAME_MS, removals=True, roads=roads, delay=f"{FRAME_DELAY} hours")
+    return _walked(jobs.run_to_table(stream, sinks.work_path(spark, "walked")))
+
+
+@query(_completion_sql(tail=True, wait=4, stream=True))
 def stream_timeout_prediction(spark, sf_dir):
     """Timers that wait for five frames without a message before they predict."""
-    stream = jobs.completed(_frame_stream(spark, sf_dir), frame_ms=FRAME_MS, wait=4, delay=FRAME_DELAY)
+    stream = jobs.completed(_frame_stream(spark, _framed(spark, sf_dir)), frame_ms=FRAME_MS, wait=4, delay=f"{FRAME_DELAY} hours")
     rows = jobs.run_to_table(stream, sinks.work_path(spark, "timeouts"))
     return rows.select("vehicle_id", "frame", "mileage", F.round("speed", 6).alias("speed"))
 
@@ -962,27 +1023,29 @@ def stream_timeout_prediction(spark, sf_dir):
   q AS (SELECT vehicle_id, session, max(kept)::BIGINT AS kept FROM k GROUP BY ALL),
   z AS (SELECT vehicle_id, session, min(ms) AS start_ms, max(ms) AS last_ms, count(*) AS points FROM s GROUP BY ALL)
   SELECT vehicle_id, start_ms, last_ms, points, kept FROM z JOIN q USING (vehicle_id, session)
-  WHERE session < (SELECT max(session) FROM z y WHERE y.vehicle_id = z.vehicle_id) OR last_ms + 21600000 < (SELECT max(ms) - 300000 FROM o)""")
+  WHERE last_ms + 21600000 < (SELECT (max(ms) - {LATE_MS}) // {SLICE_MS} * {SLICE_MS} FROM o)""")
 def stream_sampled_sessions(spark, sf_dir):
-    """Sessions that have closed by event time, with the number of their sampled points."""
+    """Sessions that have closed by event time, with the number of their sampled points; rows come up to two hours late."""
     jobs.use_rocksdb(spark)
-    rows = jobs.run_to_table(jobs.sampled_sessions(event_stream(spark, sf_dir), 6 * FRAME_MS, FRAME_MS), sinks.work_path(spark, "sessions"))
+    stream = jobs.sampled_sessions(event_stream(spark, sf_dir, LATE_MS), 6 * FRAME_MS, FRAME_MS, delay=LATE, slice_ms=SLICE_MS)
+    rows = jobs.run_to_table(stream, sinks.work_path(spark, "sessions"))
     return rows.select("vehicle_id", "start_ms", "last_ms", "points", "kept")
 
 
-@query(f"WITH {O} SELECT device AS source, event_id, place FROM (SELECT device, event_id, ms, row_number() OVER (PARTITION BY device ORDER BY ms, event_id) AS place FROM o) WHERE ms <= (SELECT max(ms) - 3000 FROM o)")
+@query(f"WITH {O} SELECT device AS source, event_id, row_number() OVER (PARTITION BY device ORDER BY ms, event_id) AS place FROM o WHERE {OVER}")
 def stream_reorder(spark, sf_dir):
-    """Rows of each device in order of time, once event time is three seconds ahead."""
+    """Rows of each device in order of time, once event time is two hours ahead of their slice; their places in it are counted
+    over the slices that have come."""
     jobs.use_rocksdb(spark)
-    rows = jobs.run_to_table(jobs.reordered(event_stream(spark, sf_dir), "device"), sinks.work_path(spark, "reordered"))
-    return rows.select("source", "event_id", "place")
+    rows = jobs.run_to_table(jobs.reordered(event_stream(spark, sf_dir, LATE_MS), "device", delay=LATE, slice_ms=SLICE_MS), sinks.work_path(spark, "reordered"))
+    return flow.numbered(rows, "source", F.col("slice"), ["place"]).select("source", "event_id", (F.col("no") + 1).alias("place"))
 
 
-@query(f"WITH {O} SELECT event_id, device FROM o WHERE device IN (0, 2)")
+@query(f"WITH {O} SELECT event_id, device FROM o")
 def stream_topics(spark, sf_dir):
-    """Two topics of JSON lines read as one stream."""
+    """Three topics of JSON lines read as one stream."""
     o, parts = observations(spark, sf_dir), []
-    for device in (0, 2):
+    for device in (0, 1, 2):
         path = sinks.work_path(spark, "topic")
         sinks.to_json_values(o.where(F.col("device") == device).select("event_id", "device")).write.text(path)
         parts.append(decode.text_lines(spark, path, stream=True))

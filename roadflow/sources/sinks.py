@@ -68,7 +68,9 @@ def by_day_and_hour(rows: DataFrame, path: str, ts: str = "ts", mode: str = "app
 
 
 def hourly_rows(flow: DataFrame) -> DataFrame:
-    """Hourly flow with its row key `yyyyMMddHH-section`, averages as text with one decimal."""
+    """Hourly flow with its row key `yyyyMMddHH-section`, averages as text with one decimal (of six-place ones: sums of
+    doubles end a hair off, which must not decide a tie)."""
+    flow = flow.withColumns({c: F.round(c, 6) for c in ("up_speed", "down_speed")})
     return flow.select(
         S.hour_section_key(F.col("hour"), F.col("section")).alias("row_key"), "up_bus", "up_truck", "down_bus", "down_truck",
         S.decimals(F.col("up_speed"), 1).alias("up_speed"), S.decimals(F.col("down_speed"), 1).alias("down_speed"),

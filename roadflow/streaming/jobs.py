@@ -8,12 +8,15 @@ import operator
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import completion, flow, lookup
+from ..operators.roads import Roads, bearings
+from .ordered import Ordered, ordered
 
 OUT_OF_ORDER = "5 minutes"
 
@@ -62,15 +65,15 @@ def merged_sensors(a: DataFrame, b: DataFrame, key: str, within: str = "5 second
     return x.join(y, near)
 
 
-class SectionChange(StatefulProcessor):
-    """Rows at which a vehicle's section differs from its last one within the hour; state ends ``keep_ms`` of processing
-    time after its last change."""
+class SectionArrivals(StatefulProcessor):
+    """Rows at which a vehicle's section differs from the last one that has come within the hour, in the order of arrival;
+    state ends ``keep_ms`` of processing time after its last change."""
 
-    def __init__(self, keep_ms: int | None):
+    def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "hour long, section int, ts long", **({"ttlDurationMs": self.keep_ms} if self.keep_ms else {}))
+        self.last = handle.getValueState("last", "hour long, section int, ts long", ttlDurationMs=self.keep_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values(["ts", "event_id"])
@@ -87,108 +90,164 @@ class SectionChange(StatefulProcessor):
         pass
 
 
-def section_changes(observations: DataFrame, keep_ms: int | None = 3_600_000) -> DataFrame:
-    """Keyed state by vehicle, kept for an hour (needs the RocksDB state store)."""
+class SectionChange(Ordered):
+    """Rows at which a vehicle's section differs from its last one within the hour, in order of event time. The state ends
+    an hour of event time after the last row: nothing after it can be in the same hour."""
+
+    fields = "us long, event_id long, section int"
+    hour_ms = 3_600_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.last = handle.getValueState("last", "hour long, section int, ms long")
+
+    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
+        last = tuple(self.last.get()) if self.last.exists() else (None, None, 0)
+        for us, event, section in rows:
+            hour = us // (self.hour_ms * 1000)
+            if (hour, section) != last[:2]:
+                out.append((key[0], event, us, section))
+            last = (hour, section, us // 1000)
+        self.last.update(last)
+        self.handle.registerTimer(last[2] + self.hour_ms + self.slice_ms)
+
+    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
+        if self.last.exists() and self.last.get()[2] + self.hour_ms <= over_ms:
+            self.last.clear()
+
+
+def section_changes(observations: DataFrame, keep_ms: int | None = None, delay: str = OUT_OF_ORDER, slice_ms: int = 60_000) -> DataFrame:
+    """Keyed state by vehicle (needs the RocksDB state store). Rows count in order of event time, once the watermark has
+    passed their slice; with ``keep_ms`` in the order in which they come, by state that lives so long in processing time."""
     rows = observations.select("vehicle_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "section")
-    return rows.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=SectionChange(keep_ms), outputStructType="vehicle_id long, event_id long, ts timestamp, section int", outputMode="Append", timeMode="ProcessingTime" if keep_ms else "None"
-    )
+    schema = "vehicle_id long, event_id long, ts timestamp, section int"
+    if keep_ms:
+        return rows.groupBy("vehicle_id").transformWithStateInPandas(statefulProcessor=SectionArrivals(keep_ms), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
+    out = ordered(rows, ["vehicle_id"], SectionChange(slice_ms), "vehicle_id long, event_id long, us long, section int", delay)
+    return out.select("vehicle_id", "event_id", F.timestamp_micros("us").alias("ts"), "section")
+
 
+class Completion(Ordered):
+    """Dead reckoning by vehicle, in order of event time. As the watermark closes frames, an absent vehicle gets its
+    predicted point for each, until it appears again, has been away for ``max_gap`` frames or leaves the road. The state is
+    the last point, the last speeds, and how far prediction went; a slice is one frame."""
 
-class Completion(StatefulProcessor):
-    """Dead reckoning by vehicle. Event-time timers give an absent vehicle its predicted point for every frame that the
-    watermark has closed, until it appears again, has been away for ``max_gap`` frames or leaves the road; what a
-    reappearance leaves open is filled then. The state is the last point, the last speeds, and how far prediction went."""
+    fields = "us long, frame long, mileage long, up boolean, speed double, plate string, direction int, road string, longitude double, latitude double"
 
-    def __init__(self, frame_ms: int, interval_ms: int, max_gap: int, low: int, high: int, window: int, wait: int, removals: bool):
-        self.frame_ms, self.interval, self.max_gap, self.low, self.high, self.window, self.wait, self.removals = frame_ms, interval_ms, max_gap, low, high, window, wait, removals
+    def __init__(self, frame_ms: int, interval_ms: int, max_gap: int, low: int, high: int, window: int, wait: int, removals: bool, roads: Roads | None):
+        super().__init__(frame_ms)
+        self.interval, self.max_gap, self.low, self.high, self.window, self.wait, self.removals, self.roads = interval_ms, max_gap, low, high, window, wait, removals, roads
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", "seen long, steps long, mileage long, up boolean, speeds array<double>, alive boolean")
-
-    def _walk(self, key: Any, s: list, upto: int, out: list) -> None:
-        """Steps of the state until frame ``upto``; s = [seen, steps, mileage, up, speeds, alive]."""
-        most = min(upto - s[0], self.max_gap) - self.wait
-        while s[5] and s[1] < most:
-            s[1] += 1
-            mean = functools.reduce(operator.add, s[4], 0.0) / len(s[4]) if s[4] else None  # plain sums, oldest first
-            d = mean * self.interval / 3600 if mean is not None else None
-            new = None if d is None else s[2] + d if s[3] else s[2] - d
-            if new is None or not self.low <= new <= self.high:
-                s[5] = False
-                if self.removals and new is not None:
-                    out.append((key[0], s[0] + self.wait + s[1], 0, 0.0, True))
+        super().init(handle)
+        self.state = handle.getValueState(
+            "state", "seen long, steps long, mileage long, up boolean, speeds array<double>, alive boolean, plate string, direction int, road string, row long, longitude double, latitude double"
+        )
+
+    def _step(self, s: dict, metres: float) -> bool:
+        """One step of the state; whether the vehicle is still on its road. ``s`` gets its new place."""
+        if self.roads is None:
+            to = s["mileage"] + metres if s["up"] else s["mileage"] - metres
+            if not self.low <= to <= self.high:
+                return False
+            s["mileage"] = int(to)
+            return True
+        road = self.roads.index([s["road"]])
+        on, row, mileage = self.roads.step(road, np.array([s["row"]]), np.array([s["mileage"]]), np.array([metres]), np.array([s["up"]]))
+        if not on[0]:
+            return False
+        x, y = self.roads.place(road, row)
+        before = [np.array([np.nan if s[c] is None else s[c]]) for c in ("latitude", "longitude")]
+        s.update(mileage=int(mileage[0]), row=int(row[0]), heading=float(bearings(*before, y, x)[0]), longitude=float(x[0]), latitude=float(y[0]))
+        return True
+
+    def _walk(self, key: Any, s: dict, upto: int, out: list) -> None:
+        """Steps of the state until frame ``upto``."""
+        most = min(upto - s["seen"], self.max_gap) - self.wait
+        while s["alive"] and s["steps"] < most:
+            s["steps"] += 1
+            mean = functools.reduce(operator.add, s["speeds"], 0.0) / len(s["speeds"]) if s["speeds"] else None  # plain sums, oldest first
+            frame = s["seen"] + self.wait + s["steps"]
+            if mean is None or not self._step(s, mean * self.interval / 3600):
+                s["alive"] = False
+                if self.removals and mean is not None:
+                    out.append((key[0], s["direction"], s["plate"], frame, 0, 0.0, True, s["road"], 0.0, 0.0, 0.0))
                 break
-            s[2], s[4] = int(new), [*s[4], mean][-self.window :]
-            out.append((key[0], s[0] + self.wait + s[1], s[2], mean, False))
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("frame")
-        out: list[tuple] = []
-        s = None
-        if self.state.exists():
-            s = list(self.state.get())
-            s[4] = list(s[4])
-        for f, m, up, v in zip(pdf["frame"], pdf["mileage"], pdf["up"], pdf["speed"], strict=True):
+            s["speeds"] = [*s["speeds"], mean][-self.window :]
+            out.append((key[0], s["direction"], s["plate"], frame, s["mileage"], mean, False, s["road"], s["longitude"], s["latitude"], s.get("heading")))
+
+    def _get(self) -> dict | None:
+        if not self.state.exists():
+            return None
+        names = ("seen", "steps", "mileage", "up", "speeds", "alive", "plate", "direction", "road", "row", "longitude", "latitude")
+        s = dict(zip(names, self.state.get(), strict=True))
+        s["speeds"] = list(s["speeds"])
+        return s
+
+    def _put(self, s: dict) -> None:
+        self.state.update(tuple(v for k, v in s.items() if k != "heading"))
+        self.handle.registerTimer((s["seen"] + 2) * self.slice_ms)
+
+    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
+        s = self._get()
+        for _, frame, mileage, up, speed, plate, direction, road, lon, lat in rows:
             speeds = []
             if s is not None:
-                if f <= s[0]:
-                    continue
-                away = f - s[0] > 1
-                self._walk(key, s, int(f) - 1, out)
-                speeds = [] if away else s[4]
-            known = [] if v is None or pd.isna(v) else [float(v)]
-            s = [int(f), 0, int(m), bool(up), [*speeds, *known][-self.window :], True]
-        self.state.update(tuple(s))
-        self.handle.registerTimer((s[0] + 2) * self.frame_ms)
-        yield self._rows(out)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        if self.state.exists():
-            s = list(self.state.get())
-            s[4] = list(s[4])
-            closed = timerValues.getCurrentWatermarkInMs() // self.frame_ms - 1
-            self._walk(key, s, closed, out)
-            if closed - s[0] >= self.max_gap:
-                self.state.clear()  # expired: not seen for too long
-            else:
-                self.state.update(tuple(s))
-                self.handle.registerTimer((max(closed, s[0]) + 2) * self.frame_ms)
-        yield self._rows(out)
-
-    @staticmethod
-    def _rows(out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["vehicle_id", "frame", "mileage", "speed", "removed"])
-
-    def close(self) -> None:
-        pass
+                if frame <= s["seen"]:
+                    continue  # another row of the same frame
+                away = frame - s["seen"] > 1
+                self._walk(key, s, frame - 1, out)
+                speeds = [] if away else s["speeds"]
+            row = int(self.roads.row(self.roads.index([road]), np.array([mileage]))[0]) if self.roads else None
+            s = {
+                "seen": frame, "steps": 0, "mileage": mileage, "up": up, "speeds": [*speeds, *([] if speed is None else [speed])][-self.window :], "alive": True, "plate": plate,
+                "direction": direction, "road": road, "row": row, "longitude": lon, "latitude": lat,
+            }
+        if s is not None:
+            self._put(s)
+
+    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
+        s = self._get()
+        if s is None:
+            return
+        closed = over_ms // self.slice_ms - 1
+        self._walk(key, s, closed, out)
+        if closed - s["seen"] >= self.max_gap:
+            self.state.clear()  # expired: not seen for too long
+        else:
+            self._put(s)
+            self.handle.registerTimer((max(closed, s["seen"]) + 2) * self.slice_ms)
 
 
 def completed(
     points: DataFrame, frame_ms: int = 200, interval_ms: int = 200, max_gap: int = 3000, low: int = completion.LOW, high: int = completion.HIGH, window: int = 20, by_road: bool = False,
-    wait: int = 0, removals: bool = False, delay: str = OUT_OF_ORDER,
+    wait: int = 0, removals: bool = False, delay: str = OUT_OF_ORDER, roads: Roads | None = None,
 ) -> DataFrame:
-    """The streaming form of ``completion.completed``: ``points`` also have ``ts``, frames last ``frame_ms`` of event time.
-    A vehicle that isn't seen again is predicted as the watermark closes frames; its state ends after ``max_gap`` frames."""
-    up = F.coalesce(completion.forward(F.col("direction"), F.col("road") if by_road else None), F.lit(False))
-    rows = points.select("vehicle_id", F.col("ts").cast("timestamp").alias("ts"), F.col("frame").cast("long").alias("frame"), F.col("mileage").cast("long").alias("mileage"), up.alias("up"), "speed")
-    return rows.withWatermark("ts", delay).groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=Completion(frame_ms, interval_ms, max_gap, low, high, window, wait, removals),
-        outputStructType="vehicle_id long, frame long, mileage long, speed double, removed boolean", outputMode="Append", timeMode="EventTime",
+    """The streaming form of ``completion.completed``: ``points`` also have ``ts``, frames last ``frame_ms`` of event time and
+    predictions reach to the last frame that the watermark has closed, whatever the order in which rows come. A vehicle's
+    state ends after ``max_gap`` frames without it."""
+    has = lambda c, kind: (F.col(c) if c in points.columns else F.lit(None)).cast(kind).alias(c)
+    up = F.coalesce(completion.forward(F.col("direction"), F.col("road") if by_road or roads else None), F.lit(False)).alias("up")
+    rows = points.select(
+        "vehicle_id", "ts", F.col("frame").cast("long").alias("frame"), F.col("mileage").cast("long").alias("mileage"), up, F.col("speed").cast("double").alias("speed"), has("plate", "string"),
+        has("direction", "int"), has("road", "string"), has("longitude", "double"), has("latitude", "double"),
     )
+    out = ordered(rows, ["vehicle_id"], Completion(frame_ms, interval_ms, max_gap, low, high, window, wait, removals, roads), completion.WALKED, delay)
+    return completion.labelled(out, roads is not None)
 
 
-class SampledSessions(StatefulProcessor):
-    """Sessions by vehicle with their greedily sampled points. A session closes when a later point is more than the gap
-    away, or when an event-time timer says that the gap has passed."""
+class SampledSessions(Ordered):
+    """Sessions by vehicle with their greedily sampled points, in order of event time. A session closes when a later point
+    is more than the gap away, or when the watermark says that the gap has passed."""
 
-    def __init__(self, gap_ms: int, step_ms: int):
+    fields = "us long, event_id long, ms long, plate string, vehicle_type int, longitude double, latitude double, lane int, direction int, speed double"
+
+    def __init__(self, gap_ms: int, step_ms: int, slice_ms: int):
+        super().__init__(slice_ms)
         self.gap, self.step = gap_ms, step_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.state = handle.getValueState("state", "start long, last long, kept long, plate string, type int, points long")
         self.samples = handle.getListState("samples", "ms long, longitude double, latitude double, lane int, direction int, speed double")
 
@@ -196,101 +255,82 @@ class SampledSessions(StatefulProcessor):
         rows = list(self.samples.get()) if self.samples.exists() else []
         fields = ("longitude", "latitude", "lane", "direction", "speed")
         path = json.dumps([dict(zip(fields, r[1:], strict=True)) for r in rows], ensure_ascii=False)
+        self.state.clear()
+        self.samples.clear()
         return (key[0], f"{s[0]}-{s[3]}-{key[0]}", s[4], s[0], s[1], s[5], len(rows), path)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(["ms", "event_id"])
-        out: list[tuple] = []
+    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
         s = tuple(self.state.get()) if self.state.exists() else None
         fresh: list[tuple] = []
-        for r in pdf.itertuples(index=False):
-            if s is not None and r.ms - s[1] > self.gap:
-                self.samples.appendList(fresh)
+        for _, _, ms, plate, kind, *place in rows:
+            if s is not None and ms - s[1] > self.gap:
+                self._keep(fresh)
                 out.append(self._closed(key, s))
-                self.samples.clear()
                 fresh, s = [], None
             if s is None:
-                s = (int(r.ms), int(r.ms), None, r.plate, int(r.vehicle_type), 0)
-            if s[2] is None or r.ms - s[2] >= self.step:
-                fresh.append((int(r.ms), float(r.longitude), float(r.latitude), int(r.lane), int(r.direction), float(r.speed)))
-                s = (*s[:2], int(r.ms), *s[3:])
-            s = (s[0], int(r.ms), s[2], s[3], s[4], s[5] + 1)
-        if fresh:
-            self.samples.appendList(fresh)
+                s = (ms, ms, None, plate, kind, 0)
+            if s[2] is None or ms - s[2] >= self.step:
+                fresh.append((ms, *place))
+                s = (*s[:2], ms, *s[3:])
+            s = (s[0], ms, *s[2:5], s[5] + 1)
+        self._keep(fresh)
         self.state.update(s)
-        self.handle.registerTimer(s[1] + self.gap)
-        yield self._rows(out)
+        self.handle.registerTimer((s[1] + self.gap) // self.slice_ms * self.slice_ms + self.slice_ms)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
+    def _keep(self, fresh: list[tuple]) -> None:
+        if fresh:  # a list state takes no empty list
+            self.samples.appendList(fresh)
+
+    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
         if self.state.exists():
             s = tuple(self.state.get())
-            if timerValues.getCurrentWatermarkInMs() - s[1] > self.gap:
+            if over_ms - s[1] > self.gap:
                 out.append(self._closed(key, s))
-                self.state.clear()
-                self.samples.clear()
-            elif s[1] + self.gap > expiredTimerInfo.getExpiryTimeInMs():
-                self.handle.registerTimer(s[1] + self.gap)
-        yield self._rows(out)
 
-    @staticmethod
-    def _rows(out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["vehicle_id", "key", "type", "start_ms", "last_ms", "points", "kept", "trajectory"])
-
-    def close(self) -> None:
-        pass
 
-
-def sampled_sessions(points: DataFrame, gap_ms: int = 10_000, step_ms: int = 5_000, delay: str = OUT_OF_ORDER) -> DataFrame:
-    """Closed sessions with their sampled trajectory as JSON: state by vehicle holds the open session's samples only."""
-    rows = points.select("vehicle_id", F.col("ts").cast("timestamp").alias("ts"), "ms", "event_id", "plate", "vehicle_type", "longitude", "latitude", "lane", "direction", "speed")
-    return rows.withWatermark("ts", delay).groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=SampledSessions(gap_ms, step_ms),
-        outputStructType="vehicle_id long, key string, type int, start_ms long, last_ms long, points long, kept long, trajectory string", outputMode="Append", timeMode="EventTime",
-    )
+def sampled_sessions(points: DataFrame, gap_ms: int = 10_000, step_ms: int = 5_000, delay: str = OUT_OF_ORDER, slice_ms: int = 1000) -> DataFrame:
+    """Closed sessions with their sampled trajectory as JSON: state by vehicle holds the open session's samples, and the
+    rows that the watermark hasn't passed."""
+    schema = "vehicle_id long, key string, type int, start_ms long, last_ms long, points long, kept long, trajectory string"
+    return ordered(points, ["vehicle_id"], SampledSessions(gap_ms, step_ms, slice_ms), schema, delay)
 
 
 class Reorder(StatefulProcessor):
-    """Rows of a source in order of time: each waits until the watermark has passed it; numbered as they leave."""
+    """Rows of one slice of a source, held until the watermark has passed the slice's end, then given in order of time."""
+
+    def __init__(self, slice_ms: int):
+        self.slice_ms = slice_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = handle.getListState("held", "ms long, event_id long")
-        self.sent = handle.getValueState("sent", "n long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        self.held.appendList([(int(m), int(e)) for m, e in zip(pdf["ms"], pdf["event_id"], strict=True)])
-        self.handle.registerTimer(int(pdf["ms"].min()))
+        for pdf in rows:
+            self.held.appendList([(int(m), int(e)) for m, e in zip(pdf["ms"], pdf["event_id"], strict=True)])
+        self.handle.registerTimer((key[1] + 1) * self.slice_ms)
         yield self._rows([])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(tuple(r) for r in self.held.get()) if self.held.exists() else []
-        ready, rest = [r for r in rows if r[0] <= mark], [r for r in rows if r[0] > mark]
-        n = self.sent.get()[0] if self.sent.exists() else 0
-        if rest:
-            self.held.put(rest)
-            self.handle.registerTimer(rest[0][0])
-        else:
-            self.held.clear()
-        self.sent.update((n + len(ready),))
-        yield self._rows([(key[0], e, m, n + k) for k, (m, e) in enumerate(ready, 1)])
+        ready = sorted(tuple(r) for r in self.held.get()) if self.held.exists() else []
+        self.held.clear()
+        yield self._rows([(key[0], key[1], e, m, n) for n, (m, e) in enumerate(ready, 1)])
 
     @staticmethod
     def _rows(out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["source", "event_id", "ms", "place"])
+        return pd.DataFrame(out, columns=["source", "slice", "event_id", "ms", "place"])
 
     def close(self) -> None:
         pass
 
 
-def reordered(rows: DataFrame, source: str, delay: str = "3 seconds") -> DataFrame:
-    """``source, event_id, ms, place``: rows of ``source, event_id, ms, ts`` in order of time within their source, each held
-    until event time is ``delay`` ahead of it; later ones are dropped."""
-    picked = rows.select(F.col(source).cast("long").alias("source"), "event_id", "ms", F.col("ts").cast("timestamp").alias("ts"))
-    return picked.withWatermark("ts", delay).groupBy("source").transformWithStateInPandas(
-        statefulProcessor=Reorder(), outputStructType="source long, event_id long, ms long, place long", outputMode="Append", timeMode="EventTime"
+def reordered(rows: DataFrame, source: str, delay: str = "3 seconds", slice_ms: int = 1000) -> DataFrame:
+    """``source, slice, event_id, ms, place``: rows of ``source, event_id, ms, ts``, each held until event time is ``delay``
+    ahead of its slice's end; later ones are dropped. State is keyed by source and slice, so that a hot source spreads and
+    no list is longer than a slice; slices of a source come in order of time, and ``place`` is the order within one."""
+    picked = rows.select(F.col(source).cast("long").alias("source"), F.floor(F.col("ms") / slice_ms).alias("slice"), "event_id", "ms", F.col("ts").cast("timestamp").alias("ts"))
+    return picked.withWatermark("ts", delay).groupBy("source", "slice").transformWithStateInPandas(
+        statefulProcessor=Reorder(slice_ms), outputStructType="source long, slice long, event_id long, ms long, place long", outputMode="Append", timeMode="EventTime"
     )
 
 
