@@ -13,8 +13,8 @@ from ..operators import flow, fusion, lookup
 from ..operators import trajectory as trj
 from ..operators.roads import Roads
 from ..sources import decode, sinks
-from ..streaming import jobs
-from ..streaming.ordered import arrivals
+from ..streaming import jobs, keyed
+from ..streaming.ordered import SPREAD, arrivals
 from .adapter import GANTRIES, NETWORK, RAMPS, ROAD, ROADS, SEGMENTS, O, gantries, ms_of, observations, on_roads, road, road_network, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -910,13 +910,31 @@ def feature_upsert(spark, sf_dir):
     return sinks.upsert_latest(o.where("event_id % 2 = 1"), first, "plate", ["ts", "event_id"]).select("plate", "mileage")
 
 
+def _stored_cells(spark: SparkSession, o: DataFrame) -> DataFrame:
+    """JSON cells of each vehicle and day, in a table bucketed by vehicle."""
+    cells = o.groupBy("vehicle_id", "day").agg(F.to_json(F.collect_list(F.struct("event_id", "mileage"))).alias("cell"))
+    path = sinks.work_path(spark, "cells")
+    return sinks.store_by_key(cells, path.rsplit("/", 1)[-1].replace("-", "_"), path, "vehicle_id", CELL_BUCKETS)
+
+
+#: Buckets of the stored cells, and a list of keys as a caller has it.
+CELL_BUCKETS, KEY_LIST = 16, (1, 5, 8, 13)
+CELL = "struct<event_id:bigint,mileage:bigint>"
+
+
 @query(f"WITH {O} SELECT event_id, vehicle_id, mileage FROM o WHERE vehicle_id IN (SELECT vehicle_id FROM o WHERE event_type = 'signup')")
 def get_by_keys(spark, sf_dir):
-    """Rows of the listed keys whose JSON cells are unnested."""
+    """Rows of the keys in a table, whose JSON cells are unnested; the stored table isn't exchanged."""
     o = observations(spark, sf_dir)
-    cells = o.groupBy("vehicle_id").agg(F.to_json(F.collect_list(F.struct("event_id", "mileage"))).alias("cell"))
-    picked = sinks.get_rows(cells, o.where("event_type = 'signup'"), "vehicle_id")
-    return sinks.unnested_cells(picked, "cell", "struct<event_id:bigint,mileage:bigint>", ["vehicle_id"])
+    picked = sinks.get_rows(_stored_cells(spark, o), o.where("event_type = 'signup'"), "vehicle_id")
+    return sinks.unnested_cells(picked, "cell", CELL, ["vehicle_id"])
+
+
+@query(f"WITH {O} SELECT event_id, vehicle_id, mileage FROM o WHERE vehicle_id IN {KEY_LIST}")
+def get_by_key_list(spark, sf_dir):
+    """Rows of a short list of keys (the operator's own feature): only their buckets are read."""
+    picked = sinks.rows_of_keys(_stored_cells(spark, observations(spark, sf_dir)), "vehicle_id", KEY_LIST)
+    return sinks.unnested_cells(picked, "cell", CELL, ["vehicle_id"])
 
 
 @query(f"WITH {O} SELECT strftime(ts, '%Y%m%d') || '_AnomalyPics' AS bucket, 'A_' || strftime(ts, '%Y%m%d%H%M%S') || plate || '.jpg' AS file, length(plate) AS bytes, md5(plate) AS digest FROM o WHERE device <> 0")
@@ -1084,3 +1102,114 @@ def running_points(spark, sf_dir):
     """Points of each frame, and of all frames so far."""
     f = observations(spark, sf_dir).groupBy("frame").agg(F.count("*").alias("n"))
     return flow.running_total(f, "n", "frame", F.floor(F.col("frame") / 24)).select("frame", "n", "total")
+
+
+# Streams that meet, and sinks that can be sent a batch again.
+
+
+READS = """i AS (SELECT event_id AS image_id, plate, ms // 60000 AS upload, ts FROM o WHERE event_type = 'click'),
+  r AS (SELECT event_id, plate, (ms + 5000) // 60000 AS upload, ts - INTERVAL 5 SECOND AS ts FROM o WHERE event_id % 3 = 0)"""
+
+
+@query(f"""WITH {O}, {READS}, w AS (SELECT least((SELECT max(ts) FROM r), (SELECT max(ts) FROM i)) - INTERVAL {LATE_MS} MILLISECOND AS mark)
+  SELECT r.event_id AS read_id, coalesce(i.image_id, -1) AS image_id FROM r LEFT JOIN i ON r.plate = i.plate AND r.upload = i.upload AND i.ts BETWEEN r.ts AND r.ts + INTERVAL 20 SECOND
+  WHERE i.image_id IS NOT NULL OR r.ts + INTERVAL 20 SECOND < (SELECT mark FROM w)""")
+def stream_read_images(spark, sf_dir):
+    """Reads and images as two streams, each up to two hours late: pairs, and reads whose time has passed without an image."""
+    jobs.use_rocksdb(spark)
+    o = observations(spark, sf_dir)
+    images = o.where("event_type = 'click'").select("event_id", F.col("event_id").alias("image_id"), "plate", F.floor(F.col("ms") / 60000).alias("upload"), "ts")
+    reads = o.where("event_id % 3 = 0").select("event_id", F.col("event_id").alias("read_id"), "plate", F.floor((F.col("ms") + 5000) / 60000).alias("upload"), (F.col("ts") - F.expr("INTERVAL 5 SECONDS")).alias("ts"))
+    r, i = (arrivals(x, sinks.work_path(spark, "side"), LATE_MS) for x in (reads, images))
+    rows = jobs.run_to_table(jobs.reads_to_images(r, i, delay=LATE), sinks.work_path(spark, "pairs"))
+    return rows.select("read_id", F.coalesce("image_id", F.lit(-1)).alias("image_id"))
+
+
+#: Ten-minute frames of the two sensors.
+SENSOR_MS = 600_000
+
+
+@query(f"""WITH {O}, f AS (SELECT ms // {SENSOR_MS} AS slot, device, min(ts) AS ts, list(event_id ORDER BY event_id) AS l FROM o WHERE device < 2 GROUP BY ALL)
+  SELECT a.slot, len(a.l) + len(b.l) AS points, list_sum(a.l)::BIGINT AS one, list_sum(b.l)::BIGINT AS other FROM f a JOIN f b ON a.slot = b.slot AND a.device = 0 AND b.device = 1 AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 300000000""")
+def stream_sensor_merge(spark, sf_dir):
+    """Frames of two sensors as two streams, joined where they are at most five minutes apart."""
+    jobs.use_rocksdb(spark)
+    o = observations(spark, sf_dir).withColumn("slot", F.floor(F.col("ms") / SENSOR_MS))
+    frames = o.groupBy("slot", "device").agg(F.min("ts").alias("ts"), F.collect_list(F.struct("device", "event_id")).alias("points")).withColumn("event_id", F.col("slot"))
+    a, b = (arrivals(frames.where(F.col("device") == k), sinks.work_path(spark, "sensor"), LATE_MS).withColumn("ts", F.col("ts").cast("timestamp")) for k in (0, 1))
+    rows = jobs.run_to_table(jobs.merged_sensors(a, b, "slot", within="5 minutes", delay=LATE), sinks.work_path(spark, "merged"))
+    of = lambda k: F.aggregate("points", F.lit(0).cast("long"), lambda s, p: s + F.when(p["device"] == k, p["event_id"]).otherwise(0))
+    return rows.select("slot", F.size("points").cast("long").alias("points"), of(0).alias("one"), of(1).alias("other"))
+
+
+#: Time that the split waits for rows which come up to LATE_MS after theirs.
+PATIENCE_MS = 1_800_000
+
+
+@query(f"""WITH {O}, a AS (SELECT *, ms + event_id * {SPREAD} % {LATE_MS} AS come FROM o), e AS (SELECT min(come) AS x, max(come) AS y FROM a),
+  b AS (SELECT a.*, {" + ".join(f"(come >= x + (y - x + 1) * {k} // 5)::INT" for k in range(1, 5))} AS batch FROM a, e),
+  m AS (SELECT batch, max(max(ms)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {PATIENCE_MS} AS mark FROM b GROUP BY batch)
+  SELECT event_id, coalesce(epoch_us(ts) <= mark * 1000, false) AS late FROM b JOIN m USING (batch)""")
+def stream_late_rows(spark, sf_dir):
+    """All rows of a stream, those that are more than half an hour behind kept apart: none is dropped."""
+    path = sinks.work_path(spark, "split")
+    jobs.run_batches(event_stream(spark, sf_dir, LATE_MS), jobs.late_splitter(path, PATIENCE_MS), f"{path}-checkpoint")
+    return spark.read.parquet(f"{path}/rows").select("event_id", F.col("late").cast("boolean").alias("late"))
+
+
+@query(SQL["feature_upsert"])
+def stream_feature_upsert(spark, sf_dir):
+    """The last features of each plate from a stream, merged bucket by bucket; every batch is sent twice."""
+    path = sinks.work_path(spark, "features")
+    merge = sinks.merge_latest(path, "plate", ["us", "event_id"])
+
+    def twice(batch: DataFrame, number: int) -> None:
+        for _ in range(2):
+            merge(batch, number)
+
+    stream = event_stream(spark, sf_dir, LATE_MS).select("plate", F.unix_micros("ts").alias("us"), "event_id", "mileage")
+    jobs.run_batches(stream, twice, f"{path}-checkpoint")
+    return sinks.merged_rows(spark, path, "plate string, us long, event_id long, mileage long").select("plate", "mileage")
+
+
+VOTED = f"""{O}, x AS (SELECT vehicle_id, event_id, ts, ms, 'P' || (vehicle_id + event_id % 3) AS plate, event_id % 3 AS j FROM o WHERE {OVER}),
+  c AS (SELECT *, row_number() OVER w AS n, {", ".join(f"count(*) FILTER (j = {j}) OVER w AS c{j}, coalesce(min(epoch_us(ts)) FILTER (j = {j}) OVER w, 9e18) AS f{j}" for j in range(3))} FROM x
+    WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+  b AS (SELECT *, list_sort([(-c0, f0, 0), (-c1, f1, 1), (-c2, f2, 2)])[1] AS best FROM c),
+  v AS (SELECT vehicle_id, event_id, ts, n, 'P' || (vehicle_id + best[3]) AS plate, -best[1] AS votes FROM b)"""
+
+
+def _vote_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs.use_rocksdb(spark)
+    reads = event_stream(spark, sf_dir, LATE_MS).withColumn("plate", F.concat(F.lit("P"), F.col("vehicle_id") + F.col("event_id") % 3))
+    return jobs.run_to_table(keyed.plate_votes(reads, votes_ms=None, delay=LATE, slice_ms=SLICE_MS), sinks.work_path(spark, "votes"))
+
+
+@query(f"WITH {VOTED} SELECT vehicle_id, plate, votes, votes >= 10 AS settled FROM v QUALIFY n = max(n) OVER (PARTITION BY vehicle_id)")
+def stream_plate_vote(spark, sf_dir):
+    """Plates by vote from a stream: each vehicle's last word."""
+    last = _vote_stream(spark, sf_dir).groupBy("vehicle_id").agg(F.max_by(F.struct("plate", "votes"), F.struct("ts", "event_id")).alias("v"))
+    return last.select("vehicle_id", "v.plate", "v.votes", (F.col("v.votes") >= 10).alias("settled"))
+
+
+@query(f"""WITH {VOTED}, s AS (SELECT vehicle_id, arg_min(plate, n) AS settled, min(n) AS since FROM v WHERE votes >= 10 GROUP BY 1)
+  SELECT event_id, CASE WHEN n >= since THEN settled ELSE plate END AS plate FROM v LEFT JOIN s USING (vehicle_id)""")
+def stream_plate_carry_over(spark, sf_dir):
+    """Reads with the plate that is settled by then, else the best so far."""
+    return _vote_stream(spark, sf_dir).select("event_id", F.col("carried").alias("plate"))
+
+
+#: Width of the segments that are flushed after their kilometre's first row.
+FLUSH_MS = 43_200_000
+
+
+@query(f"""WITH RECURSIVE {O}, a AS (SELECT *, epoch_us(ts) AS us, mileage // 1000 AS km, row_number() OVER (PARTITION BY mileage // 1000 ORDER BY ts, event_id) AS i FROM o),
+  k(km, i, start) AS (SELECT km, i, us FROM a WHERE i = 1 UNION ALL SELECT a.km, a.i, CASE WHEN a.us - k.start >= {FLUSH_MS}000 THEN a.us ELSE k.start END FROM k JOIN a ON a.km = k.km AND a.i = k.i + 1)
+  SELECT km, start AS start_us, vehicle_id, round(sum(speed), 6) AS speed_sum, count(*) AS points, arg_min(plate, a.i) AS plate, arg_min(direction, a.i)::BIGINT AS direction, arg_min(lane, a.i)::BIGINT AS lane
+  FROM k JOIN a USING (km, i) WHERE start + {FLUSH_MS}000 <= (SELECT (max(ms) - {LATE_MS}) // {SLICE_MS} * {SLICE_MS}000 FROM o) GROUP BY ALL""")
+def stream_flushed_segments(spark, sf_dir):
+    """Segments of each kilometre, given half a day of event time after its first row, although rows come out of order."""
+    jobs.use_rocksdb(spark)
+    stream = keyed.flushed_segments(event_stream(spark, sf_dir, LATE_MS), FLUSH_MS, delay=LATE, slice_ms=SLICE_MS)
+    rows = jobs.run_to_table(stream, sinks.work_path(spark, "flushed"))
+    return rows.withColumns({"speed_sum": F.round("speed_sum", 6), "direction": F.col("direction").cast("long"), "lane": F.col("lane").cast("long")})

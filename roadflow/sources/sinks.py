@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import scalars as S
 
@@ -89,6 +90,73 @@ def upsert_latest(rows: DataFrame, target: DataFrame | None, key: str, order: Se
     return every.groupBy(key).agg(F.max_by(F.struct(*fields), F.struct(*order)).alias("r")).select(key, "r.*")
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def merge_latest(path: str, key: str, order: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that keeps the last write of each key in a table, whatever is sent again.
+
+    The table is cut into ``buckets`` of keys. A batch merges only the buckets that it touches, into new versions of them
+    (``rows/version=N/bucket=b``); its line in the ledger (``path/ledger``, one row a touched bucket) makes them count. A batch
+    whose line is there is left alone; one that was broken off before its line is written again. Readers see the newest
+    version of each bucket in the ledger, so never half a batch.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        ledger = _ledger(spark, path)
+        if not ledger.where(F.col("version") == number).isEmpty():
+            return
+        # The last row of each key, and from here on one row a key.
+        fresh = staged(upsert_latest(batch, None, key, order).withColumn("bucket", bucket_of(key, buckets)), "fresh")
+        touched = sorted(r["bucket"] for r in fresh.select("bucket").distinct().collect())  # at most ``buckets`` rows
+        current = _versions(spark, path, fresh.schema, touched)
+        merged = upsert_latest(fresh.drop("bucket"), current.drop("bucket", "version"), key, order) if current is not None else fresh.drop("bucket")
+        out = merged.withColumns({"version": F.lit(number).cast("long"), "bucket": bucket_of(key, buckets)})
+        overwrite_partitions(out.repartition("bucket"), f"{path}/rows", "version", "bucket")
+        lines = spark.createDataFrame([(b, number) for b in touched], "bucket int, version long")
+        overwrite_partitions(lines.coalesce(1), f"{path}/ledger", "version")
+
+    return write
+
+
+def _ledger(spark: SparkSession, path: str) -> DataFrame:
+    return read_or_empty(spark, f"{path}/ledger", "bucket int, version long")
+
+
+def _versions(spark: SparkSession, path: str, schema: StructType, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    """Rows of the newest version of each bucket (or of those listed), read from just their folders."""
+    newest = _ledger(spark, path).groupBy("bucket").agg(F.max("version").alias("version")).collect()  # a row a bucket
+    folders = [f"{path}/rows/version={r['version']}/bucket={r['bucket']}" for r in newest if buckets is None or r["bucket"] in buckets]
+    return spark.read.schema(schema).option("basePath", f"{path}/rows").parquet(*folders) if folders else None
+
+
+def merged_rows(spark: SparkSession, path: str, schema: str, keys: Sequence[object] | None = None, key: str | None = None, buckets: int = 64) -> DataFrame:
+    """What ``merge_latest`` has kept; with ``keys`` (of column ``key``) only the buckets that they are in are read."""
+    listed = None
+    if keys is not None:
+        listed = [r[0] for r in spark.createDataFrame([(k,) for k in keys], f"{key} {dict(f.split() for f in schema.split(', '))[key]}").select(bucket_of(key, buckets)).distinct().collect()]
+    empty = spark.createDataFrame([], schema)
+    rows = _versions(spark, path, empty.schema, listed)
+    if rows is None:
+        return empty
+    rows = rows.select(empty.columns)
+    return rows if keys is None else rows.where(F.col(key).isin(list(keys)))
+
+
+def store_by_key(rows: DataFrame, name: str, path: str, key: str, buckets: int = 64) -> DataFrame:
+    """A table bucketed and sorted by its row key, in the catalog under ``name``: reads by a list of keys open only the keys'
+    buckets, and joins by the key don't exchange it."""
+    rows.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
+def rows_of_keys(table: DataFrame, key: str, keys: Sequence[object]) -> DataFrame:
+    """Rows of the keys in a list."""
+    return table.where(F.col(key).isin(list(keys)))
+
+
 def image_files(rows: DataFrame, image: str, prefix: str, time: str, plate: str) -> DataFrame:
     """Binary images with the day and file name that they belong under; rows without image are left out."""
     return rows.where(F.col(image).isNotNull()).select(

@@ -5,17 +5,18 @@ from __future__ import annotations
 import functools
 import json
 import operator
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import completion, flow, lookup
 from ..operators.roads import Roads, bearings
+from ..sources import sinks
 from .ordered import Ordered, ordered
 
 OUT_OF_ORDER = "5 minutes"
@@ -58,11 +59,47 @@ def sessions(points: DataFrame, gap: str = "10 seconds", delay: str = OUT_OF_ORD
     ).select("vehicle_id", "start_ts", "last_ts", "points")
 
 
-def merged_sensors(a: DataFrame, b: DataFrame, key: str, within: str = "5 seconds", delay: str = "5 seconds") -> DataFrame:
-    """Frames of two sensors with the same key and times at most ``within`` apart; state is bounded by the watermarks."""
+def merged_sensors(a: DataFrame, b: DataFrame, key: str, points: str = "points", within: str = "5 seconds", delay: str = "5 seconds") -> DataFrame:
+    """``key, ts, points``: frames of two sensors with the same key and times at most ``within`` apart, their point lists one
+    after the other. Both watermarks bound the state; lists are put together after the join, so each is kept once."""
     x, y = a.withWatermark("ts", delay).alias("a"), b.withWatermark("ts", delay).alias("b")
     near = (F.col(f"a.{key}") == F.col(f"b.{key}")) & F.col("b.ts").between(F.col("a.ts") - F.expr(f"INTERVAL {within}"), F.col("a.ts") + F.expr(f"INTERVAL {within}"))
-    return x.join(y, near)
+    return x.join(y, near).select(F.col(f"a.{key}").alias(key), F.col("a.ts").alias("ts"), F.concat(f"a.{points}", f"b.{points}").alias(points))
+
+
+def reads_to_images(reads: DataFrame, images: DataFrame, within_s: int = 20, delay: str = OUT_OF_ORDER) -> DataFrame:
+    """``read_id, image_id``: reads with the image of the same plate and upload time that came within ``within_s`` seconds. A read
+    without one is given (null) once both watermarks have passed that time, then its state ends."""
+    r = reads.select("read_id", "plate", "upload", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", delay).alias("r")
+    i = images.select("image_id", "plate", "upload", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", delay).alias("i")
+    near = (F.col("r.plate") == F.col("i.plate")) & (F.col("r.upload") == F.col("i.upload")) & F.col("i.ts").between(F.col("r.ts"), F.col("r.ts") + F.expr(f"INTERVAL {within_s} SECONDS"))
+    return r.join(i, near, "leftOuter").select("r.read_id", "i.image_id")
+
+
+def late_splitter(path: str, delay_ms: int, ts: str = "ts") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that drops no row: those behind the watermark of all batches before (their newest time less
+    ``delay_ms``) go to quarantine, ``late=true`` in the table ``path/rows``, the others to ``late=false``, by batch. One
+    write a batch; the newest time and the number of late rows are observed in it and kept in ``path/marks``. A batch that
+    comes again sees the same marks and replaces its own rows."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        marks = sinks.read_or_empty(batch.sparkSession, f"{path}/marks", "newest long, late_rows long, batch long").where(F.col("batch") < number)
+        newest = marks.agg(F.max("newest")).head()[0]
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        late = F.lit(False) if newest is None else F.coalesce(us <= (newest - delay_ms) * 1000, F.lit(False))
+        seen = Observation()
+        rows = batch.withColumns({"late": late, "batch": F.lit(number).cast("long")})
+        rows = rows.observe(seen, F.max(F.floor(us / 1000)).alias("newest"), F.count_if("late").alias("late_rows"))
+        sinks.overwrite_partitions(rows, f"{path}/rows", "late", "batch")
+        mark = batch.sparkSession.createDataFrame([(seen.get["newest"], seen.get["late_rows"], number)], "newest long, late_rows long, batch long")
+        sinks.overwrite_partitions(mark, f"{path}/marks", "batch")
+
+    return write
+
+
+def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Everything that is there now through a foreachBatch function."""
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 class SectionArrivals(StatefulProcessor):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from roadflow.operators import completion, flow
 from roadflow.operators.roads import Roads
 from roadflow.sources import sinks
-from roadflow.streaming import jobs
+from roadflow.streaming import jobs, keyed
 from roadflow.streaming.ordered import arrivals
 
 FRAME = "vehicle_id long, frame long, mileage long, direction int, speed double, plate string, road string"
@@ -118,3 +119,132 @@ def test_ramps_end_after_their_own_rows(spark):
     assert [(r.frame, r.removed) for r in got if r.vehicle_id == 8] == [(1, True)]
     with pytest.raises(ValueError, match="road rows"):
         Roads.of(spark.range(3).selectExpr("'K' road", "id road_seq", "id mileage", "1.0D longitude", "1.0D latitude"), 0, 9, most=2)
+
+
+def test_outer_join_of_two_streams(spark):
+    """A pair within twenty seconds, an image a second too late, a read without image that time has passed, one still open."""
+    jobs.use_rocksdb(spark)
+    sides = []
+    batches = {
+        "read_id long, plate string, upload long, ts timestamp": [[(1, "A", 1, 0), (2, "B", 1, 0)], [(3, "C", 1, 30)], [(4, "D", 1, 5000)], [(5, "E", 1, 5100)]],
+        "image_id long, plate string, upload long, ts timestamp": [[(9, "Z", 1, 0)], [(11, "A", 1, 20), (12, "B", 1, 21)], [(13, "A", 2, 25)], [(14, "D", 1, 5010)]],
+    }
+    for schema, parts in batches.items():
+        path = sinks.work_path(spark, "side")
+        for rows in parts:
+            spark.createDataFrame([(*r[:3], seconds(r[3])[0]) for r in rows], schema).coalesce(1).write.mode("append").parquet(path)
+        sides.append(spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path))
+    got = jobs.run_to_table(jobs.reads_to_images(*sides, delay="1 minute"), sinks.work_path(spark, "out"))
+    assert sorted((r.read_id, r.image_id or 0) for r in got.collect()) == [(1, 11), (2, 0), (3, 0), (4, 14)]
+
+
+def test_late_rows_are_kept_and_a_batch_may_come_again(spark):
+    path, schema = sinks.work_path(spark, "split"), "event_id long, ts timestamp"
+    write = jobs.late_splitter(path, 10_000)
+    batches = [[(1, 0), (2, 100)], [(3, 95), (4, 89), (5, 90)], [], [(6, 200)], [(7, 150), (8, None)]]
+    frames = [spark.createDataFrame([(k, None if t is None else seconds(t)[0]) for k, t in rows], schema) for rows in batches]
+    for number in (0, 1, 1, 2, 3, 4, 1):
+        write(frames[number], number)
+    got = {r.event_id: r.late in (True, "true") for r in spark.read.parquet(f"{path}/rows").collect()}
+    assert got == {1: False, 2: False, 3: False, 4: True, 5: True, 6: False, 7: True, 8: False}
+    marks = spark.read.parquet(f"{path}/marks").orderBy("batch").collect()
+    assert [(m.batch, m.late_rows) for m in marks] == [(0, 0), (1, 2), (2, 0), (3, 0), (4, 1)]
+
+
+def test_merge_is_safe_from_repeats_and_broken_batches(spark):
+    path, schema = sinks.work_path(spark, "merge"), "plate string, ts long, mileage long"
+    merge = sinks.merge_latest(path, "plate", ["ts"], buckets=8)
+    batch = lambda rows: spark.createDataFrame(rows, schema)
+    read = lambda: sorted(((r.plate, r.mileage) for r in sinks.merged_rows(spark, path, schema).collect()), key=str)
+    assert read() == []
+    merge(batch([("a", 1, 10), ("a", 3, 30), ("b", 1, 1), (None, 1, 5)]), 0)
+    first = spark.read.parquet(f"{path}/ledger").collect()
+    merge(batch([("a", 2, 20), ("c", 1, 7)]), 1)
+    assert read() == sorted([(None, 5), ("a", 30), ("b", 1), ("c", 7)], key=str)
+    merge(batch([("a", 9, 99)]), 1)  # sent again: its line is there
+    sinks.overwrite_partitions(batch([("a", 99, 0)]).withColumns({"version": F.lit(2).cast("long"), "bucket": sinks.bucket_of("plate", 8)}), f"{path}/rows", "version", "bucket")  # broken off before its line
+    assert read() == sorted([(None, 5), ("a", 30), ("b", 1), ("c", 7)], key=str)
+    merge(batch([("a", 4, 40)]), 2)
+    assert ("a", 40) in read() and ("b", 1) in read()
+    assert len(first) < 8 and len(spark.read.parquet(f"{path}/ledger").where("version = 2").collect()) == 1
+    some = sinks.merged_rows(spark, path, schema, ["a", "zz"], "plate", buckets=8)
+    assert [(r.plate, r.mileage) for r in some.collect()] == [("a", 40)] and len(some.inputFiles()) <= 2
+
+
+def test_reads_by_key_open_only_their_buckets(spark):
+    rows = spark.range(1000).select((F.col("id") % 100).alias("vehicle_id"), F.to_json(F.array(F.struct("id"))).alias("cell"))
+    path = sinks.work_path(spark, "cells")
+    table = sinks.store_by_key(rows, "cells_" + path.rsplit("-", 1)[-1], path, "vehicle_id", 16)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # else the scan prunes, but doesn't say so
+    try:
+        picked = sinks.rows_of_keys(table, "vehicle_id", [3, 77])
+        assert picked.count() == 20 and "SelectedBucketsCount: 2 out of 16" in plan(picked)
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    keys = spark.range(0, 100, 10).withColumnRenamed("id", "vehicle_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = sinks.get_rows(table, keys, "vehicle_id")
+        text = plan(joined)
+        assert joined.count() == 100 and not any("Exchange" in line for line in text.split("FileScan parquet")[0].splitlines() if "cell" in line)
+        assert text.count("Exchange hashpartitioning") <= 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_votes_settle_and_expire(spark):
+    """Ties go to the plate read first; a settled plate is carried; votes and the settled plate end after their times."""
+    reads = [(0, "x"), (1, "y"), (2, "y"), (3, "x"), (4, "x"), (5, "y"), (200, "z"), (900, "y")]
+    rows = [(k, 1, seconds(t)[0], p) for k, (t, p) in enumerate(reads)] + [(99, 2, seconds(5000)[0], None)]
+    job = lambda s: keyed.plate_votes(s, settle=3, votes_ms=80_000, settled_ms=600_000, delay="10 seconds", slice_ms=1000)
+    got = Feed(spark, "event_id long, vehicle_id long, ts timestamp, plate string", job).put(rows[0:6:2], rows[1:6:2], rows[6:7], rows[7:8], rows[8:]).run()
+    assert [(r.event_id, r.plate, r.votes, r.carried) for r in got.orderBy("event_id").collect()] == [
+        (0, "x", 1, "x"), (1, "x", 1, "x"), (2, "y", 2, "y"), (3, "x", 2, "x"), (4, "x", 3, "x"), (5, "x", 3, "x"), (6, "z", 1, "x"), (7, "y", 1, "y")
+    ]
+
+
+SEGMENTS = "event_id long, vehicle_id long, ts timestamp, mileage long, speed double, plate string, direction int, lane int"
+
+
+def test_flush_after_the_first_row(spark):
+    at = lambda k, v, t: (k, v, seconds(t)[0], 1000, 10.0, f"P{k}", 1, 1)
+    rows = [at(0, 1, 0), at(1, 2, 30), at(2, 1, 59), at(3, 1, 60), at(4, 1, 119.5), at(5, 1, 500)]
+    got = Feed(spark, SEGMENTS, lambda s: keyed.flushed_segments(s, delay="1 minute")).put([rows[1]], [rows[0], rows[3]], [rows[2]], [rows[4]], [rows[5]]).run()
+    start = min(r.start_us for r in got.collect())
+    assert sorted(((r.start_us - start) // 10**6, r.vehicle_id, r.points, r.plate) for r in got.collect()) == [(0, 1, 2, "P0"), (0, 2, 1, "P1"), (60, 1, 2, "P3")]
+
+
+def test_flush_by_the_clock(spark):
+    """A processing-time timer flushes what has come; such a stream doesn't end, so it is stopped."""
+    feed = Feed(spark, SEGMENTS, None).put([(k, k % 2, seconds(k)[0], 1000, 1.0, "P", 1, 1) for k in range(5)])
+    stream = spark.readStream.schema(spark.createDataFrame([], SEGMENTS).schema).parquet(feed.into)
+    q = keyed.flushed_segments(stream, 1000, delay=None).writeStream.format("parquet").option("checkpointLocation", feed.out + "-c").start(feed.out)
+    schema = "km long, start_us long, vehicle_id long, points long"
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if sinks.read_or_empty(spark, feed.out, schema).count() >= 2:
+                break
+    finally:
+        q.stop()
+    assert sorted((r.km, r.vehicle_id, r.points) for r in sinks.read_or_empty(spark, feed.out, schema).collect()) == [(1, 0, 3), (1, 1, 2)]
+
+
+def test_capture_and_minute_tables(spark):
+    """Raw values of a stream as text; rows by day and hour, whose scan prunes."""
+    path, out = sinks.work_path(spark, "raw"), sinks.work_path(spark, "text")
+    spark.createDataFrame([("a b",), ("c",)], "value string").write.text(path)
+    sinks.capture_text(spark.readStream.text(path), out, out + "-c").awaitTermination()
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["a b", "c"]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(seconds(0, 10, 4000, 90_000))], "event_id long, ts timestamp")
+    table = sinks.work_path(spark, "hours")
+    sinks.by_day_and_hour(rows, table)
+    kept = spark.read.parquet(table).where("day = 20250101 AND hour = 9")
+    assert [r.event_id for r in kept.collect()] == [2] and "PartitionFilters: [isnotnull(day" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topic_rows(spark):
+    """What a topic gets: the key as text and the whole row as JSON."""
+    rows = spark.createDataFrame([(1, "P"), (2, None)], "vehicle_id long, plate string")
+    assert [tuple(r) for r in sinks.to_json_values(rows, "vehicle_id").orderBy("key").collect()] == [("1", '{"vehicle_id":1,"plate":"P"}'), ("2", '{"vehicle_id":2}')]
