@@ -19,8 +19,9 @@ BITS, WORD, SAMPLE, ROUNDS = 2048, 16, 4096, 8
 TABLES = BITS // WORD
 #: Vectors in a shard at most, shards that smaller tables are cut into, queries in a block, queries probed together.
 SHARD, LEAST_SHARDS, BLOCK, CHUNK = 65536, 6, 32768, 128
-#: The share of codes as far away as the neighbours found that must be retrieved, by expectation.
-TARGET = 0.95
+#: The share of codes as far away as the neighbours found that must be retrieved, by expectation; the share of a sample's
+#: true neighbours that the Hamming radius around a query must hold, and the sample's queries that it is taken from.
+TARGET, WITHIN, ASKED = 0.95, 0.9995, 256
 
 
 def learn_rotations(x: np.ndarray) -> np.ndarray:
@@ -89,38 +90,53 @@ class Index:
                 at = np.arange(ends[-1]) + np.repeat(a[hit] - (ends - count), count)
                 flat[np.repeat(which[hit // len(change)] * self.n, count) + self.order[t][at]] = True
 
-    def search(self, asked: np.ndarray, x: np.ndarray, q: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, int]]:
-        """For each query its candidates and the number of flipped bits that retrieved them.
+    def search(self, asked: np.ndarray, depth: int, slack: int) -> Iterator[tuple[int, np.ndarray, int, int]]:
+        """For each query the rows to compare by floats, how many the tables gave, and how many bits were flipped for that.
 
-        The candidates are the rows that the tables give for the query's substrings with up to ``flips`` flipped bits:
-        by the pigeonhole principle all codes within the Hamming radius TABLES * (flips + 1) - 1, and more. ``flips``
-        grows until ``depth`` rows are found and, of codes as far from the query as the ``depth`` nearest of them (by
-        floats) are, a share of TARGET is retrieved by expectation."""
+        The tables give the rows for the query's substrings with up to ``flips`` flipped bits: by the pigeonhole principle
+        all codes within the Hamming radius TABLES * (flips + 1) - 1, and more. Their whole codes are compared with the
+        query's. ``flips`` grows until ``depth`` rows are found and, of codes as far from the query as the ``depth``
+        nearest of them are (plus half the slack), a share of TARGET is retrieved by expectation. Of all that was retrieved the rows within the
+        distance of the ``depth``-th nearest plus ``slack`` bits are left."""
         depth = min(depth, self.n)
+        whole = self.codes.view(np.uint64)
         for begin in range(0, len(asked), CHUNK):
             pending = np.arange(begin, min(begin + CHUNK, len(asked)))
             seen = np.zeros((len(pending), self.n), bool)
+            apart = np.full((len(pending), self.n), BITS + 1, np.int16)
             for flips in range(WORD + 1):
                 self.probe(asked[pending], flips, seen, pending - begin)
                 again = []
                 for i in pending:
-                    rows = np.flatnonzero(seen[i - begin])
-                    if len(rows) < self.n:
-                        if len(rows) < depth:
-                            again.append(i)
-                            continue
-                        score = x[rows] @ q[i]
-                        best = rows[np.argpartition(-score, depth - 1)[:depth]]
-                        far = np.bitwise_count(self.codes[best] ^ asked[i]).sum(axis=1, dtype=np.int64)
-                        if retrieved(flips)[far].mean() < TARGET:
-                            again.append(i)
-                            continue
-                    yield int(i), rows, flips
+                    far = apart[i - begin]
+                    fresh = np.flatnonzero(seen[i - begin] & (far > BITS))
+                    far[fresh] = np.bitwise_count(whole[fresh] ^ asked[i].view(np.uint64)).sum(axis=1, dtype=np.int16)
+                    got = int(seen[i - begin].sum())
+                    if got < depth:
+                        again.append(i)
+                        continue
+                    nearest = np.partition(far, depth - 1)[:depth]
+                    if got < self.n and retrieved(flips)[np.minimum(nearest + slack // 2, BITS)].mean() < TARGET:
+                        again.append(i)
+                        continue
+                    yield int(i), np.flatnonzero(far <= min(int(nearest.max()) + slack, BITS)), got, flips
                 pending = np.array(again, np.int64)
                 if not len(pending):
                     break
 
 
+def learn_slack(x: np.ndarray, codes: np.ndarray, depth: int) -> int:
+    """By how many bits the true neighbours of a sample's vectors (the ``depth`` largest inner products) are beyond the
+    ``depth``-th nearest code, but for a share of 1 - WITHIN of them. ``x`` as lifted: all equally long."""
+    depth = min(depth, len(x))
+    over = []
+    for i in range(min(ASKED, len(x))):
+        far = np.bitwise_count(codes.view(np.uint64) ^ codes[i].view(np.uint64)).sum(axis=1, dtype=np.int64)
+        true = np.argpartition(-(x @ x[i]), depth - 1)[:depth]
+        over.append(far[true] - np.partition(far, depth - 1)[depth - 1])
+    return max(0, int(np.ceil(np.quantile(np.concatenate(over), WITHIN)))) if over else BITS
+
+
 def _matrix(col: pd.Series, kind: type) -> np.ndarray:
     return np.stack(col.to_numpy()).astype(kind) if len(col) else np.zeros((0, 1), kind)
 
@@ -131,9 +147,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     Rotations are learnt from at most about ``SAMPLE`` vectors drawn by a hash of the id; all rows are coded and
     indexed. Of equal vectors the k + 1 first by id stand for all on the data side (no other can be among k nearest), and
     one on the query side. Rows are dealt into shards and queries into blocks of bounded size, each pair of which is one
-    group: the substring tables give the candidates, and the original vectors of those are compared. How many bits are
-    flipped follows the data (see ``Index.search``); no candidate is dropped unseen. Scores are in double precision from
-    the original components; ties go to the smaller id.
+    group: the substring tables give the candidates, whole codes leave those within a Hamming radius, and the original
+    vectors of these are compared. How many bits are flipped and how wide the radius is follow the data (see
+    ``Index.search`` and ``learn_slack``); there is no limit to either. Scores are in double precision from the original
+    components; ties go to the smaller id.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id. Vectors
     of different numbers of components aren't compared with each other. Repeated ids are rows of their own, and repeated
@@ -158,7 +175,10 @@ def _nearest(rows: DataFrame, k: int, kind: str) -> DataFrame:
     sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1 << 20)) < part * (1 << 20)).select("x").toPandas()
     dim = rows.select(F.size("x")).head()[0]
     x = _matrix(sample["x"], np.float64) if len(sample) else np.zeros((0, dim))
-    rotations = learn_rotations(lifted(x, longest)).astype(np.float32)
+    high = lifted(x, longest)
+    rotations = learn_rotations(high).astype(np.float32)
+    # Queries are lifted with 0: of a sample's vectors only direction matters, so they stand for queries as they are.
+    slack = learn_slack(high, encode(high.astype(np.float32), rotations), k + 1)
     shards, parts = max(-(-n // SHARD), min(LEAST_SHARDS, -(-n // 2048))), max(1, -(-nq // BLOCK))
     share = (k + 1) / shards
     depth = min(k + 1, math.ceil(share + 3 * math.sqrt(share)) + 1)  # of the nearest of all, so many lie in a shard at most
@@ -182,7 +202,7 @@ def _nearest(rows: DataFrame, k: int, kind: str) -> DataFrame:
             codes = np.concatenate([encode(lifted(x[i : i + 4096].astype(np.float32), longest).astype(np.float32), held.value) for i in range(0, len(x), 4096)])
             asks = np.concatenate([encode(lifted(q[i : i + 4096].astype(np.float32), None).astype(np.float32), held.value) for i in range(0, len(q), 4096)])
             rough = x.astype(np.float32)
-            for i, found, _ in Index(codes).search(asks, rough, q.astype(np.float32), depth):
+            for i, found, *_ in Index(codes).search(asks, depth, slack):
                 score = rough[found] @ q[i].astype(np.float32)
                 if len(found) > k + 1:
                     least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
