@@ -125,13 +125,14 @@ class Index:
                     break
 
 
-def learn_slack(x: np.ndarray, codes: np.ndarray, depth: int) -> int:
+def learn_slack(x: np.ndarray, codes: np.ndarray, asked: np.ndarray, depth: int) -> int:
     """By how many bits the true neighbours of a sample's vectors (the ``depth`` largest inner products) are beyond the
-    ``depth``-th nearest code, but for a share of 1 - WITHIN of them. ``x`` as lifted: all equally long."""
+    ``depth``-th nearest code, but for a share of 1 - WITHIN of them; ``codes`` and ``asked`` are the vectors' codes as data
+    and as queries."""
     depth = min(depth, len(x))
     over = []
-    for i in range(min(ASKED, len(x))):
-        far = np.bitwise_count(codes.view(np.uint64) ^ codes[i].view(np.uint64)).sum(axis=1, dtype=np.int64)
+    for i in range(0, len(x), max(1, len(x) // ASKED)):
+        far = np.bitwise_count(codes.view(np.uint64) ^ asked[i].view(np.uint64)).sum(axis=1, dtype=np.int64)
         true = np.argpartition(-(x @ x[i]), depth - 1)[:depth]
         over.append(far[true] - np.partition(far, depth - 1)[depth - 1])
     return max(0, int(np.ceil(np.quantile(np.concatenate(over), WITHIN)))) if over else BITS
@@ -177,8 +178,7 @@ def _nearest(rows: DataFrame, k: int, kind: str) -> DataFrame:
     x = _matrix(sample["x"], np.float64) if len(sample) else np.zeros((0, dim))
     high = lifted(x, longest)
     rotations = learn_rotations(high).astype(np.float32)
-    # Queries are lifted with 0: of a sample's vectors only direction matters, so they stand for queries as they are.
-    slack = learn_slack(high, encode(high.astype(np.float32), rotations), k + 1)
+    slack = learn_slack(x, encode(high.astype(np.float32), rotations), encode(lifted(x, None).astype(np.float32), rotations), k + 1)
     shards, parts = max(-(-n // SHARD), min(LEAST_SHARDS, -(-n // 2048))), max(1, -(-nq // BLOCK))
     share = (k + 1) / shards
     depth = min(k + 1, math.ceil(share + 3 * math.sqrt(share)) + 1)  # of the nearest of all, so many lie in a shard at most
