@@ -46,7 +46,7 @@ def passes() -> list[tuple[Column, list[Column]]]:
     side = (F.abs(F.col("p_lane") - F.col("lane")) <= 1) | (F.col("p_lane") == 5)
     return [
         (clear & same & behind, [F.col("tries"), F.col("distance")]),
-        (clear & side, [F.col("tries"), F.col("known").desc_nulls_last(), (~same).cast("int"), F.col("distance")]),
+        (clear & side, [F.col("tries"), -F.coalesce("known", F.lit(0)), (~same).cast("int"), F.col("distance")]),
         (~clear, [F.col("tries"), F.col("distance")]),
     ]
 
@@ -76,7 +76,9 @@ def reads_to_tracks(
             near = F.abs(F.col("_busy") - F.col("p_ms")) < guard_ms
             left = left.withColumn("_cell", cell)
             left = left.join(busy, (left["vehicle_id"] == busy["vehicle_id"]) & (left["_cell"] == busy["_cell"]) & near, "left_anti").drop("_cell")
-        best = left.withColumn("_n", F.row_number().over(Window.partitionBy("read_id").orderBy(*order, "vehicle_id", "p_ms"))).where("_n = 1")
+        # The best candidate of each read by an aggregate: a task sends one a read.
+        fields = [c for c in left.columns if c != "read_id"]
+        best = left.groupBy("read_id").agg(F.min_by(F.struct(*fields), F.struct(*order, "vehicle_id", "p_ms")).alias("_c")).select("read_id", "_c.*")
         rival = F.min(F.struct("distance", "read_id")).over(Window.partitionBy("vehicle_id").orderBy("p_ms").rangeBetween(1 - guard_ms, guard_ms - 1))
         won = best.withColumn("_best", rival).where(F.col("_best") == F.struct("distance", "read_id"))
         won = staged(won.select("read_id", "vehicle_id", F.lit(k).alias("pass"), "distance", F.col("p_ms").alias("match_ms")), "matches")

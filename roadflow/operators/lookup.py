@@ -123,10 +123,12 @@ def road_segment(mileage: Column, bounds: Sequence[int]) -> Column:
 
 
 def gate_passages(points: DataFrame, gates: DataFrame, reach: int = 20, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    """First point of each vehicle within ``reach`` metres of each gate of its direction."""
-    found = nearest(points, gates, "mileage", "mileage", "id", reach, ["direction"], "_g").where("_g IS NOT NULL").withColumn("gate", F.col("_g.id"))
-    first = F.row_number().over(Window.partitionBy("vehicle_id", "gate").orderBy(*order))
-    return found.withColumn("_n", first).where("_n = 1").drop("_n", "_g")
+    """First point of each vehicle within ``reach`` metres of each gate of its direction: an aggregate, so that a task sends
+    one point of a vehicle and gate at most."""
+    found = nearest(points, gates, "mileage", "mileage", "id", reach, ["direction"], "_g").where("_g IS NOT NULL").withColumn("gate", F.col("_g.id")).drop("_g")
+    rest = [c for c in found.columns if c not in ("vehicle_id", "gate")]
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_p")
+    return found.groupBy("vehicle_id", "gate").agg(first).select("vehicle_id", "gate", "_p.*")
 
 
 def absent_vehicles(frames: DataFrame, points: DataFrame, max_gap: int) -> DataFrame:
@@ -145,8 +147,9 @@ def new_vehicles(points: DataFrame, seen: DataFrame, key: str = "vehicle_id") ->
 
 
 def prefer_fresh(predicted: DataFrame, observed: DataFrame, keys: Sequence[str], fresh_ms: int = 300) -> DataFrame:
-    """Each prediction replaced by an observation of the same key that is less than ``fresh_ms`` older or newer."""
-    o = observed.select(*keys, F.col("ms").alias("_ms"), F.col("mileage").alias("_m"))
+    """Each prediction replaced by the last observation of the same key, if that is less than ``fresh_ms`` older or newer."""
+    last = F.max(F.struct(F.col("ms").alias("_ms"), F.col("mileage").alias("_m"))).alias("_o")
+    o = observed.groupBy(*keys).agg(last).select(*keys, "_o.*")
     near = F.abs(F.col("_ms") - F.col("ms")) < fresh_ms
     joined = predicted.join(o, list(keys), "left")
     return joined.withColumns({"is_observed": F.coalesce(near, F.lit(False)), "mileage": F.when(near, F.col("_m")).otherwise(F.col("mileage"))}).drop("_ms", "_m")

@@ -414,11 +414,12 @@ def checkpoint_rank(spark, sf_dir):
     return observations(spark, sf_dir).select("event_id", lookup.checkpoint_rank(F.col("latitude"), CHECKPOINTS).alias("rank"))
 
 
-@query(f"""WITH {O}, f AS (SELECT frame, device, list(event_id ORDER BY event_id) AS l FROM o GROUP BY ALL) SELECT a.frame, len(a.l) + len(b.l) AS points, list_min(a.l) AS first FROM f a JOIN f b ON a.frame = b.frame AND a.device = 0 AND b.device = 1""")
+@query(f"""WITH {O}, f AS (SELECT ms // 600000 AS slot, device, list(event_id ORDER BY event_id) AS l FROM o GROUP BY ALL) SELECT a.slot, len(a.l) + len(b.l) AS points, list_min(a.l) AS first FROM f a JOIN f b ON a.slot = b.slot AND a.device = 0 AND b.device = 1""")
 def sensor_merge(spark, sf_dir):
-    f = observations(spark, sf_dir).groupBy("frame", "device").agg(F.sort_array(F.collect_list("event_id")).alias("points"))
-    m = fusion.merged_sensors(f.where("device = 0").drop("device"), f.where("device = 1").drop("device"), "frame", "points")
-    return m.select("frame", F.size("points").cast("long").alias("points"), F.col("points")[0].alias("first"))
+    """Frames (ten minutes) of two sensors at the same time, put together."""
+    f = observations(spark, sf_dir).groupBy(F.floor(F.col("ms") / 600_000).alias("slot"), "device").agg(F.sort_array(F.collect_list("event_id")).alias("points"))
+    m = fusion.merged_sensors(f.where("device = 0").drop("device"), f.where("device = 1").drop("device"), "slot", "points")
+    return m.select("slot", F.size("points").cast("long").alias("points"), F.col("points")[0].alias("first"))
 
 
 @query(f"WITH {O} SELECT event_id, ms - (ms - 37) % 200 AS aligned FROM o")
@@ -743,11 +744,12 @@ def map_counts(spark, sf_dir):
 
 def path_messages(o: DataFrame) -> DataFrame:
     point = F.struct(F.col("event_id").alias("id"), F.col("plate").alias("plateNo"), F.col("vehicle_type").alias("vehicleType"), "speed", F.col("lane").alias("laneNo"), "direction", F.col("stake").alias("stakeId"), "mileage")
-    frames = o.groupBy("frame").agg(F.first("day").alias("day"), F.collect_list(point).alias("pathList"))
+    # A message is what a device sends in a minute, never an hour of all vehicles.
+    frames = o.groupBy("device", F.floor(F.col("ms") / 60_000).alias("minute"), "frame").agg(F.first("day").alias("day"), F.collect_list(point).alias("pathList"))
     stamp = F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit(" "), F.lpad((F.col("frame") % 24).cast("string"), 2, "0"), F.lit(":00:00:000"))
     body = F.to_json(F.struct(stamp.alias("timeStamp"), (F.col("frame") * 3_600_000).alias("time"), F.size("pathList").alias("pathNum"), "pathList"))
     # Every seventh frame arrives damaged.
-    return frames.select(F.col("frame").alias("fid"), F.when(F.col("frame") % 7 == 0, F.substring(body, 1, 20)).otherwise(body).alias("value"))
+    return frames.select(F.col("minute").alias("fid"), F.col("device").cast("long").alias("device"), F.when(F.col("frame") % 7 == 0, F.substring(body, 1, 20)).otherwise(body).alias("value"))
 
 
 @query(f"WITH {O} SELECT event_id, plate, vehicle_type::BIGINT AS vehicle_type, direction::BIGINT AS direction, mileage, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S:000') AS ts FROM o WHERE frame % 7 <> 0")
@@ -756,25 +758,29 @@ def decode_path_frames(spark, sf_dir):
     return decode.path_points(good).select(F.col("id").alias("event_id"), F.col("plateNo").alias("plate"), F.col("vehicleType").cast("long").alias("vehicle_type"), F.col("direction").cast("long"), F.col("mileage").cast("long"), F.col("timeStamp").alias("ts"))
 
 
-@query(f"WITH {O} SELECT frame, count(*) AS points FROM o WHERE frame % 7 = 0 GROUP BY frame")
+@query(f"WITH {O} SELECT ms // 60000 AS minute, device, count(*) AS points FROM o WHERE frame % 7 = 0 GROUP BY ALL")
 def quarantined_frames(spark, sf_dir):
     """Damaged frames end in quarantine, none is lost."""
     o = observations(spark, sf_dir)
     _, bad = decode.decode_path_frames(path_messages(o))
-    return bad.select(F.col("fid").alias("frame")).join(o.groupBy("frame").agg(F.count("*").alias("points")), "frame")
+    points = o.groupBy(F.floor(F.col("ms") / 60_000).alias("minute"), F.col("device").cast("long").alias("device")).agg(F.count("*").alias("points"))
+    return bad.select(F.col("fid").alias("minute"), "device").join(points, ["minute", "device"])
 
 
-@query(f"WITH {O} SELECT kind, count(*) AS n FROM (SELECT DISTINCT frame, CASE WHEN frame % 7 = 0 THEN 'unknown' WHEN frame % 2 = 0 THEN 'fibre' ELSE 'path' END AS kind FROM o) GROUP BY kind")
+@query(f"WITH {O} SELECT kind, count(*) AS n FROM (SELECT DISTINCT ms // 60000, device, CASE WHEN frame % 7 = 0 THEN 'unknown' WHEN ms // 60000 % 2 = 0 THEN 'fibre' ELSE 'path' END AS kind FROM o) GROUP BY kind")
 def route_envelopes(spark, sf_dir):
     m = path_messages(observations(spark, sf_dir))
-    both = m.where("fid % 2 = 1 OR fid % 7 = 0").unionByName(m.where("fid % 2 = 0 AND fid % 7 <> 0").withColumn("value", F.to_json(F.struct(F.col("fid").alias("SN"), F.lit("x").alias("DEVICEIP")))))
+    bad = "floor(fid / 60) % 7 = 0"
+    both = m.where(f"fid % 2 = 1 OR {bad}").unionByName(m.where(f"fid % 2 = 0 AND NOT {bad}").withColumn("value", F.to_json(F.struct(F.col("fid").alias("SN"), F.lit("x").alias("DEVICEIP")))))
     return decode.route_envelopes(both).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {O} SELECT frame, count(*) AS n, list_sum(list_sort(list(mileage)))::BIGINT AS total, min(event_id) AS first FROM o GROUP BY frame")
+@query(f"WITH {O} SELECT ms // 60000 AS minute, device, count(*) AS n, list_sum(list_sort(list(mileage)))::BIGINT AS total, min(event_id) AS first FROM o GROUP BY ALL")
 def regroup_frames(spark, sf_dir):
-    f = decode.regroup_points(observations(spark, sf_dir), ["frame"], ["event_id", "mileage"])
-    return f.select("frame", F.col("pathNum").cast("long").alias("n"), F.aggregate("pathList", F.lit(0).cast("long"), lambda a, p: a + p["mileage"]).alias("total"), F.col("pathList")[0]["event_id"].alias("first"))
+    """Points of a device and minute as a frame again."""
+    o = observations(spark, sf_dir).withColumn("minute", F.floor(F.col("ms") / 60_000))
+    f = decode.regroup_points(o, ["minute", "device"], ["event_id", "mileage"])
+    return f.select("minute", F.col("device").cast("long").alias("device"), F.col("pathNum").cast("long").alias("n"), F.aggregate("pathList", F.lit(0).cast("long"), lambda a, p: a + p["mileage"]).alias("total"), F.col("pathList")[0]["event_id"].alias("first"))
 
 
 def _le(value: Column, size: int) -> Column:
@@ -793,36 +799,51 @@ def arrived(messages: DataFrame, label: str) -> DataFrame:
     return messages.sparkSession.read.schema(messages.schema).parquet(path)
 
 
-@query(f"WITH {O} SELECT frame AS sn, '100.65.23.' || (frame % 256) AS ip, ms AS time, event_id AS id, plate AS car, vehicle_type::BIGINT AS type, mileage AS point, lane::BIGINT AS lane, -direction::BIGINT AS direct, (event_id % 1000) / 8.0::DOUBLE AS speed FROM (SELECT *, frame * 3600000 AS t FROM o) o")
+#: Records that go into one binary frame at most; it has the first one's time.
+RECORDS = 16
+PACKED = f"q AS (SELECT *, min(ms) OVER k AS t, min(frame) OVER k AS sn, count(*) OVER k AS n FROM o WINDOW k AS (PARTITION BY device, event_id // {RECORDS}))"
+
+
+def _packed(records: DataFrame, record: Column) -> DataFrame:
+    """Frames of a device: ``ms, frame`` of the first record, how many there are, and all of them in hex."""
+    rows = records.withColumn("_r", record).groupBy("device", F.floor(F.col("event_id") / RECORDS).alias("pack")).agg(
+        F.min("ms").alias("ms"), F.min("frame").alias("frame"), F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("event_id", "_r"))).alias("_l")
+    )
+    return rows.withColumn("records", F.array_join(F.transform("_l", lambda x: x["_r"]), "")).drop("_l")
+
+
+@query(f"WITH {O}, {PACKED} SELECT sn, n AS records, '100.65.23.' || (sn % 256) AS ip, t AS time, event_id AS id, plate AS car, vehicle_type::BIGINT AS type, mileage AS point, lane::BIGINT AS lane, -direction::BIGINT AS direct, (event_id % 1000) / 8.0::DOUBLE AS speed FROM q")
 def decode_fibre(spark, sf_dir):
-    """Little-endian fibre frames, written as hex with one record each and decoded."""
-    o = observations(spark, sf_dir).withColumn("_v", (F.col("event_id") % 1000) / 8.0)
+    """Little-endian fibre frames, written as hex with up to RECORDS records each and decoded."""
+    o = observations(spark, sf_dir)
     # Bits of a float of three binary places: its exponent and mantissa follow from the whole number of eighths.
     n = F.col("event_id") % 1000
     e = F.floor(F.log2(n.cast("double"))).cast("int")
     bits = F.when(n == 0, F.lit(0)).otherwise(F.shiftleft((e - 3 + 127).cast("long"), 23) + F.floor((n / F.pow(F.lit(2.0), e) - 1) * (1 << 23)).cast("long"))
-    ip = F.concat(F.lit("644117"), _be(F.col("frame") % 256, 1))
     car = F.rpad(F.hex(F.col("plate").cast("binary")), 32, "20")
     record = F.concat(_le(F.col("event_id"), 8), car, _le(F.col("vehicle_type"), 1), F.lit("00" * 8), _le(bits, 4), _le(F.col("lane"), 1), _le(F.col("mileage"), 4), F.lit("00"), _le(-F.col("direction"), 1))
-    hexed = o.select(F.concat(_le(F.col("frame"), 4), ip, _le(F.col("ms"), 8), _le(F.lit(1), 4), record).alias("hex"))
+    ip = F.concat(F.lit("644117"), _be(F.col("frame") % 256, 1))
+    hexed = _packed(o, record).select(F.concat(_le(F.col("frame"), 4), ip, _le(F.col("ms"), 8), _le(F.col("n"), 4), "records").alias("hex"))
     p, _ = decode.decode_fibre_hex(arrived(hexed, "fibre"))
-    return p.select(F.col("SN").alias("sn"), F.col("DEVICEIP").alias("ip"), F.col("TIME").alias("time"), F.col("ID").alias("id"), F.col("Carnumber").alias("car"), F.col("Type").alias("type"), F.col("Tpointno").alias("point"), F.col("Wayno").alias("lane"), F.col("Direct").alias("direct"), F.col("Speed").alias("speed"))
+    return p.select(F.col("SN").alias("sn"), F.col("COUNT").cast("long").alias("records"), F.col("DEVICEIP").alias("ip"), F.col("TIME").alias("time"), F.col("ID").alias("id"), F.col("Carnumber").alias("car"), F.col("Type").alias("type"), F.col("Tpointno").alias("point"), F.col("Wayno").alias("lane"), F.col("Direct").alias("direct"), F.col("Speed").alias("speed"))
 
 
-@query(f"WITH {O} SELECT event_id % 65536 AS id16, frame AS frame_num, device, round(longitude, 7) AS longitude, round(latitude, 7) AS latitude, lane::BIGINT AS speed, ms - ms % 1000 + 500 AS time FROM o")
+@query(f"WITH {O}, {PACKED} SELECT event_id % 65536 AS id16, sn AS frame_num, n AS participants, device, round(longitude, 7) AS longitude, round(latitude, 7) AS latitude, lane::BIGINT AS speed, t - t % 1000 + 500 AS time FROM q")
 def decode_e1(spark, sf_dir):
-    """Big-endian lidar packets with one participant each, written with their check byte and decoded; ids are 16 bits of the event's."""
-    o = observations(spark, sf_dir)
+    """Big-endian lidar packets with up to RECORDS participants each, written with their check byte and decoded; ids are 16
+    bits of the event's."""
     deg = lambda c: _be(F.round(F.col(c) * 1e7).cast("long"), 4)
+    one = F.concat(_be(F.col("event_id") % 65536, 2), F.lit("00" * 6), deg("longitude"), deg("latitude"), F.lit("0000"), _be(F.col("lane"), 2), F.lit("00" * 16), F.lit("00" * 72), F.lit("00" * 8))
+    frames = _packed(observations(spark, sf_dir), one)
     body = F.concat(
-        _be(F.col("device"), 2), F.lit("0000"), _be(F.col("frame"), 4), _be(F.floor(F.col("ms") / 1000), 4), _be(F.lit(500_000), 4), deg("longitude"), deg("latitude"), F.lit("0000"), F.lit("01"), F.lit("00" * 5),
-        _be(F.col("event_id") % 65536, 2), F.lit("00" * 6), deg("longitude"), deg("latitude"), F.lit("0000"), _be(F.col("lane"), 2), F.lit("00" * 16), F.lit("00" * 72), F.lit("00" * 8), F.lit("00" * 28),
+        _be(F.col("device"), 2), F.lit("0000"), _be(F.col("frame"), 4), _be(F.floor(F.col("ms") / 1000), 4), _be(F.lit(500_000), 4), F.lit("00" * 8), F.lit("0000"), _be(F.col("n"), 1), F.lit("00" * 5), "records",
+        F.lit("00" * 28),
     )
     packet = F.concat(F.lit("07E10300"), _be(F.length(body) / 2, 2), body)
     check = S.xor_of_hex(packet)
-    sent = o.select("device", F.unhex(F.concat(F.lit("FFFF"), packet, _be(check, 1), F.lit("FF"))).alias("packet"))
+    sent = frames.select("device", F.unhex(F.concat(F.lit("FFFF"), packet, _be(check, 1), F.lit("FF"))).alias("packet"))
     p, _ = decode.decode_e1(arrived(sent, "packets"))
-    return p.select(F.col("id").cast("long").alias("id16"), F.col("frameNum").cast("long").alias("frame_num"), F.col("device").cast("long"), "longitude", "latitude", "speed", F.col("timestampMs").alias("time"))
+    return p.select(F.col("id").cast("long").alias("id16"), F.col("frameNum").cast("long").alias("frame_num"), F.col("participantCount").cast("long").alias("participants"), F.col("device").cast("long"), "longitude", "latitude", "speed", F.col("timestampMs").alias("time"))
 
 
 @query(f"WITH {O} SELECT frame AS sn, ms AS time, event_id AS id, plate AS car, round(speed, 2) AS speed, mileage AS point, direction::BIGINT AS direct FROM o")
@@ -832,7 +853,7 @@ def parse_log(spark, sf_dir):
         "SN: %d\nDEVICE IP: 100.65.23.240\nTIME: %d\nCOUNT: 1\nCar ID: %d\nCar Number: %s\nType: 0\nScope: [0, 0]\nSpeed: %.2f m/s\nWayno: 2\nTpointno: %d\nBoolean: 0\nDirect: %d\n===============\n",
         "frame", "ms", "event_id", "plate", "speed", "mileage", F.col("direction"),
     )
-    logs = o.groupBy("frame").agg(F.array_join(F.collect_list(log), "\n").alias("value")).select("value")
+    logs = o.groupBy("device", F.floor(F.col("ms") / 60_000)).agg(F.array_join(F.collect_list(log), "\n").alias("value")).select("value")
     p = decode.parse_sensor_log(logs)
     return p.select(F.col("SN").alias("sn"), F.col("TIME").alias("time"), F.col("ID").alias("id"), F.col("Carnumber").alias("car"), F.round("Speed", 2).alias("speed"), F.col("Tpointno").alias("point"), F.col("Direct").cast("long").alias("direct"))
 
@@ -842,7 +863,7 @@ def points_text(spark, sf_dir):
     """Point lists written as text with a broken tuple each, and parsed."""
     o = observations(spark, sf_dir)
     tup = F.format_string("(%.5f, %.5f°, %d, %d, )", "longitude", "latitude", "lane", "direction")
-    lists = o.groupBy("vehicle_id").agg(F.concat(F.lit("[(1, 2), "), F.array_join(F.collect_list(tup), ", "), F.lit("]")).alias("points"))
+    lists = o.groupBy("vehicle_id", "day").agg(F.concat(F.lit("[(1, 2), "), F.array_join(F.collect_list(tup), ", "), F.lit("]")).alias("points"))
     return decode.parse_point_list(lists).groupBy("vehicle_id").agg(F.count("*").alias("points"), F.round(F.sum("longitude"), 3).alias("longitude"), F.sum("laneNo").alias("lanes"))
 
 
@@ -859,23 +880,23 @@ def decode_gantry(spark, sf_dir):
     return reads.select(F.col("uploadTime").alias("read_id"), "id", F.coalesce("headLaneCode", F.lit(-1)).cast("long").alias("lane"), F.col("tollPlateNumber").alias("toll_plate"), "mileage")
 
 
-@query(f"WITH {O} SELECT vehicle_id, count(*) AS features, min(event_id) AS first FROM o GROUP BY 1")
+@query(f"WITH {O} SELECT vehicle_id, {t('day')} AS day, count(*) AS features, min(event_id) AS first FROM o GROUP BY ALL")
 def geojson(spark, sf_dir):
-    """Trajectories as GeoJSON, read again."""
-    g = sinks.geojson_features(observations(spark, sf_dir), "vehicle_id", ["event_id"], ["event_id", "speed"])
+    """Trajectories as GeoJSON in parts of a day, read again."""
+    g = sinks.geojson_features(observations(spark, sf_dir), ["vehicle_id", "day"], ["event_id"], ["event_id", "speed"])
     schema = "struct<type:string,features:array<struct<geometry:struct<coordinates:array<double>>,properties:struct<event_id:bigint>>>>"
     f = F.from_json("geojson", schema)["features"]
-    return g.select("vehicle_id", F.size(f).cast("long").alias("features"), f[0]["properties"]["event_id"].alias("first"))
+    return g.select("vehicle_id", text("day").alias("day"), F.size(f).cast("long").alias("features"), f[0]["properties"]["event_id"].alias("first"))
 
 
-@query(f"WITH {O} SELECT vehicle_id, count(*) AS n FROM o GROUP BY 1 HAVING count(*) = 2")
+@query(f"WITH {O} SELECT vehicle_id, {t('day')} AS day, count(*) AS n FROM o GROUP BY ALL HAVING count(*) = 2")
 def geojson_lines(spark, sf_dir):
-    """Lines of exactly two points among the trajectories' lines."""
+    """Lines of exactly two points among the trajectories' lines of a day."""
     o = observations(spark, sf_dir)
     geometry = F.struct(F.lit("LineString").alias("type"), F.collect_list(F.array("longitude", "latitude")).alias("coordinates"))
-    lines = o.groupBy("vehicle_id").agg(geometry.alias("geometry"))
+    lines = o.groupBy("vehicle_id", "day").agg(geometry.alias("geometry"))
     col = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(F.struct(F.lit("Feature").alias("type"), "geometry")).alias("features")))
-    return sinks.two_point_lines(lines.select("vehicle_id", col.alias("geojson"))).select("vehicle_id", F.size("coordinates").cast("long").alias("n"))
+    return sinks.two_point_lines(lines.select("vehicle_id", "day", col.alias("geojson"))).select("vehicle_id", text("day").alias("day"), F.size("coordinates").cast("long").alias("n"))
 
 
 # Sinks and keyed reads: written to the work folder and read again.

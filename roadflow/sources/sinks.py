@@ -220,14 +220,15 @@ def put(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def geojson_features(points: DataFrame, by: str, order: Sequence[str], properties: Sequence[str] = ()) -> DataFrame:
-    """A GeoJSON FeatureCollection of points for each trajectory."""
+def geojson_features(points: DataFrame, by: str | Sequence[str], order: Sequence[str], properties: Sequence[str] = ()) -> DataFrame:
+    """A GeoJSON FeatureCollection of points for each trajectory, or part of one (such as vehicle and day)."""
+    keys = [by] if isinstance(by, str) else list(by)
     p = F.struct(*order, F.struct(
         F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array("longitude", "latitude").alias("coordinates")).alias("geometry"),
         F.struct(*properties).alias("properties") if properties else F.create_map().alias("properties"),
     ).alias("f"))
     features = F.transform(F.sort_array(F.collect_list(p)), lambda x: x["f"])
-    return points.groupBy(by).agg(features.alias("features")).select(by, F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("geojson"))
+    return points.groupBy(*keys).agg(features.alias("features")).select(*keys, F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("geojson"))
 
 
 LINES = "struct<type:string,features:array<struct<type:string,geometry:struct<type:string,coordinates:array<array<double>>>>>>"
