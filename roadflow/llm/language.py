@@ -19,6 +19,9 @@ DIM_BITS = 18
 #: About so many documents a language are used to fit, and of each so many runs of so many words.
 MOST_DOCS, RUNS, RUN_WORDS = 800, 6, 24
 STEPS, RATE, DECAY = 40, 0.15, 1e-6
+#: One chain in so many is held back from the fit; it ends when their words' mean loss has fallen by less than a share of
+#: LEAST_GAIN in PATIENCE steps.
+HELD, LEAST_GAIN, PATIENCE = 10, 0.05, 2
 PREFIXES, SUFFIXES = (1, 2, 3), (1, 2, 3, 4)
 UNKNOWN = "und"
 #: Scripts that are written without spaces, as ranges of code points: each of their characters is a word.
@@ -156,7 +159,8 @@ def forward_backward(em: np.ndarray, first: np.ndarray, moves: np.ndarray, start
 
 def fit(runs: list[str], langs: list[str], group: list[int]) -> Model:
     """From runs of words with their languages. Half of the training chains join runs of different documents, so that
-    the transitions see switches; gradients are expected minus seen counts, by forward-backward."""
+    the transitions see switches; gradients are expected minus seen counts, by forward-backward. Every tenth chain only
+    tells when to stop."""
     names = sorted(set(langs))
     k = len(names)
     rng = np.random.default_rng(11)
@@ -175,9 +179,11 @@ def fit(runs: list[str], langs: list[str], group: list[int]) -> Model:
     word, bucket = word_features(block, s[one], e[one])
     used, bucket = np.unique(bucket, return_inverse=True)
     truth = np.eye(k)[label]
-    inner = ~first
+    held = (row % HELD == HELD - 1) if len(chains) >= 2 * HELD else np.zeros(len(row), bool)
+    inner = ~first & ~held
     seen = np.zeros((k, k))
     np.add.at(seen, (label[:-1][inner[1:]], label[1:][inner[1:]]), 1)
+    losses: list[float] = []
     params = {"w": np.zeros((len(used), k)), "a": np.zeros((k, k)), "s": np.zeros(k)}
     m1 = {n: np.zeros_like(p) for n, p in params.items()}
     m2 = {n: np.zeros_like(p) for n, p in params.items()}
@@ -185,9 +191,13 @@ def fit(runs: list[str], langs: list[str], group: list[int]) -> Model:
         raw = emissions(params["w"], word, bucket, len(one))
         em = (np.exp(raw - raw.max(axis=1, keepdims=True)) + 1e-12)[at]
         post = forward_backward(em, first, params["a"], params["s"])
-        error = post - truth
+        if held.any():
+            losses.append(float(-np.log(post[held, label[held]] + 1e-12).mean()))
+            if len(losses) > PATIENCE and losses[-1] > (1 - LEAST_GAIN) * losses[-1 - PATIENCE]:
+                break
+        error = np.where(held[:, None], 0.0, post - truth)
         by_word = np.stack([np.bincount(at, error[:, j], len(one)) for j in range(k)], axis=1)
-        pair = pair_counts(em, first, params["a"], params["s"])
+        pair = pair_counts(em[~held], first[~held], params["a"], params["s"])
         grad = {
             "w": np.stack([np.bincount(bucket, by_word[word, j], len(used)) for j in range(k)], axis=1) / len(s) + DECAY * params["w"],
             "a": (pair - seen) / len(s),
