@@ -13,7 +13,7 @@ from ..operators import flow, fusion, lookup
 from ..operators import trajectory as trj
 from ..operators.roads import Roads
 from ..sources import decode, sinks
-from ..streaming import jobs, keyed
+from ..streaming import jobs, keyed, ticks
 from ..streaming.ordered import SPREAD, arrivals
 from .adapter import GANTRIES, NETWORK, RAMPS, ROAD, ROADS, SEGMENTS, O, gantries, ms_of, observations, on_roads, road, road_network, table
 
@@ -1234,3 +1234,30 @@ def stream_flushed_segments(spark, sf_dir):
     stream = keyed.flushed_segments(event_stream(spark, sf_dir, LATE_MS), FLUSH_MS, delay=LATE, slice_ms=SLICE_MS)
     rows = jobs.run_to_table(stream, sinks.work_path(spark, "flushed"))
     return rows.withColumns({"speed_sum": F.round("speed_sum", 6), "direction": F.col("direction").cast("long"), "lane": F.col("lane").cast("long")})
+
+
+def _settled(spark: SparkSession, sf_dir: str) -> str:
+    """Reads and points of all observations as two streams, settled tick by tick; the folder of both outputs."""
+    jobs.use_rocksdb(spark)
+    o = observations(spark, sf_dir)
+    ends = spark.range(2).select((F.col("id") + 1).cast("int").alias("direction"))
+    every = gantries(spark).drop("direction").join(ends, F.lit(True)).select((F.col("id") * 2 + F.col("direction")).alias("id"), "mileage", "direction")
+    reads = _reads(o.where("event_type = 'purchase'")).join(o.select(F.col("event_id").alias("read_id"), "ts"), "read_id").withColumn("event_id", F.col("read_id"))
+    points = o.where("event_type <> 'purchase'").select("event_id", "vehicle_id", "ts", "direction", "mileage", "lane", (F.col("day") == F.lit("2024-01-01").cast("date")).alias("known"))
+    r, p = (arrivals(x, sinks.work_path(spark, "side"), LATE_MS) for x in (reads, points))
+    path = sinks.work_path(spark, "settled")
+    stream = ticks.settled_by_tick(r, p, every, reach=2500, wait_ms=1_800_000, step_ms=120_000, guard_ms=GUARD, delay=LATE)
+    jobs.run_batches(stream, ticks.tick_writer(path), f"{path}-checkpoint")
+    return path
+
+
+@query()
+def stream_tick_fusion(spark, sf_dir):
+    """Reads settled at their first fitting tick, or given up when their time is over (held against a plain walk in the tests)."""
+    return spark.read.parquet(f"{_settled(spark, sf_dir)}/reads").drop("batch")
+
+
+@query()
+def stream_tick_summary(spark, sf_dir):
+    """The second output of the same run: reads and anomalies by tick."""
+    return spark.read.parquet(f"{_settled(spark, sf_dir)}/summary").drop("batch")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from roadflow.operators import completion, flow
 from roadflow.operators.roads import Roads
 from roadflow.sources import sinks
-from roadflow.streaming import jobs, keyed
+from roadflow.streaming import jobs, keyed, ticks
 from roadflow.streaming.ordered import arrivals
 
 FRAME = "vehicle_id long, frame long, mileage long, direction int, speed double, plate string, road string"
@@ -248,3 +248,62 @@ def test_topic_rows(spark):
     """What a topic gets: the key as text and the whole row as JSON."""
     rows = spark.createDataFrame([(1, "P"), (2, None)], "vehicle_id long, plate string")
     assert [tuple(r) for r in sinks.to_json_values(rows, "vehicle_id").orderBy("key").collect()] == [("1", '{"vehicle_id":1,"plate":"P"}'), ("2", '{"vehicle_id":2}')]
+
+
+def plain_ticks(reads, points, wait, step, guard, end):
+    """Tick by tick over reads (id, ms, mileage, lane, env) and points (vehicle, ms, mileage, lane, known) of one gantry, direction 1."""
+    waiting, matched, out = {}, {}, []
+    for tick in range(min(r[1] for r in reads) // step, end):
+        waiting |= {r[0]: r for r in reads if r[1] // step == tick}
+        here = [p for p in points if p[1] // step == tick]
+        for number in (1, 2, 3):
+            wishes = {}
+            for read, ms, mileage, lane, env in waiting.values():
+                best = None
+                for vehicle, at, place, own, known in here:
+                    if not ms <= at <= ms + wait or vehicle in matched and abs(at - matched[vehicle]) < guard or (env == "99") != (number == 3):
+                        continue
+                    if number == 1 and (own != lane or place > mileage) or number == 2 and abs(own - lane) > 1 and own != 5:
+                        continue
+                    order = (not known, own != lane) if number == 2 else ()
+                    best = min(filter(None, [best, ((*order, abs(place - mileage)), vehicle, at)]))
+                if best:
+                    wishes.setdefault(best[1], []).append((best[0][-1], read, best[2]))
+            for vehicle, asking in wishes.items():
+                far, read, at = min(asking)
+                matched[vehicle] = at
+                del waiting[read]
+                out.append((read, vehicle, number, far, at, tick))
+        for read in [r for r, x in waiting.items() if (x[1] + wait) // step == tick]:
+            del waiting[read]
+            out.append((read, None, None, None, None, tick))
+    return out
+
+
+def test_ticks_equal_a_plain_walk(spark):
+    """Two streams out of order over several batches, many wishes for the same vehicles; the summary counts the same run."""
+    import random
+
+    rng, jitter = random.Random(4), 20_000
+    base = 1_000_000
+    reads = [(k, base + rng.randrange(200_000), 10_000, rng.randint(1, 4), "99" if rng.random() < 0.15 else "1") for k in range(120)]
+    points = [(rng.randrange(25), base + rng.randrange(210_000), 10_000 + rng.randint(-100, 100), rng.randint(1, 5), rng.random() < 0.3) for _ in range(400)]
+    points.append((99, base + 400_000, 10_000, 1, False))
+    last = [(900, base + 400_000, 10_000, 1, "1")]
+    jobs.use_rocksdb(spark)
+    sides = []
+    for rows, schema in ((reads + last, "read_id long, ms long, mileage long, lane int, env string"), (points, "vehicle_id long, ms long, mileage long, lane int, known boolean")):
+        df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], f"{schema}, event_id long").withColumns({"ts": F.timestamp_millis("ms"), "direction": F.lit(1)})
+        sides.append(arrivals(df, sinks.work_path(spark, "side"), jitter))
+    gantries = spark.createDataFrame([(7, 10_000, 1)], "id long, mileage long, direction int")
+    path = sinks.work_path(spark, "ticks")
+    stream = ticks.settled_by_tick(*sides, gantries, delay="20 seconds")
+    jobs.run_batches(stream, ticks.tick_writer(path), path + "-c")
+    want = plain_ticks(reads, points, 6000, 400, 15_000, (base + 400_000) // 400)
+    got = spark.read.parquet(f"{path}/reads")
+    key = lambda r: [-1 if x is None else x for x in r]
+    assert sorted(map(key, got.select("read_id", "vehicle_id", "pass", "distance", "match_ms", "tick").collect())) == sorted(map(key, want))
+    assert {w[2] for w in want} == {1, 2, 3, None} and len({w[5] - next(r[1] for r in reads if r[0] == w[0]) // 400 for w in want}) > 3
+    assert sorted(map(tuple, spark.read.parquet(f"{path}/summary").select("tick", "reads", "anomalies").collect())) == sorted(
+        (t, sum(w[5] == t for w in want), sum(w[5] == t and w[1] is None for w in want)) for t in {w[5] for w in want}
+    )
