@@ -11,7 +11,7 @@ from roadflow.llm import language, mixing, pieces, secrets, toxicity
 
 from .test_llm import DOCS, docs, odd, words
 
-NAMES = ("times", "epoch", "_base", "_left", "tox_score", "n_tokens", "ids", "decoded", "secret_spans", "mark", "_part", "_bits", "_kept", "_place", "_skey", "_fate", "_epoch", "target", "Taken", "kept", "component_id")
+NAMES = ("times", "epoch", "_base", "_left", "tox_score", "n_tokens", "ids", "decoded", "secret_spans", "mark", "_part", "_bits", "_kept", "_place", "_skey", "_fate", "_epoch", "target", "Taken", "kept", "component_id", "a.b")
 
 
 def clashing(spark):
