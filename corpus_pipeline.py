@@ -43,13 +43,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), row)
     one = maybe.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
     judged = one.join(suspects.withColumnRenamed("kept", mark), "doc_id", "left").where(F.coalesce(mark, F.lit(True)))
-    return judged.select(docs.columns).unionByName(untouched)
+    return judged.select([F.col(f"`{c}`") for c in docs.columns]).unionByName(untouched)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets masked; n_chars counts the new text."""
+    """All documents, secrets masked; ``n_chars``, where there is such a column, counts the new text."""
     masked = secrets.redact(docs)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
