@@ -35,6 +35,15 @@ def test_same_rows(spark, sf_dir, name):
     compare(spark, sf_dir, plans.QUERIES[name], plans.SQL[name])
 
 
+#: Queries that round what doubles add up to, over a table large enough for ties.
+ROUNDED = ("hourly_flow_sink", "hourly_section_flow", "segment_status", "vehicle_minute_segment", "completion_on_roads")
+
+
+@pytest.mark.parametrize("name", ROUNDED)
+def test_same_rows_of_a_larger_table(spark, name):
+    compare(spark, "/root/testdata/sf0.01", plans.QUERIES[name], plans.SQL[name])
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
