@@ -108,16 +108,19 @@ def completed(
     isn't seen again is predicted up to that frame. With ``wait`` prediction starts so many frames later (a timeout).
     With ``roads`` the points (which also have ``longitude, latitude``) walk along the rows of their ``road``: predicted
     points have coordinate, heading (bearing from the place before) and a stake with the road's prefix, and each road
-    ends where its rows do. A sighting without any speed known predicts nothing. One shuffle, by vehicle; the steps of all gaps of a batch are
-    taken side by side.
+    ends where its rows do. A sighting without any speed known predicts nothing. One shuffle, by vehicle; speeds are gathered
+    among the last ``window`` rows of a run alone. The steps of all gaps of a batch are taken side by side.
     """
-    w = Window.partitionBy("vehicle_id").orderBy("frame")
-    p = points.withColumn("_run", F.sum(F.coalesce((F.col("frame") - F.lag("frame").over(w) > 1).cast("int"), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    speeds = F.collect_list("speed").over(Window.partitionBy("vehicle_id", "_run").orderBy("frame").rowsBetween(1 - window, 0))
-    gap = F.lead("frame").over(w) - F.col("frame") - 1
+    back = Window.partitionBy("vehicle_id").orderBy(F.desc("frame"))
+    gap = F.lag("frame").over(back) - F.col("frame") - 1
     if until is not None:
         gap = F.coalesce(gap, F.lit(until) - F.col("frame"))
-    p = p.withColumns({"speeds": speeds, "gap": gap}).where("gap > 0").withColumn("gap", F.least("gap", F.lit(max_gap)) - wait).where("gap > 0")
+    # Backwards in time each run begins with its last sighting; only the rows that its mean needs go on.
+    p = points.withColumns({"gap": gap, "_n": F.row_number().over(back)})
+    begins = F.when((F.col("gap") > 0) | (F.col("_n") == 1), F.col("_n"))
+    p = p.withColumn("_run", F.max(begins).over(back.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("_n") - F.col("_run") < window)
+    speeds = F.collect_list("speed").over(Window.partitionBy("vehicle_id", "_run").orderBy("frame").rowsBetween(1 - window, 0))
+    p = p.withColumn("speeds", speeds).where("gap > 0").withColumn("gap", F.least("gap", F.lit(max_gap)) - wait).where("gap > 0")
     p = p.select(
         "vehicle_id", F.col("direction").cast("int").alias("direction"), "plate", F.col("frame").cast("long").alias("frame"), F.col("mileage").cast("long").alias("mileage"), F.col("speeds").cast("array<double>").alias("speeds"),
         F.col("gap").cast("long").alias("gap"), F.coalesce(forward(F.col("direction"), F.col("road") if by_road else None), F.lit(False)).alias("up"), F.lit(low).alias("low"), F.lit(high).alias("high"),

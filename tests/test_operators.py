@@ -91,6 +91,45 @@ def test_completion_rules(spark):
     assert [(r.frame, r.mileage) for r in late] == [(7, 1050002), (8, 1050004), (9, 1050006)]
 
 
+def test_completion_means_the_last_speeds_of_a_run(spark):
+    """Runs longer and shorter than the window, speeds and vehicles that are null, against a plain fold of each vehicle."""
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for vehicle in (1, 2, None):
+        frame = 0
+        for _ in range(6):
+            for _ in range(rng.choice((1, 3, 20, 21, 47))):
+                frame += 1
+                rows.append((vehicle, frame, 1050000 + 2 * frame, 1 + rng.randint(0, 1), rng.choice((None, 20.0, 33.3, 71.7, 90.1)), f"P{frame}", "K"))
+            frame += rng.choice((2, 5, 9))
+    want = []
+    for vehicle in (1, 2, None):
+        own = [r for r in rows if r[0] == vehicle]
+        run: list = []
+        for r, after in zip(own, [*own[1:], None]):
+            run = [*run, r]
+            end = after[1] if after else 400
+            if end - r[1] == 1:
+                continue
+            speeds, at = [x[4] for x in run[-20:] if x[4] is not None], r[2]
+            for k in range(1, end - r[1] + (0 if after else 1)):
+                if not speeds:
+                    break
+                total = 0.0
+                for v in speeds:
+                    total += v
+                mean = total / len(speeds)
+                at = int(at + mean * 200 / 3600 if r[3] == 1 else at - mean * 200 / 3600)
+                speeds = [*speeds, mean][-20:]
+                want.append((vehicle or 0, r[1] + k, at, round(mean, 9), r[5]))
+            run = []
+    shuffled = rng.sample(rows, len(rows))
+    got = completion.completed(spark.createDataFrame(shuffled, FRAME), until=400).collect()
+    assert sorted((r.vehicle_id or 0, r.frame, r.mileage, round(r.speed, 9), r.plate.split(" ")[0]) for r in got) == sorted(want)
+
+
 def test_gate_edges(spark):
     p = points(spark, [(1, 1, at(0), 1, 1000 + 21, 1, 1.0), (2, 1, at(1), 1, 1000 + 20, 1, 1.0), (3, 1, at(2), 1, 1000, 1, 1.0), (4, 2, at(2), 1, 1000, 2, 1.0)])
     gates = spark.createDataFrame([(7, 1000, 1)], "id long, mileage long, direction int")
