@@ -25,9 +25,12 @@ def forward(direction: Column, road: Column | None) -> Column:
     return up if road is None else up | (F.coalesce(road, F.lit("K")) != "K")
 
 
-def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wait: int, removals: bool, roads: Roads | None = None) -> Iterator[pd.DataFrame]:
+def predicted(
+    frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wait: int, removals: bool, roads: Roads | None = None, carry: bool = False
+) -> Iterator[pd.DataFrame]:
     """Steps of all gaps of a batch side by side: the mean of the last ``window`` speeds, which each step joins. With
-    ``roads`` they walk along road rows, else between the ends of the mainline."""
+    ``roads`` they walk along road rows, else between the ends of the mainline, and ``carry`` keeps the sighting's road and
+    coordinate. Steps up to a gap's ``done``, if there is one, were given before."""
     for pdf in frames:
         n = len(pdf)
         held = np.zeros((n, window))
@@ -36,6 +39,7 @@ def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wa
             held[i, : len(v)] = v
         at, gap, up = (pdf[c].to_numpy() for c in ("mileage", "gap", "up"))
         at, low, high = at.astype(np.int64), pdf["low"].to_numpy(), pdf["high"].to_numpy()
+        done = pdf["done"].to_numpy() if "done" in pdf else np.zeros(n, np.int64)
         live = np.flatnonzero(count > 0)
         parts: list[tuple[np.ndarray, ...]] = []
         rows, k = 0, 0
@@ -50,7 +54,11 @@ def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wa
                 "vehicle_id": pdf["vehicle_id"].to_numpy()[which], "direction": pdf["direction"].to_numpy()[which], "plate": pdf["plate"].to_numpy()[which],
                 "frame": pdf["frame"].to_numpy()[which] + wait + step, "mileage": mileage, "speed": speed, "removed": gone,
             })
-            return made.assign(road=pdf["road"].to_numpy()[which], longitude=walk[0], latitude=walk[1], heading=walk[2]) if roads else made
+            if roads:
+                return made.assign(road=pdf["road"].to_numpy()[which], longitude=walk[0], latitude=walk[1], heading=walk[2])
+            if carry:
+                made = made.assign(road=pdf["road"].to_numpy()[which], **{c: np.where(gone, 0.0, pdf[c].to_numpy(float, na_value=np.nan)[which]) for c in ("longitude", "latitude")}, heading=np.where(gone, 0.0, np.nan))
+            return made
 
         while len(live):
             k += 1
@@ -70,6 +78,7 @@ def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wa
                 on = (new >= low[live]) & (new <= high[live])
             if removals and not on.all():
                 off = live[~on]
+                off = off[done[off] < k]
                 nothing = np.zeros(len(off))
                 parts.append((off, np.full(len(off), k), np.zeros(len(off), np.int64), nothing, np.ones(len(off), bool), *([nothing] * 3 if roads else [])))
                 rows += len(off)
@@ -85,8 +94,10 @@ def _predicted(frames: Iterator[pd.DataFrame], interval_ms: int, window: int, wa
                 x, y = roads.place(road[live], row[live])
                 walk = [x, y, bearings(lat[live], lon[live], y, x)]
                 lon[live], lat[live] = x, y
-            parts.append((live, np.full(len(live), k), at[live], v, np.zeros(len(live), bool), *walk))
-            rows += len(live)
+            new = done[live] < k
+            give = live[new]
+            parts.append((give, np.full(len(give), k), at[give], v[new], np.zeros(len(give), bool), *(w[new] for w in walk)))
+            rows += len(give)
             if rows >= ROWS:
                 yield out()
                 parts, rows = [], 0
@@ -126,7 +137,7 @@ def completed(
         F.col("gap").cast("long").alias("gap"), F.coalesce(forward(F.col("direction"), F.col("road") if by_road else None), F.lit(False)).alias("up"), F.lit(low).alias("low"), F.lit(high).alias("high"),
         *(["road", F.col("longitude").cast("double").alias("longitude"), F.col("latitude").cast("double").alias("latitude")] if roads else []),
     )
-    out = p.mapInPandas(lambda frames: _predicted(frames, interval_ms, window, wait, removals, roads), WALKED if roads else OUT)
+    out = p.mapInPandas(lambda frames: predicted(frames, interval_ms, window, wait, removals, roads), WALKED if roads else OUT)
     return labelled(out, roads is not None)
 
 

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import functools
 import json
-import operator
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import completion, flow, lookup
-from ..operators.roads import Roads, bearings
+from ..operators.roads import Roads
 from ..sources import sinks
 from .ordered import Ordered, ordered
 
@@ -132,25 +129,23 @@ class SectionChange(Ordered):
     an hour of event time after the last row: nothing after it can be in the same hour."""
 
     fields = "us long, event_id long, section int"
+    memory = "hour long, last int, ms long"
     hour_ms = 3_600_000
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.last = handle.getValueState("last", "hour long, section int, ms long")
-
-    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
-        last = tuple(self.last.get()) if self.last.exists() else (None, None, 0)
+    def take(self, key: tuple, rows: list[tuple], s: tuple | None, out: list[tuple]) -> tuple:
+        last = s or (None, None, 0)
         for us, event, section in rows:
             hour = us // (self.hour_ms * 1000)
             if (hour, section) != last[:2]:
                 out.append((key[0], event, us, section))
             last = (hour, section, us // 1000)
-        self.last.update(last)
-        self.handle.registerTimer(last[2] + self.hour_ms + self.slice_ms)
+        return last
 
-    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
-        if self.last.exists() and self.last.get()[2] + self.hour_ms <= over_ms:
-            self.last.clear()
+    def passed(self, key: tuple, over_ms: int, s: tuple, out: list[tuple]) -> tuple | None:
+        return s if s[2] + self.hour_ms > over_ms else None
+
+    def due(self, s: tuple, over_ms: int) -> int:
+        return s[2] + self.hour_ms + self.slice_ms
 
 
 def section_changes(observations: DataFrame, keep_ms: int | None = None, delay: str = OUT_OF_ORDER, slice_ms: int = 60_000) -> DataFrame:
@@ -165,95 +160,44 @@ def section_changes(observations: DataFrame, keep_ms: int | None = None, delay:
 
 
 class Completion(Ordered):
-    """Dead reckoning by vehicle, in order of event time. As the watermark closes frames, an absent vehicle gets its
-    predicted point for each, until it appears again, has been away for ``max_gap`` frames or leaves the road. The state is
-    the last point, the last speeds, and how far prediction went; a slice is one frame."""
+    """Gaps of vehicles, in order of event time. As the watermark closes frames, an absent vehicle's gap is given as far as they
+    are closed, until it appears again or has been away for ``max_gap`` frames: the sighting before it, the last speeds, the
+    steps given before (``done``) and those to reach (``gap``). The state is the sighting and ``done``; a slice is one frame."""
 
     fields = "us long, frame long, mileage long, up boolean, speed double, plate string, direction int, road string, longitude double, latitude double"
+    memory = "seen long, done long, speeds array<double>, mileage long, up boolean, plate string, direction int, road string, longitude double, latitude double"
 
-    def __init__(self, frame_ms: int, interval_ms: int, max_gap: int, low: int, high: int, window: int, wait: int, removals: bool, roads: Roads | None):
+    def __init__(self, frame_ms: int, max_gap: int, window: int, wait: int):
         super().__init__(frame_ms)
-        self.interval, self.max_gap, self.low, self.high, self.window, self.wait, self.removals, self.roads = interval_ms, max_gap, low, high, window, wait, removals, roads
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState(
-            "state", "seen long, steps long, mileage long, up boolean, speeds array<double>, alive boolean, plate string, direction int, road string, row long, longitude double, latitude double"
-        )
-
-    def _step(self, s: dict, metres: float) -> bool:
-        """One step of the state; whether the vehicle is still on its road. ``s`` gets its new place."""
-        if self.roads is None:
-            to = s["mileage"] + metres if s["up"] else s["mileage"] - metres
-            if not self.low <= to <= self.high:
-                return False
-            s["mileage"] = int(to)
-            return True
-        road = self.roads.index([s["road"]])
-        on, row, mileage = self.roads.step(road, np.array([s["row"]]), np.array([s["mileage"]]), np.array([metres]), np.array([s["up"]]))
-        if not on[0]:
-            return False
-        x, y = self.roads.place(road, row)
-        before = [np.array([np.nan if s[c] is None else s[c]]) for c in ("latitude", "longitude")]
-        s.update(mileage=int(mileage[0]), row=int(row[0]), heading=float(bearings(*before, y, x)[0]), longitude=float(x[0]), latitude=float(y[0]))
-        return True
-
-    def _walk(self, key: Any, s: dict, upto: int, out: list) -> None:
-        """Steps of the state until frame ``upto``."""
-        most = min(upto - s["seen"], self.max_gap) - self.wait
-        while s["alive"] and s["steps"] < most:
-            s["steps"] += 1
-            mean = functools.reduce(operator.add, s["speeds"], 0.0) / len(s["speeds"]) if s["speeds"] else None  # plain sums, oldest first
-            frame = s["seen"] + self.wait + s["steps"]
-            if mean is None or not self._step(s, mean * self.interval / 3600):
-                s["alive"] = False
-                if self.removals and mean is not None:
-                    out.append((key[0], s["direction"], s["plate"], frame, 0, 0.0, True, s["road"], 0.0, 0.0, 0.0))
-                break
-            s["speeds"] = [*s["speeds"], mean][-self.window :]
-            out.append((key[0], s["direction"], s["plate"], frame, s["mileage"], mean, False, s["road"], s["longitude"], s["latitude"], s.get("heading")))
-
-    def _get(self) -> dict | None:
-        if not self.state.exists():
-            return None
-        names = ("seen", "steps", "mileage", "up", "speeds", "alive", "plate", "direction", "road", "row", "longitude", "latitude")
-        s = dict(zip(names, self.state.get(), strict=True))
-        s["speeds"] = list(s["speeds"])
-        return s
-
-    def _put(self, s: dict) -> None:
-        self.state.update(tuple(v for k, v in s.items() if k != "heading"))
-        self.handle.registerTimer((s["seen"] + 2) * self.slice_ms)
-
-    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
-        s = self._get()
-        for _, frame, mileage, up, speed, plate, direction, road, lon, lat in rows:
+        self.max_gap, self.window, self.wait = max_gap, window, wait
+
+    def _give(self, key: tuple, s: tuple, upto: int, out: list[tuple]) -> tuple:
+        """The gap's steps until frame ``upto``; without any speed known there are none."""
+        seen, done, speeds, *place = s
+        most = min(upto - seen, self.max_gap) - self.wait
+        if most <= done or not speeds:
+            return s
+        out.append((key[0], seen, done, most, speeds, *place))
+        return (seen, most, speeds, *place)
+
+    def take(self, key: tuple, rows: list[tuple], s: tuple | None, out: list[tuple]) -> tuple:
+        for _, frame, mileage, up, speed, *place in rows:
             speeds = []
             if s is not None:
-                if frame <= s["seen"]:
+                if frame <= s[0]:
                     continue  # another row of the same frame
-                away = frame - s["seen"] > 1
-                self._walk(key, s, frame - 1, out)
-                speeds = [] if away else s["speeds"]
-            row = int(self.roads.row(self.roads.index([road]), np.array([mileage]))[0]) if self.roads else None
-            s = {
-                "seen": frame, "steps": 0, "mileage": mileage, "up": up, "speeds": [*speeds, *([] if speed is None else [speed])][-self.window :], "alive": True, "plate": plate,
-                "direction": direction, "road": road, "row": row, "longitude": lon, "latitude": lat,
-            }
-        if s is not None:
-            self._put(s)
-
-    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
-        s = self._get()
-        if s is None:
-            return
+                self._give(key, s, frame - 1, out)
+                speeds = s[2] if frame - s[0] == 1 else []
+            s = (frame, 0, [*speeds, *([] if speed is None else [speed])][-self.window :], mileage, up, *place)
+        return s
+
+    def passed(self, key: tuple, over_ms: int, s: tuple, out: list[tuple]) -> tuple | None:
         closed = over_ms // self.slice_ms - 1
-        self._walk(key, s, closed, out)
-        if closed - s["seen"] >= self.max_gap:
-            self.state.clear()  # expired: not seen for too long
-        else:
-            self._put(s)
-            self.handle.registerTimer((max(closed, s["seen"]) + 2) * self.slice_ms)
+        s = self._give(key, s, closed, out)
+        return s if closed - s[0] < self.max_gap else None  # expired: not seen for too long
+
+    def due(self, s: tuple, over_ms: int) -> int:
+        return (max(over_ms // self.slice_ms - 1, s[0]) + 2) * self.slice_ms
 
 
 def completed(
@@ -262,14 +206,18 @@ def completed(
 ) -> DataFrame:
     """The streaming form of ``completion.completed``: ``points`` also have ``ts``, frames last ``frame_ms`` of event time and
     predictions reach to the last frame that the watermark has closed, whatever the order in which rows come. A vehicle's
-    state ends after ``max_gap`` frames without it."""
+    state ends after ``max_gap`` frames without it. Keyed state gives the gaps, and the batch form's steps walk those of all
+    vehicles side by side; a gap that is still open is walked again from its sighting, and gives the new steps only."""
     has = lambda c, kind: (F.col(c) if c in points.columns else F.lit(None)).cast(kind).alias(c)
     up = F.coalesce(completion.forward(F.col("direction"), F.col("road") if by_road or roads else None), F.lit(False)).alias("up")
     rows = points.select(
         "vehicle_id", "ts", F.col("frame").cast("long").alias("frame"), F.col("mileage").cast("long").alias("mileage"), up, F.col("speed").cast("double").alias("speed"), has("plate", "string"),
         has("direction", "int"), has("road", "string"), has("longitude", "double"), has("latitude", "double"),
     )
-    out = ordered(rows, ["vehicle_id"], Completion(frame_ms, interval_ms, max_gap, low, high, window, wait, removals, roads), completion.WALKED, delay)
+    place = "mileage long, up boolean, plate string, direction int, road string, longitude double, latitude double"
+    gaps = ordered(rows, ["vehicle_id"], Completion(frame_ms, max_gap, window, wait), f"vehicle_id long, frame long, done long, gap long, speeds array<double>, {place}", delay)
+    gaps = gaps.withColumns({"low": F.lit(low), "high": F.lit(high)})
+    out = gaps.mapInPandas(lambda frames: completion.predicted(frames, interval_ms, window, wait, removals, roads, carry=True), completion.WALKED)
     return completion.labelled(out, roads is not None)
 
 
@@ -278,51 +226,43 @@ class SampledSessions(Ordered):
     is more than the gap away, or when the watermark says that the gap has passed."""
 
     fields = "us long, event_id long, ms long, plate string, vehicle_type int, longitude double, latitude double, lane int, direction int, speed double"
+    memory = "start long, last long, kept long, plate string, type int, points long, samples array<struct<longitude:double,latitude:double,lane:int,direction:int,speed:double>>"
 
     def __init__(self, gap_ms: int, step_ms: int, slice_ms: int):
         super().__init__(slice_ms)
         self.gap, self.step = gap_ms, step_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("state", "start long, last long, kept long, plate string, type int, points long")
-        self.samples = handle.getListState("samples", "ms long, longitude double, latitude double, lane int, direction int, speed double")
+    def load(self, remembered: tuple) -> tuple:
+        return (*remembered[:6], [tuple(r) for r in remembered[6]])
 
-    def _closed(self, key: Any, s: tuple) -> tuple:
-        rows = list(self.samples.get()) if self.samples.exists() else []
+    @staticmethod
+    def _closed(key: tuple, s: tuple) -> tuple:
         fields = ("longitude", "latitude", "lane", "direction", "speed")
-        path = json.dumps([dict(zip(fields, r[1:], strict=True)) for r in rows], ensure_ascii=False)
-        self.state.clear()
-        self.samples.clear()
-        return (key[0], f"{s[0]}-{s[3]}-{key[0]}", s[4], s[0], s[1], s[5], len(rows), path)
-
-    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
-        s = tuple(self.state.get()) if self.state.exists() else None
-        fresh: list[tuple] = []
+        path = json.dumps([dict(zip(fields, r, strict=True)) for r in s[6]], ensure_ascii=False)
+        return (key[0], f"{s[0]}-{s[3]}-{key[0]}", s[4], s[0], s[1], s[5], len(s[6]), path)
+
+    def take(self, key: tuple, rows: list[tuple], s: tuple | None, out: list[tuple]) -> tuple:
         for _, _, ms, plate, kind, *place in rows:
             if s is not None and ms - s[1] > self.gap:
-                self._keep(fresh)
                 out.append(self._closed(key, s))
-                fresh, s = [], None
+                s = None
             if s is None:
-                s = (ms, ms, None, plate, kind, 0)
-            if s[2] is None or ms - s[2] >= self.step:
-                fresh.append((ms, *place))
-                s = (*s[:2], ms, *s[3:])
-            s = (s[0], ms, *s[2:5], s[5] + 1)
-        self._keep(fresh)
-        self.state.update(s)
-        self.handle.registerTimer((s[1] + self.gap) // self.slice_ms * self.slice_ms + self.slice_ms)
-
-    def _keep(self, fresh: list[tuple]) -> None:
-        if fresh:  # a list state takes no empty list
-            self.samples.appendList(fresh)
-
-    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
-        if self.state.exists():
-            s = tuple(self.state.get())
-            if over_ms - s[1] > self.gap:
-                out.append(self._closed(key, s))
+                s = (ms, ms, None, plate, kind, 0, [])
+            kept = s[2]
+            if kept is None or ms - kept >= self.step:
+                s[6].append(tuple(place))
+                kept = ms
+            s = (s[0], ms, kept, *s[3:5], s[5] + 1, s[6])
+        return s
+
+    def passed(self, key: tuple, over_ms: int, s: tuple, out: list[tuple]) -> tuple | None:
+        if over_ms - s[1] <= self.gap:
+            return s
+        out.append(self._closed(key, s))
+        return None
+
+    def due(self, s: tuple, over_ms: int) -> int:
+        return (s[1] + self.gap) // self.slice_ms * self.slice_ms + self.slice_ms
 
 
 def sampled_sessions(points: DataFrame, gap_ms: int = 10_000, step_ms: int = 5_000, delay: str = OUT_OF_ORDER, slice_ms: int = 1000) -> DataFrame:

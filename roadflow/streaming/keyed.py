@@ -20,44 +20,51 @@ class PlateVotes(Ordered):
     ``votes_ms`` of event time after the last read, the settled plate ``settled_ms`` after it was settled."""
 
     fields = "us long, event_id long, plate string"
+    memory = "votes array<struct<plate:string,votes:bigint,place:bigint>>, reads long, seen long, settled string, since long"
 
     def __init__(self, settle: int, votes_ms: int | None, settled_ms: int | None, slice_ms: int):
         super().__init__(slice_ms)
         self.settle, self.votes_ms, self.settled_ms = settle, votes_ms, settled_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.votes = handle.getMapState("votes", "plate string", "votes long, place long")
-        self.seen = handle.getValueState("seen", "reads long, ms long")
-        self.settled = handle.getValueState("settled", "plate string, ms long")
-
-    def _expire(self, ms: int) -> None:
-        if self.votes_ms is not None and self.seen.exists() and ms - self.seen.get()[1] > self.votes_ms:
-            self.votes.clear()
-            self.seen.clear()
-        if self.settled_ms is not None and self.settled.exists() and ms - self.settled.get()[1] > self.settled_ms:
-            self.settled.clear()
-
-    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
+    def load(self, remembered: tuple) -> list:
+        return [{p: (n, place) for p, n, place in remembered[0]}, *remembered[1:]]
+
+    def save(self, s: list) -> tuple:
+        return ([(p, *v) for p, v in s[0].items()], *s[1:])
+
+    def _expire(self, s: list, ms: int) -> None:
+        if self.votes_ms is not None and s[2] is not None and ms - s[2] > self.votes_ms:
+            s[:3] = [{}, 0, None]
+        if self.settled_ms is not None and s[4] is not None and ms - s[4] > self.settled_ms:
+            s[3:] = [None, None]
+
+    def take(self, key: tuple, rows: list[tuple], s: list | None, out: list[tuple]) -> list:
+        s = s or [{}, 0, None, None, None]
+        rank = lambda p: (-s[0][p][0], s[0][p][1], p)
+        best = min(s[0], key=rank, default=None)
         for us, event, plate in rows:
             ms = us // 1000
-            self._expire(ms)
-            reads = self.seen.get()[0] if self.seen.exists() else 0
+            self._expire(s, ms)
+            if not s[0]:
+                best = None
             if plate is not None:
-                own = self.votes.getValue((plate,))
-                self.votes.updateValue((plate,), (own[0] + 1, own[1]) if own else (1, reads))
-            self.seen.update((reads + 1, ms))
-            ranked = sorted((-v[0], v[1], k[0]) for k, v in self.votes.iterator())
-            best, votes = (ranked[0][2], -ranked[0][0]) if ranked else (None, 0)
-            if votes >= self.settle and not self.settled.exists():
-                self.settled.update((best, ms))
-            out.append((key[0], event, us, best, votes, self.settled.get()[0] if self.settled.exists() else best))
-        for life in (self.votes_ms, self.settled_ms):
-            if life is not None:
-                self.handle.registerTimer(rows[-1][0] // 1000 + life + self.slice_ms + 1)
-
-    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
-        self._expire(over_ms)
+                own = s[0].get(plate)
+                s[0][plate] = (own[0] + 1, own[1]) if own else (1, s[1])
+                best = plate if best is None else min(best, plate, key=rank)
+            s[1:3] = [s[1] + 1, ms]
+            votes = s[0][best][0] if s[0] else 0
+            if votes >= self.settle and s[4] is None:
+                s[3:] = [best, ms]
+            out.append((key[0], event, us, best, votes, s[3] if s[4] is not None else best))
+        return s
+
+    def passed(self, key: tuple, over_ms: int, s: list, out: list[tuple]) -> list | None:
+        self._expire(s, over_ms)
+        return s if s[2] is not None or s[4] is not None else None
+
+    def due(self, s: list, over_ms: int) -> int | None:
+        lives = [t + life + self.slice_ms + 1 for t, life in ((s[2], self.votes_ms), (s[4], self.settled_ms)) if t is not None and life is not None]
+        return min(lives, default=None)
 
 
 def plate_votes(
@@ -78,37 +85,45 @@ class FlushAfterFirst(Ordered):
     or, when its time is over, open the next one."""
 
     fields = "us long, event_id long, vehicle_id long, speed double, plate string, direction int, lane int"
+    memory = f"first long, segments array<struct<{SEGMENT.replace(', ', ',').replace(' ', ':')}>>"
 
     def __init__(self, width_ms: int, slice_ms: int):
         super().__init__(slice_ms)
         self.width = width_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.first = handle.getValueState("first", "us long")
-        self.segments = handle.getMapState("segments", "vehicle_id long", "speed_sum double, points long, plate string, direction int, lane int")
+    def load(self, remembered: tuple) -> tuple[int, dict]:
+        return remembered[0], {v[0]: list(v[1:]) for v in remembered[1]}
 
-    def _flush(self, key: Any, out: list[tuple]) -> None:
-        start = self.first.get()[0]
-        out += [(key[0], start, k[0], *v) for k, v in self.segments.iterator()]
-        self.first.clear()
-        self.segments.clear()
+    def save(self, s: tuple[int, dict]) -> tuple:
+        return s[0], [(vehicle, *v) for vehicle, v in s[1].items()]
 
-    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
-        for us, _, vehicle, speed, plate, direction, lane in rows:
-            if self.first.exists() and us - self.first.get()[0] >= self.width * 1000:
-                self._flush(key, out)
-            if not self.first.exists():
-                self.first.update((us,))
-            own = self.segments.getValue((vehicle,))
-            add = speed or 0.0
-            self.segments.updateValue((vehicle,), (own[0] + add, own[1] + 1, *own[2:]) if own else (add, 1, plate, direction, lane))
-        end = self.first.get()[0] // 1000 + self.width
-        self.handle.registerTimer(end // self.slice_ms * self.slice_ms + self.slice_ms)
+    @staticmethod
+    def _flush(key: tuple, s: tuple[int, dict], out: list[tuple]) -> None:
+        out += [(key[0], s[0], vehicle, *v) for vehicle, v in s[1].items()]
 
-    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
-        if self.first.exists() and self.first.get()[0] + self.width * 1000 <= over_ms * 1000:
-            self._flush(key, out)
+    def take(self, key: tuple, rows: list[tuple], s: tuple[int, dict] | None, out: list[tuple]) -> tuple[int, dict]:
+        for us, _, vehicle, speed, plate, direction, lane in rows:
+            if s is not None and us - s[0] >= self.width * 1000:
+                self._flush(key, s, out)
+                s = None
+            if s is None:
+                s = (us, {})
+            own = s[1].get(vehicle)
+            if own:
+                own[0] += speed or 0.0
+                own[1] += 1
+            else:
+                s[1][vehicle] = [speed or 0.0, 1, plate, direction, lane]
+        return s
+
+    def passed(self, key: tuple, over_ms: int, s: tuple[int, dict], out: list[tuple]) -> tuple[int, dict] | None:
+        if s[0] + self.width * 1000 > over_ms * 1000:
+            return s
+        self._flush(key, s, out)
+        return None
+
+    def due(self, s: tuple[int, dict], over_ms: int) -> int:
+        return (s[0] // 1000 + self.width) // self.slice_ms * self.slice_ms + self.slice_ms
 
 
 class FlushAfterArrival(StatefulProcessor):
@@ -134,8 +149,10 @@ class FlushAfterArrival(StatefulProcessor):
         yield self._frame([])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        FlushAfterFirst._flush(self, key, out)
+        start = self.first.get()[0]
+        out = [(key[0], start, k[0], *v) for k, v in self.segments.iterator()]
+        self.first.clear()
+        self.segments.clear()
         yield self._frame(out)
 
     @staticmethod

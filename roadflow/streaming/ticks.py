@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
-from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessorHandle
 
 from ..operators import flow, lookup
 from ..sources import sinks
@@ -25,61 +24,81 @@ class TickFusion(Ordered):
     """
 
     fields = "us long, id long, is_read boolean, mileage long, lane int, env string, known boolean"
-    columns = ("read_id", "vehicle_id", "pass", "distance", "match_ms", "tick")
+    memory = "waiting array<struct<read_id:bigint,ms:bigint,mileage:bigint,lane:int,env:string>>, matched array<struct<vehicle_id:bigint,ms:bigint>>"
 
     def __init__(self, wait_ms: int, step_ms: int, guard_ms: int):
         super().__init__(step_ms)
         self.wait, self.guard = wait_ms, guard_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.waiting = handle.getMapState("waiting", "read_id long", "ms long, mileage long, lane int, env string")
-        self.matched = handle.getMapState("matched", "vehicle_id long", "ms long")
-
-    def _fits(self, number: int, read: tuple, point: tuple, direction: int) -> tuple | None:
-        """How well a point fits a read in a pass (smaller is better); None if it doesn't."""
-        _, mileage, lane, env = read
-        _, place, own, known = point
-        far, bad = abs(place - mileage), env == "99"
-        if number == 1 and not bad and own == lane and (place <= mileage if direction == 1 else place >= mileage):
+    def load(self, remembered: tuple) -> tuple[dict, dict]:
+        return {r[0]: tuple(r[1:]) for r in remembered[0]}, dict(tuple(r) for r in remembered[1])
+
+    def save(self, s: tuple[dict, dict]) -> tuple:
+        return [(read, *r) for read, r in s[0].items()], list(s[1].items())
+
+    @staticmethod
+    def _fits(number: int, mileage: int, lane: int | None, point: tuple, direction: int) -> tuple | None:
+        """How well a point fits the reads of a place and lane in a pass (smaller is better); None if it doesn't."""
+        _, _, place, own, known = point
+        far = abs(place - mileage)
+        if number == 1 and own == lane and (place <= mileage if direction == 1 else place >= mileage):
             return (far,)
-        if number == 2 and not bad and own is not None and lane is not None and (abs(own - lane) <= 1 or own == 5):
+        if number == 2 and own is not None and lane is not None and (abs(own - lane) <= 1 or own == 5):
             return (not known, own != lane, far)
-        return (far,) if number == 3 and bad else None
-
-    def take(self, key: Any, rows: list[tuple], out: list[tuple]) -> None:
-        points = [(us // 1000, ident, (us // 1000, mileage, lane, bool(known))) for us, ident, is_read, mileage, lane, _, known in rows if not is_read]
-        for us, ident, is_read, mileage, lane, env, _ in rows:
-            if is_read:
-                self.waiting.updateValue((ident,), (us // 1000, mileage, lane, env))
-                self.handle.registerTimer(((us // 1000 + self.wait) // self.slice_ms + 1) * self.slice_ms)
-        left = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if points else {}
+        return (far,) if number == 3 else None
+
+    def _give_up(self, tick: int, waiting: dict, out: list[tuple]) -> None:
+        """Reads whose time has ended before the tick; they wait in order of time."""
+        for read, r in list(itertools.takewhile(lambda x: (x[1][0] + self.wait) // self.slice_ms < tick, waiting.items())):
+            del waiting[read]
+            out.append((read, None, None, None, None, (r[0] + self.wait) // self.slice_ms))
+
+    def take(self, key: tuple, rows: list[tuple], s: tuple[dict, dict] | None, out: list[tuple]) -> tuple[dict, dict]:
+        waiting, matched = s or ({}, {})
+        for tick, here in itertools.groupby(rows, lambda r: r[0] // (self.slice_ms * 1000)):
+            self._give_up(tick, waiting, out)
+            points = []
+            for us, ident, is_read, mileage, lane, env, known in here:
+                if is_read:
+                    waiting[ident] = (us // 1000, mileage, lane, env)
+                else:
+                    points.append((us // 1000, ident, mileage, lane, bool(known)))
+            if points:
+                self._tick(key[0], points, waiting, matched, out)
+        return waiting, matched
+
+    def _tick(self, direction: int, points: list[tuple], waiting: dict, matched: dict, out: list[tuple]) -> None:
+        alike: dict[tuple, list[int]] = {}  # reads that see the points alike, but for their times
+        for read, (_, mileage, lane, env) in waiting.items():
+            alike.setdefault((env == "99", mileage, lane), []).append(read)
         for number in (1, 2, 3):
+            free = [p for p in points if p[1] not in matched or abs(p[0] - matched[p[1]]) >= self.guard]
             wanted: dict[int, tuple] = {}
-            for read, r in left.items():
-                found = []
-                for at, vehicle, p in points:
-                    before = self.matched.getValue((vehicle,))
-                    if r[0] <= at <= r[0] + self.wait and not (before and abs(at - before[0]) < self.guard):
-                        fit = self._fits(number, r, p, key[0])
-                        if fit is not None:
-                            found.append((fit, vehicle, at, abs(p[1] - r[1])))
-                if found:
-                    _, vehicle, at, far = min(found)
-                    wanted[vehicle] = min(wanted.get(vehicle, (far, read, at)), (far, read, at))
+            for (bad, mileage, lane), reads in alike.items():
+                if bad != (number == 3):
+                    continue
+                fits = ((self._fits(number, mileage, lane, p, direction), p) for p in free)
+                best = sorted((fit, p[1], p[0], abs(p[2] - mileage)) for fit, p in fits if fit is not None)
+                for read in reads if best else ():
+                    ms = waiting[read][0] if read in waiting else None
+                    found = next((b for b in best if ms <= b[2] <= ms + self.wait), None) if ms is not None else None
+                    if found:
+                        _, vehicle, at, far = found
+                        wanted[vehicle] = min(wanted.get(vehicle, (far, read, at)), (far, read, at))
             for vehicle, (far, read, at) in wanted.items():
-                self.matched.updateValue((vehicle,), (at,))
-                self.waiting.removeKey((read,))
-                del left[read]
+                matched[vehicle] = at
+                del waiting[read]
                 out.append((read, vehicle, number, far, at, at // self.slice_ms))
 
-    def passed(self, key: Any, over_ms: int, out: list[tuple]) -> None:
-        gone = [(k[0], v[0]) for k, v in self.waiting.iterator() if (v[0] + self.wait) // self.slice_ms < over_ms // self.slice_ms]
-        for read, ms in gone:
-            self.waiting.removeKey((read,))
-            out.append((read, None, None, None, None, (ms + self.wait) // self.slice_ms))
-        for vehicle in [k[0] for k, v in self.matched.iterator() if v[0] + self.guard < over_ms]:
-            self.matched.removeKey((vehicle,))
+    def passed(self, key: tuple, over_ms: int, s: tuple[dict, dict], out: list[tuple]) -> tuple[dict, dict] | None:
+        waiting, matched = s
+        self._give_up(over_ms // self.slice_ms, waiting, out)
+        matched = {vehicle: ms for vehicle, ms in matched.items() if ms + self.guard >= over_ms}
+        return (waiting, matched) if waiting or matched else None
+
+    def due(self, s: tuple[dict, dict], over_ms: int) -> int:
+        times = [((r[0] + self.wait) // self.slice_ms + 1) * self.slice_ms for r in itertools.islice(s[0].values(), 1)]
+        return min([*times, *(ms + self.guard + 1 for ms in s[1].values())])
 
     def _frame(self, out: list[tuple]):
         return super()._frame(out).astype({"vehicle_id": "Int64", "pass": "Int32", "distance": "Int64", "match_ms": "Int64"})
