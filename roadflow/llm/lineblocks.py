@@ -201,9 +201,10 @@ def main_text(page: str) -> str:
             size[article] = size.get(article, 0) + len(text)
     if size:  # the article with most text, as it was declared
         best = max(size, key=lambda a: (size[a], -a))
-        kept = [r for r in rows if r[0] and not r[2] and r[3] == best]
-        weights = [0] * WINDOW + [len(r[0]) for r in kept] + [0] * WINDOW
-        rows = [("", 0, False, 0, False)] * WINDOW + kept + [("", 0, False, 0, False)] * WINDOW
+        own = [i for i, r in enumerate(rows) if r[0] and not r[2] and r[3] == best]
+        kept, before, after = [rows[i] for i in own], rows[: own[0]], rows[own[-1] + 1 :]  # what it holds for other ends doesn't count
+        rows = before + kept + after
+        weights = [0] * len(before) + [len(r[0]) for r in kept] + [0] * len(after)
     else:
         rows = [r for r in rows if not r[2]]
         for i, r in enumerate(rows):  # a heading of readers' comments ends the text
@@ -215,7 +216,9 @@ def main_text(page: str) -> str:
     if not found:
         return ""
     start, end = max(found, key=lambda s: (sum(weights[s[0] : s[1] + 1]), -s[0]))
-    if not size:  # short lines before the surge's own text that an empty line parts from it
+    if size:  # the surge's window reaches over lines before it
+        start += next(i for i, w in enumerate(weights[start:]) if w)
+    else:  # short lines before the surge's own text that an empty line parts from it
         for i in range(start, min(start + WINDOW - 1, end)):
             if not rows[i + 1][0] and 0 < len(rows[i][0]) <= SHORT and not rows[i][4]:
                 start = i + 1

@@ -54,6 +54,16 @@ def test_a_stretch_begins_at_the_surge_and_ends_at_the_dive():
     assert lineblocks.stretches(weights, 80) == [(3, 8)] and lineblocks.stretches([3, 0], 80) == [(0, 0)] and lineblocks.stretches([], 80) == []
 
 
+def test_the_distribution_finds_the_ends_of_a_declared_article(monkeypatch):
+    """Lines before and after the article stay in the distribution: without surge and dive they would be text."""
+    page = f"<p>Before {P}<p>Short<article><h1>A</h1><div class=ad>{P}</div><p>B</article><p>After {P}<footer>{P}</footer>"
+    assert lineblocks.main_text(page) == "A\nB"
+    monkeypatch.setattr(lineblocks, "stretches", lambda weights, surge: [(0, len(weights) - 1)])
+    assert lineblocks.main_text(page) == f"A\nB\nAfter {P}\n{P}"
+    monkeypatch.setattr(lineblocks, "stretches", lambda weights, surge: [])
+    assert lineblocks.main_text(page) == ""
+
+
 def test_long_and_broken_pages_take_their_length():
     began = time.time()
     for piece in ("<p>x", "<div>", '<a href="', "<", "<!--", "<p class='a", "&amp;", "<script>", "<li>", "<b>"):
