@@ -145,15 +145,21 @@ def hex_to_number(text: Column) -> Column:
 
 
 def xor_of_hex(digits: Column) -> Column:
-    """Exclusive-or of all bytes that the hex digits spell, eight bytes at a time; 0 for none."""
+    """Exclusive-or of all bytes that the hex digits spell; 0 for none."""
+    return xor_of_bytes(F.unhex(F.when(F.length(digits) % 2 == 1, F.concat(digits, F.lit("0"))).otherwise(digits)))
+
+
+def xor_of_bytes(data: Column) -> Column:
+    """Exclusive-or of all bytes of a binary column, eight at a time; 0 for none. Words are cut from bytes: in a text each would
+    be looked for from the beginning."""
 
     def whole(d: Column) -> Column:
-        words = F.ceil(F.length(d) / 16).cast("int")
-        word = lambda k: F.conv(F.rpad(F.substring(d, k * 16 + 1, F.lit(16)), 16, F.lit("0")), 16, -10).cast("long")
+        words = F.ceil(F.length(d) / 8).cast("int")
+        word = lambda k: F.conv(F.rpad(F.hex(F.substring(d, k * 8 + 1, F.lit(8))), 16, F.lit("0")), 16, -10).cast("long")
         every = F.when(words > 0, F.sequence(F.lit(0), words - 1)).otherwise(F.array().cast("array<int>"))
         return F.aggregate(every, F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(word(k)), _folded)
 
-    return F.get(F.transform(F.array(digits), whole), 0)  # the digits are made once a row
+    return F.get(F.transform(F.array(data), whole), 0)  # the bytes are made once a row
 
 
 def _folded(v: Column) -> Column:

@@ -120,20 +120,24 @@ def decode_e1(messages: DataFrame, col: str = "packet") -> tuple[DataFrame, Data
     has no body, and frames without objects give no rows."""
     be = lambda at, size: S.big_endian(F.col(col), at, size)
     n = F.length(col)
-    check = S.xor_of_hex(F.hex(F.substring(F.col(col), F.lit(3), n - 4)))
+    check = S.xor_of_bytes(F.substring(F.col(col), F.lit(3), n - 4))
     sound = (n >= 10) & (be(0, 2) == 0xFFFF) & (be(3, 1) == 0xE1) & (be(n - 1, 1) == 0xFF) & (F.when(n >= 10, check) == be(n - 2, 1))
     enough = (be(4, 1) == 5) | (n >= E1_HEAD + 28 + 2 + E1_OBJECT * be(34, 1))
     good, bad = split_valid(messages, sound & enough)
-    rows = good.where(be(4, 1) != 5).select("*", F.explode(F.when(be(34, 1) > 0, F.sequence(F.lit(0), (be(34, 1) - 1).cast("int")))).alias("_i"))
-    rows = rows.withColumn("_o", E1_HEAD + E1_OBJECT * F.col("_i"))
-    at = lambda k, size: S.big_endian(F.col(col), F.col("_o") + k, size)
-    two = lambda k: S.signed(at(k, 2), 2)
+    # Each participant takes its own bytes along, not its whole packet.
+    own = F.transform(F.sequence(F.lit(0), (be(34, 1) - 1).cast("int")), lambda i: F.substring(F.col(col), E1_HEAD + 1 + E1_OBJECT * i, F.lit(E1_OBJECT)))
     degrees = lambda v: F.bround(S.signed(v, 4) * F.lit(1e-7), 7)
-    return rows.select(
-        *[c for c in messages.columns if c != col], be(2, 1).alias("sequence"), be(4, 1).alias("subCmd"), be(5, 1).alias("status"), be(6, 2).alias("msgLength"),
+    kept = [c for c in messages.columns if c != col]
+    rows = good.where(be(4, 1) != 5).select(
+        *kept, be(2, 1).alias("sequence"), be(4, 1).alias("subCmd"), be(5, 1).alias("status"), be(6, 2).alias("msgLength"),
         be(8, 2).alias("deviceId"), be(12, 4).alias("frameNum"), (be(16, 4) * 1000 + F.floor(be(20, 4) / 1000)).alias("timestampMs"),
         degrees(be(24, 4)).alias("lidarLongitude"), degrees(be(28, 4)).alias("lidarLatitude"), be(32, 2).alias("angle"), be(34, 1).alias("participantCount"),
-        F.col("_i").alias("pos"), at(0, 2).alias("id"), at(2, 1).alias("type"), at(3, 1).alias("confidence"), at(4, 1).alias("color"), at(5, 1).alias("source"),
+        F.posexplode(F.when(be(34, 1) > 0, own)).alias("pos", "_o"),
+    )
+    at = lambda k, size: S.big_endian(F.col("_o"), k, size)
+    two = lambda k: S.signed(at(k, 2), 2)
+    return rows.select(
+        *[c for c in rows.columns if c != "_o"], at(0, 2).alias("id"), at(2, 1).alias("type"), at(3, 1).alias("confidence"), at(4, 1).alias("color"), at(5, 1).alias("source"),
         at(6, 1).alias("signBit"), at(7, 1).alias("cameraId"), degrees(at(8, 4)).alias("longitude"), degrees(at(12, 4)).alias("latitude"),
         two(16).alias("altitude"), at(18, 2).alias("speed"), F.bround(at(20, 2) * F.lit(0.01), 2).alias("heading"), at(22, 2).alias("length"),
         at(24, 2).alias("width"), at(26, 2).alias("height"), two(28).alias("X"), two(30).alias("Y"), two(32).alias("Z"), at(34, 2).alias("trackCount"),

@@ -275,3 +275,20 @@ def test_e1_takes_all_events(spark, sf_dir, tmp_path):
     n = spark.read.parquet(f"{tmp_path}/events.parquet").select("event_id").collect()
     got = plans.QUERIES["decode_e1"](spark, str(tmp_path)).collect()
     assert sorted(r.id16 for r in got) == sorted(r.event_id % 65536 for r in n) and max(r.event_id for r in n) >= 65536
+
+
+def test_check_bytes_take_time_in_proportion(spark):
+    """Exclusive-or of short and odd texts, and of half a megabyte in far less time than its square."""
+    import functools
+    import operator
+    import random
+    import time
+
+    rng = random.Random(5)
+    data = [bytes(rng.randrange(256) for _ in range(n)) for n in (0, 1, 7, 8, 9, 100, 500_000)]
+    rows = spark.createDataFrame([(k, d.hex()) for k, d in enumerate(data)], "id int, digits string").cache()
+    rows.count()
+    began = time.time()
+    got = {r.id: r.x for r in rows.select("id", S.xor_of_hex(F.col("digits")).alias("x")).collect()}
+    assert got == {k: functools.reduce(operator.xor, d, 0) for k, d in enumerate(data)} and time.time() - began < 8
+    assert spark.range(1).select(S.xor_of_hex(F.lit("FF0"))).head()[0] == 0xFF
