@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -17,6 +18,8 @@ from ..sources import sinks
 from .ordered import Ordered, ordered
 
 OUT_OF_ORDER = "5 minutes"
+#: State partitions for each core of the cluster, and at least so many: each costs a Python worker, a load and a commit a batch.
+STORES_A_CORE, STORES = 2, 12
 
 
 def hourly_section_flow(observations: DataFrame, delay: str = OUT_OF_ORDER) -> DataFrame:
@@ -96,7 +99,9 @@ def late_splitter(path: str, delay_ms: int, ts: str = "ts") -> Callable[[DataFra
 
 def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Everything that is there now through a foreachBatch function."""
-    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with state_partitions(stream.sparkSession):
+        query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 class SectionArrivals(StatefulProcessor):
@@ -411,17 +416,34 @@ def reads_to_tracks(
 
 
 def use_rocksdb(spark: SparkSession) -> None:
+    """The RocksDB state store; a batch commits its changes, not whole files of the store."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in partitions by the cores there are, not by the size of batch shuffles. A
+    stream takes the number when it first starts, and keeps it. Keys go to tasks bucket by bucket, so fewer partitions don't
+    make what a task holds at a time larger."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), max(STORES, STORES_A_CORE * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
     """Everything that is there now through the stream into a Parquet table, which is returned; update and complete modes
     write each batch under its number, and the last one of every row counts."""
     checkpoint = f"{path}-checkpoint"
-    if mode == "append":
-        query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(path)
-    else:
-        write = lambda batch, number: batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
-        query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+    with state_partitions(stream.sparkSession):
+        if mode == "append":
+            query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(path)
+        else:
+            write = lambda batch, number: batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
+            query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return stream.sparkSession.read.parquet(path)
