@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -982,9 +982,12 @@ def union_streams(spark, sf_dir):
 # Streams: the same operators over a stream of the table's files, run until there is nothing more.
 
 
-def event_stream(spark: SparkSession, sf_dir: str, late_ms: int = 300_000) -> DataFrame:
-    """Observations as they might come: five batches, each row up to ``late_ms`` after its time."""
-    return arrivals(observations(spark, sf_dir), sinks.work_path(spark, "arrivals"), late_ms).withColumn("ts", F.col("ts").cast("timestamp"))
+def event_stream(spark: SparkSession, sf_dir: str, late_ms: int = 300_000, columns: Sequence[str] = ()) -> DataFrame:
+    """Observations as they might come: five batches, each row up to ``late_ms`` after its time; all ``columns`` unless some
+    are named (``event_id`` and ``ts`` are always there)."""
+    rows = observations(spark, sf_dir)
+    rows = rows.select("event_id", "ts", *columns) if columns else rows
+    return arrivals(rows, sinks.work_path(spark, "arrivals"), late_ms).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query(f"WITH {O} SELECT word AS word, count(*) AS \"count\" FROM (SELECT event_type AS word FROM o) GROUP BY 1")
@@ -1019,7 +1022,7 @@ OVER = f"(ms // {SLICE_MS} + 1) * {SLICE_MS} <= (SELECT max(ms) - {LATE_MS} FROM
 def stream_section_changes(spark, sf_dir):
     """Section changes by keyed state, in order of event time although rows come up to two hours late."""
     jobs.use_rocksdb(spark)
-    stream = event_stream(spark, sf_dir, LATE_MS).where("class <> -1 AND section <> -1")
+    stream = event_stream(spark, sf_dir, LATE_MS, ["vehicle_id", "class", "section"]).where("class <> -1 AND section <> -1")
     rows = jobs.run_to_table(jobs.section_changes(stream, delay=LATE, slice_ms=SLICE_MS), sinks.work_path(spark, "changes"))
     return rows.select("event_id", "vehicle_id", F.col("section").cast("long"))
 

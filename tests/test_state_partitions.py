@@ -33,3 +33,23 @@ def test_state_partitions_follow_the_cores(spark):
             assert got == spark.read.parquet(written).count() == 294  # all but the newest minutes
     finally:
         spark.conf.set(name, before)
+
+
+def staged_columns(spark, sf_dir, monkeypatch, query: str) -> set[str]:
+    """Columns of the rows that a query's stream writes before it reads them."""
+    seen: list[str] = []
+
+    def note(rows, *_, **__):
+        seen.extend(rows.columns)
+        raise InterruptedError
+
+    monkeypatch.setattr(plans, "arrivals", note)
+    try:
+        plans.QUERIES[query](spark, sf_dir)
+    except InterruptedError:
+        pass
+    return set(seen)
+
+
+def test_section_changes_stage_their_columns(spark, sf_dir, monkeypatch):
+    assert staged_columns(spark, sf_dir, monkeypatch, "stream_section_changes") == {"event_id", "ts", "vehicle_id", "class", "section"}
