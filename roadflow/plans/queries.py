@@ -1205,7 +1205,7 @@ VOTED = f"""{O}, x AS (SELECT vehicle_id, event_id, ts, ms, 'P' || (vehicle_id +
 
 def _vote_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.use_rocksdb(spark)
-    reads = event_stream(spark, sf_dir, LATE_MS).withColumn("plate", F.concat(F.lit("P"), F.col("vehicle_id") + F.col("event_id") % 3))
+    reads = event_stream(spark, sf_dir, LATE_MS, ["vehicle_id"]).withColumn("plate", F.concat(F.lit("P"), F.col("vehicle_id") + F.col("event_id") % 3))
     return jobs.run_to_table(keyed.plate_votes(reads, votes_ms=None, delay=LATE, slice_ms=SLICE_MS), sinks.work_path(spark, "votes"))
 
 

@@ -53,3 +53,8 @@ def staged_columns(spark, sf_dir, monkeypatch, query: str) -> set[str]:
 
 def test_section_changes_stage_their_columns(spark, sf_dir, monkeypatch):
     assert staged_columns(spark, sf_dir, monkeypatch, "stream_section_changes") == {"event_id", "ts", "vehicle_id", "class", "section"}
+
+
+def test_votes_stage_their_columns(spark, sf_dir, monkeypatch):
+    for query in ("stream_plate_vote", "stream_plate_carry_over"):
+        assert staged_columns(spark, sf_dir, monkeypatch, query) == {"event_id", "ts", "vehicle_id"}
