@@ -1069,7 +1069,8 @@ def stream_timeout_prediction(spark, sf_dir):
 def stream_sampled_sessions(spark, sf_dir):
     """Sessions that have closed by event time, with the number of their sampled points; rows come up to two hours late."""
     jobs.use_rocksdb(spark)
-    stream = jobs.sampled_sessions(event_stream(spark, sf_dir, LATE_MS), 6 * FRAME_MS, FRAME_MS, delay=LATE, slice_ms=SLICE_MS)
+    place = ["vehicle_id", "ms", "plate", "vehicle_type", "longitude", "latitude", "lane", "direction", "speed"]
+    stream = jobs.sampled_sessions(event_stream(spark, sf_dir, LATE_MS, place), 6 * FRAME_MS, FRAME_MS, delay=LATE, slice_ms=SLICE_MS)
     rows = jobs.run_to_table(stream, sinks.work_path(spark, "sessions"))
     return rows.select("vehicle_id", "start_ms", "last_ms", "points", "kept")
 
@@ -1079,7 +1080,7 @@ def stream_reorder(spark, sf_dir):
     """Rows of each device in order of time, once event time is two hours ahead of their slice; their places in it are counted
     over the slices that have come."""
     jobs.use_rocksdb(spark)
-    rows = jobs.run_to_table(jobs.reordered(event_stream(spark, sf_dir, LATE_MS), "device", delay=LATE, slice_ms=SLICE_MS), sinks.work_path(spark, "reordered"))
+    rows = jobs.run_to_table(jobs.reordered(event_stream(spark, sf_dir, LATE_MS, ["device", "ms"]), "device", delay=LATE, slice_ms=SLICE_MS), sinks.work_path(spark, "reordered"))
     return flow.numbered(rows, "source", F.col("slice"), ["place"]).select("source", "event_id", (F.col("no") + 1).alias("place"))
 
 
@@ -1234,7 +1235,8 @@ FLUSH_MS = 43_200_000
 def stream_flushed_segments(spark, sf_dir):
     """Segments of each kilometre, given half a day of event time after its first row, although rows come out of order."""
     jobs.use_rocksdb(spark)
-    stream = keyed.flushed_segments(event_stream(spark, sf_dir, LATE_MS), FLUSH_MS, delay=LATE, slice_ms=SLICE_MS)
+    columns = ["vehicle_id", "mileage", "speed", "plate", "direction", "lane"]
+    stream = keyed.flushed_segments(event_stream(spark, sf_dir, LATE_MS, columns), FLUSH_MS, delay=LATE, slice_ms=SLICE_MS)
     rows = jobs.run_to_table(stream, sinks.work_path(spark, "flushed"))
     return rows.withColumns({"speed_sum": F.round("speed_sum", 6), "direction": F.col("direction").cast("long"), "lane": F.col("lane").cast("long")})
 

@@ -58,3 +58,10 @@ def test_section_changes_stage_their_columns(spark, sf_dir, monkeypatch):
 def test_votes_stage_their_columns(spark, sf_dir, monkeypatch):
     for query in ("stream_plate_vote", "stream_plate_carry_over"):
         assert staged_columns(spark, sf_dir, monkeypatch, query) == {"event_id", "ts", "vehicle_id"}
+
+
+def test_sessions_and_segments_stage_their_columns(spark, sf_dir, monkeypatch):
+    place = {"event_id", "ts", "vehicle_id", "plate", "lane", "direction", "speed"}
+    assert staged_columns(spark, sf_dir, monkeypatch, "stream_sampled_sessions") == place | {"ms", "vehicle_type", "longitude", "latitude"}
+    assert staged_columns(spark, sf_dir, monkeypatch, "stream_flushed_segments") == place | {"mileage"}
+    assert staged_columns(spark, sf_dir, monkeypatch, "stream_reorder") == {"event_id", "ts", "device", "ms"}
